@@ -43,12 +43,19 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
-    """Write normalised role tables; documents are kept apart by upload month."""
+    """Write normalised role tables; documents are kept apart by upload month.
+
+    Rows of a month are brought together first, so a month is not a small file per task; the
+    rebalance splits a month that is much larger than the others.
+    """
     for role, df in roles.items():
-        writer = normalise(df).withColumns(_extra(role)).write.mode("overwrite")
-        if role == "document":
-            writer = writer.partitionBy("upload_month")
-        writer.parquet(f"{base}/{role}.parquet")
+        clean = normalise(df)
+        if role != "document":
+            clean.write.mode("overwrite").parquet(f"{base}/{role}.parquet")
+            continue
+        monthly = clean.withColumn("upload_month", F.trunc(F.to_date("ftpstime"), "MM"))
+        monthly.hint("rebalance", "upload_month").write.mode("overwrite").partitionBy(
+            "upload_month").parquet(f"{base}/{role}.parquet")
 
 
 def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
@@ -68,12 +75,6 @@ def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
     return Roles({role: (lambda role=role: read(role)) for role in ROLE_SCHEMAS})
 
 
-def _extra(role: str) -> dict[str, Column]:
-    if role != "document":
-        return {}
-    return {"upload_month": F.trunc(F.to_date("ftpstime"), "MM")}
-
-
 def _box(cust: Column) -> Column:
     lead = F.when(cust % 10 == 0, "101").otherwise("200")
     return F.concat(lead, F.lpad(cust.cast("string"), 9, "0"))
