@@ -27,30 +27,31 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], counted: Mapping[str, st
 
 
 def count_distinct_through(parents: DataFrame, children: DataFrame, keys: Sequence[str],
-                           via: str, child: str, name: str) -> DataFrame:
+                           via: str, child: str, name: str,
+                           kind: str | None = None) -> DataFrame:
     """Distinct children per parent, where ``via`` links the two many-to-many.
 
     A child that occurs under one link only is counted per link first, so the join carries one
-    row per link however many children it has. Only children found under several links are
-    joined one by one, because there the same child may reach a parent twice.
+    row per link however many children or parents it has. Only children found under several
+    links are joined one by one, because there the same child may reach a parent twice.
+    With ``kind``, children of several kinds are counted apart in one go.
     Parents without children are not listed.
     """
+    kinds = [kind] if kind else []
+    one = F.lit(1).cast("bigint")
     links = parents.select(*keys, via).where(F.col(via).isNotNull()).distinct()
-    pairs = children.select(via, child).where(
+    pairs = children.select(*kinds, via, child).where(
         F.col(via).isNotNull() & F.col(child).isNotNull()
     ).distinct()
-    spread = pairs.groupBy(child).agg(F.min(via).alias("_low"), F.max(via).alias("_high"))
-    single = (
-        spread.where(F.col("_low") == F.col("_high"))
-        .groupBy(F.col("_low").alias(via)).agg(F.count("*").alias("_n"))
-    )
-    shared = pairs.join(
-        spread.where(F.col("_low") != F.col("_high")).select(child), child, "left_semi"
-    )
-    once = links.join(single, via).select(*keys, "_n")
-    many = links.join(shared, via).select(*keys, child).distinct().select(
-        *keys, F.lit(1).cast("bigint").alias("_n"))
-    return once.unionByName(many).groupBy(*keys).agg(F.sum("_n").alias(name))
+    several = pairs.groupBy(*kinds, child).agg(F.count("*").alias("_n")).where(
+        F.col("_n") > 1).select(*kinds, child)
+    single = pairs.join(several, [*kinds, child], "left_anti").groupBy(*kinds, via).agg(
+        F.count("*").alias("_n"))
+    shared = pairs.join(several, [*kinds, child], "left_semi")
+    once = links.join(single, via).select(*keys, *kinds, "_n")
+    many = links.join(shared, via).select(*keys, *kinds, child).distinct().select(
+        *keys, *kinds, one.alias("_n"))
+    return once.unionByName(many).groupBy(*keys, *kinds).agg(F.sum("_n").alias(name))
 
 
 def sum_case(groups: DataFrame, keys: Sequence[str], label: str, measure: str,

@@ -65,13 +65,17 @@ def shipped_boxes(tables: Tables, line: Line) -> DataFrame:
     return boxes.select("RMN", F.col("trackingno").alias("TrackingNo"), "claimtype").distinct()
 
 
-def box_batches(tables: Tables, line: Line) -> DataFrame:
-    """Received batches of the shipped boxes; further columns come from the batch table."""
-    batches = tables["physical_batch"].where(batch_condition(line))
-    return shipped_boxes(tables, line).join(batches, "RMN").withColumnRenamed(
+def received(tables: Tables, line: Line) -> DataFrame:
+    """Received batches of the line, whatever their box."""
+    return tables["physical_batch"].where(batch_condition(line)).withColumnRenamed(
         "PBatch", "BatchName")
 
 
+def box_batches(tables: Tables, line: Line) -> DataFrame:
+    """Received batches of the shipped boxes."""
+    return shipped_boxes(tables, line).join(received(tables, line), "RMN")
+
+
 def known(tables: Tables, role: str, key: str, name: str) -> DataFrame:
     """Distinct batch names of a lookup table, with the name repeated as a column to test."""
     return tables[role].select(F.col(key).alias("BatchName")).distinct().withColumn(
@@ -128,12 +132,12 @@ def upload_records(tables: Tables, line: Line) -> DataFrame:
 
 
 def recorded_folders(tables: Tables, line: Line) -> DataFrame:
-    """Distinct (batch, folder) of the upload records."""
+    """(Batch, folder) of the upload records, once per box they were recorded for."""
     keys = ["RMN", "PBatch", "dcsid"] if line.uploads_need_box else ["PBatch", "dcsid"]
     folders = line_documents(tables, line).select(*keys).distinct()
     if line.uploads_need_box:
         folders = folders.join(box_keys(tables, line), "RMN", "left_semi")
-    return folders.select("PBatch", "dcsid").distinct()
+    return folders.select("PBatch", "dcsid")
 
 
 def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
@@ -177,17 +181,17 @@ def workflow_rows(tables: Tables) -> DataFrame:
 
 def workflow_state(tables: Tables, line: Line) -> DataFrame:
     """Current step, location, status and images of the batches received in the line's boxes."""
-    received = tables["physical_batch"].select(F.col("PBatch").alias("BatchName"), "RMN",
-                                               "InvTime")
+    batches = tables["physical_batch"].select(F.col("PBatch").alias("BatchName"), "RMN",
+                                              "InvTime")
     if line.batch_prefix:
-        received = received.where(has_prefix(F.col("BatchName"), line.batch_prefix))
+        batches = batches.where(has_prefix(F.col("BatchName"), line.batch_prefix))
     if line.skip_test_batches:
-        received = received.where(not_test_batch(F.col("BatchName")))
-    received = received.join(box_keys(tables, line), "RMN", "left_semi")
+        batches = batches.where(not_test_batch(F.col("BatchName")))
+    batches = batches.join(box_keys(tables, line), "RMN", "left_semi")
     if not line.latest_receipt_only:
         return workflow_rows(tables).join(
-            received.select("BatchName").distinct(), "BatchName", "left_semi")
-    latest = received.groupBy("BatchName").agg(F.max("InvTime").alias("InvTime")).where(
+            batches.select("BatchName").distinct(), "BatchName", "left_semi")
+    latest = batches.groupBy("BatchName").agg(F.max("InvTime").alias("InvTime")).where(
         since(F.col("InvTime"), line.received_since))
     return workflow_rows(tables).join(latest, "BatchName")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanyard import fixed
@@ -10,7 +10,8 @@ from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
 from scanyard.operators.joins import flag_any
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
-from scanyard.plans.extracts import Tables, box_batches, known, recorded_folders
+from scanyard.plans.extracts import (Tables, box_batches, known, received, recorded_folders,
+                                     shipped_boxes)
 
 _BOX = ["RMN", "TrackingNo"]
 
@@ -22,35 +23,37 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
     recorded for the box's batches. Where a shipment carries several claim types the smallest
     is shown.
     """
-    batches = box_batches(tables, line).groupBy(*_BOX, "BatchName").agg(
-        F.min("claimtype").alias("ClaimType"))
+    boxes = shipped_boxes(tables, line).groupBy(*_BOX).agg(F.min("claimtype").alias("ClaimType"))
+    batches = boxes.join(received(tables, line), "RMN").select(
+        *_BOX, "ClaimType", "BatchName").distinct()
     records = recorded_folders(tables, line).withColumnRenamed("PBatch", "BatchName")
     recorded = records.select("BatchName").distinct().withColumn("_recorded", F.col("BatchName"))
     totals = (
         batches.join(known(tables, "exported", "kbatch", "_exported"), "BatchName", "left")
         .join(recorded, "BatchName", "left")
-        .groupBy(*_BOX)
+        .groupBy(*_BOX, "ClaimType")
         .agg(
-            F.min("ClaimType").alias("ClaimType"),
             F.count("BatchName").alias("TotalBatches"),
             F.count("_exported").alias("Exported"),
             F.count("_recorded").alias("Uploaded"),
         )
     )
     folders = tables["folder_map"].select(F.col("PBatch").alias("BatchName"), "dcsid")
-    folder_totals = count_distinct_through(
-        batches, folders, _BOX, "BatchName", "dcsid", "TotalDCSIDs")
-    uploaded_folders = count_distinct_through(
-        batches, records, _BOX, "BatchName", "dcsid", "UploadedDCSIDs")
-    return (
-        totals.join(folder_totals, _BOX, "left").join(uploaded_folders, _BOX, "left")
-        .select(
-            *_BOX, "ClaimType", "TotalBatches",
-            or_zero(F.col("TotalDCSIDs")).alias("TotalDCSIDs"),
-            (F.col("TotalBatches") - F.col("Exported")).alias("InProgress"),
-            "Exported", "Uploaded",
-            or_zero(F.col("UploadedDCSIDs")).alias("UploadedDCSIDs"),
-        )
+    both = folders.withColumn("_kind", F.lit("all")).unionByName(
+        records.withColumn("_kind", F.lit("recorded")))
+    counts = count_distinct_through(batches, both, _BOX, "BatchName", "dcsid", "_n", "_kind")
+
+    def folders_of(kind: str) -> Column:
+        return or_zero(F.sum(F.when(F.col("_kind") == kind, F.col("_n"))))
+
+    wide = counts.groupBy(*_BOX).agg(folders_of("all").alias("TotalDCSIDs"),
+                                     folders_of("recorded").alias("UploadedDCSIDs"))
+    return totals.join(wide, _BOX, "left").select(
+        *_BOX, "ClaimType", "TotalBatches",
+        or_zero(F.col("TotalDCSIDs")).alias("TotalDCSIDs"),
+        (F.col("TotalBatches") - F.col("Exported")).alias("InProgress"),
+        "Exported", "Uploaded",
+        or_zero(F.col("UploadedDCSIDs")).alias("UploadedDCSIDs"),
     )
 
 
