@@ -20,17 +20,24 @@ def run_path(base: str, as_of: datetime, stamp: str = STAMP_MINUTE) -> str:
     return f"{base}_{as_of.strftime(stamp)}"
 
 
+# Blanks are data, and a quote inside a value is doubled.
+_PLAIN = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
     """CSV with a header line per part file; ``compression`` as the writer names it (gzip)."""
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").option("header", True).options(**_PLAIN)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True)
+def read_csv(spark: SparkSession, path: str, schema: str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with a header line. ``multi_line`` allows line breaks inside values, but then a file
+    cannot be split."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).options(**_PLAIN)
     if schema:
         reader = reader.schema(schema)
     return reader.csv(path)
