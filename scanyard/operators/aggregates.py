@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanyard.functions.decode import or_zero
+from scanyard.operators.joins import one_per_key
 from scanyard.operators.projection import as_text
 
 
@@ -43,8 +44,8 @@ def count_distinct_through(parents: DataFrame, children: DataFrame, keys: Sequen
     pairs = children.select(*kinds, via, child).where(
         F.col(via).isNotNull() & F.col(child).isNotNull()
     ).distinct()
-    several = pairs.groupBy(*kinds, child).agg(F.count("*").alias("_n")).where(
-        F.col("_n") > 1).select(*kinds, child)
+    several = one_per_key(pairs, [*kinds, child], F.count("*").alias("_n")).where(
+        F.col("_n") > 1).drop("_n")
     single = pairs.join(several, [*kinds, child], "left_anti").groupBy(*kinds, via).agg(
         F.count("*").alias("_n"))
     shared = pairs.join(several, [*kinds, child], "left_semi")

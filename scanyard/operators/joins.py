@@ -1,9 +1,12 @@
 """Joins.
 
 Lookup sides are cut to one row per key before they are joined, so a key that fills a large
-part of its table arrives as one row, and the joined side keeps its rows. No side is forced
-into a broadcast here: Spark chooses it from the measured size. The one exception is the
-calendar in ``nonworking_days``, which holds at most one row per day.
+part of its table arrives as one row, and the joined side keeps its rows. A key that fills a
+large part of the other side is split by Spark at run time. Spark does so only where both
+inputs come straight from a shuffle, so the two helpers below see to that.
+
+No side is forced into a broadcast here: Spark chooses it from the measured size. The one
+exception is the calendar in ``nonworking_days``, which holds at most one row per day.
 """
 
 from __future__ import annotations
@@ -22,6 +25,30 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def one_per_key(df: DataFrame, on: str | Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row per key, with aggregates if given, ready to be joined on the key.
+
+    Grouping by the key and its hash forms the same groups, but a following join cannot reuse
+    that shuffle and adds its own, which is the one Spark can split.
+    """
+    keys = _keys(on)
+    spread = [*keys, F.xxhash64(*keys).alias("_spread")]
+    groups = df.groupBy(*spread).agg(*aggregates) if aggregates else df.select(*spread).distinct()
+    return groups.drop("_spread")
+
+
+def fresh_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
+               how: str) -> DataFrame:
+    """Join that shuffles both sides anew, whatever their order was before.
+
+    For sides already lying together by the key, where one key may still be very large.
+    """
+    keys = _keys(on)
+    spread = F.xxhash64(*keys)
+    return left.withColumn("_spread", spread).join(
+        right.withColumn("_spread", spread), [*keys, "_spread"], how).drop("_spread")
+
+
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return left.join(right, _keys(on), "left")
 
@@ -38,8 +65,8 @@ def left_join_children(parents: DataFrame, children: DataFrame,
     either side, and the parents without children come from an anti join on distinct keys.
     """
     keys = _keys(on)
-    matched = parents.join(children, keys, "inner")
-    alone = parents.join(children.select(*keys).distinct(), keys, "left_anti")
+    matched = fresh_join(parents, children, keys, "inner")
+    alone = parents.join(one_per_key(children, keys), keys, "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
@@ -48,7 +75,7 @@ def where_exists(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     """Left rows with at least one partner; each left row stays once."""
     keys = _keys(on)
     rows = right if condition is None else right.where(condition)
-    return left.join(rows.select(*keys).distinct(), keys, "left_semi")
+    return left.join(one_per_key(rows, keys), keys, "left_semi")
 
 
 def flag_exists(left: DataFrame, right: DataFrame, on: str | Sequence[str], name: str,
@@ -56,13 +83,13 @@ def flag_exists(left: DataFrame, right: DataFrame, on: str | Sequence[str], name
     """Existence of a partner as a boolean column; each left row stays once."""
     keys = _keys(on)
     rows = right if condition is None else right.where(condition)
-    known = rows.select(*keys).distinct().withColumn(name, F.lit(True))
+    known = one_per_key(rows, keys).withColumn(name, F.lit(True))
     return left.join(known, keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def flag_any(fact: DataFrame, key: str, condition: Column, name: str) -> DataFrame:
     """One row per key: whether any row of the key meets the condition."""
-    return fact.groupBy(key).agg(F.max(F.coalesce(condition, F.lit(False))).alias(name))
+    return one_per_key(fact, key, F.max(F.coalesce(condition, F.lit(False))).alias(name))
 
 
 def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None = None) -> DataFrame:
@@ -74,7 +101,8 @@ def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None =
     values = right.select(F.col(right_col or col).alias(col))
     size = values.agg(F.count("*")).scalar()
     nulls = values.agg(F.count_if(F.col(col).isNull())).scalar()
-    rest = left.join(values.where(F.col(col).isNotNull()).distinct(), col, "left_anti")
+    listed = one_per_key(values.where(F.col(col).isNotNull()), col)
+    rest = left.join(listed, col, "left_anti")
     return rest.where((size == 0) | ((nulls == 0) & F.col(col).isNotNull())).select(*left.columns)
 
 
@@ -86,14 +114,15 @@ def outstanding(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     to one row per key, so a left row stays once however many open partners it has.
     """
     keys = _keys(on)
-    state = right.groupBy(*keys).agg(F.max(F.coalesce(open_when, F.lit(False))).alias("_open"))
+    state = one_per_key(right, keys, F.max(F.coalesce(open_when, F.lit(False))).alias("_open"))
     joined = left.join(state, keys, "left")
     return joined.where(F.coalesce("_open", F.lit(True))).select(*left.columns)
 
 
 def rejoin(left: DataFrame, right: DataFrame, child: str) -> DataFrame:
     """Replace the child key by the one found on the right; NULL when it is not there."""
-    known = right.select(F.col(child).alias("_found")).where("_found is not null").distinct()
+    known = one_per_key(
+        right.select(F.col(child).alias("_found")).where("_found is not null"), "_found")
     joined = left.join(known, F.col(child) == F.col("_found"), "left")
     return joined.withColumn(child, F.col("_found")).select(*left.columns)
 

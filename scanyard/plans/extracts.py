@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scanyard.functions.dates import between, month_start, since
 from scanyard.functions.predicates import (has_prefix, is_nonworking, not_test_batch,
                                            valid_tracking)
-from scanyard.operators.joins import left_join_children
+from scanyard.operators.joins import left_join_children, one_per_key
 from scanyard.operators.sets import union_shards
 from scanyard.plans.config import Line
 
@@ -56,7 +56,7 @@ def batch_condition(line: Line, name: str = "PBatch") -> Column:
 
 def box_keys(tables: Tables, line: Line) -> DataFrame:
     """Distinct boxes of the line."""
-    return tables["check_in"].where(box_condition(line)).select("RMN").distinct()
+    return one_per_key(tables["check_in"].where(box_condition(line)), "RMN")
 
 
 def shipped_boxes(tables: Tables, line: Line) -> DataFrame:
@@ -78,8 +78,8 @@ def box_batches(tables: Tables, line: Line) -> DataFrame:
 
 def known(tables: Tables, role: str, key: str, name: str) -> DataFrame:
     """Distinct batch names of a lookup table, with the name repeated as a column to test."""
-    return tables[role].select(F.col(key).alias("BatchName")).distinct().withColumn(
-        name, F.col("BatchName"))
+    names = tables[role].select(F.col(key).alias("BatchName"))
+    return one_per_key(names, "BatchName").withColumn(name, F.col("BatchName"))
 
 
 def intake_master(tables: Tables, line: Line) -> DataFrame:
@@ -141,15 +141,16 @@ def recorded_folders(tables: Tables, line: Line) -> DataFrame:
 
 
 def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
-    """Per batch with upload records, whether any of them was never uploaded.
+    """Whether any upload record was never uploaded, per batch and, where it counts, per box.
 
     Records shrink to box and batch before their box is tested.
     """
-    state = _records(tables, line).withColumn("_open", F.col("UploadTime").isNull())
-    if line.uploads_need_box:
-        state = state.groupBy("RMN", "PBatch").agg(F.max("_open").alias("_open")).join(
-            box_keys(tables, line), "RMN", "left_semi")
-    return state.groupBy("PBatch").agg(F.max("_open").alias("Open"))
+    records = _records(tables, line)
+    any_open = F.max(F.col("UploadTime").isNull()).alias("Open")
+    if not line.uploads_need_box:
+        return records.groupBy("PBatch").agg(any_open)
+    return records.groupBy("RMN", "PBatch").agg(any_open).join(
+        box_keys(tables, line), "RMN", "left_semi")
 
 
 def active_folders(tables: Tables, line: Line, prefix: str, folder_since: datetime | None = None,
@@ -190,15 +191,15 @@ def workflow_state(tables: Tables, line: Line) -> DataFrame:
     batches = batches.join(box_keys(tables, line), "RMN", "left_semi")
     if not line.latest_receipt_only:
         return workflow_rows(tables).join(
-            batches.select("BatchName").distinct(), "BatchName", "left_semi")
-    latest = batches.groupBy("BatchName").agg(F.max("InvTime").alias("InvTime")).where(
+            one_per_key(batches, "BatchName"), "BatchName", "left_semi")
+    latest = one_per_key(batches, "BatchName", F.max("InvTime").alias("InvTime")).where(
         since(F.col("InvTime"), line.received_since))
     return workflow_rows(tables).join(latest, "BatchName")
 
 
 def scanned_batches(tables: Tables) -> DataFrame:
     """Batches the scanner knows."""
-    return tables["scanner"].select("BatchName").distinct()
+    return one_per_key(tables["scanner"], "BatchName")
 
 
 def second_ocr(tables: Tables) -> DataFrame:

@@ -12,8 +12,8 @@ from scanyard.functions.dates import elapsed_days, iso_date, ts, whole_days
 from scanyard.functions.decode import (batch_status, either, media_counts, media_flag, or_dash,
                                        or_zero, outstanding_status, pending_text, stage_name)
 from scanyard.operators.aggregates import mean_pivot
-from scanyard.operators.joins import (left_join_children, nonworking_days, outstanding,
-                                      rejoin)
+from scanyard.operators.joins import (left_join_children, nonworking_days, one_per_key,
+                                      outstanding, rejoin)
 from scanyard.operators.projection import or_blank_row
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
 from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, known,
@@ -49,8 +49,8 @@ def open_batches(tables: Tables, line: Line) -> DataFrame:
         "RMN", "TrackingNo", "BatchName", "BatchClassName").agg(F.min("InvTime").alias("InvTime"))
     state = batch_upload_state(tables, line).withColumnRenamed("PBatch", "BatchName")
     waiting = outstanding(batches, state, "BatchName", F.col("Open"))
-    folders = tables["folder_map"].groupBy(F.col("PBatch").alias("BatchName")).agg(
-        F.count_distinct("dcsid").alias("_folders"))
+    folders = one_per_key(tables["folder_map"].withColumnRenamed("PBatch", "BatchName"),
+                          "BatchName", F.count_distinct("dcsid").alias("_folders"))
     paper, special = media_counts(F.col("BatchClassName"), or_zero(F.col("_folders")))
     return (
         _with_workflow(tables, waiting).join(folders, "BatchName", "left")
@@ -169,7 +169,8 @@ def r10_direct_outstanding(tables: Tables, line: Line = OMPF_DIRECT, as_of=None)
     """Open batches straight from the documents, with the number still to be uploaded."""
     batches = box_batches(tables, line).select("RMN", "TrackingNo", "BatchName").distinct()
     not_uploaded = F.col("ftpstime").isNull()
-    documents = tables["document"].groupBy(F.col("PBatch").alias("BatchName")).agg(
+    documents = one_per_key(
+        tables["document"].withColumnRenamed("PBatch", "BatchName"), "BatchName",
         F.count_distinct(F.when(not_uploaded, F.col("ImageID"))).alias("_docs"),
         F.max(not_uploaded).alias("_open"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scanyard import fixed
 from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
-from scanyard.operators.joins import flag_any
+from scanyard.operators.joins import flag_any, one_per_key
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
 from scanyard.plans.extracts import (Tables, box_batches, known, received, recorded_folders,
                                      shipped_boxes)
@@ -27,7 +27,7 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
     batches = boxes.join(received(tables, line), "RMN").select(
         *_BOX, "ClaimType", "BatchName").distinct()
     records = recorded_folders(tables, line).withColumnRenamed("PBatch", "BatchName")
-    recorded = records.select("BatchName").distinct().withColumn("_recorded", F.col("BatchName"))
+    recorded = one_per_key(records, "BatchName").withColumn("_recorded", F.col("BatchName"))
     totals = (
         batches.join(known(tables, "exported", "kbatch", "_exported"), "BatchName", "left")
         .join(recorded, "BatchName", "left")

@@ -14,6 +14,9 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Above one advisory partition and five times the median counts as too large.
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                   spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     return spark
 
 
