@@ -44,11 +44,12 @@ def count_distinct_through(parents: DataFrame, children: DataFrame, keys: Sequen
     pairs = children.select(*kinds, via, child).where(
         F.col(via).isNotNull() & F.col(child).isNotNull()
     ).distinct()
-    several = one_per_key(pairs, [*kinds, child], F.count("*").alias("_n")).where(
-        F.col("_n") > 1).drop("_n")
-    single = pairs.join(several, [*kinds, child], "left_anti").groupBy(*kinds, via).agg(
+    several = one_per_key(pairs, [*kinds, child], F.count("*").alias("_links")).where(
+        F.col("_links") > 1)
+    marked = pairs.join(several, [*kinds, child], "left")
+    single = marked.where(F.col("_links").isNull()).groupBy(*kinds, via).agg(
         F.count("*").alias("_n"))
-    shared = pairs.join(several, [*kinds, child], "left_semi")
+    shared = marked.where(F.col("_links").isNotNull())
     once = links.join(single, via).select(*keys, *kinds, "_n")
     many = links.join(shared, via).select(*keys, *kinds, child).distinct().select(
         *keys, *kinds, one.alias("_n"))

@@ -42,11 +42,9 @@ def box_condition(line: Line) -> Column:
     return _all(conditions)
 
 
-def batch_condition(line: Line, name: str = "PBatch") -> Column:
-    """Received batches of the line."""
+def name_condition(line: Line, name: str = "BatchName") -> Column:
+    """Batch names of the line."""
     conditions = []
-    if line.received_since:
-        conditions.append(since(F.col("InvTime"), line.received_since))
     if line.batch_prefix:
         conditions.append(has_prefix(F.col(name), line.batch_prefix))
     if line.skip_test_batches:
@@ -54,6 +52,12 @@ def batch_condition(line: Line, name: str = "PBatch") -> Column:
     return _all(conditions)
 
 
+def batch_condition(line: Line) -> Column:
+    """Received batches of the line."""
+    named = name_condition(line, "PBatch")
+    return since(F.col("InvTime"), line.received_since) & named if line.received_since else named
+
+
 def box_keys(tables: Tables, line: Line) -> DataFrame:
     """Distinct boxes of the line."""
     return one_per_key(tables["check_in"].where(box_condition(line)), "RMN")
@@ -184,11 +188,7 @@ def workflow_state(tables: Tables, line: Line) -> DataFrame:
     """Current step, location, status and images of the batches received in the line's boxes."""
     batches = tables["physical_batch"].select(F.col("PBatch").alias("BatchName"), "RMN",
                                               "InvTime")
-    if line.batch_prefix:
-        batches = batches.where(has_prefix(F.col("BatchName"), line.batch_prefix))
-    if line.skip_test_batches:
-        batches = batches.where(not_test_batch(F.col("BatchName")))
-    batches = batches.join(box_keys(tables, line), "RMN", "left_semi")
+    batches = batches.where(name_condition(line)).join(box_keys(tables, line), "RMN", "left_semi")
     if not line.latest_receipt_only:
         return workflow_rows(tables).join(
             one_per_key(batches, "BatchName"), "BatchName", "left_semi")

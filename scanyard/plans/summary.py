@@ -10,8 +10,8 @@ from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
 from scanyard.operators.joins import flag_any, one_per_key
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
-from scanyard.plans.extracts import (Tables, box_batches, known, received, recorded_folders,
-                                     shipped_boxes)
+from scanyard.plans.extracts import (Tables, box_batches, known, name_condition, received,
+                                     recorded_folders, shipped_boxes)
 
 _BOX = ["RMN", "TrackingNo"]
 
@@ -39,8 +39,9 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
         )
     )
     folders = tables["folder_map"].select(F.col("PBatch").alias("BatchName"), "dcsid")
+    # Only names the line's batches can have; said here, every use below reads the same rows.
     both = folders.withColumn("_kind", F.lit("all")).unionByName(
-        records.withColumn("_kind", F.lit("recorded")))
+        records.withColumn("_kind", F.lit("recorded"))).where(name_condition(line))
     counts = count_distinct_through(batches, both, _BOX, "BatchName", "dcsid", "_n", "_kind")
 
     def folders_of(kind: str) -> Column:
