@@ -75,16 +75,15 @@ def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
     return Roles({role: (lambda role=role: read(role)) for role in ROLE_SCHEMAS})
 
 
-def _box(cust: Column) -> Column:
-    lead = F.when(cust % 10 == 0, "101").otherwise("200")
-    return F.concat(lead, F.lpad(cust.cast("string"), 9, "0"))
+def _box(cust: str) -> Column:
+    return F.expr(f"concat(if({cust} % 10 = 0, '101', '200'), lpad({cust}, 9, '0'))")
 
 
-def _batch(order: Column) -> Column:
-    lead = (F.when(order % 8 < 2, "01").when(order % 8 < 6, "02")
-            .when(order % 8 == 6, "07").otherwise("08"))
-    tail = F.when(order % 97 == 0, "TEST").otherwise("")
-    return F.concat(lead, F.lpad(order.cast("string"), 12, "0"), tail)
+def _batch() -> Column:
+    return F.expr(
+        "concat(case when o_orderkey % 8 < 2 then '01' when o_orderkey % 8 < 6 then '02' "
+        "when o_orderkey % 8 = 6 then '07' else '08' end, lpad(o_orderkey, 12, '0'), "
+        "if(o_orderkey % 97 = 0, 'TEST', ''))")
 
 
 # Location per workflow step in the derived data; step 13 also depends on the customer.
@@ -106,16 +105,15 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         return scan(spark, base, "lineitem")
 
     def batches_where(condition: Column, name: str) -> DataFrame:
-        return orders().where(condition).select(_batch(c("o_orderkey")).alias(name))
+        return orders().where(condition).select(_batch().alias(name))
 
     def folder_id() -> Column:
-        return F.concat_ws("-", c("l_orderkey").cast("string"),
-                           (c("l_linenumber") % 3).cast("string"))
+        return F.expr("concat(l_orderkey, '-', l_linenumber % 3)")
 
     def check_in() -> DataFrame:
         k = c("c_custkey")
         return scan(spark, base, "customer").select(
-            F.concat(_box(k), F.lit("  ")).alias("RMN"),
+            F.concat(_box("c_custkey"), F.lit("  ")).alias("RMN"),
             F.when(k % 17 == 0, None).when(k % 19 == 0, "").when(k % 23 == 0, "1234DUMMY1234")
             .otherwise(c("c_name")).alias("trackingno"),
             F.when(c("c_mktsegment") == "BUILDING", "OMPF")
@@ -128,10 +126,9 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         )
 
     def physical_batch() -> DataFrame:
-        o = c("o_orderkey")
         return orders().select(
-            _batch(o).alias("PBatch"),
-            _box(c("o_custkey")).alias("RMN"),
+            _batch().alias("PBatch"),
+            _box("o_custkey").alias("RMN"),
             F.when(c("o_orderpriority") == "1-URGENT", "SM")
             .when(c("o_orderpriority") == "5-LOW", None).otherwise("P").alias("BatchClassName"),
             _inv_time().alias("InvTime"),
@@ -144,11 +141,10 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
     def document() -> DataFrame:
         joined = lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
         return joined.select(
-            _box(c("o_custkey")).alias("RMN"),
-            _batch(c("o_orderkey")).alias("PBatch"),
+            _box("o_custkey").alias("RMN"),
+            _batch().alias("PBatch"),
             folder_id().alias("dcsid"),
-            F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string"))
-            .alias("ImageID"),
+            F.expr("concat(l_orderkey, '-', l_linenumber)").alias("ImageID"),
             c("l_returnflag").alias("docidDoctype"),
             F.concat(F.lit(" "), c("l_partkey").cast("string"), F.lit("  ")).alias("FileNumber"),
             (c("l_orderkey") * 10 + c("l_linenumber")).alias("SysKey"),
@@ -160,7 +156,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
     def folder_map() -> DataFrame:
         joined = lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
         return joined.select(
-            _box(c("o_custkey")).alias("RMN"), _batch(c("o_orderkey")).alias("PBatch"),
+            _box("o_custkey").alias("RMN"), _batch().alias("PBatch"),
             folder_id().alias("dcsid"), _inv_time().alias("InvTime"),
         ).distinct()
 
@@ -169,7 +165,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         return (
             first_lines.join(orders(), c("l_orderkey") == c("o_orderkey"))
             .join(scan(spark, base, "part"), c("l_partkey") == c("p_partkey"))
-            .select(folder_id().alias("dcsid"), _batch(c("o_orderkey")).alias("PBatch"),
+            .select(folder_id().alias("dcsid"), _batch().alias("PBatch"),
                     c("p_name").alias("Firstname"), c("p_brand").alias("Lastname"),
                     c("o_orderdate").alias("Recvdate"))
             .distinct()
@@ -184,7 +180,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         for code in range(1, 5):
             status = status.when(o % 5 == code, _STATUS_CODES[code])
         return orders().where(o % 11 != 0).select(
-            _batch(o).alias("BatchName"),
+            _batch().alias("BatchName"),
             step.cast("int").alias("WFStep"),
             location.cast("int").alias("BatchLocation"),
             status.cast("int").alias("BatchStatus"),
@@ -195,7 +191,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
     def ocr(shard: int) -> DataFrame:
         o = c("o_orderkey")
         return orders().where((o % 29 == 0) & (o % 5 == shard)).select(
-            _batch(o).alias("BatchName"),
+            _batch().alias("BatchName"),
             F.floor(c("o_totalprice") / 500).cast("int").alias("TotalImages"),
             (c("o_custkey") % 4).cast("int").alias("BatchLocation"),
         )
