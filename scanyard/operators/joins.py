@@ -145,6 +145,7 @@ def nonworking_days(df: DataFrame, calendar: DataFrame, start: str, as_of: datet
     every_day = flagged.agg(F.min("_day").alias("_first")).select(
         F.explode(F.sequence("_first", F.lit(today))).alias("_day")
     )
+    # One row per day, so a window without partitions stays small.
     so_far = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = every_day.join(flagged, "_day", "left").select(
         "_day", F.sum(F.coalesce("_n", F.lit(0))).over(so_far).alias("_before")

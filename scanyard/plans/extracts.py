@@ -157,6 +157,12 @@ def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
         box_keys(tables, line), "RMN", "left_semi")
 
 
+def uploaded_batches(tables: Tables, name: str = "PBatch") -> DataFrame:
+    """Batches with at least one uploaded document; others are dropped by the scan."""
+    uploaded = tables["document"].where(F.col("ftpstime").isNotNull())
+    return one_per_key(uploaded.withColumnRenamed("PBatch", name), name)
+
+
 def active_folders(tables: Tables, line: Line, prefix: str, folder_since: datetime | None = None,
                    batch_since: datetime | None = None) -> DataFrame:
     """Folders of the line's boxes with the class of their batch.

@@ -10,10 +10,9 @@ from scanyard.functions.dates import us_date
 from scanyard.functions.decode import inventory_stage
 from scanyard.functions.predicates import has_prefix, in_tracked_stage, not_test_batch
 from scanyard.operators.aggregates import sum_case
-from scanyard.operators.joins import flag_any
 from scanyard.operators.projection import key_when
 from scanyard.plans.config import BOX_INVENTORY, IMAGE_INVENTORY, INVENTORY_JOB, Line
-from scanyard.plans.extracts import Tables, batch_condition, box_keys
+from scanyard.plans.extracts import Tables, batch_condition, box_keys, uploaded_batches
 
 STAGES = [name for name, _, _ in fixed.INVENTORY_STAGES]
 
@@ -59,8 +58,7 @@ def box_states(tables: Tables, line: Line) -> DataFrame:
         tables["physical_batch"].join(box_keys(tables, line), "RMN", "left_semi")
         .groupBy("RMN", "PBatch").agg(F.min(F.when(own, F.col("InvTime"))).alias("_first"))
     )
-    uploaded = flag_any(tables["document"], "PBatch", F.col("ftpstime").isNotNull(),
-                        "_uploaded").where("_uploaded")
+    uploaded = uploaded_batches(tables).withColumn("_uploaded", F.col("PBatch"))
     boxes = batches.join(uploaded, "PBatch", "left").groupBy("RMN").agg(
         F.min("_first").alias("First"), F.count("PBatch").alias("Total"),
         F.count("_uploaded").alias("Uploaded"))

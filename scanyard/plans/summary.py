@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from scanyard import fixed
 from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
-from scanyard.operators.joins import flag_any, one_per_key
+from scanyard.operators.joins import one_per_key
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
 from scanyard.plans.extracts import (Tables, box_batches, known, name_condition, received,
-                                     recorded_folders, shipped_boxes)
+                                     recorded_folders, shipped_boxes, uploaded_batches)
 
 _BOX = ["RMN", "TrackingNo"]
 
@@ -91,11 +91,7 @@ def r05_box_summary(tables: Tables, line: Line = OMPF, as_of=None,
 def r09_direct_summary(tables: Tables, line: Line = OMPF_DIRECT, as_of=None) -> DataFrame:
     """Batches, exported batches and batches with an uploaded document, per box."""
     batches = box_batches(tables, line).select(*_BOX, "BatchName").distinct()
-    uploaded = (
-        flag_any(tables["document"], "PBatch", F.col("ftpstime").isNotNull(), "_any")
-        .where("_any").select(F.col("PBatch").alias("BatchName"))
-        .withColumn("_uploaded", F.col("BatchName"))
-    )
+    uploaded = uploaded_batches(tables, "BatchName").withColumn("_uploaded", F.col("BatchName"))
     return (
         batches.join(known(tables, "exported", "kbatch", "_exported"), "BatchName", "left")
         .join(uploaded, "BatchName", "left")

@@ -19,7 +19,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
-        con.sql(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+        path = Path(sf_dir) / f"{table}.parquet"
+        if path.exists():
+            files = path / "*.parquet" if path.is_dir() else path
+            con.sql(f"create view {table} as select * from '{files}'")
     return con
 
 
