@@ -63,4 +63,4 @@ def r16_completed_feed(tables: Tables, line=None, as_of=None, feed: Feed = Feed(
                               "CompleteDate": us_date(F.col("Day"))})
     full = with_constants(dated, fixed.FEED_ATTRIBUTES)
     return full.select(*[F.col(f"`{c}`") for c in fixed.FEED_HEADER]).orderBy(
-        "JobName", "BatchName", "CompleteDate")
+        "JobName", "BatchName", "CompleteDate", "Received")

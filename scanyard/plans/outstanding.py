@@ -20,6 +20,9 @@ from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, kn
                                      recorded_folders, scanned_batches, second_ocr,
                                      workflow_rows)
 
+# Reports go by batch; the further columns let the sort spread the rows of one large batch.
+_BATCH_ORDER = ["BatchName", "RMN", "TrackingNo"]
+_FOLDER_ORDER = ["BatchName", "DCSID", "RMN", "TrackingNo"]
 _STATE = ["RMN", "TrackingNo", "BatchName", "Location", "BatchStatus", "TotalImages", "Media"]
 
 
@@ -97,7 +100,7 @@ def r02_outstanding_batches(tables: Tables, line: Line = FCS, as_of=None) -> Dat
     return aged.select(
         "RMN", "TrackingNo", "BatchName", "Day", "Age", "Location", "Status", "TotalImages",
         "Media", "Paper", "Special",
-    ).distinct().toDF(*fixed.AGED_BATCH_HEADER).orderBy("BatchName")
+    ).distinct().toDF(*fixed.AGED_BATCH_HEADER).orderBy(*_BATCH_ORDER)
 
 
 def r03_outstanding_folders(tables: Tables, line: Line = FCS, as_of=None) -> DataFrame:
@@ -106,7 +109,7 @@ def r03_outstanding_folders(tables: Tables, line: Line = FCS, as_of=None) -> Dat
     return aged.select(
         "RMN", "TrackingNo", "BatchName", "Day", "Age", "DCSID", "Location", "Status",
         "TotalImages", "Media",
-    ).distinct().toDF(*fixed.AGED_FOLDER_HEADER).orderBy("BatchName")
+    ).distinct().toDF(*fixed.AGED_FOLDER_HEADER).orderBy(*_FOLDER_ORDER)
 
 
 def r04_vault_batches(tables: Tables, line: Line = VAULT, as_of=None) -> DataFrame:
@@ -132,17 +135,21 @@ def _second_job(tables: Tables, line: Line, df: DataFrame) -> DataFrame:
     )
 
 
+def _open_batch_rows(tables: Tables, line: Line) -> DataFrame:
+    return _second_job(tables, line, open_batches(tables, line)).select(
+        "RMN", "TrackingNo", "BatchName", "Day", or_dash(F.col("Location")).alias("Location"),
+        "Status", "Images", "Media", "Paper", "Special",
+    ).distinct().toDF(*fixed.OPEN_BATCH_HEADER)
+
+
 def r06_open_batches(tables: Tables, line: Line = OMPF, as_of=None,
                      placeholder: bool = False) -> DataFrame:
     """Open batches, aware of the second OCR job.
 
     With ``placeholder`` the report is text and never empty.
     """
-    rows = _second_job(tables, line, open_batches(tables, line)).select(
-        "RMN", "TrackingNo", "BatchName", "Day", or_dash(F.col("Location")).alias("Location"),
-        "Status", "Images", "Media", "Paper", "Special",
-    ).distinct().toDF(*fixed.OPEN_BATCH_HEADER)
-    return or_blank_row(rows) if placeholder else rows.orderBy("BatchName")
+    rows = _open_batch_rows(tables, line)
+    return or_blank_row(rows) if placeholder else rows.orderBy(*_BATCH_ORDER)
 
 
 def r07_open_folders(tables: Tables, line: Line = OMPF, as_of=None,
@@ -154,15 +161,15 @@ def r07_open_folders(tables: Tables, line: Line = OMPF, as_of=None,
         "RMN", "TrackingNo", "BatchName", "Day", "DCSID", "Location", "Status", "Images",
         "Media",
     ).distinct().toDF(*fixed.OPEN_FOLDER_HEADER)
-    return or_blank_row(rows) if placeholder else rows.orderBy("BatchName")
+    return or_blank_row(rows) if placeholder else rows.orderBy(*_FOLDER_ORDER)
 
 
 def r08_turnaround_pivot(tables: Tables, line: Line = OMPF, as_of=None) -> DataFrame:
     """The open batches by their six descriptive columns, with means of the numbers."""
-    rows = r06_open_batches(tables, line, as_of)
+    rows = _open_batch_rows(tables, line)
     keys = fixed.OPEN_BATCH_HEADER[:6]
     numbers = ["TotalImages(OpenBox)", "Paper(DCSID Count)", "SpecialMedia(DCSID Count)"]
-    return mean_pivot(rows, keys, numbers).orderBy("InvDate")
+    return mean_pivot(rows, keys, numbers).orderBy("InvDate", *_BATCH_ORDER)
 
 
 def r10_direct_outstanding(tables: Tables, line: Line = OMPF_DIRECT, as_of=None) -> DataFrame:
