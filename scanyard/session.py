@@ -2,33 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on run-time re-planning, with hot join keys split even at an extra shuffle."""
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    """Turn on run-time re-planning, with hot join keys split even at an extra shuffle.
+
+    What the session has set itself stays.
+    """
     # Above one advisory partition and five times the median counts as too large.
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-                   spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    for key, value in (
+            ("spark.sql.adaptive.enabled", "true"),
+            ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
+            ("spark.sql.adaptive.skewJoin.enabled", "true"),
+            ("spark.sql.adaptive.forceOptimizeSkewedJoin", "true"),
+            ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", size)):
+        if not _is_set(spark, key):
+            spark.conf.set(key, value)
     return spark
 
 
+def _is_set(spark: SparkSession, key: str) -> bool:
+    return spark._jsparkSession.sessionState().conf().contains(key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder path under the cluster's shared folder.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session
-    may fall back to a temporary folder of its own.
+    The folder is the one the session names in ``spark.checkpoint.dir``; without it, one under the
+    warehouse, which every session has.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="scanyard-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/scanyard/{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from tests.check_catalog import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.LIBRARY, entry.LIBRARY_SQL
 
 
 @pytest.fixture(scope="module")
