@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanyard.llm import decontaminate, exact_dedup, packing, token_files
+from scanyard.llm import decontaminate, exact_dedup, packing, token_files, toxicity
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -98,3 +98,13 @@ def op10_token_files(spark, sf_dir):
     return read.select(F.col("id").alias("doc_id"), "start",
                        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                         toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
