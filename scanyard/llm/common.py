@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 import pyarrow.compute
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanyard.session import shared_dir
@@ -28,11 +30,20 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and the text's UTF-8 bytes under fixed names, null texts empty.
 
     Only these two columns go on, so other columns of the input may bear any name.
     """
+    findable(docs.sparkSession)
     return docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("body"))
@@ -64,3 +75,37 @@ def open_folder(url: str) -> tuple[fs.FileSystem, str]:
     if "://" not in url:
         return fs.LocalFileSystem(), url
     return fs.FileSystem.from_uri(url)
+
+
+# Bits of the filter below: at most 2^17 rows of 64 bits are broadcast, however many keys there are.
+FILTER_BITS = 23
+
+
+def _marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    def slot(column):
+        return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+    bit = F.expr("shiftleft(1L, cast(_slot % 64 as int))")
+    words = keys.select(slot(F.col(keys.columns[0])).alias("_slot")).groupBy(
+        F.expr("_slot div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = df.withColumn("_slot", slot(key)).withColumn("_word", F.expr("_slot div 64"))
+    near = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.join(F.broadcast(words), "_word", "left").withColumn("_near", near).drop(
+        "_slot", "_word", "_bits")
+
+
+def near_keys(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows whose key is, or by a clash of hashes seems to be, among ``keys`` (one column).
+
+    The keys' hashes set bits in a map of fixed size, which is small enough to broadcast at any
+    size of ``keys``. It spares most other rows the shuffle of the join that must follow.
+    """
+    return _marked(df, key, keys).where("_near").drop("_near")
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows whose id is not among ``gone`` (one column). Rows far from its keys don't move."""
+    marked = _marked(docs, F.col(id_col), gone)
+    lost = gone.select(F.col(gone.columns[0]).alias("_gone")).hint("merge")
+    near = marked.where("_near").join(lost, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return marked.where("not _near").unionByName(near).drop("_near")

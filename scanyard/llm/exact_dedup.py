@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, lower_az
+from scanyard.llm.common import keep, lower_az, near_keys
 
 
 def content_hash(text: Column) -> Column:
@@ -44,8 +44,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("round", F.lit(0)), "rows")
 
     def heads(members: DataFrame) -> DataFrame:
-        order = F.struct(F.col("id").isNotNull().alias("known"), F.col("id").alias("id"))
-        first = (F.max if largest else F.min)(order)["id"]
+        # Nulls are left out of max; min gives way to a null.
+        first = F.max("id") if largest else F.when(
+            F.count("id") == F.count("*"), F.min("id"))
         return members.groupBy("key", "round").agg(
             first.alias("keep_id"), F.sum("copies").alias("size"),
             F.count("*").alias("distinct"))
@@ -53,9 +54,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Rows of other bytes than the row that stays go on to the next round under the same key.
     # A row is named by id, key and sha; two texts of one id and key differ in sha.
     number = 0
-    # The list of groups is read from files, so Spark knows its size before the texts move.
     several = keep(heads(rows).where("distinct > 1").select("key", "keep_id"), "several")
-    members = keep(texts.join(several, "key").select("id", "key", "text", "keep_id"), "members")
+    likely = near_keys(texts, F.col("key"), several.select("key"))
+    members = keep(likely.join(several.hint("merge"), "key").select(
+        "id", "key", "text", "keep_id"), "members")
     while True:
         head = members.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("key").agg(
             F.min("text").alias("head"))
@@ -72,7 +74,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         again = heads(rows.where(F.col("round") == number)).select("key", "keep_id")
         members = clash.join(again, "key")
 
-    found = rows.join(heads(rows), ["key", "round"])
+    # Both sides come from files, so a key with very many rows can be split.
+    found = rows.join(keep(heads(rows), "heads").hint("merge"), ["key", "round"])
     nth = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return found.withColumn("nth", nth).select(
         "id", "keep_id", F.col("size").alias("group_size"),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import pairs
+from scanyard.llm.common import findable, pairs
 from scanyard.llm.decontaminate import words
 
 MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 3000, 6000, 24
@@ -393,6 +393,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> Column:
     """A column with the score of each row's text."""
+    findable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
