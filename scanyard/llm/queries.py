@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanyard.llm import decontaminate, exact_dedup, packing, token_files, toxicity
+from scanyard.llm import decontaminate, exact_dedup, ngram_join, packing, token_files, toxicity
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -108,3 +108,29 @@ def op7_toxicity(spark, sf_dir):
     scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
                          toxicity.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("""
+    with recursive d as (
+        select doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+        from documents),
+    s as (select distinct doc_id, array_to_string(w[i:i + 3], ' ') as g
+          from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i
+                from d where len(w) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    o as (select a.doc_id as a, b.doc_id as b, count(*) as o
+          from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+    l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b
+          where 100 * o >= 85 * (x.n + y.n - o)),
+    e as (select a, b from l union select b, a from l),
+    reach as (select doc_id as a, doc_id as b from documents
+              union select reach.a, e.b from reach join e on e.a = reach.b)
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
+    from d left join n on n.doc_id = d.doc_id
+    join (select a, min(b) as component_id from reach group by a) c on c.a = d.doc_id""")
+def op1_ngram_join(spark, sf_dir):
+    """Near copies by sets of four words."""
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"), n=4, threshold=85) \
+        .withColumnRenamed("id", "doc_id").withColumn("n_shingles", F.col("n_shingles").cast("long"))
