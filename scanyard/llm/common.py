@@ -94,12 +94,15 @@ def _marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
         "_slot", "_word", "_bits")
 
 
-def near_keys(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+def near_keys(df: DataFrame, key: Column, keys: DataFrame, flag: bool = False) -> DataFrame:
     """Rows whose key is, or by a clash of hashes seems to be, among ``keys`` (one column).
 
     The keys' hashes set bits in a map of fixed size, which is small enough to broadcast at any
-    size of ``keys``. It spares most other rows the shuffle of the join that must follow.
+    size of ``keys``. It spares most other rows the shuffle of the join that must follow. With
+    ``flag``, all rows with the answer in ``_near``.
     """
+    if flag:
+        return _marked(df, key, keys)
     return _marked(df, key, keys).where("_near").drop("_near")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanyard.llm import decontaminate, exact_dedup, ngram_join, packing, token_files, toxicity
+from scanyard.llm import decontaminate, exact_dedup, ngram_join, packing, token_files, toxicity, url_rules, warc
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -134,3 +134,50 @@ def op1_ngram_join(spark, sf_dir):
     """Near copies by sets of four words."""
     return ngram_join.near_groups(table(spark, sf_dir, "documents"), n=4, threshold=85) \
         .withColumnRenamed("id", "doc_id").withColumn("n_shingles", F.col("n_shingles").cast("long"))
+
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+         ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query("""
+    with u as (
+        select page_id, case when position('://' in url) > 0
+               then substr(url, position('://' in url) + 3) else '' end as rest from pages),
+    p as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+    h as (select page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                          'abcdefghijklmnopqrstuvwxyz') as host from p),
+    rules(rule_host, rule_path, verdict) as (values
+        ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+    f as (select page_id, rule_host || rule_path as rule, verdict, row_number() over (
+              partition by page_id order by length(rule_host || rule_path) desc) as nth
+          from h join rules on starts_with(path, rule_path)
+           and (host = rule_host or ends_with(host, '.' || rule_host)))
+    select h.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+    from h left join f on f.page_id = h.page_id and nth = 1""")
+def op8_url_rules(spark, sf_dir):
+    """Verdicts of nested host and path rules."""
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, RULES)) \
+        .withColumnRenamed("id", "page_id")
+
+
+@query("""
+    with p as (select page_id, coalesce(html, '') as html from pages),
+    d as (select page_id, octet_length(encode(html)) as n, sha1(html) as sha from p),
+    g as (select sha, max(page_id) as head from d where n >= 1000 group by sha)
+    select page_id, n as payload_bytes, d.sha as payload_digest,
+           case when page_id <> head then 'revisit' else 'response' end as record_type,
+           case when page_id <> head then head end as refers_to
+    from d left join g on g.sha = d.sha and d.n >= 1000""")
+def op4_warc(spark, sf_dir):
+    """Pages written as archives and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.new_folder(pages)
+    read = warc.read(warc.write(pages, folder), folder).where("gap is null")
+    kind = pages.schema["page_id"].dataType
+    return read.select(
+        warc.page_id(F.col("record_id")).cast(kind).alias("page_id"), "payload_bytes",
+        F.col("payload_sha1").alias("payload_digest"), F.col("type").alias("record_type"),
+        warc.page_id(F.col("refers_to")).cast(kind).alias("refers_to"))
