@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanyard.llm import decontaminate, exact_dedup, ngram_join, packing, token_files, toxicity, url_rules, warc
+from scanyard.llm import (
+    decontaminate, exact_dedup, html_text, ngram_join, packing, token_files, toxicity,
+    url_rules, warc)
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -181,3 +183,11 @@ def op4_warc(spark, sf_dir):
         warc.page_id(F.col("record_id")).cast(kind).alias("page_id"), "payload_bytes",
         F.col("payload_sha1").alias("payload_digest"), F.col("type").alias("record_type"),
         warc.page_id(F.col("refers_to")).cast(kind).alias("refers_to"))
+
+
+@query()
+def op3_html_text(spark, sf_dir):
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text",
+                        F.length("text").cast("long").alias("n_chars"))
