@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanyard.llm import (
-    decontaminate, exact_dedup, html_text, ngram_join, packing, token_files, toxicity,
-    url_rules, warc)
+    decontaminate, exact_dedup, html_text, ngram_join, packing, pseudo_likelihood,
+    token_files, toxicity, url_rules, warc)
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -191,3 +191,11 @@ def op3_html_text(spark, sf_dir):
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text",
                         F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op9_lm_scoring(spark, sf_dir):
+    """Log-likelihood of every document's words, each given those on both sides."""
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs)).withColumnRenamed(
+        "id", "doc_id")
