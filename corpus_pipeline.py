@@ -1,31 +1,59 @@
-"""Documents to training sequences: the stages and how they follow on each other."""
+"""Documents to training sequences: toxicity, exact and near copies, benchmark texts, packing.
+
+Each stage takes what the one before kept, written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanyard.llm import exact_dedup, packing
-from scanyard.llm.common import keep
+from scanyard.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
+from scanyard.llm.common import keep, table
+from scanyard.session import tune
+
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below one half stay."""
+    model = toxicity.fit(docs, table(tune(spark), sf_dir, "labels"))
+    return docs.where(toxicity.score(docs, model) < 0.5)
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of equal texts stays."""
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the smallest id stays."""
+    tune(spark)
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest id stays."""
+    tune(spark)
+    return ngram_join.one_per_group(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark stay."""
+    return decontaminate.clean(docs, table(tune(spark), sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("exact_dedup", exact), ("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
 
-# The stages train, search and cut into tokens, which SQL cannot say.
+# A trained network, a search for components and a tokenizer: SQL cannot express the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -85,13 +85,13 @@ def _marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     def slot(column):
         return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
 
-    bit = F.expr("shiftleft(1L, cast(_slot % 64 as int))")
-    words = keys.select(slot(F.col(keys.columns[0])).alias("_slot")).groupBy(
-        F.expr("_slot div 64").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    marked = df.withColumn("_slot", slot(key)).withColumn("_word", F.expr("_slot div 64"))
-    near = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
-    return marked.join(F.broadcast(words), "_word", "left").withColumn("_near", near).drop(
-        "_slot", "_word", "_bits")
+    bit = F.expr("shiftleft(1L, cast(__slot % 64 as int))")
+    words = keys.select(slot(F.col(keys.columns[0])).alias("__slot")).groupBy(
+        F.expr("__slot div 64").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    marked = df.withColumn("__slot", slot(key)).withColumn("__word", F.expr("__slot div 64"))
+    near = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.join(F.broadcast(words), "__word", "left").withColumn("__near", near).drop(
+        "__slot", "__word", "__bits")
 
 
 def near_keys(df: DataFrame, key: Column, keys: DataFrame, flag: bool = False) -> DataFrame:
@@ -99,16 +99,16 @@ def near_keys(df: DataFrame, key: Column, keys: DataFrame, flag: bool = False) -
 
     The keys' hashes set bits in a map of fixed size, which is small enough to broadcast at any
     size of ``keys``. It spares most other rows the shuffle of the join that must follow. With
-    ``flag``, all rows with the answer in ``_near``.
+    ``flag``, all rows with the answer in ``__near``.
     """
     if flag:
         return _marked(df, key, keys)
-    return _marked(df, key, keys).where("_near").drop("_near")
+    return _marked(df, key, keys).where("__near").drop("__near")
 
 
 def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     """The rows whose id is not among ``gone`` (one column). Rows far from its keys don't move."""
     marked = _marked(docs, F.col(id_col), gone)
-    lost = gone.select(F.col(gone.columns[0]).alias("_gone")).hint("merge")
-    near = marked.where("_near").join(lost, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
-    return marked.where("not _near").unionByName(near).drop("_near")
+    lost = gone.select(F.col(gone.columns[0]).alias("__gone")).hint("merge")
+    near = marked.where("__near").join(lost, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    return marked.where("not __near").unionByName(near).drop("__near")

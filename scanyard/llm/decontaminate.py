@@ -18,15 +18,16 @@ benchmark leaves every document clean; columns other than id and text are not re
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, pairs, slices
+from scanyard.llm.common import findable, keep, pairs, slices
 
 WINDOW = 10
 # Benchmark text broadcast at once.
@@ -173,5 +174,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return _search(found, lists[-1], window, last=True)
 
 
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+          part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs`` without a word inside an occurrence, with all their columns."""
+    findable(docs.sparkSession)
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    for part in parts(benchmark, item_col, item_text_col, part_bytes):
+        docs = docs.where(~_hit(docs, part, window)(body))
+    return docs
+
+
+def _hit(docs: DataFrame, part: list[tuple[object, bytes]], window: int):
+    shared = docs.sparkSession.sparkContext.broadcast(part)
+
+    @F.pandas_udf("boolean")
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        search = Benchmark(shared.value, window)
+        for batch in batches:
+            yield batch.map(lambda body: bool(search.hits(words(body))[0])).astype(bool)
+
+    return hit

@@ -87,19 +87,22 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 largest: bool = False) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows that repeat id and text all stay or go here unless they share the id that stays, of which
-    one row is kept.
+    Of rows that repeat both the id and the text that stay, one row is kept.
     """
     marks = groups(docs, id_col, text_col, largest)
+    found = keep(marks.groupBy("id", "text_sha256").agg(
+        F.max("kept").alias("any"), F.count("*").alias("n")).where("not any or n > 1").select(
+        F.col("id").alias("__id"), F.col("text_sha256").alias("__sha"),
+        F.col("any").alias("__any")), "found")
+    # Only rows whose id may be in question are joined.
+    marked = near_keys(docs, F.col(id_col), found.select("__id"), flag=True)
     key = F.sha2(lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"),
                  256)
-    gone = marks.groupBy("id", "text_sha256").agg(
-        F.max("kept").alias("any"), F.count("*").alias("n")).where("not any or n > 1")
-    gone = keep(gone, "gone")
-    dropped = gone.where("not any").select(F.col("id").alias("_id"), F.col("text_sha256"))
-    repeated = gone.where("any").select(F.col("id").alias("_id"), F.col("text_sha256"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (key == F.col("text_sha256"))
-    rest = docs.join(dropped, same, "left_anti")
-    once = rest.join(repeated, same, "left_anti")
-    again = rest.join(repeated, same, "left_semi").withColumn("_key", key)
-    return once.unionByName(again.dropDuplicates([id_col, "_key"]).drop("_key"))
+    asked = marked.where("__near").withColumn("__key", key).join(
+        found.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id"))
+        & (F.col("__key") == F.col("__sha")), "left")
+    once = asked.where("__any is null")
+    again = asked.where("__any").dropDuplicates([id_col, "__key"])
+    extra = ["__near", "__key", "__id", "__sha", "__any"]
+    return marked.where("not __near").drop("__near").unionByName(
+        once.drop(*extra)).unionByName(again.drop(*extra))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, near_keys, pairs, slices
+from scanyard.llm.common import keep, near_keys, pairs, slices, without
 
 SHINGLE, THRESHOLD = 5, 80
 CELL_BITS = 20
@@ -424,3 +424,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select("id", F.col("n").alias("n_shingles"), F.coalesce(
         "component", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("node"))).alias(
         "component_id"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that bear the smallest id of their component, with all columns."""
+    found = near_groups(docs, id_col, text_col, n, threshold)
+    gone = keep(found.where("id <> component_id").select("id").distinct(), "gone")
+    return without(docs, id_col, gone)

@@ -261,11 +261,11 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         F.max("id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n"), "several")
     # Payloads that may have a copy are joined with their response; the others stay where they are.
     likely = near_keys(large, F.col("sha"), several.select("sha"), flag=True)
-    joined = likely.where("_near").join(several.hint("merge"), "sha", "left")
+    joined = likely.where("__near").join(several.hint("merge"), "sha", "left")
     alone = given.where(F.octet_length("body") < LEAST_REVISIT).unionByName(
-        likely.where("not _near").drop("_near")).withColumn(
+        likely.where("not __near").drop("__near")).withColumn(
         "head", F.lit(None).cast(given.schema["id"].dataType))
-    rows = joined.drop("_near").unionByName(alone)
+    rows = joined.drop("__near").unionByName(alone)
     refers = F.when(~F.col("id").eqNullSafe(F.col("head")), F.col("head"))
     rows = rows.select("url", "body", F.col("id").cast("string").alias("id"),
                        refers.cast("string").alias("refers"))
