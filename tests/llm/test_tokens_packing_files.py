@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+import zstandard
+
+from scanyard.llm import packing, token_files
+from scanyard.llm.common import open_folder
+from scanyard.llm.tokens import Encoder, vocabulary_path
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return Encoder(vocabulary_path(), most_words=50)
+
+
+def whole(encode, text):
+    return encode.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_cached_ids_equal_the_library(encode):
+    random.seed(3)
+    parts = [" ", "  ", "\n", "\t", " \n", "a", "the", "É", "’s", "'s", "don't", "12", "3.5", "***",
+             "日本", "　", "\x1c", "<|endoftext|>", "ha,", ".", "😀", "\r\n", "x̂", "Ⅷ"]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 14))) for _ in range(3000)]
+    for at in range(0, len(texts), 100):
+        some = texts[at:at + 100]
+        assert [list(x) + [0] for x in encode.encode(some)] == [whole(encode, t) for t in some]
+
+
+def test_differencing_deals_every_piece_once():
+    rng = random.Random(1)
+    for n in (0, 1, 2, 50, 600):
+        sizes = [rng.randint(1, 256) for _ in range(n)]
+        sets = packing.deal(sizes, 1024)
+        assert sorted(i for s in sets for i in s) == list(range(n))
+        assert all(0 < sum(sizes[i] for i in s) <= 1024 for s in sets)
+    sums = [sum(s) for s in ([sizes[i] for i in x] for x in packing.differencing(sizes, 100))]
+    assert max(sums) - min(sums) <= 30
+
+
+def test_packing_keeps_every_id(edges, nothing, encode):
+    pieces = [r.asDict() for r in packing.pack(edges, windows=2).collect()]
+    docs = sorted(((r.doc_id, r.text) for r in edges.collect()), key=repr)
+    for doc, text in set(docs):
+        ids, times = whole(encode, text), sum(d == (doc, text) for d in docs)
+        mine = [p for p in pieces if p["id"] == doc]
+        size = sum(p["length"] for p in mine)
+        assert size == len(ids) * times and {p["doc_tokens"] for p in mine} == {len(ids)}
+        for p in mine:
+            data = np.array(ids[p["start"]:p["start"] + p["length"]], "<u4").tobytes()
+            assert p["length"] and zlib.crc32(data) == p["ids_crc32"]
+    by_sequence = {}
+    for p in pieces:
+        by_sequence.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for parts in by_sequence.values():
+        ends = 0
+        for offset, length in sorted(parts):
+            assert offset == ends
+            ends += length
+        assert ends <= 1024
+    assert packing.pack(nothing).count() == 0
+
+
+def test_files_read_back_and_as_one_stream(edges, nothing, encode, tmp_path):
+    folder = f"file:{tmp_path}"
+    index = token_files.write(edges, folder)
+    back = sorted(token_files.read(index, folder).collect(), key=lambda r: r.start)
+    docs = sorted(((r.doc_id, r.text) for r in edges.collect()),
+                  key=lambda d: (d[0] is not None, d[0] or 0, (d[1] or "").encode()))
+    assert [r.id for r in back] == [d for d, _ in docs]
+    start = 0
+    for row, (_, text) in zip(back, docs):
+        assert row.start == start and list(np.frombuffer(row.ids, "<u4")) == whole(encode, text)
+        start += len(row.ids) // 4
+    files = sorted({r.file for r in index.collect()})
+    stream = b"".join(zstandard.ZstdDecompressor().stream_reader(
+        (tmp_path / f).read_bytes(), read_across_frames=True).read() for f in files)
+    assert len(stream) == 4 * start
+    one = token_files.read(index.where("id = 6"), folder).collect()
+    assert len(one) == 1 and list(np.frombuffer(one[0].ids, "<u4")) == whole(encode, docs[-3][1])
+    assert token_files.read(token_files.write(nothing, folder), folder).count() == 0
+
+
+def test_a_changed_byte_is_noticed(edges, tmp_path):
+    folder = f"file:{tmp_path}"
+    index = token_files.write(edges.where("doc_id = 6"), folder)
+    name = index.first().file
+    data = bytearray((tmp_path / name).read_bytes())
+    data[20] ^= 1
+    (tmp_path / name).write_bytes(data)
+    with pytest.raises(Exception, match="damaged|decompress|corrupt"):
+        token_files.read(index, folder).collect()
+
+
+def test_seek_table_round_trip(tmp_path):
+    frames = [(10, 40, 7), (20, 0, 9)]
+    (tmp_path / "x").write_bytes(bytes(30) + token_files.seek_table(frames))
+    store, base = open_folder(f"file:{tmp_path}")
+    entries, places = token_files.read_seek_table(store.open_input_file(f"{base}/x"))
+    assert [tuple(map(int, e)) for e in entries] == frames and list(places) == [0, 10]
