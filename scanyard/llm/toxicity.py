@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 from scanyard.llm.common import findable, pairs
 from scanyard.llm.decontaminate import words
 
-MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 3000, 6000, 24
+MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 1500, 3000, 8
 WINDOW, STRIDE = 48, 24
 WORD_BITS, GRAM_BITS = 14, 16
 WORD_SIZE, GRAM_SIZE, STATE = 6, 10, 8
 GRAMS = (3, 4, 5, 6, 7)
-EPOCHS, BATCH, RATE = 4, 256, 0.01
+EPOCHS, BATCH, RATE = 3, 384, 0.01
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,7 +161,7 @@ def _unread(kept, order, units, given, count, rows):
     """Gradients of one direction: of its inputs per distinct word and of its units."""
     size = units.shape[0]
     flow = np.zeros_like(given[0])
-    into = np.zeros((count, 3 * size), np.float32)
+    into = np.empty((rows.shape[1], len(rows), 3 * size), np.float32)
     d_units = np.zeros_like(units)
     for t, (before, z, r, inner, n) in zip(reversed(order), reversed(kept)):
         flow = flow + given[t]
@@ -172,8 +172,19 @@ def _unread(kept, order, units, given, count, rows):
         d_h = np.concatenate([d_z, d_r, d_n * r], axis=1)
         d_units += before.T @ d_h
         flow = flow * z + d_h @ units.T
-        np.add.at(into, rows[:, t], d_x)
-    return into, d_units
+        into[t] = d_x
+    return _sum_by(rows.T.ravel(), into.reshape(-1, 3 * size), count), d_units
+
+
+def _sum_by(keys, values, count):
+    """Rows of ``values`` added up by key."""
+    out = np.zeros((count, values.shape[1]), np.float32)
+    if len(keys):
+        order = np.argsort(keys, kind="stable")
+        found = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        out[found[first]] = np.add.reduceat(values[order], first)
+    return out
 
 
 def gradients(model, given: Words, rows, target, weight):
@@ -200,10 +211,9 @@ def gradients(model, given: Words, rows, target, weight):
     d_inputs = np.concatenate([ahead, back], axis=1)
     g["in"], g["in_bias"] = vectors.T @ d_inputs, d_inputs.sum(axis=0)
     d_vectors = (d_inputs @ model["in"].T)[:-1]
-    g["word"], g["gram"] = np.zeros_like(model["word"]), np.zeros_like(model["gram"])
-    np.add.at(g["word"], given.word, d_vectors[:, :WORD_SIZE])
+    g["word"] = _sum_by(given.word, d_vectors[:, :WORD_SIZE], len(model["word"]))
     d_grams = d_vectors[:, WORD_SIZE:] * given.scale[:, None]
-    np.add.at(g["gram"], given.grams, d_grams[given.owners])
+    g["gram"] = _sum_by(given.grams, d_grams[given.owners], len(model["gram"]))
     return float(loss), g
 
 
@@ -235,7 +245,7 @@ def _start(rng, texts: list[list[bytes]], labels: np.ndarray) -> dict:
     for table, (clean, toxic) in seen.items():
         odds = np.log((toxic + 0.5) / (n[1] + 1)) - np.log((clean + 0.5) / (n[0] + 1))
         error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-        sure = np.clip(np.abs(odds) - error, 0, None) * np.sign(odds)
+        sure = np.clip(np.abs(odds) - 2 * error, 0, None) * np.sign(odds)
         model[table][:, 0] += np.where(toxic + clean >= 3, sure, 0).astype(np.float32)
     return model
 
@@ -270,6 +280,13 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
     if len(set(labels.tolist())) < 2:
         return {"base": base}
     rng = np.random.default_rng(7)
+    # The layer over window scores learns from texts the network has not seen.
+    later = np.zeros(len(texts), bool)
+    for label in (0, 1):
+        some = rng.permutation(np.flatnonzero(labels == label))
+        later[some[:len(some) // 5]] = True
+    for_layer = [t for t, x in zip(texts, later) if x], labels[later], weight[later]
+    texts, labels = [t for t, x in zip(texts, later) if not x], labels[~later]
     model = _start(rng, texts, labels)
     adam = Adam(model, RATE)
     picks = []
@@ -295,10 +312,11 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
             _, g = gradients(model, given, rows, target, np.minimum(each[some], 8))
             adam.step(model, g)
     model["base"] = base
-    features = np.array([_features(s) if len(s) else [0, 0, 0, 1.0]
-                         for s in window_scores(model, texts)])
-    some = np.array([len(t) > 0 for t in texts])
-    model["text"] = _logistic(features[some], labels[some], weight[some])
+    texts, labels, weight = for_layer if len(set(for_layer[1].tolist())) == 2 else (
+        texts, labels, np.ones(len(labels)))
+    full = np.array([len(t) > 0 for t in texts], bool)
+    features = np.array([_features(s) for s in window_scores(model, texts) if len(s)])
+    model["text"] = _logistic(features, labels[full], weight[full])
     return model
 
 
