@@ -90,8 +90,11 @@ _BATCH_ROWS = f"""{CODES},
                j.BatchName as second_name, j.second_images,
                case when e.kbatch is not null then 'Exported' else coalesce(word,
                     case when w.BatchName is null then 'Pending OpenBox Import' end) end as status
-        from physical_batch p left join exported e on e.kbatch = p.PBatch
-        left join workflow w on w.BatchName = p.PBatch left join codes on code = BatchStatus
+        from (select distinct PBatch from physical_batch) p
+        left join exported e on e.kbatch = p.PBatch
+        left join (select distinct BatchName, BatchStatus, TotalImages from workflow) w
+          on w.BatchName = p.PBatch
+        left join codes on code = BatchStatus
         left join scanner s on s.BatchName = p.PBatch left join jobs j on j.BatchName = p.PBatch)"""
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from catalog import report_sql as sql
@@ -128,14 +130,23 @@ def _(roles):
 
 
 @case("a12_rollup_guaranteed_total", """
-    select 'Total' as day, cast(null as bigint) as docs
-    where not exists (select 1 from document
-        where ftpstime >= timestamp '2001-06-01' and ftpstime < timestamp '2001-06-01')""")
-def _(roles):
-    """Month to date on the first of a month: no day yet, but a total is wanted."""
-    none = roles["document"].where(dates.month_to_date(c("ftpstime"), "2001-06-01 10:00:00"))
-    days = none.groupBy(F.to_date("ftpstime").alias("day")).agg(F.count("*").alias("docs"))
-    return aggregates.rollup_total(days, "day", ["docs"], always=True)
+    with windows(until) as (values (timestamp '1998-03-01'), (timestamp '1998-03-15')),
+    days as (
+        select until, cast(ftpstime as date) as day, count(*) as docs
+        from windows join document on ftpstime >= timestamp '1998-03-01' and ftpstime < until
+        group by all)
+    select cast(until as date) as until, cast(day as varchar) as day, docs from days
+    union all
+    select cast(until as date), 'Total', (select cast(sum(docs) as bigint) from days
+                                          where days.until = windows.until) from windows""")
+def _(roles):
+    """Month to date: on the first of a month there is no day yet, but a total is wanted."""
+    def totals(as_of):
+        docs = roles["document"].where(dates.month_to_date(c("ftpstime"), as_of))
+        days = docs.groupBy(F.to_date("ftpstime").alias("day")).agg(F.count("*").alias("docs"))
+        rolled = aggregates.rollup_total(days, "day", ["docs"], always=True)
+        return rolled.select(F.lit(as_of.date()).alias("until"), "*")
+    return totals(datetime(1998, 3, 1, 10)).unionByName(totals(datetime(1998, 3, 15, 10)))
 
 
 @case("a13_group_by_expression", """
@@ -154,15 +165,17 @@ def _(roles):
 
 
 @case("a15_mean_pivot", """
-    select BatchClassName, WFStep, coalesce(cast(avg(BatchStatus) as varchar), '-') as BatchStatus,
-           coalesce(cast(avg(jobid) as varchar), '-') as jobid
-    from physical_batch join workflow on BatchName = PBatch
-    where BatchClassName is not null and BatchStatus in (0, 1, 2) and jobid = 8
-    group by BatchClassName, WFStep having count(BatchStatus) > 0""")
+    select BatchClassName, PBatch, coalesce(cast(avg(TotalImages) as varchar), '-') as TotalImages,
+           coalesce(cast(avg(case when jobid = 8 then WFStep end) as varchar), '-') as Step
+    from physical_batch left join workflow on BatchName = PBatch
+    where BatchClassName is not null
+    group by BatchClassName, PBatch having count(TotalImages) > 0""")
 def _(roles):
-    rows = roles["physical_batch"].join(roles["workflow"], c("PBatch") == c("BatchName"))
-    few = rows.where(c("BatchStatus").isin(0, 1, 2) & (c("jobid") == 8))
-    return aggregates.mean_pivot(few, ["BatchClassName", "WFStep"], ["jobid", "BatchStatus"])
+    """Batches without a step in job 8 show the filler, those without any step are left out."""
+    rows = roles["physical_batch"].join(
+        roles["workflow"], c("PBatch") == c("BatchName"), "left").withColumn(
+        "Step", F.when(c("jobid") == 8, c("WFStep")))
+    return aggregates.mean_pivot(rows, ["BatchClassName", "PBatch"], ["TotalImages", "Step"])
 
 
 @case("a16_distinct_after_grouping", """
@@ -198,13 +211,18 @@ def _(roles):
     with days as (
         select cast(ftpstime as date) as day, count(*) as docs,
                cast(sum(NumPages) as bigint) as pages
-        from document where ftpstime is not null group by day)
-    select *, docs = (select max(docs) from days) as "docs is max",
-           pages = (select max(pages) from days) as "pages is max"
-    from days""")
-def _(roles):
+        from document where ftpstime is not null group by day),
+    rolled as (
+        select cast(day as varchar) as day, docs, pages from days
+        union all select 'Total', cast(sum(docs) as bigint), cast(sum(pages) as bigint) from days)
+    select *, docs = (select max(docs) from rolled) as "docs is max",
+           pages = (select max(pages) from rolled) as "pages is max", day = 'Total' as "is total"
+    from rolled""")
+def _(roles):
+    """As the reports do it, the total row is among the rows compared."""
     days = roles["document"].where("ftpstime is not null").groupBy(
         F.to_date("ftpstime").alias("day")).agg(
         F.count("*").alias("docs"), F.sum("NumPages").alias("pages"))
-    return aggregates.flag_max(days, ["docs", "pages"])
+    rolled = aggregates.rollup_total(days, "day", ["docs", "pages"])
+    return aggregates.flag_max(rolled, ["docs", "pages"], "day")
 

@@ -29,7 +29,8 @@ def _(roles):
       on d.PBatch = p.PBatch and d.ftpstime is not null""")
 def _(roles):
     uploaded = roles["document"].where("ftpstime is not null").select("PBatch", "dcsid").distinct()
-    return joins.left_join_children(roles["physical_batch"].select("PBatch"), uploaded, "PBatch")
+    batches = roles["physical_batch"].select("PBatch")
+    return joins.left_join_children(batches.distinct(), uploaded, "PBatch", batches)
 
 
 @case("j02_inner_join", """
@@ -110,8 +111,9 @@ def _(roles):
 
 
 @case("j08_outstanding", """
-    select distinct p.PBatch from physical_batch p left join document d on d.PBatch = p.PBatch
-    where d.ftpstime is null""")
+    select p.PBatch from physical_batch p
+    where not exists (select 1 from document d where d.PBatch = p.PBatch)
+       or exists (select 1 from document d where d.PBatch = p.PBatch and d.ftpstime is null)""")
 def _(roles):
     return joins.outstanding(roles["physical_batch"].select("PBatch"), roles["document"],
                              "PBatch", c("ftpstime").isNull())

@@ -57,6 +57,9 @@ def records(columns: str, where: str, box: str | None) -> str:
 FCS_MASTER = master(FCS_BOX, "p.PBatch like '02%'")
 VAULT_MASTER = master(VAULT_BOX, "p.PBatch like '01%'")
 OMPF_MASTER = master(OMPF_BOX, NOT_TEST.format(c="p.PBatch"), "audit", "batchname")
+FIRST_BOX = "claimtype = 'OMPF'"
+FIRST_MASTER = master(FIRST_BOX, "true")
+FIRST_RECORDS = records("RMN, PBatch, dcsid, ImageID", f"ImageDateTime > {START}", FIRST_BOX)
 FCS_RECORDS = records("RMN, PBatch, dcsid", f"ImageDateTime > {START} and PBatch like '02%'",
                       FCS_BOX)
 VAULT_RECORDS = records("PBatch, dcsid", f"ImageDateTime > {START} and PBatch like '01%'", None)
@@ -175,6 +178,33 @@ OPEN_FOLDERS = f"""with {open_rows(OMPF_MASTER, OMPF_RECORDS, True)}, {_SECOND}
     from open_rows o left join second_ocr two on two.BatchName = o.BatchName
     left join (select distinct dcsid from records) r on r.dcsid = o.dcsid"""
 
+MASTER_FOLDERS = OPEN_FOLDERS.replace('r.dcsid as "DCSID"', 'o.dcsid as "DCSID"').replace(
+    "left join (select distinct dcsid from records) r on r.dcsid = o.dcsid", "")
+
+
+def open_first(folders: bool) -> str:
+    """The first generation: no receipt day, no second job, folders as the master has them."""
+    keep = 'o.dcsid as "DCSID",' if folders else ""
+    extra = "" if folders else (
+        ', paper as "Paper(DCSID Count)", special as "SpecialMedia(DCSID Count)"')
+    return f"""with {open_rows(FIRST_MASTER, FIRST_RECORDS, folders)}
+    select distinct RMN, TrackingNo, o.BatchName, {keep} stage as "OpenBoxBatchLocation",
+           case when status = 'Exported' then 'Pending Upload'
+                when status = 'Pending OpenBox Import' and o.BatchName not in
+                     (select BatchName from scanner) then 'Pending IBML Scan'
+                else status end as "BatchStatus",
+           TotalImages as "TotalImages(OpenBox)", media as "SpecialMedia/Paper"{extra}
+    from open_rows o"""
+
+
+def or_blank(sql_text: str, columns: list[str]) -> str:
+    """The rows as text, or one blank row."""
+    names = ", ".join(f'cast("{c}" as varchar) as "{c}"' for c in columns)
+    blanks = ", ".join(f"'' as \"{c}\"" for c in columns)
+    return f"""with report as ({sql_text}) select {names} from report
+    union all select {blanks} where not exists (select 1 from report)"""
+
+
 TURNAROUND_PIVOT = f"""with report as ({OPEN_BATCHES})
     select RMN, TrackingNo, BatchName, "InvDate", "OpenBoxBatchLocation", "BatchStatus",
            coalesce(cast(avg("Paper(DCSID Count)") as varchar), '-') as "Paper(DCSID Count)",
@@ -323,7 +353,8 @@ BOX_INVENTORY = f"""with first_day as (
     from states group by 1"""
 
 VERIFICATION = """
-    select distinct p.RMN, w.BatchName, w.TotalImages, 'Verification/BVTI' as TSModule,
+    select distinct p.RMN, w.BatchName, w.TotalImages as "TotalImages(OpenBox)",
+           'Verification/BVTI' as TSModule,
            case BatchStatus when 0 then 'Error' when 1 then 'Ready' when 2 then 'In Process'
                 when 4 then 'Suspended' when 8 then 'Auto-Fail' end as Status, c.boxSource
     from workflow w join physical_batch p on p.PBatch = w.BatchName

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from catalog import report_sql as sql
 from catalog.registry import AS_OF, START, case, table_case
+from scanyard import fixed
 from scanyard.plans import feed, inventory, monthly, outstanding, queue, review, summary
 from scanyard.plans.config import (BOX_INVENTORY, FCS, IMAGE_INVENTORY, OMPF, OMPF_DIRECT,
-                                   VAULT, Feed)
+                                   OMPF_FIRST, VAULT, Feed)
 from scanyard.session import shared_dir
-from scanyard.sources.tables import materialize, scan
+from scanyard.sources.tables import materialize, own_name, scan
 
 FCS_T, VAULT_T, OMPF_T = (line.starting(START) for line in (FCS, VAULT, OMPF))
-DIRECT_T = OMPF_DIRECT.starting(START)
+DIRECT_T, FIRST_T = OMPF_DIRECT.starting(START), OMPF_FIRST.starting(START)
 FEED_T = Feed(START, START, datetime(2001, 5, 1), datetime(2001, 6, 1))
 
 
@@ -72,6 +74,31 @@ def _(roles):
     return outstanding.r07_open_folders(roles, OMPF_T)
 
 
+@case("r05_first", sql.plain_summary(sql.FIRST_MASTER, sql.FIRST_RECORDS))
+def _(roles):
+    return summary.r05_box_summary(roles, FIRST_T)
+
+
+@case("r06_first", sql.open_first(folders=False))
+def _(roles):
+    return outstanding.r06_open_batches(roles, FIRST_T)
+
+
+@case("r07_first", sql.open_first(folders=True))
+def _(roles):
+    return outstanding.r07_open_folders(roles, FIRST_T)
+
+
+@case("r07_master_folder", sql.MASTER_FOLDERS)
+def _(roles):
+    return outstanding.r07_open_folders(roles, replace(OMPF_T, recorded_folder=False))
+
+
+@case("r06_placeholder", sql.or_blank(sql.OPEN_BATCHES, list(fixed.OPEN_BATCH_HEADER)))
+def _(roles):
+    return outstanding.r06_open_batches(roles, OMPF_T, placeholder=True)
+
+
 @case("r08_turnaround_pivot", sql.TURNAROUND_PIVOT)
 def _(roles):
     return outstanding.r08_turnaround_pivot(roles, OMPF_T)
@@ -92,6 +119,11 @@ def _(roles):
     return monthly.r11_monthly_totals(roles, as_of=AS_OF)
 
 
+@case("r11_guaranteed_total", sql.monthly("2001-05-01", "2001-06-01"))
+def _(roles):
+    return monthly.r11_monthly_totals(roles, as_of=AS_OF, previous_month=True, always_total=True)
+
+
 @case("r11_previous_month", sql.monthly("2001-05-01", "2001-06-01"))
 def _(roles):
     return monthly.r11_monthly_totals(roles, as_of=AS_OF, previous_month=True)
@@ -122,11 +154,34 @@ def _(roles):
     return inventory.r14_box_inventory(roles, BOX_INVENTORY.starting(START))
 
 
+@case("r14_box_inventory_no_tests", sql.BOX_INVENTORY.replace(
+    "PBatch like '02%'", "PBatch like '02%' and " + sql.NOT_TEST.format(c="PBatch")))
+def _(roles):
+    return inventory.r14_box_inventory(
+        roles, replace(BOX_INVENTORY.starting(START), skip_test_batches=True))
+
+
 @case("r15_verification_queue", sql.VERIFICATION)
 def _(roles):
     return queue.r15_verification_queue(roles)
 
 
+_QUEUE = ["RMN", "BatchName", "TotalImages(OpenBox)", "TSModule", "Status", "boxSource"]
+
+
+@case("r15_placeholder", f"""
+    with waiting as ({sql.or_blank(sql.VERIFICATION, _QUEUE)}),
+    nothing as ({sql.or_blank(sql.VERIFICATION + " and w.BatchName = 'none'", _QUEUE)})
+    select 'waiting' as part, * from waiting union all select 'nothing', * from nothing""")
+def _(roles):
+    """A queue with rows and an empty one."""
+    none = dict(roles) | {"workflow": roles["workflow"].where("BatchName = 'none'")}
+    parts = {"waiting": roles, "nothing": none}
+    first, second = (queue.r15_verification_queue(t, placeholder=True).select(
+        F.lit(name).alias("part"), "*") for name, t in parts.items())
+    return first.unionByName(second)
+
+
 @case("r16_completed_feed", sql.feed())
 def _(roles):
     return feed.r16_completed_feed(roles, feed=FEED_T)
@@ -151,7 +206,7 @@ def _(roles):
 def _(roles):
     """Written as a table and read back, as the report does."""
     df = review.r18_cleared_review(roles, as_of=AS_OF)
-    return materialize(df, "cleared_review", shared_dir(df.sparkSession))
+    return materialize(df, own_name("cleared_review"), shared_dir(df.sparkSession))
 
 
 @case("r18_cleared_review_unmatched_exception", sql.cleared_review(unmatched=True))

@@ -12,6 +12,8 @@ _BATCH = (
 )
 BOX = _BOX.format(k="o_custkey")
 BATCH = _BATCH.format(o="o_orderkey")
+_EARLIER = _BATCH.format(o="(o_orderkey - 8)")
+_NEXT_BOX = _BOX.format(k="(o_custkey + 1)")
 _FOLDER = "cast(l_orderkey as varchar) || '-' || cast(l_linenumber % 3 as varchar)"
 _RECEIVED = "o_orderdate + (o_orderkey % 24) * interval '1' hour"
 _LINES = "lineitem join orders on l_orderkey = o_orderkey"
@@ -25,13 +27,15 @@ def _ocr(rest: int) -> str:
     return (
         f"select {BATCH} as BatchName, cast(floor(o_totalprice / 500) as integer) as TotalImages, "
         "cast(o_custkey % 4 as integer) as BatchLocation from orders "
-        f"where o_orderkey % 29 = 0 and o_orderkey % 5 = {rest}"
+        f"where o_orderkey % 29 = 0 and (o_orderkey % 5 = {rest} "
+        f"or o_orderkey % 2 = 0 and (o_orderkey + 1) % 5 = {rest})"
     )
 
 
 ROLE_SQL = {
     "check_in": f"""
-        select {_BOX.format(k='c_custkey')} as RMN,
+        with boxes as (
+        select c_custkey, {_BOX.format(k='c_custkey')} as RMN,
                case when c_custkey % 17 = 0 then null when c_custkey % 19 = 0 then ''
                     when c_custkey % 23 = 0 then '1234DUMMY1234' else c_name end as trackingno,
                case c_mktsegment when 'BUILDING' then 'OMPF' when 'MACHINERY' then null
@@ -40,15 +44,28 @@ ROLE_SQL = {
                case when c_nationkey % 3 = 0 then 'other' else 'ro' end as boxSource,
                cast(date '1995-01-01' + cast(c_custkey % 1000 as integer) as timestamp)
                    as insertdate
-        from customer""",
+        from customer)
+        select * exclude (c_custkey) from boxes
+        union all select RMN, trackingno, case when claimtype = 'OMPF' then 'AUTOMOBILE'
+                         else 'OMPF' end, boxOrigin, boxSource, insertdate
+        from boxes where c_custkey % 43 = 0""",
     "physical_batch": f"""
-        select {BATCH} as PBatch, {BOX} as RMN,
+        with batches as (
+        select o_orderkey, o_custkey, {BATCH} as PBatch, {BOX} as RMN,
                case o_orderpriority when '1-URGENT' then 'SM' when '5-LOW' then null
                     else 'P' end as BatchClassName,
                {_RECEIVED} as InvTime
-        from orders""",
+        from orders)
+        select PBatch, RMN, BatchClassName, InvTime from batches
+        union all select PBatch, {_NEXT_BOX}, BatchClassName, InvTime from batches
+        where o_orderkey % 41 = 0
+        union all select PBatch, RMN, BatchClassName, InvTime + interval '3' day from batches
+        where o_orderkey % 47 = 0
+        union all select PBatch || 'N', RMN, BatchClassName, InvTime from batches
+        where o_orderkey % 59 = 0""",
     "document": f"""
-        select {BOX} as RMN, {BATCH} as PBatch, {_FOLDER} as dcsid,
+        with documents as (
+        select o_orderkey, o_custkey, {BOX} as RMN, {BATCH} as PBatch, {_FOLDER} as dcsid,
                cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as ImageID,
                l_returnflag as docidDoctype,
                ' ' || cast(l_partkey as varchar) || '  ' as FileNumber,
@@ -56,18 +73,29 @@ ROLE_SQL = {
                cast(l_quantity as integer) as NumPages,
                case when l_linestatus = 'F' then l_shipdate end as ftpstime,
                l_shipdate - interval '1' day as ImageDateTime
-        from {_LINES}""",
+        from {_LINES})
+        select * exclude (o_orderkey, o_custkey) from documents
+        union all select * exclude (o_orderkey, o_custkey) replace (
+            {_EARLIER} as PBatch, SysKey + 10000000000 as SysKey)
+        from documents where o_orderkey % 37 = 0
+        union all select * exclude (o_orderkey, o_custkey) replace (
+            {_NEXT_BOX} as RMN, SysKey + 20000000000 as SysKey)
+        from documents where o_orderkey % 39 = 0""",
     "folder_map": f"""
-        select distinct {BOX} as RMN, {BATCH} as PBatch, {_FOLDER} as dcsid,
-               {_RECEIVED} as InvTime
-        from {_LINES}""",
+        select {BOX} as RMN, {BATCH} as PBatch, {_FOLDER} as dcsid, {_RECEIVED} as InvTime
+        from {_LINES}
+        union select {BOX}, {_EARLIER}, {_FOLDER}, {_RECEIVED}
+        from {_LINES} where o_orderkey % 37 = 0
+        union select {BOX}, {BATCH} || 'N', cast(o_orderkey as varchar) || '-9', {_RECEIVED}
+        from orders where o_orderkey % 59 = 0""",
     "customer_data": f"""
-        select distinct {_FOLDER} as dcsid, {BATCH} as PBatch, p_name as Firstname,
-               p_brand as Lastname, o_orderdate as Recvdate
-        from {_LINES} join part on l_partkey = p_partkey
-        where l_linenumber <= 3""",
+        select distinct {_FOLDER} || case when o_orderkey % 7 = 0 then 'x' else '' end as dcsid,
+               {BATCH} as PBatch, p_name as Firstname, p_brand as Lastname,
+               o_orderdate as Recvdate
+        from {_LINES} join part on l_partkey = p_partkey""",
     "workflow": f"""
-        select {BATCH} as BatchName, cast(o_orderkey % 13 + 1 as integer) as WFStep,
+        with steps as (
+        select o_orderkey, {BATCH} as BatchName, cast(o_orderkey % 13 + 1 as integer) as WFStep,
                case o_orderkey % 13 + 1
                     when 1 then 1 when 2 then 2 when 3 then 16 when 4 then 2 when 5 then 4
                     when 6 then 128 when 7 then 8 when 8 then 128 when 9 then 128
@@ -77,7 +105,10 @@ ROLE_SQL = {
                     else 8 end as BatchStatus,
                cast(floor(o_totalprice / 1000) as integer) as TotalImages,
                case when o_custkey % 3 = 0 then 9 else 8 end as jobid
-        from orders where o_orderkey % 11 <> 0""",
+        from orders where o_orderkey % 11 <> 0)
+        select * exclude (o_orderkey) from steps
+        union all select * exclude (o_orderkey) replace (BatchLocation + 512 as BatchLocation)
+        from steps where o_orderkey % 53 = 0 and WFStep <= 11""",
     "scanner": _orders_where("o_orderkey % 22 = 0", "BatchName"),
     "exported": _orders_where("o_orderstatus = 'F'", "kbatch"),
     "scanner_stats": _orders_where("o_orderstatus in ('F', 'P')", "kbatch"),

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.registry import AS_OF, case, table_case
+from catalog import report_sql as sql
+from catalog.registry import AS_OF, START, case, table_case
+from scanyard import fixed
 from scanyard.functions.dates import iso_date, us_date
 from scanyard.operators.projection import or_blank_row
+from scanyard.plans.config import FCS, OMPF, VAULT
+from scanyard.plans.report_set import report_set
 from scanyard.session import shared_dir
 from scanyard.sources import files
 from scanyard.sources.roles import load_roles, store_roles
-from scanyard.sources.tables import lookup, materialize, scan, stage
+from scanyard.sources.schemas import ROLE_SCHEMAS
+from scanyard.sources.tables import lookup, materialize, own_name, scan, stage
 
 
 @table_case("s01_scan", "select o_orderkey, o_custkey, o_orderstatus from orders")
@@ -18,16 +26,22 @@ def _(spark, sf_dir):
     return scan(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-@case("s01_stored_roles", """
-    select RMN, PBatch, count(*) as documents, count(ftpstime) as uploaded
-    from document group by RMN, PBatch""")
+_FIRST_KEY = {role: schema.split()[0] for role, schema in ROLE_SCHEMAS.items()}
+
+
+@case("s01_stored_roles", " union all ".join(
+    f"select '{role}' as role, count(*) as n, count({key}) as keys, "
+    f"count(distinct {key}) as different from {role}" for role, key in _FIRST_KEY.items()))
 def _(roles):
-    """Role tables written in their stored form and read back."""
+    """Every role table written in its stored form and read back."""
     spark = roles["document"].sparkSession
     base = shared_dir(spark)
-    store_roles({"document": roles["document"]}, base)
-    return load_roles(spark, base, clean=True)["document"].groupBy("RMN", "PBatch").agg(
-        F.count("*").alias("documents"), F.count("ftpstime").alias("uploaded"))
+    store_roles(roles, base)
+    stored = load_roles(spark, base, clean=True)
+    counts = [stored[role].agg(
+        F.lit(role).alias("role"), F.count("*").alias("n"), F.count(key).alias("keys"),
+        F.count_distinct(key).alias("different")) for role, key in _FIRST_KEY.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @case("s02_federated_scan", """
@@ -67,7 +81,7 @@ def _(roles):
 @case("s06_materialize", "select RMN, PBatch, BatchClassName from physical_batch")
 def _(roles):
     df = roles["physical_batch"].select("RMN", "PBatch", "BatchClassName")
-    return materialize(df, "materialized_batches", shared_dir(df.sparkSession))
+    return materialize(df, own_name("materialized_batches"), shared_dir(df.sparkSession))
 
 
 _CSV_SCHEMA = "BatchName string, WFStep int, TotalImages int"
@@ -109,6 +123,37 @@ def _(roles):
     return counts[0].unionByName(counts[1])
 
 
+_SETS = {
+    "FCS": (sql.claims_summary(sql.FCS_MASTER, sql.FCS_RECORDS),
+            sql.aged(sql.FCS_MASTER, sql.FCS_RECORDS, folders=False),
+            sql.aged(sql.FCS_MASTER, sql.FCS_RECORDS, folders=True)),
+    "Vault": (sql.claims_summary(sql.VAULT_MASTER, sql.VAULT_RECORDS, "batches <> uploaded_batches"),
+              sql.aged(sql.VAULT_MASTER, sql.VAULT_RECORDS, folders=False),
+              sql.aged(sql.VAULT_MASTER, sql.VAULT_RECORDS, folders=True)),
+    "OMPF": (sql.plain_summary(sql.OMPF_MASTER, sql.OMPF_RECORDS), sql.OPEN_BATCHES,
+             sql.OPEN_FOLDERS),
+}
+
+
+@case("s09_report_sets", " union all ".join(
+    f"select '{line}' as line, '{sheet}' as sheet, count(*) as n, count(distinct RMN) as boxes "
+    f"from ({text})"
+    for line, texts in _SETS.items()
+    for sheet, text in zip((f"{line} Summary", *fixed.OUTSTANDING_SHEETS), texts)))
+def _(roles):
+    """The three sheets of a line, written under a run-stamped name and read back."""
+    spark = roles["check_in"].sparkSession
+    counts = []
+    for line in (FCS, VAULT, OMPF):
+        sheets = report_set(roles, line.starting(START), AS_OF)
+        base = files.run_path(f"{shared_dir(spark)}/{line.name}", AS_OF)
+        for sheet, path in files.write_report(sheets, base).items():
+            counts.append(files.read_csv(spark, path).agg(
+                F.lit(line.name).alias("line"), F.lit(sheet).alias("sheet"),
+                F.count("*").alias("n"), F.count_distinct("RMN").alias("boxes")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @case("s10_compressed_csv", _CSV_SQL)
 def _(roles):
     df = roles["workflow"].select("BatchName", "WFStep", "TotalImages")

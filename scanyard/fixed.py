@@ -92,6 +92,8 @@ BOXES_DONE = "RMNs Uploaded by GDIT"
 FOLDERS_DONE = "DCSIDs Uploaded by GDIT"
 
 # Report headers, in print order.
+# Sheet names of a line's report set; the first is its name and "Summary".
+OUTSTANDING_SHEETS = ("Outstanding Batches", "Outstanding DCSIDs")
 BOX_SUMMARY_HEADER = (
     "RMN", "TrackingNo", "TotalBatches", "TotalDCSIDs", "InProgress(Batches)",
     "Exported(Batches)", "Uploaded(Batches)", "Uploaded(DCSIDs)",

@@ -33,26 +33,27 @@ def count_distinct_through(parents: DataFrame, children: DataFrame, keys: Sequen
     """Distinct children per parent, where ``via`` links the two many-to-many.
 
     A child that occurs under one link only is counted per link first, so the join carries one
-    row per link however many children or parents it has. Only children found under several
-    links are joined one by one, because there the same child may reach a parent twice.
+    row per link however many children or parents it has. Children found under several links
+    may reach a parent twice. Those with the same set of links reach the same parents, so one of
+    them stands for all; sets are told apart by 128 bits of their links' hashes.
     With ``kind``, children of several kinds are counted apart in one go.
     Parents without children are not listed.
     """
     kinds = [kind] if kind else []
-    one = F.lit(1).cast("bigint")
     links = parents.select(*keys, via).where(F.col(via).isNotNull()).distinct()
     pairs = children.select(*kinds, via, child).where(
         F.col(via).isNotNull() & F.col(child).isNotNull()
     ).distinct()
-    several = one_per_key(pairs, [*kinds, child], F.count("*").alias("_links")).where(
-        F.col("_links") > 1)
-    marked = pairs.join(several, [*kinds, child], "left")
-    single = marked.where(F.col("_links").isNull()).groupBy(*kinds, via).agg(
-        F.count("*").alias("_n"))
-    shared = marked.where(F.col("_links").isNotNull())
+    hashes = [F.bit_xor(F.xxhash64(via, F.lit(seed))).alias(f"_set{seed}") for seed in (1, 2)]
+    each = pairs.groupBy(*kinds, child).agg(
+        F.count("*").alias("_links"), F.min(via).alias(via), *hashes)
+    single = each.where("_links = 1").groupBy(*kinds, via).agg(F.count("*").alias("_n"))
+    sets = one_per_key(each.where("_links > 1"), [*kinds, "_links", "_set1", "_set2"],
+                       F.min(child).alias(child), F.count("*").alias("_n"))
+    shared = pairs.join(sets.select(*kinds, child, "_n"), [*kinds, child])
     once = links.join(single, via).select(*keys, *kinds, "_n")
-    many = links.join(shared, via).select(*keys, *kinds, child).distinct().select(
-        *keys, *kinds, one.alias("_n"))
+    many = links.join(shared, via).select(*keys, *kinds, child, "_n").distinct().select(
+        *keys, *kinds, "_n")
     return once.unionByName(many).groupBy(*keys, *kinds).agg(F.sum("_n").alias(name))
 
 
@@ -94,11 +95,17 @@ def mean_pivot(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     )
 
 
-def flag_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mark, per column, the rows that hold the column's maximum."""
+def flag_max(df: DataFrame, cols: Sequence[str], key: str | None = None,
+             total: str = "Total") -> DataFrame:
+    """Mark, per column, the rows that hold the column's maximum; all rows are compared.
+
+    With ``key``, the total row is marked too, in ``is total``.
+    """
     flags = {
         f"{c} is max": F.col(f"`{c}`") == df.agg(F.max(f"`{c}`")).scalar() for c in cols
     }
+    if key is not None:
+        flags["is total"] = F.col(key).eqNullSafe(total)
     return df.withColumns(flags)
 
 

@@ -57,17 +57,23 @@ def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Da
     return left.join(right, _keys(on), "inner")
 
 
-def left_join_children(parents: DataFrame, children: DataFrame,
-                       on: str | Sequence[str]) -> DataFrame:
+def left_join_children(parents: DataFrame, children: DataFrame, on: str,
+                       every: DataFrame) -> DataFrame:
     """Left join for a right side with very many rows under one key.
 
-    A left outer join cannot split the right side of a hot key. The inner part can be split on
-    either side, and the parents without children come from an anti join on distinct keys.
+    A left outer join cannot split the right side of a hot key; an inner join can be split on
+    either side. So every key without children gets one child of NULLs first. ``every`` names
+    the keys parents may have, in one column, straight from a narrow table, so that the parents
+    themselves are planned once.
     """
-    keys = _keys(on)
-    matched = fresh_join(parents, children, keys, "inner")
-    alone = parents.join(one_per_key(children, keys), keys, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    names = one_per_key(every.toDF(on), on)
+    alone = names.join(one_per_key(children.select(on), on), on, "left_anti")
+    known = children.unionByName(alone, allowMissingColumns=True).withColumnRenamed(on, "_child")
+    # NULL keys have no children either, and their parents stay.
+    spread = (F.xxhash64(on).alias("_spread"), F.xxhash64("_child").alias("_spread_child"))
+    left, right = parents.select("*", spread[0]), known.select("*", spread[1])
+    same = F.col(on).eqNullSafe(F.col("_child")) & (F.col("_spread") == F.col("_spread_child"))
+    return left.join(right, same).drop("_child", "_spread", "_spread_child")
 
 
 def where_exists(left: DataFrame, right: DataFrame, on: str | Sequence[str],
@@ -98,12 +104,13 @@ def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None =
     An empty list keeps every row, a NULL in the list keeps none, and a NULL key is kept only
     by an empty list.
     """
-    values = right.select(F.col(right_col or col).alias(col))
-    size = values.agg(F.count("*")).scalar()
-    nulls = values.agg(F.count_if(F.col(col).isNull())).scalar()
-    listed = one_per_key(values.where(F.col(col).isNotNull()), col)
+    listed = one_per_key(right.select(F.col(right_col or col).alias(col)), col)
+    # Size and NULLs of the list, read from its distinct values in one go.
+    found = listed.agg(F.struct(
+        F.count("*").alias("size"), F.count_if(F.col(col).isNull()).alias("nulls"))).scalar()
     rest = left.join(listed, col, "left_anti")
-    return rest.where((size == 0) | ((nulls == 0) & F.col(col).isNotNull())).select(*left.columns)
+    return rest.where((found["size"] == 0) | (
+        (found["nulls"] == 0) & F.col(col).isNotNull())).select(*left.columns)
 
 
 def outstanding(left: DataFrame, right: DataFrame, on: str | Sequence[str],
@@ -127,18 +134,26 @@ def rejoin(left: DataFrame, right: DataFrame, child: str) -> DataFrame:
     return joined.withColumn(child, F.col("_found")).select(*left.columns)
 
 
+def nonworking_rows(calendar: DataFrame) -> DataFrame:
+    """Weekend days and named days."""
+    return calendar.where(is_nonworking(F.col("DayOfWeekName"), F.col("CalendarDateDescription")))
+
+
 def nonworking_days(df: DataFrame, calendar: DataFrame, start: str, as_of: datetime,
-                    name: str = "nonworking") -> DataFrame:
+                    name: str = "nonworking", since: datetime | None = None) -> DataFrame:
     """Add the number of non-working calendar rows from ``start`` up to ``as_of``.
 
+    ``since`` says that no row starts before that day, so earlier days need not be counted.
+
     A calendar row counts when its midnight lies in the closed range. Instead of comparing
     every row with every day, the calendar becomes a running count per day, read once at
     ``as_of`` and once, by an equality join, at the day before the range.
     """
     today = day_start(as_of).date()
+    if since is not None:
+        calendar = calendar.where(F.col("calendardate") >= F.lit(day_start(since, -1).date()))
     flagged = (
-        calendar.where(is_nonworking(F.col("DayOfWeekName"), F.col("CalendarDateDescription")))
-        .where(F.col("calendardate") <= F.lit(today))
+        nonworking_rows(calendar).where(F.col("calendardate") <= F.lit(today))
         .groupBy(F.to_date("calendardate").alias("_day"))
         .agg(F.count("*").alias("_n"))
     )

@@ -26,9 +26,16 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def or_blank_row(df: DataFrame) -> DataFrame:
-    """The frame as text, or one row of blanks under the same header when it has no rows."""
-    text = as_text(df)
-    spark = df.sparkSession
-    blank = spark.range(1).select(*[F.lit("").alias(c) for c in df.columns])
-    return text.unionByName(blank.where(~df.select(F.lit(1)).exists()))
+def or_blank_row(df: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """The frame as text, or one row of blanks under the same header when it has no rows.
+
+    The rows are kept while they are tested, so the frame is computed once. ``order`` sorts them
+    by their own values, not by their text.
+    """
+    by = {f"_by{n}": F.col(f"`{c}`") for n, c in enumerate(order)}
+    rows = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns],
+                     *[c.alias(n) for n, c in by.items()]).persist()
+    blank = df.sparkSession.range(1).select(*[F.lit("").alias(c) for c in df.columns])
+    both = rows.unionByName(blank.where(~rows.select(F.lit(1)).exists()),
+                            allowMissingColumns=True)
+    return (both.orderBy(*by) if by else both).drop(*by)

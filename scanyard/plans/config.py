@@ -35,6 +35,10 @@ class Line:
     # lookups and labels
     scanned_role: str = "scanner_stats"
     not_scanned: str = fixed.PENDING_SCANNER
+    # open batches and folders: the second OCR job, the receipt day, whose folder number
+    second_job: bool = True
+    show_day: bool = True
+    recorded_folder: bool = True
 
     def starting(self, start: datetime) -> Line:
         """The same line with every start date that is set moved to ``start``."""
@@ -57,6 +61,7 @@ OMPF_FIRST = Line(
     name="OMPF, first generation", claim="OMPF",
     received_since=datetime(2020, 6, 1),
     imaged_since=datetime(2020, 6, 1), imaged_since_inclusive=False, image_grain=True,
+    second_job=False, show_day=False, recorded_folder=False,
 )
 OMPF = Line(
     name="OMPF", claim="OMPF", inserted_since=datetime(2021, 6, 10),

@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanyard.functions.dates import between, month_start, since
-from scanyard.functions.predicates import (has_prefix, is_nonworking, not_test_batch,
-                                           valid_tracking)
-from scanyard.operators.joins import left_join_children, one_per_key
+from scanyard.functions.predicates import has_prefix, not_test_batch, valid_tracking
+from scanyard.operators.joins import left_join_children, nonworking_rows, one_per_key
 from scanyard.operators.sets import union_shards
 from scanyard.plans.config import Line
 
@@ -32,9 +31,9 @@ def box_condition(line: Line) -> Column:
     if line.not_claim:
         conditions.append(c("claimtype") != line.not_claim)
     if line.box_origin:
-        conditions.append(c("boxOrigin") == line.box_origin)
+        conditions.append(F.upper(c("boxOrigin")) == line.box_origin.upper())
     if line.box_source:
-        conditions.append(c("boxSource") == line.box_source)
+        conditions.append(F.upper(c("boxSource")) == line.box_source.upper())
     if line.box_prefix:
         conditions.append(has_prefix(c("RMN"), line.box_prefix))
     if line.inserted_since:
@@ -100,7 +99,8 @@ def intake_master(tables: Tables, line: Line) -> DataFrame:
                "ScannedBatchName", "InvTime", "ExportedBatchName"]
     if line.claim:
         columns.remove("claimtype")
-    return left_join_children(batches, folders, "BatchName").select(*columns).distinct()
+    names = tables["physical_batch"].select("PBatch")
+    return left_join_children(batches, folders, "BatchName", names).select(*columns).distinct()
 
 
 def line_documents(tables: Tables, line: Line) -> DataFrame:
@@ -219,8 +219,7 @@ def second_ocr(tables: Tables) -> DataFrame:
 
 def nonworking_calendar(tables: Tables) -> DataFrame:
     """Weekend days and named days."""
-    flagged = is_nonworking(F.col("DayOfWeekName"), F.col("CalendarDateDescription"))
-    return tables["calendar"].where(flagged)
+    return nonworking_rows(tables["calendar"])
 
 
 def uploaded_between(documents: DataFrame, low: datetime, high: datetime | None) -> DataFrame:

@@ -11,7 +11,6 @@ from scanyard.functions.decode import job_name
 from scanyard.functions.predicates import has_any_prefix
 from scanyard.operators.joins import not_in, where_exists
 from scanyard.operators.projection import with_constants
-from scanyard.operators.sets import union_distinct
 from scanyard.plans.config import Feed
 from scanyard.plans.extracts import Tables, uploaded_between
 
@@ -49,16 +48,17 @@ def r16_completed_feed(tables: Tables, line=None, as_of=None, feed: Feed = Feed(
     """Batch rows carry images and documents, box rows carry one box."""
     both = completed_batches(tables, feed).join(received_batches(tables, feed), "PBatch").where(
         F.col("Received").isNotNull())
+    # Both rows of a group in one pass over the groups.
     zero = F.lit(0).cast("bigint")
-    batch_rows = both.select(
-        "Received", job_name(F.col("PBatch"), F.col("ReceivedRMN"), F.col("claimtype"))
-        .alias("JobName"), F.col("PBatch").alias("BatchName"), "ImageCount", "DocCount", "Day",
-        F.lit(0).alias("Boxes"))
-    box_rows = both.select(
-        "Received", job_name(F.col("PBatch"), F.col("RMN"), F.col("claimtype"))
-        .alias("JobName"), F.col("RMN").alias("BatchName"), zero.alias("ImageCount"),
-        zero.alias("DocCount"), "Day", F.lit(1).alias("Boxes"))
-    rows = union_distinct(batch_rows, box_rows)
+    batch_row = F.struct(
+        job_name(F.col("PBatch"), F.col("ReceivedRMN"), F.col("claimtype")).alias("JobName"),
+        F.col("PBatch").alias("BatchName"), F.col("ImageCount").cast("bigint").alias("ImageCount"),
+        F.col("DocCount").alias("DocCount"), F.lit(0).alias("Boxes"))
+    box_row = F.struct(
+        job_name(F.col("PBatch"), F.col("RMN"), F.col("claimtype")).alias("JobName"),
+        F.col("RMN").alias("BatchName"), zero.alias("ImageCount"), zero.alias("DocCount"),
+        F.lit(1).alias("Boxes"))
+    rows = both.select("Received", "Day", F.inline(F.array(batch_row, box_row))).distinct()
     dated = rows.withColumns({"Received": us_date(F.col("Received")),
                               "CompleteDate": us_date(F.col("Day"))})
     full = with_constants(dated, fixed.FEED_ATTRIBUTES)

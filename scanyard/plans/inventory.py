@@ -10,7 +10,7 @@ from scanyard.functions.dates import us_date
 from scanyard.functions.decode import inventory_stage
 from scanyard.functions.predicates import has_prefix, in_tracked_stage, not_test_batch
 from scanyard.operators.aggregates import sum_case
-from scanyard.operators.projection import key_when
+from scanyard.operators.projection import key_when, or_blank_row
 from scanyard.plans.config import BOX_INVENTORY, IMAGE_INVENTORY, INVENTORY_JOB, Line
 from scanyard.plans.extracts import Tables, batch_condition, box_keys, uploaded_batches
 
@@ -42,9 +42,10 @@ def stage_pivot(tables: Tables, line: Line, dedupe: bool = True) -> DataFrame:
 
 
 def r13_image_inventory(tables: Tables, line: Line = IMAGE_INVENTORY, as_of=None,
-                        dedupe: bool = True) -> DataFrame:
+                        dedupe: bool = True, placeholder: bool = False) -> DataFrame:
     pivot = stage_pivot(tables, line, dedupe)
-    return pivot.select(us_date(F.col("Day")).alias("CheckInDate"), "ImageCount", *STAGES)
+    rows = pivot.select(us_date(F.col("Day")).alias("CheckInDate"), "ImageCount", *STAGES)
+    return or_blank_row(rows) if placeholder else rows
 
 
 def box_states(tables: Tables, line: Line) -> DataFrame:
@@ -65,12 +66,14 @@ def box_states(tables: Tables, line: Line) -> DataFrame:
     return boxes.where(F.col("First").isNotNull())
 
 
-def r14_box_inventory(tables: Tables, line: Line = BOX_INVENTORY, as_of=None) -> DataFrame:
+def r14_box_inventory(tables: Tables, line: Line = BOX_INVENTORY, as_of=None,
+                      placeholder: bool = False) -> DataFrame:
     """Boxes per first check-in day, split into active and completed."""
     done = F.col("Total") == F.col("Uploaded")
-    return box_states(tables, line).groupBy(us_date(F.col("First")).alias("CheckInDate")).agg(
+    rows = box_states(tables, line).groupBy(us_date(F.col("First")).alias("CheckInDate")).agg(
         F.count("RMN").alias("BoxCount"),
         F.count(key_when(~done, F.col("RMN"))).alias("ACTIVE"),
         F.count(key_when(done, F.col("RMN"))).alias("COMPLETED"),
     )
+    return or_blank_row(rows) if placeholder else rows
 

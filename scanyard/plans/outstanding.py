@@ -64,12 +64,20 @@ def open_batches(tables: Tables, line: Line) -> DataFrame:
     )
 
 
-def _open_folders(tables: Tables, line: Line) -> DataFrame:
-    """The open batches again, one row per folder; a batch without folders stays with NULL."""
-    batches = open_batches(tables, line).groupBy(*_STATE).agg(F.min("InvTime").alias("InvTime"))
+def _without_counts(batches: DataFrame) -> DataFrame:
+    """Open batches without their folder counts, which the folder reports don't tell apart."""
+    return batches.groupBy(*_STATE).agg(F.min("InvTime").alias("InvTime"))
+
+
+def _per_folder(tables: Tables, batches: DataFrame) -> DataFrame:
+    """Rows of batches, one per folder; a batch without folders stays with NULL.
+
+    All lookups by batch come before, so none meets the many folders of a batch.
+    """
     folders = tables["folder_map"].select(
         F.col("PBatch").alias("BatchName"), F.col("dcsid").alias("DCSID")).distinct()
-    return left_join_children(batches, folders, "BatchName")
+    names = tables["physical_batch"].select("PBatch")
+    return left_join_children(batches, folders, "BatchName", names)
 
 
 def _at_scanner(tables: Tables, df: DataFrame) -> DataFrame:
@@ -85,7 +93,8 @@ def _age(start: str, as_of: datetime) -> Column:
 
 def _aged(tables: Tables, line: Line, df: DataFrame, as_of: datetime) -> DataFrame:
     status = outstanding_status(F.col("BatchStatus"), F.col("_scanned"), line.not_scanned)
-    counted = nonworking_days(df, tables["calendar"], "InvTime", as_of)
+    counted = nonworking_days(df, tables["calendar"], "InvTime", as_of,
+                              since=line.received_since)
     return (
         _at_scanner(tables, counted)
         .withColumn("Status", status)
@@ -94,19 +103,21 @@ def _aged(tables: Tables, line: Line, df: DataFrame, as_of: datetime) -> DataFra
     )
 
 
-def r02_outstanding_batches(tables: Tables, line: Line = FCS, as_of=None) -> DataFrame:
-    """Open batches with their age in working days."""
-    aged = _aged(tables, line, open_batches(tables, line), as_of)
+def r02_outstanding_batches(tables: Tables, line: Line = FCS, as_of=None,
+                            batches: DataFrame | None = None) -> DataFrame:
+    """Open batches with their age in working days; ``batches`` are the open ones, if at hand."""
+    aged = _aged(tables, line, batches or open_batches(tables, line), as_of)
     return aged.select(
         "RMN", "TrackingNo", "BatchName", "Day", "Age", "Location", "Status", "TotalImages",
         "Media", "Paper", "Special",
     ).distinct().toDF(*fixed.AGED_BATCH_HEADER).orderBy(*_BATCH_ORDER)
 
 
-def r03_outstanding_folders(tables: Tables, line: Line = FCS, as_of=None) -> DataFrame:
-    """Open folders with their age in working days."""
-    aged = _aged(tables, line, _open_folders(tables, line), as_of)
-    return aged.select(
+def r03_outstanding_folders(tables: Tables, line: Line = FCS, as_of=None,
+                            batches: DataFrame | None = None) -> DataFrame:
+    """Open folders with their age in working days; ``batches`` are the open ones, if at hand."""
+    aged = _aged(tables, line, _without_counts(batches or open_batches(tables, line)), as_of)
+    return _per_folder(tables, aged).select(
         "RMN", "TrackingNo", "BatchName", "Day", "Age", "DCSID", "Location", "Status",
         "TotalImages", "Media",
     ).distinct().toDF(*fixed.AGED_FOLDER_HEADER).orderBy(*_FOLDER_ORDER)
@@ -122,6 +133,10 @@ def r04_vault_folders(tables: Tables, line: Line = VAULT, as_of=None) -> DataFra
 
 def _second_job(tables: Tables, line: Line, df: DataFrame) -> DataFrame:
     """Status and images as the second OCR job sees them, where it has the batch."""
+    if not line.second_job:
+        status = outstanding_status(F.col("BatchStatus"), F.col("_scanned"), line.not_scanned)
+        return _at_scanner(tables, df).withColumns({
+            "Status": status, "Images": F.col("TotalImages"), "Day": iso_date(F.col("InvTime"))})
     jobs = second_ocr(tables).select(
         "BatchName", F.col("TotalImages").alias("_images"), F.lit(True).alias("_second"))
     joined = _at_scanner(tables, df).join(jobs, "BatchName", "left")
@@ -135,33 +150,46 @@ def _second_job(tables: Tables, line: Line, df: DataFrame) -> DataFrame:
     )
 
 
-def _open_batch_rows(tables: Tables, line: Line) -> DataFrame:
-    return _second_job(tables, line, open_batches(tables, line)).select(
-        "RMN", "TrackingNo", "BatchName", "Day", or_dash(F.col("Location")).alias("Location"),
-        "Status", "Images", "Media", "Paper", "Special",
-    ).distinct().toDF(*fixed.OPEN_BATCH_HEADER)
+def _shown(line: Line, names: tuple[str, ...], header: tuple[str, ...]) -> tuple[list, list]:
+    """Columns and header of the line, without the day where it is not shown."""
+    both = [(n, h) for n, h in zip(names, header) if line.show_day or n != "Day"]
+    return [n for n, _ in both], [h for _, h in both]
+
+
+def _open_batch_rows(tables: Tables, line: Line, batches: DataFrame | None = None) -> DataFrame:
+    columns, header = _shown(line, (
+        "RMN", "TrackingNo", "BatchName", "Day", "Location", "Status", "Images", "Media", "Paper",
+        "Special"), fixed.OPEN_BATCH_HEADER)
+    rows = _second_job(tables, line, batches or open_batches(tables, line))
+    if line.show_day:
+        rows = rows.withColumn("Location", or_dash(F.col("Location")))
+    return rows.select(*columns).distinct().toDF(*header)
 
 
 def r06_open_batches(tables: Tables, line: Line = OMPF, as_of=None,
-                     placeholder: bool = False) -> DataFrame:
-    """Open batches, aware of the second OCR job.
+                     placeholder: bool = False, batches: DataFrame | None = None) -> DataFrame:
+    """Open batches, where the line asks for it aware of the second OCR job.
 
-    With ``placeholder`` the report is text and never empty.
+    With ``placeholder`` the report is text and never empty; ``batches`` are the open ones, if at
+    hand.
     """
-    rows = _open_batch_rows(tables, line)
-    return or_blank_row(rows) if placeholder else rows.orderBy(*_BATCH_ORDER)
+    rows = _open_batch_rows(tables, line, batches)
+    return or_blank_row(rows, _BATCH_ORDER) if placeholder else rows.orderBy(*_BATCH_ORDER)
 
 
 def r07_open_folders(tables: Tables, line: Line = OMPF, as_of=None,
-                     placeholder: bool = False) -> DataFrame:
-    """Open folders; the folder number is the one found among the upload records."""
-    recorded = recorded_folders(tables, line).withColumnRenamed("dcsid", "DCSID")
-    folders = rejoin(_open_folders(tables, line), recorded, "DCSID")
-    rows = _second_job(tables, line, folders).select(
-        "RMN", "TrackingNo", "BatchName", "Day", "DCSID", "Location", "Status", "Images",
-        "Media",
-    ).distinct().toDF(*fixed.OPEN_FOLDER_HEADER)
-    return or_blank_row(rows) if placeholder else rows.orderBy(*_FOLDER_ORDER)
+                     placeholder: bool = False, batches: DataFrame | None = None) -> DataFrame:
+    """Open folders; where the line says so, the number is that of the upload records, or NULL."""
+    states = _without_counts(batches or open_batches(tables, line))
+    folders = _per_folder(tables, _second_job(tables, line, states))
+    if line.recorded_folder:
+        recorded = recorded_folders(tables, line).withColumnRenamed("dcsid", "DCSID")
+        folders = rejoin(folders, recorded, "DCSID")
+    columns, header = _shown(line, (
+        "RMN", "TrackingNo", "BatchName", "Day", "DCSID", "Location", "Status", "Images", "Media"),
+        fixed.OPEN_FOLDER_HEADER)
+    rows = folders.select(*columns).distinct().toDF(*header)
+    return or_blank_row(rows, _FOLDER_ORDER) if placeholder else rows.orderBy(*_FOLDER_ORDER)
 
 
 def r08_turnaround_pivot(tables: Tables, line: Line = OMPF, as_of=None) -> DataFrame:

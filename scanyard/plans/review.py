@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scanyard.functions.dates import day_start, iso_date
 from scanyard.functions.text import mask_name, mask_tail
-from scanyard.operators.joins import not_in
+from scanyard.operators.joins import not_in, one_per_key
 from scanyard.plans.extracts import Tables, uploaded_between
 
 _PERSONAL = ["xFirstname", "xLastname", "xFileNumber"]
@@ -22,10 +22,11 @@ def review_rows(tables: Tables, as_of) -> DataFrame:
         F.col("NumPages").alias("Image Count Per PDF"),
         F.col("FileNumber").alias("xFileNumber"), F.col("docidDoctype").alias("DocType"),
     ).distinct()
+    # Of all people only those of the day's folders are brought to one row.
     people = tables["customer_data"].select(
         F.col("dcsid").alias("dcsID"), "PBatch", F.col("Firstname").alias("xFirstname"),
         F.col("Lastname").alias("xLastname"), F.col("Recvdate").alias("Date of Receipt"),
-    ).distinct()
+    ).join(one_per_key(documents, ["dcsID", "PBatch"]), ["dcsID", "PBatch"], "left_semi").distinct()
     claims = tables["check_in"].select("RMN", "claimtype").distinct()
     return documents.join(people, ["dcsID", "PBatch"], "left").join(
         claims, "RMN", "left").drop("PBatch").distinct()
@@ -55,6 +56,7 @@ def r18_cleared_review(tables: Tables, line=None, as_of=None) -> DataFrame:
 
 def exception_boxes(tables: Tables) -> DataFrame:
     """Boxes of the exception batches; NULL for a batch that is not known."""
-    exceptions = tables["qa_exceptions"].select(F.col("batchname").alias("PBatch")).distinct()
-    batches = tables["physical_batch"].select("PBatch", "RMN").distinct()
+    exceptions = one_per_key(
+        tables["qa_exceptions"].select(F.col("batchname").alias("PBatch")), "PBatch")
+    batches = tables["physical_batch"].select("PBatch", "RMN")
     return exceptions.join(batches, "PBatch", "left").select("RMN").distinct()

@@ -79,23 +79,29 @@ def _box(cust: str) -> Column:
     return F.expr(f"concat(if({cust} % 10 = 0, '101', '200'), lpad({cust}, 9, '0'))")
 
 
-def _batch() -> Column:
+def _batch(order: str = "o_orderkey") -> Column:
     return F.expr(
-        "concat(case when o_orderkey % 8 < 2 then '01' when o_orderkey % 8 < 6 then '02' "
-        "when o_orderkey % 8 = 6 then '07' else '08' end, lpad(o_orderkey, 12, '0'), "
-        "if(o_orderkey % 97 = 0, 'TEST', ''))")
+        f"concat(case when {order} % 8 < 2 then '01' when {order} % 8 < 6 then '02' "
+        f"when {order} % 8 = 6 then '07' else '08' end, lpad({order}, 12, '0'), "
+        f"if({order} % 97 = 0, 'TEST', ''))")
 
 
 # Location per workflow step in the derived data; step 13 also depends on the customer.
 _LOCATION_OF_STEP = {1: 1, 2: 2, 3: 16, 4: 2, 5: 4, 6: 128, 7: 8, 8: 128, 9: 128,
                      10: 32, 11: 32, 12: 64}
 _STATUS_CODES = (0, 1, 2, 4, 8)
+# Added to the system keys of repeated documents.
+_AGAIN = 10_000_000_000
 _WEEK = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 _NAMED_DAYS = {"01-01": "New Year", "07-04": "Independence Day", "12-25": "Christmas Day"}
 
 
 def derive_roles(spark: SparkSession, base: str) -> Roles:
-    """Role tables out of ``customer``, ``orders``, ``lineitem`` and ``part``."""
+    """Role tables out of ``customer``, ``orders``, ``lineitem`` and ``part``.
+
+    Some rows are repeated with another key, so that boxes, batches, folders and images lie many
+    to many; FIXTURES.md lists which.
+    """
     c = F.col
 
     def orders() -> DataFrame:
@@ -112,7 +118,8 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
 
     def check_in() -> DataFrame:
         k = c("c_custkey")
-        return scan(spark, base, "customer").select(
+        boxes = scan(spark, base, "customer").select(
+            k,
             F.concat(_box("c_custkey"), F.lit("  ")).alias("RMN"),
             F.when(k % 17 == 0, None).when(k % 19 == 0, "").when(k % 23 == 0, "1234DUMMY1234")
             .otherwise(c("c_name")).alias("trackingno"),
@@ -124,23 +131,37 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.date_add(F.lit("1995-01-01").cast("date"), (k % 1000).cast("int"))
             .cast("timestamp_ntz").alias("insertdate"),
         )
+        other = F.when(c("claimtype") == "OMPF", "AUTOMOBILE").otherwise("OMPF")
+        return boxes.unionByName(boxes.where(k % 43 == 0).withColumn("claimtype", other)).drop(
+            "c_custkey")
 
     def physical_batch() -> DataFrame:
-        return orders().select(
+        o = c("o_orderkey")
+        batches = orders().select(
+            o, c("o_custkey"),
             _batch().alias("PBatch"),
             _box("o_custkey").alias("RMN"),
             F.when(c("o_orderpriority") == "1-URGENT", "SM")
             .when(c("o_orderpriority") == "5-LOW", None).otherwise("P").alias("BatchClassName"),
             _inv_time().alias("InvTime"),
         )
+        in_two_boxes = batches.where(o % 41 == 0).withColumn("RMN", _box("(o_custkey + 1)"))
+        twice = batches.where(o % 47 == 0).withColumn(
+            "InvTime", c("InvTime") + F.make_dt_interval(F.lit(3)))
+        without_documents = batches.where(o % 59 == 0).withColumn(
+            "PBatch", F.concat("PBatch", F.lit("N")))
+        return batches.unionByName(in_two_boxes).unionByName(twice).unionByName(
+            without_documents).drop("o_orderkey", "o_custkey")
 
     def _inv_time() -> Column:
         return c("o_orderdate") + F.make_dt_interval(
             F.lit(0), (c("o_orderkey") % 24).cast("int"))
 
     def document() -> DataFrame:
-        joined = lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
-        return joined.select(
+        o = c("o_orderkey")
+        joined = lines().join(orders(), c("l_orderkey") == o)
+        documents = joined.select(
+            o, c("o_custkey"),
             _box("o_custkey").alias("RMN"),
             _batch().alias("PBatch"),
             folder_id().alias("dcsid"),
@@ -152,20 +173,31 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.when(c("l_linestatus") == "F", c("l_shipdate")).alias("ftpstime"),
             (c("l_shipdate") - F.make_dt_interval(F.lit(1))).alias("ImageDateTime"),
         )
+        again = documents.where(o % 37 == 0).withColumns({
+            "PBatch": _batch("(o_orderkey - 8)"), "SysKey": c("SysKey") + _AGAIN})
+        in_two_boxes = documents.where(o % 39 == 0).withColumns({
+            "RMN": _box("(o_custkey + 1)"), "SysKey": c("SysKey") + 2 * _AGAIN})
+        return documents.unionByName(again).unionByName(in_two_boxes).drop(
+            "o_orderkey", "o_custkey")
 
     def folder_map() -> DataFrame:
-        joined = lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
-        return joined.select(
-            _box("o_custkey").alias("RMN"), _batch().alias("PBatch"),
-            folder_id().alias("dcsid"), _inv_time().alias("InvTime"),
-        ).distinct()
+        o = c("o_orderkey")
+        entry = [_box("o_custkey").alias("RMN"), _inv_time().alias("InvTime")]
+        joined = lines().join(orders(), c("l_orderkey") == o)
+        folders = joined.select(*entry, _batch().alias("PBatch"), folder_id().alias("dcsid"))
+        again = joined.where(o % 37 == 0).select(
+            *entry, _batch("(o_orderkey - 8)").alias("PBatch"), folder_id().alias("dcsid"))
+        waiting = orders().where(o % 59 == 0).select(
+            *entry, F.concat(_batch(), F.lit("N")).alias("PBatch"),
+            F.concat(o.cast("string"), F.lit("-9")).alias("dcsid"))
+        return folders.unionByName(again).unionByName(waiting).distinct()
 
     def customer_data() -> DataFrame:
-        first_lines = lines().where(c("l_linenumber") <= 3)
+        other = F.when(c("o_orderkey") % 7 == 0, "x").otherwise("")
         return (
-            first_lines.join(orders(), c("l_orderkey") == c("o_orderkey"))
+            lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
             .join(scan(spark, base, "part"), c("l_partkey") == c("p_partkey"))
-            .select(folder_id().alias("dcsid"), _batch().alias("PBatch"),
+            .select(F.concat(folder_id(), other).alias("dcsid"), _batch().alias("PBatch"),
                     c("p_name").alias("Firstname"), c("p_brand").alias("Lastname"),
                     c("o_orderdate").alias("Recvdate"))
             .distinct()
@@ -179,18 +211,22 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         status = F.when(o % 5 == 0, _STATUS_CODES[0])
         for code in range(1, 5):
             status = status.when(o % 5 == code, _STATUS_CODES[code])
-        return orders().where(o % 11 != 0).select(
-            _batch().alias("BatchName"),
+        steps = orders().where(o % 11 != 0).select(
+            o, _batch().alias("BatchName"),
             step.cast("int").alias("WFStep"),
             location.cast("int").alias("BatchLocation"),
             status.cast("int").alias("BatchStatus"),
             F.floor(c("o_totalprice") / 1000).cast("int").alias("TotalImages"),
             F.when(c("o_custkey") % 3 == 0, 9).otherwise(8).cast("int").alias("jobid"),
         )
+        elsewhere = steps.where((o % 53 == 0) & (c("WFStep") <= 11)).withColumn(
+            "BatchLocation", c("BatchLocation") + 512)
+        return steps.unionByName(elsewhere).drop("o_orderkey")
 
     def ocr(shard: int) -> DataFrame:
         o = c("o_orderkey")
-        return orders().where((o % 29 == 0) & (o % 5 == shard)).select(
+        here = (o % 5 == shard) | ((o % 2 == 0) & ((o + 1) % 5 == shard))
+        return orders().where((o % 29 == 0) & here).select(
             _batch().alias("BatchName"),
             F.floor(c("o_totalprice") / 500).cast("int").alias("TotalImages"),
             (c("o_custkey") % 4).cast("int").alias("BatchLocation"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,8 +45,16 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def own_name(name: str) -> str:
+    """A table name of this run, so that runs at the same time keep apart."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write the result as a table, replacing an earlier one, and read it from there."""
+    """Write the result as a table, replacing an earlier one, and read it from there.
+
+    The caller names the table: a fixed name replaces that of an earlier run, ``own_name`` does not.
+    """
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)

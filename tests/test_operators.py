@@ -53,7 +53,8 @@ def test_left_join_children(frame, values):
     parents = frame("k string, p int", [("a", 1), ("b", 2), (None, 3)])
     children = frame("k string, x string", [("a", "u"), ("a", "v"), ("a", None), ("z", "w")])
     expected = values(parents.join(children, "k", "left"))
-    assert values(joins.left_join_children(parents, children, "k").select("k", "p", "x")) == expected
+    got = joins.left_join_children(parents, children, "k", parents.select("k"))
+    assert values(got.select("k", "p", "x")) == expected
 
 
 def test_rejoin_replaces_absent_keys_by_null(frame, values):
@@ -151,6 +152,9 @@ def test_flag_max(frame, values):
     rows = frame("k string, n int", [("a", 1), ("b", 5), ("c", 5)])
     assert values(aggregates.flag_max(rows, ["n"])) == [
         ("a", 1, False), ("b", 5, True), ("c", 5, True)]
+    totals = frame("k string, n int", [("a", 1), ("Total", 6)])
+    assert values(aggregates.flag_max(totals, ["n"], "k")) == [
+        ("Total", 6, True, True), ("a", 1, False, False)]
 
 
 def test_column_widths(frame, values):
