@@ -8,6 +8,8 @@ import pytest
 from scanyard.plans import extracts, feed, inventory, monthly, outstanding, queue, review, summary
 from scanyard.plans.config import (BOX_INVENTORY, FCS, IMAGE_INVENTORY, OMPF, OMPF_DIRECT, VAULT,
                                    Feed)
+from scanyard.plans.report_set import report_set
+from scanyard.sources.roles import derive_roles
 from tests.conftest import AS_OF
 
 START = datetime(1995, 1, 1)
@@ -398,3 +400,22 @@ def test_upload_month_is_pruned(spark, tables, tmp_path):
     assert "PartitionFilters: [isnotnull(upload_month" in plan
     assert sorted(stored["document"].select("ImageID").collect()) == sorted(
         roles["document"].select("ImageID").collect())
+
+
+@pytest.mark.parametrize("line", [FCS, VAULT, OMPF])
+def test_report_set_has_the_reports_of_the_line(spark, line):
+    """The shared open batches change nothing in the sheets."""
+    roles = derive_roles(spark, "/root/testdata/sf0.001")
+    line = line.starting(datetime(1995, 1, 1))
+    sheets = report_set(roles, line, AS_OF)
+    if line.claim:
+        alone = summary.r05_box_summary, outstanding.r06_open_batches, outstanding.r07_open_folders
+    else:
+        alone = (summary.r04_vault_summary if line.box_prefix else summary.r01_box_summary,
+                 outstanding.r02_outstanding_batches, outstanding.r03_outstanding_folders)
+    assert list(sheets) == [f"{line.name} Summary", "Outstanding Batches", "Outstanding DCSIDs"]
+    for sheet, report in zip(sheets.values(), alone):
+        expected = report(roles, line, AS_OF)
+        assert sheet.columns == expected.columns
+        assert sorted(map(tuple, sheet.collect()), key=repr) == sorted(
+            map(tuple, expected.collect()), key=repr)

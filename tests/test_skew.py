@@ -57,7 +57,8 @@ CASES = {
     "not_in": lambda s: joins.not_in(fact(s), lookup(s), "k"),
     "outstanding": lambda s: joins.outstanding(fact(s), lookup(s), "k", F.lit(True)),
     "rejoin": lambda s: joins.rejoin(fact(s), lookup(s), "k"),
-    "left_join_children": lambda s: joins.left_join_children(grouped(lookup(s)), fact(s), "k"),
+    "left_join_children": lambda s: joins.left_join_children(
+        grouped(lookup(s)), fact(s), "k", lookup(s).select("k")),
 }
 
 
@@ -84,3 +85,18 @@ def test_one_link_with_many_parents_and_children(small_partitions):
     expected = fact(spark).where("k = '7'").select("x").distinct().count()
     assert {r["n"] for r in got} == {expected} and len(got) == 300
     assert not re.search("Cartesian|NestedLoop", plan)
+
+
+def test_one_link_with_many_parents_and_shared_children(small_partitions):
+    """All children lie under a second link too: they are one class, not 12 million pairs."""
+    spark = small_partitions
+    parents = spark.range(300).select(
+        c("id").alias("p"), F.when(c("id") < 300, "7").otherwise("8").alias("k"))
+    one = fact(spark).where("k = '7'")
+    both = one.unionByName(one.withColumn("k", F.when(c("k") == "7", "8")))
+    counted = aggregates.count_distinct_through(parents, both, ["p"], "k", "x", "n")
+    got, plan = final_plan(counted)
+    expected = one.select("x").distinct().count()
+    assert {r["n"] for r in got} == {expected} and len(got) == 300
+    shared = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search("Cartesian|NestedLoop", plan) and "bit_xor" in shared
