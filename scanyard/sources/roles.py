@@ -201,7 +201,8 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         waiting = orders().where(o % 59 == 0).select(
             *entry, F.concat(_batch(), F.lit("N")).alias("PBatch"),
             F.concat(o.cast("string"), F.lit("-9")).alias("dcsid"))
-        return folders.unionByName(again).unionByName(waiting).distinct()
+        both = folders.unionByName(again).unionByName(waiting)
+        return both.select("RMN", "PBatch", "dcsid", "InvTime").distinct()
 
     def customer_data() -> DataFrame:
         other = F.when(c("o_orderkey") % 7 == 0, "x").otherwise("")

@@ -90,14 +90,15 @@ def test_stored_filters_reach_the_scan(spark, tables, tmp_path):
 
 
 class _Cluster:
-    """Just the parts of a session that the folder choice looks at."""
-    def __init__(self, master, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master})
+    """Just the settings of a session that the folder choice looks at."""
+    def __init__(self, folder, warehouse="/elsewhere"):
+        self.conf = {"spark.sql.warehouse.dir": warehouse}
+        if folder:
+            self.conf["spark.checkpoint.dir"] = folder
 
 
 def test_shared_folder_is_the_clusters():
-    path = session.shared_dir(_Cluster("yarn", "/shared/ckpt/"))
+    path = session.shared_dir(_Cluster("/shared/ckpt/"))
     assert path.startswith("/shared/ckpt/scanyard/")
-    with pytest.raises(RuntimeError):
-        session.shared_dir(_Cluster("yarn", None))
+    path = session.shared_dir(_Cluster(None, "/warehouse"))
+    assert path.startswith("/warehouse/scratch/scanyard/")
