@@ -43,10 +43,12 @@ from scanyard.llm.common import keep, near_keys, pairs, slices, without
 SHINGLE, THRESHOLD = 5, 80
 CELL_BITS = 20
 FEW, BLOCK, PIVOTS = 24, 768, 16
-# The l to choose from, and what verifying a pair costs in posting rows.
-LENGTHS = (1, 2, 4, 8, 16)
+# The l to choose from; what verifying a pair costs in posting rows for each 64 members; and how
+# many others are expected to share, by chance, an n-gram that no part of the input repeats.
+LENGTHS = (1, 2, 3, 4, 6, 8)
 VERIFY = 8.0
-MOST_WORDS = 400_000
+CHANCE = 0.05
+MOST_WORDS = 200_000
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
             0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)
 
@@ -93,7 +95,7 @@ def prefix(members: np.ndarray, counts: np.ndarray, threshold: int = THRESHOLD):
     cells = counts[members >> np.uint64(64 - CELL_BITS)]
     order = np.lexsort((members, cells))
     size, least = len(members), least_shared(len(members), threshold)
-    rows = np.cumsum(cells[order].astype(np.float64))
+    rows = np.cumsum(np.maximum(cells[order].astype(np.float64), CHANCE))
     best, best_cost = 1, np.inf
     for length in LENGTHS:
         if length > least:
@@ -166,10 +168,10 @@ def statistics(texts: DataFrame, n: int) -> DataFrame:
 def cell_counts(stats: DataFrame) -> np.ndarray:
     """Counts by cell, as logarithms, so that near counts leave the order to the hash."""
     rows = stats.where("cell is not null").groupBy("cell").agg(F.sum("copies").alias("copies"))
-    table = rows.toPandas()
+    table = rows.toArrow()
     counts = np.zeros(1 << CELL_BITS, np.uint16)
-    scaled = np.minimum(table["copies"].to_numpy(np.float64), 60_000)
-    counts[table["cell"].to_numpy(np.int64)] = 2 ** np.floor(np.log2(np.maximum(scaled, 1)))
+    scaled = np.clip(table["copies"].to_numpy(), 1, 60_000)
+    counts[table["cell"].to_numpy()] = 2 ** np.floor(np.log2(scaled))
     return counts
 
 
