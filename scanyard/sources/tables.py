@@ -45,6 +45,13 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def unstage(spark: SparkSession, name: str) -> None:
+    """Forget a staged name and free what it caches."""
+    if spark.catalog.tableExists(name):
+        spark.catalog.uncacheTable(name)
+    spark.catalog.dropTempView(name)
+
+
 def own_name(name: str) -> str:
     """A table name of this run, so that runs at the same time keep apart."""
     return f"{name}_{uuid.uuid4().hex}"

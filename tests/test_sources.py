@@ -102,3 +102,12 @@ def test_shared_folder_is_the_clusters():
     assert path.startswith("/shared/ckpt/scanyard/")
     path = session.shared_dir(_Cluster(None, "/warehouse"))
     assert path.startswith("/warehouse/scratch/scanyard/")
+
+
+def test_unstaged_names_are_gone_and_free(spark):
+    from scanyard.sources.tables import stage, unstage
+    stage(spark.range(3), "kept_rows", keep=True)
+    assert spark.table("kept_rows").count() == 3 and spark.catalog.isCached("kept_rows")
+    unstage(spark, "kept_rows")
+    assert not spark.catalog.tableExists("kept_rows")
+    unstage(spark, "kept_rows")
