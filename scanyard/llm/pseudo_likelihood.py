@@ -34,7 +34,7 @@ CLASSES, PER_CLASS = 48, 48
 UNITS = CLASSES * PER_CLASS
 BUCKETS = 256
 SIDE, SIZE, HIDDEN = 2, 12, 16
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 2048, 0.01
+ROUNDS, STRIDE, BATCH, RATE = 2, 8, 4096, 0.015
 FAN = 64
 SLICES = 16
 
@@ -45,7 +45,7 @@ class Vocabulary(dict):
     def __init__(self, frequent: list[bytes]):
         super().__init__((w, n) for n, w in enumerate(frequent))
         self.known = len(frequent)
-        self.most = 500_000
+        self.most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         unit = UNITS - BUCKETS + xxhash.xxh64_intdigest(word) % BUCKETS
@@ -106,30 +106,37 @@ def log_probabilities(model, around: np.ndarray, units: np.ndarray, train: bool
     """Log-probability of each unit given those around it; with ``train`` also gradients."""
     inputs = model["vector"][around].reshape(len(around), -1)
     hidden = np.tanh(inputs @ model["hidden"] + model["hidden_bias"])
-    group, word = np.divmod(units, PER_CLASS)
+    # In the order of the classes, so that each class's rows lie together.
+    order = np.argsort(units, kind="stable")
+    group, word = np.divmod(units[order], PER_CLASS)
+    bounds = np.searchsorted(group, np.arange(CLASSES + 1))
+    hidden, every = hidden[order], np.arange(len(units))
     by_class = _log_softmax(hidden @ model["class"] + model["class_bias"])
-    out = by_class[np.arange(len(units)), group]
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    found = by_class[every, group]
     g = {k: np.zeros_like(v) for k, v in model.items()} if train else {}
     if train:
         d_class = np.exp(by_class)
-        d_class[np.arange(len(units)), group] -= 1
+        d_class[every, group] -= 1
         g["class"], g["class_bias"] = hidden.T @ d_class, d_class.sum(0)
         d_hidden = d_class @ model["class"].T
     for c in range(CLASSES):
-        mine = order[bounds[c]:bounds[c + 1]]
-        if not len(mine):
+        mine = slice(bounds[c], bounds[c + 1])
+        given = hidden[mine]
+        if not len(given):
             continue
-        logs = _log_softmax(hidden[mine] @ model["word"][c] + model["word_bias"][c])
-        out[mine] += logs[np.arange(len(mine)), word[mine]]
+        logs = _log_softmax(given @ model["word"][c] + model["word_bias"][c])
+        rows = every[:len(given)]
+        found[mine] += logs[rows, word[mine]]
         if train:
             d = np.exp(logs)
-            d[np.arange(len(mine)), word[mine]] -= 1
-            g["word"][c], g["word_bias"][c] = hidden[mine].T @ d, d.sum(0)
+            d[rows, word[mine]] -= 1
+            g["word"][c], g["word_bias"][c] = given.T @ d, d.sum(0)
             d_hidden[mine] += d @ model["word"][c].T
+    out = np.empty_like(found)
+    out[order] = found
     if train:
-        d_pre = d_hidden * (1 - hidden * hidden)
+        d_pre = np.empty_like(d_hidden)
+        d_pre[order] = d_hidden * (1 - hidden * hidden)
         g["hidden"], g["hidden_bias"] = inputs.T @ d_pre, d_pre.sum(0)
         d_inputs = (d_pre @ model["hidden"].T).reshape(-1, SIZE)
         keys = around.ravel()
@@ -203,7 +210,7 @@ def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int) -> Dat
                     around.append(context(text)[places])
                     units.append(text[places])
                     held += len(places)
-                if held >= 16 * BATCH:
+                if held >= 8 * BATCH:
                     step()
                     held = 0
             if units:
@@ -273,7 +280,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: list[bytes]
             sizes = np.array(list(map(len, units)), np.int64)
             around = np.concatenate([context(u) for u in units])
             flat = np.concatenate(units)
-            step = 1 << 15
+            step = 1 << 14
             logs = [log_probabilities(given, around[at:at + step], flat[at:at + step])[0]
                     for at in range(0, len(flat), step)]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs, dtype=np.float64))]
