@@ -105,12 +105,11 @@ def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None =
     by an empty list.
     """
     listed = one_per_key(right.select(F.col(right_col or col).alias(col)), col)
-    # Size and NULLs of the list, read from its distinct values in one go.
-    found = listed.agg(F.struct(
-        F.count("*").alias("size"), F.count_if(F.col(col).isNull()).alias("nulls"))).scalar()
+    # From the distinct values, in one go: 2 for an empty list, 0 for one with a NULL, else 1.
+    let_pass = listed.agg(F.when(F.count("*") == 0, 2).when(
+        F.count_if(F.col(col).isNull()) > 0, 0).otherwise(1)).scalar()
     rest = left.join(listed, col, "left_anti")
-    return rest.where((found["size"] == 0) | (
-        (found["nulls"] == 0) & F.col(col).isNotNull())).select(*left.columns)
+    return rest.where(let_pass + F.col(col).isNotNull().cast("int") >= 2).select(*left.columns)
 
 
 def outstanding(left: DataFrame, right: DataFrame, on: str | Sequence[str],

@@ -35,22 +35,6 @@ def test_plan_compares_no_rows_pairwise(spark, name):
     assert not re.search(r"CartesianProduct|NestedLoop|BatchEvalPython|ArrowEvalPython|MapIn", plan)
 
 
-def logical(spark, name: str) -> str:
-    return QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_the_feed_reads_the_exclusion_list_once(spark):
-    assert len(re.findall("Join LeftAnti", logical(spark, "r16_completed_feed"))) == 1
-
-
-@pytest.mark.parametrize("folders,batches", [
-    ("r03_outstanding_folders", "r02_outstanding_batches"), ("r07_open_folders", "r06_open_batches")])
-def test_folder_reports_plan_the_batches_once(spark, folders, batches):
-    """Beside the batch report's joins: folders, those without any, and the folder number."""
-    joins = [len(re.findall(r"Join \w+", logical(spark, name))) for name in (folders, batches)]
-    assert joins[0] <= joins[1] + 7
-
-
 @pytest.mark.parametrize("name,twin", [
     ("r11_monthly_totals", "r11_monthly_totals_every_box"),
     ("r13_image_inventory", "r13_image_inventory_every_location")])

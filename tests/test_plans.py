@@ -419,3 +419,20 @@ def test_report_set_has_the_reports_of_the_line(spark, line):
         assert sheet.columns == expected.columns
         assert sorted(map(tuple, sheet.collect()), key=repr) == sorted(
             map(tuple, expected.collect()), key=repr)
+
+
+def test_feed_shuffles_the_uploads_against_the_exclusion_list_once(tables):
+    plan = feed.r16_completed_feed(tables())._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Join LeftAnti") == 1 and plan.count("scalar-subquery") == 1
+
+
+@pytest.mark.parametrize("folders,batches,line,more", [
+    ("r03_outstanding_folders", "r02_outstanding_batches", FCS, 2),
+    ("r07_open_folders", "r06_open_batches", OMPF, 4)])
+def test_folder_reports_plan_the_batches_once(tables, folders, batches, line, more):
+    """Beside the batch report's joins: folders and batches without any, then the folder number
+    found among the records of the line's boxes."""
+    roles = tables()
+    joins = [getattr(outstanding, name)(roles, line, AS_OF)._jdf.queryExecution().analyzed()
+             .toString().count("Join ") for name in (folders, batches)]
+    assert joins[0] == joins[1] + more
