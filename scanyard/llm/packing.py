@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from scanyard.llm.common import pairs, slices
-from scanyard.llm.tokens import END, encoder, vocabulary_path
+from scanyard.llm.common import pairs
+from scanyard.llm.tokens import END, encoder, small, vocabulary_path
 
 CAPACITY = 1024
 WINDOWS = 256
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         encode = encoder(path).encode
         packer = _Packer(TaskContext.get().partitionId(), capacity, windows, piece, margin)
         kind = None
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
+        for batch in small(batches):
             kind = batch.schema.field("id").type
             rows = []
             texts = [b.decode("utf-8", "replace") for b in batch.column("body").to_pylist()]

@@ -14,7 +14,6 @@ empty index. Columns other than id and text are not read.
 
 from __future__ import annotations
 
-import itertools
 import struct
 import uuid
 
@@ -25,8 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, open_folder, pairs, slices
-from scanyard.llm.tokens import END, encoder, vocabulary_path
+from scanyard.llm.common import keep, open_folder, pairs
+from scanyard.llm.tokens import END, encoder, small, vocabulary_path
 from scanyard.session import shared_dir
 
 # Fixed values of the seekable format: magic of the skippable frame and of its footer, and the
@@ -80,7 +79,7 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         name = f"tokens-{part:06d}-{uuid.uuid4().hex}.zst"
         encode, packer, out = encoder(path).encode, zstandard.ZstdCompressor(level=LEVEL), None
         entries, total = [], 0
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
+        for batch in small(batches):
             if out is None:
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(f"{base}/{name}", compression=None)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import gc
 from array import array
 from collections.abc import Iterable
+from operator import attrgetter
 
 import numpy as np
 import regex
 
+from scanyard.llm.common import slices
+
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 # Words whose ids a worker remembers, so its memory has a bound. Forgetting costs time only.
-MOST_WORDS = 500_000
+MOST_WORDS = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -28,12 +31,34 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
+# How the vocabulary writes a space.
+_GAP = _byte_letters()[32]
+_id = attrgetter("id")
+
+
+class _Parts(dict):
+    """Place in the tables of each known part, a text between two single spaces."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, part: str) -> int:
+        # With a space before white space or the end, a cut here may part what belongs together.
+        if not part or part[0].isspace():
+            return ODD
+        self[part] = place = self.learn(" " + part)
+        return place
+
+
+ODD = -1
+
+
 class Encoder:
     """Ids of texts, equal to those the library gives for each text as a whole.
 
     The vocabulary's pattern never matches across a space that a non-space follows, so texts are
     cut there and the parts looked up. A part not yet known is cut by the pattern, and the
-    library's model encodes the pieces not yet known. Strings of special tokens are text.
+    library's model encodes its pieces. Strings of special tokens are text.
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS):
@@ -49,71 +74,64 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.parts: dict[str, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.parts = _Parts(self._learn)
         self.ids = array("I")
         self.starts, self.sizes = array("q"), array("q")
 
-    def _pieces(self, part: str) -> Iterable[str]:
-        if part[:1] == " ":
-            if part[1:].isalpha():
-                return (part,)
-            if part[-1] in ",." and part[1:-1].isalpha():
-                return part[:-1], part[-1]
-        return self.pattern.findall(part)
-
-    def _learn(self, new: Iterable[str]) -> None:
-        known, ids = self.pieces, self.ids
-        for part in new:
-            start = len(ids)
-            for piece in self._pieces(part):
-                got = known.get(piece)
-                if got is None:
-                    spelt = piece.encode().decode("latin-1").translate(self.letters)
-                    got = known[piece] = [t.id for t in self.tokenize(spelt)]
-                ids.extend(got)
-            self.parts[part] = len(self.starts)
-            self.starts.append(start)
-            self.sizes.append(len(ids) - start)
+    def _learn(self, part: str) -> int:
+        """Add a part's ids to the tables."""
+        body = part[1:]
+        if part[0] == " " and body.isalpha():
+            pieces = (part,)
+        elif part[0] == " " and part[-1] in ",." and body[:-1].isalpha():
+            pieces = part[:-1], part[-1]
+        else:
+            pieces = self.pattern.findall(part)
+        start, ids = len(self.ids), self.ids
+        for piece in pieces:
+            if piece[0] == " " and piece[1:2] != " " and piece.isascii() and piece.isprintable():
+                spelt = _GAP + piece[1:]
+            else:
+                spelt = piece.encode().decode("latin-1").translate(self.letters)
+            ids.extend([*map(_id, self.tokenize(spelt))])
+        self.starts.append(start)
+        self.sizes.append(len(ids) - start)
+        return len(self.starts) - 1
+
+    def _places(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int64)
+        first, *rest = text.split(" ")
+        at = np.fromiter(map(self.parts.__getitem__, rest), np.int64, len(rest))
+        if len(at) and at.min() == ODD:
+            first, *rest = (p for p in _AT_SPACE.split(text) if p)
+            at = np.array([self._learn(p) for p in rest], np.int64)
+        return np.append(np.int64(self._learn(first)), at) if first else at
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One uint32 array per text."""
-        if len(self.parts) > self.most_words or len(self.pieces) > 2 * self.most_words:
+        if len(self.starts) > self.most_words:
             self._forget()
-        cut = [_cut(text) for text in texts]
-        new = set().union(*cut) - self.parts.keys()
-        odd = {p for p in new if p == " " or p[0] == " " and p[1].isspace()}
-        if odd:
-            cut = [parts if odd.isdisjoint(parts) else [p for p in _AT_SPACE.split(text) if p]
-                   for parts, text in zip(cut, texts)]
-            new = set().union(*cut) - self.parts.keys()
-        if new:
-            collecting = gc.isenabled()
-            gc.disable()  # nothing here is cyclic, and each pass would walk the whole cache
-            self._learn(new)
-            if collecting:
-                gc.enable()
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and each pass would walk the whole cache
+        places = [self._places(text) for text in texts]
+        if collecting:
+            gc.enable()
         ids = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32)
-        starts, sizes = np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.int64)
+        starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
         out = []
-        for parts in cut:
-            at = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
-            n = sizes[at] if parts else at
+        for at in places:
+            n = sizes[at]
             ends = np.cumsum(n)
-            total = int(ends[-1]) if parts else 0
-            first = starts[at] - ends + n if parts else at
-            out.append(ids[np.arange(total) + np.repeat(first, n)])
+            total = int(ends[-1]) if len(at) else 0
+            out.append(ids[np.arange(total) + np.repeat(starts[at] - ends + n, n)])
         return out
 
 
-def _cut(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + part for part in rest]
-
-
 # Where a space stands before a non-space; the space stays with what follows.
 _AT_SPACE = regex.compile(r"(?V1)(?= \S)")
 
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -122,3 +140,9 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def small(batches):
+    """Batches of so little text that lists of its words take little memory."""
+    for batch in batches:
+        yield from slices(batch, most=2 << 20)
