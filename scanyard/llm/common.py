@@ -30,6 +30,20 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[object, object] = {}
+
+
+def remembered(owner: object, make):
+    """What this worker process remembers for one operator between tasks.
+
+    Workers serve one operator after another: what others left is dropped, so it never adds up.
+    """
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 def findable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

@@ -35,10 +35,10 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, near_keys, pairs, slices, without
+from scanyard.llm.common import keep, near_keys, pairs, remembered, slices, without
 
 SHINGLE, THRESHOLD = 5, 80
 CELL_BITS = 20
@@ -59,18 +59,16 @@ class _Hashes(dict):
         return value
 
 
-_HASHES = _Hashes()
-
-
 def shingles(body: bytes, n: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of words; fewer words are one n-gram."""
     # Bytes are lower-cased for A-Z and split at the six white-space characters, no others.
     words = body.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_HASHES) > MOST_WORDS:
-        _HASHES.clear()
-    hashed = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    known = remembered("n-grams", _Hashes)
+    if len(known) > MOST_WORDS:
+        known.clear()
+    hashed = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(n, len(words))
     count = len(words) - size + 1
     with np.errstate(over="ignore"):
@@ -127,7 +125,9 @@ def statistics(texts: DataFrame, n: int) -> DataFrame:
         kind = None
 
         def repeated():
-            every = np.sort(np.concatenate(seen))
+            every = np.concatenate(seen)
+            seen.clear()
+            every.sort()
             same = np.flatnonzero(np.diff(every, prepend=~every[:1], append=~every[-1:]) != 0)
             runs = np.diff(same)
             many = runs > 1
@@ -158,7 +158,7 @@ def statistics(texts: DataFrame, n: int) -> DataFrame:
             held += sum(map(len, sets))
             if held > 4_000_000:
                 yield from repeated()
-                seen, held = [], 0
+                held = 0
         if held:
             yield from repeated()
 
@@ -302,8 +302,9 @@ def components(links: DataFrame) -> DataFrame:
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
                     .first())
         if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            named = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return named.unionByName(
+                named.select(F.col("component").alias("node"), "component").distinct())
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = keep(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
@@ -347,10 +348,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     right = few.select("gram", F.col("id").alias("b"), F.col("n").alias("n_b"),
                        F.col("l").alias("l_b"))
     close = 100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-    candidates = keep(left.join(right.hint("merge"), "gram").where((F.col("a") < F.col("b")) & close)
-                      .groupBy("a", "b").agg(F.count("*").alias("common"),
-                                             F.min(F.least("l_a", "l_b")).alias("l"))
-                      .where("common >= l").select("a", "b"), "candidates")
+    pairs_of_few = left.join(right.hint("merge"), "gram").where((F.col("a") < F.col("b")) & close)
+    candidates = keep(pairs_of_few.groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.min(F.least("l_a", "l_b")).alias("l"))
+        .where("common >= l").select("a", "b"), "candidates")
 
     many = posted.where(F.col("df") > FEW).select("gram", "df", "id")
     wanted = candidates.select(F.col("a").alias("id")).unionByName(
@@ -406,7 +407,6 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
 
 def _pivots(blocked: DataFrame) -> DataFrame:
     """The nodes of the smallest hashes of each n-gram of several blocks."""
-    from pyspark.sql import Window
     order = F.xxhash64(F.col("id"), F.lit(1))
     # First in each block, then among those few, so no n-gram's nodes meet in one task.
     in_block = Window.partitionBy("gram", "block").orderBy(order, "id")

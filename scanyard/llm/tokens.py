@@ -10,7 +10,7 @@ from operator import attrgetter
 import numpy as np
 import regex
 
-from scanyard.llm.common import slices
+from scanyard.llm.common import remembered, slices
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
@@ -132,14 +132,9 @@ class Encoder:
 _AT_SPACE = regex.compile(r"(?V1)(?= \S)")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """This worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return remembered(("encoder", path), lambda: Encoder(path))
 
 
 def small(batches):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import findable, pairs
+from scanyard.llm.common import findable, pairs, remembered
 from scanyard.llm.decontaminate import words
 
 MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 1500, 3000, 8
@@ -232,10 +232,10 @@ def _start(rng, texts: list[list[bytes]], labels: np.ndarray) -> dict:
         "worth": random(STATE, scale=0.4), "out": random(2 * STATE, scale=0.4),
         "out_bias": np.zeros(1, np.float32)}
     seen = {"word": np.zeros((2, 1 << WORD_BITS)), "gram": np.zeros((2, 1 << GRAM_BITS))}
-    for at in range(0, len(texts), 500):
-        some = Words(texts[at:at + 500])
+    for at in range(0, len(texts), 50):
+        some = Words(texts[at:at + 50])
         bounds = some.first + some.per
-        for text, label in zip(some.texts, labels[at:at + 500]):
+        for text, label in zip(some.texts, labels[at:at + 50]):
             mine = np.unique(text)
             seen["word"][label][np.unique(some.word[mine])] += 1
             if len(mine):
@@ -315,7 +315,8 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
     texts, labels, weight = for_layer if len(set(for_layer[1].tolist())) == 2 else (
         texts, labels, np.ones(len(labels)))
     full = np.array([len(t) > 0 for t in texts], bool)
-    features = np.array([_features(s) for s in window_scores(model, texts) if len(s)])
+    features = np.array([_features(s) for at in range(0, len(texts), 50)
+                         for s in window_scores(model, texts[at:at + 50]) if len(s)])
     model["text"] = _logistic(features, labels[full], weight[full])
     return model
 
@@ -396,6 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = pairs(docs, id_col, text_col).join(sample, "id").select("body", "label")
 
     def run(batches):
+        remembered("toxicity", dict)
         bodies, given = [], []
         for batch in batches:
             bodies += batch.column("body").to_pylist()
@@ -416,9 +418,10 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> Column:
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        remembered("toxicity", dict)
         for batch in batches:
             bodies = batch.tolist()
-            sizes = np.cumsum(list(map(len, bodies))) // (8 << 20)
+            sizes = np.cumsum(list(map(len, bodies))) // (2 << 20)
             out = [scores(shared.value, bodies[lo:hi]) for lo, hi in _runs(sizes)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
 
