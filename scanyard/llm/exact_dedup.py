@@ -59,9 +59,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = keep(likely.join(several.hint("merge"), "key").select(
         "id", "key", "text", "keep_id"), "members")
     while True:
-        head = members.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("key").agg(
-            F.min("text").alias("head"))
-        other = members.join(head, "key").where(F.col("text") != F.col("head"))
+        # One text per group, from files, so that a group of very many rows can be split.
+        head = keep(members.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("key").agg(
+            F.min("text").alias("head")), "head")
+        other = members.join(head.hint("merge"), "key").where(F.col("text") != F.col("head"))
         clash = keep(other.select("id", "key", "text"), "clash")
         if clash.isEmpty():
             break
