@@ -5,7 +5,10 @@ vectors of those words, by place, feed a hidden layer, which gives the word's cl
 word within its class. Summed log-probabilities of all words score a document.
 
 The vocabulary is the most frequent words of all documents, as many as the network has units less
-the buckets in which all other words are hashed. Words are counted over all documents, and the
+the buckets in which all other words are hashed. A word of a bucket has the bucket's probability
+times the word's share of the words counted in it; ``UNSEEN`` of a count there stands for all words
+never counted. The table of all counts stays in the shared folder and is joined by word, so it
+grows with the input and no machine holds it. Words are counted over all documents, and the
 network learns from all of them: in each round every part of the input trains a copy on its own
 documents, at every ``STRIDE``-th place, another one each round, and the copies are averaged by
 the places they have seen. Averages are taken in groups of ``FAN`` copies, and groups of those, so
@@ -37,6 +40,15 @@ SIDE, SIZE, HIDDEN = 2, 12, 16
 ROUNDS, STRIDE, BATCH, RATE = 2, 8, 4096, 0.015
 FAN = 64
 SLICES = 16
+UNSEEN = 0.5
+
+
+class Words(list):
+    """The frequent words, the table of all words' counts and the sum of counts in each bucket."""
+
+    def __init__(self, frequent: list[bytes], counts: DataFrame, totals: np.ndarray):
+        super().__init__(frequent)
+        self.counts, self.totals = counts, totals
 
 
 class Vocabulary(dict):
@@ -69,6 +81,28 @@ def count_words(texts: DataFrame) -> DataFrame:
         F.sum("count").alias("count"))
 
 
+def bucket_totals(counts: DataFrame, frequent: list[bytes]) -> np.ndarray:
+    """The sum of the counts of the words in each bucket."""
+    shared = counts.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches):
+        units_of, totals = Vocabulary(shared.value), np.zeros(UNITS, np.int64)
+        for batch in batches:
+            units = np.fromiter(map(units_of.__getitem__, batch.column("word").to_pylist()),
+                                np.int64, batch.num_rows)
+            np.add.at(totals, units, batch.column("count").to_numpy())
+        found = np.flatnonzero(totals[UNITS - BUCKETS:])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.int64()), pa.array(totals[UNITS - BUCKETS + found])],
+            ["bucket", "count"])
+
+    out = np.zeros(BUCKETS)
+    for row in counts.mapInArrow(run, "bucket long, count long").groupBy("bucket").agg(
+            F.sum("count").alias("count")).collect():
+        out[row["bucket"]] = row["count"]
+    return out
+
+
 def start(frequent: list[int], others: int) -> dict[str, np.ndarray]:
     """Weights before training: words as frequent as counted, whatever is around them."""
     rng = np.random.default_rng(11)
@@ -250,47 +284,73 @@ def average(copies: DataFrame, model) -> dict[str, np.ndarray]:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        rounds: int = ROUNDS) -> tuple[dict[str, np.ndarray], list[bytes]]:
-    """Weights and vocabulary learned from all documents."""
+        rounds: int = ROUNDS) -> tuple[dict[str, np.ndarray], Words]:
+    """Weights and words learned from all documents."""
     texts = pairs(docs, id_col, text_col)
     counts = keep(count_words(texts), "words")
     rows = counts.orderBy(F.desc("count"), "word").limit(UNITS - BUCKETS).collect()
-    vocabulary = [bytes(r["word"]) for r in rows]
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    frequent = [r["count"] for r in rows]
-    model = start(frequent, total - sum(frequent))
+    frequent = [bytes(r["word"]) for r in rows]
+    vocabulary = Words(frequent, counts, bucket_totals(counts, frequent))
+    model = start([r["count"] for r in rows], int(vocabulary.totals.sum()))
     for phase in range(rounds):
-        model = average(_copies(texts, model, vocabulary, phase * (STRIDE // 2 + 1)), model)
+        model = average(_copies(texts, model, frequent, phase * (STRIDE // 2 + 1)), model)
     return model, vocabulary
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: list[bytes],
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, log_likelihood, per_token."""
-    texts = pairs(docs, id_col, text_col)
-    shared = texts.sparkSession.sparkContext.broadcast((model, vocabulary))
+_SCORED = ("row long, id {id}, n_tokens long, log_likelihood double, "
+           "others array<struct<word: binary, n: long>>")
+
+
+def _by_unit(texts: DataFrame, model, vocabulary: Words) -> DataFrame:
+    """Scores with one count for each word of a bucket, and how often a text has which of them."""
+    shared = texts.sparkSession.sparkContext.broadcast((model, list(vocabulary), vocabulary.totals))
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches):
-        given, known = shared.value
+        from pyspark import TaskContext
+        given, known, totals = shared.value
         units_of = Vocabulary(known)
+        # What a single count is worth in a bucket; units of one word have no such share.
+        single = np.concatenate([np.zeros(UNITS - BUCKETS), -np.log(totals + UNSEEN)])
+        row = TaskContext.get().partitionId() << 33
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             seqs = [words(body) for body in batch.column("body").to_pylist()]
             units = [np.fromiter(map(units_of.__getitem__, s), np.int32, len(s)) for s in seqs]
+            others = [Counter(itertools.compress(s, (u >= UNITS - BUCKETS).tolist()))
+                      for s, u in zip(seqs, units)]
             sizes = np.array(list(map(len, units)), np.int64)
             around = np.concatenate([context(u) for u in units])
             flat = np.concatenate(units)
             step = 1 << 14
             logs = [log_probabilities(given, around[at:at + step], flat[at:at + step])[0]
-                    for at in range(0, len(flat), step)]
+                    + single[flat[at:at + step]] for at in range(0, len(flat), step)]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs, dtype=np.float64))]
                                   ) if logs else np.zeros(1)
             ends = np.cumsum(sizes)
             total = sums[ends] - sums[ends - sizes]
-            mean = pa.array([t / n if n else None for t, n in zip(total, sizes)], pa.float64())
+            pieces = pa.StructArray.from_arrays(
+                [pa.array(itertools.chain.from_iterable(others), pa.binary()),
+                 pa.array(itertools.chain.from_iterable(o.values() for o in others), pa.int64())],
+                ["word", "n"])
+            bounds = np.cumsum([0, *map(len, others)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes), pa.array(total), mean],
-                ["id", "n_tokens", "log_likelihood", "per_token"])
+                [pa.array(np.arange(row, row + len(seqs))), batch.column("id"), pa.array(sizes),
+                 pa.array(total), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
+                ["row", "id", "n_tokens", "log_likelihood", "others"])
+            row += len(seqs)
+
+    return texts.mapInArrow(run, _SCORED.format(id=kind))
+
 
-    return texts.mapInArrow(
-        run, f"id {kind}, n_tokens long, log_likelihood double, per_token double")
+def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: Words,
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, n_tokens, log_likelihood, per_token."""
+    rows = keep(_by_unit(pairs(docs, id_col, text_col), model, vocabulary), "by_unit")
+    found = rows.select("row", F.explode("others").alias("other")).select(
+        "row", "other.word", "other.n").join(vocabulary.counts, "word", "left")
+    share = F.col("n") * F.log(F.coalesce(F.col("count").cast("double"), F.lit(UNSEEN)))
+    shares = found.groupBy("row").agg(F.sum(share).alias("shares"))
+    total = F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0))
+    return rows.drop("others").join(shares, "row", "left").select(
+        "id", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("per_token"))

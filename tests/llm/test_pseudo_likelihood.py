@@ -70,3 +70,19 @@ def test_edges(edges, nothing, by_id):
         assert row.per_token == pytest.approx(row.log_likelihood / row.n_tokens)
     model, vocabulary = lm.fit(nothing)
     assert vocabulary == [] and lm.score(nothing, model, vocabulary).count() == 0
+
+
+def test_every_word_has_a_probability_of_its_own(docs, by_id):
+    """Of all words counted, many more than the network has units."""
+    names = [f"w{n}" for n in range(9000)]
+    rows = [(n, " ".join([w] * (2 + n % 2))) for n, w in enumerate(names)]
+    model, vocabulary = lm.fit(docs(rows))
+    got = by_id(lm.score(docs([*enumerate(names), (-1, "neverseen")]), model, vocabulary))
+    logs = np.array([got[n][0].log_likelihood for n in range(len(names))])
+    unit = lm.Vocabulary(list(vocabulary)).__getitem__
+    assert np.exp(logs).sum() == pytest.approx(1, abs=0.01)
+    rare = [n for n in range(len(names)) if unit(names[n].encode()) == unit(b"neverseen")]
+    assert len(rare) > 10 and got[-1][0].log_likelihood < logs[rare].min()
+    # A word counted three times is half as likely again as one of its bucket counted twice.
+    often, seldom = (next(n for n in rare if n % 2 == odd) for odd in (1, 0))
+    assert np.exp(logs[often] - logs[seldom]) == pytest.approx(1.5)
