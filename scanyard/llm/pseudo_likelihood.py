@@ -10,9 +10,10 @@ times the word's share of the words counted in it; ``UNSEEN`` of a count there s
 never counted. The table of all counts stays in the shared folder and is joined by word, so it
 grows with the input and no machine holds it. Words are counted over all documents, and the
 network learns from all of them: in each round every part of the input trains a copy on its own
-documents, at every ``STRIDE``-th place, another one each round, and the copies are averaged by
-the places they have seen. Averages are taken in groups of ``FAN`` copies, and groups of those, so
-no task gathers more. The vocabulary and the weights are of fixed size.
+documents, at every ``STRIDE``-th place, the next ones each round, and the copies are averaged by
+the places they have seen. ``STRIDE`` rounds learn every place once; fewer rounds take shorter
+strides, so no place is ever left out. Averages are taken in groups of ``FAN`` copies, and groups of those,
+so no task gathers more. The vocabulary and the weights are of fixed size.
 
 Defined cases: null and empty texts, and texts without words, have no tokens, a sum of 0 and a null
 mean; without any words the weights stay as they begin; repeated rows each get a row; columns
@@ -36,11 +37,13 @@ from scanyard.llm.decontaminate import words
 CLASSES, PER_CLASS = 48, 48
 UNITS = CLASSES * PER_CLASS
 BUCKETS = 256
+KEY = np.min_scalar_type(UNITS)  # numpy sorts short integers by radix
 SIDE, SIZE, HIDDEN = 2, 12, 16
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 4096, 0.015
+ROUNDS, STRIDE, BATCH, RATE = 2, 2, 4096, 0.015
 FAN = 64
 SLICES = 16
 UNSEEN = 0.5
+SCORED = 3 << 20  # bytes of text whose words are held at once in scoring
 
 
 class Words(list):
@@ -125,9 +128,13 @@ def start(frequent: list[int], others: int) -> dict[str, np.ndarray]:
         "word_bias": np.log(by_class / by_class.sum(1, keepdims=True)).astype(np.float32)}
 
 
-def _log_softmax(x):
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x, at, train):
+    """Logarithm of the softmax at one column of each row, and in training the softmax. Alters x."""
+    x -= x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    return found - np.log(total), np.divide(x, total[:, None], out=x) if train else None
 
 
 def context(units: np.ndarray) -> np.ndarray:
@@ -141,15 +148,13 @@ def log_probabilities(model, around: np.ndarray, units: np.ndarray, train: bool
     inputs = model["vector"][around].reshape(len(around), -1)
     hidden = np.tanh(inputs @ model["hidden"] + model["hidden_bias"])
     # In the order of the classes, so that each class's rows lie together.
-    order = np.argsort(units, kind="stable")
+    order = np.argsort(units.astype(KEY), kind="stable")
     group, word = np.divmod(units[order], PER_CLASS)
     bounds = np.searchsorted(group, np.arange(CLASSES + 1))
     hidden, every = hidden[order], np.arange(len(units))
-    by_class = _log_softmax(hidden @ model["class"] + model["class_bias"])
-    found = by_class[every, group]
+    found, d_class = _softmax(hidden @ model["class"] + model["class_bias"], group, train)
     g = {k: np.zeros_like(v) for k, v in model.items()} if train else {}
     if train:
-        d_class = np.exp(by_class)
         d_class[every, group] -= 1
         g["class"], g["class_bias"] = hidden.T @ d_class, d_class.sum(0)
         d_hidden = d_class @ model["class"].T
@@ -158,12 +163,10 @@ def log_probabilities(model, around: np.ndarray, units: np.ndarray, train: bool
         given = hidden[mine]
         if not len(given):
             continue
-        logs = _log_softmax(given @ model["word"][c] + model["word_bias"][c])
-        rows = every[:len(given)]
-        found[mine] += logs[rows, word[mine]]
+        logs, d = _softmax(given @ model["word"][c] + model["word_bias"][c], word[mine], train)
+        found[mine] += logs
         if train:
-            d = np.exp(logs)
-            d[rows, word[mine]] -= 1
+            d[every[:len(given)], word[mine]] -= 1
             g["word"][c], g["word_bias"][c] = given.T @ d, d.sum(0)
             d_hidden[mine] += d @ model["word"][c].T
     out = np.empty_like(found)
@@ -174,7 +177,7 @@ def log_probabilities(model, around: np.ndarray, units: np.ndarray, train: bool
         g["hidden"], g["hidden_bias"] = inputs.T @ d_pre, d_pre.sum(0)
         d_inputs = (d_pre @ model["hidden"].T).reshape(-1, SIZE)
         keys = around.ravel()
-        rank = np.argsort(keys, kind="stable")
+        rank = np.argsort(keys.astype(KEY), kind="stable")
         first = np.flatnonzero(np.diff(keys[rank], prepend=-1))
         g["vector"][keys[rank][first]] = np.add.reduceat(d_inputs[rank], first)
     return out, g
@@ -216,8 +219,9 @@ def _shaped(flat: np.ndarray, like) -> dict[str, np.ndarray]:
 _COPIES = "slice int, part long, places double, weights binary"
 
 
-def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int) -> DataFrame:
-    """Each part's copy after learning, in slices."""
+def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int,
+            stride: int) -> DataFrame:
+    """Each part's copy after learning at every place of one phase, in slices."""
     shared = texts.sparkSession.sparkContext.broadcast((model, vocabulary))
 
     def run(batches):
@@ -239,7 +243,7 @@ def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int) -> Dat
                 seq = words(body)
                 text = np.fromiter(map(units_of.__getitem__, seq), np.int32, len(seq))
                 # Texts begin at other places of the stride, so short ones count alike.
-                places = np.arange((len(seq) + phase) % STRIDE, len(seq), STRIDE)
+                places = np.arange((len(seq) + phase) % stride, len(seq), stride)
                 if len(places):
                     around.append(context(text)[places])
                     units.append(text[places])
@@ -292,8 +296,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     frequent = [bytes(r["word"]) for r in rows]
     vocabulary = Words(frequent, counts, bucket_totals(counts, frequent))
     model = start([r["count"] for r in rows], int(vocabulary.totals.sum()))
+    stride = min(STRIDE, rounds)
     for phase in range(rounds):
-        model = average(_copies(texts, model, frequent, phase * (STRIDE // 2 + 1)), model)
+        model = average(_copies(texts, model, frequent, phase % stride, stride), model)
     return model, vocabulary
 
 
@@ -313,7 +318,7 @@ def _by_unit(texts: DataFrame, model, vocabulary: Words) -> DataFrame:
         # What a single count is worth in a bucket; units of one word have no such share.
         single = np.concatenate([np.zeros(UNITS - BUCKETS), -np.log(totals + UNSEEN)])
         row = TaskContext.get().partitionId() << 33
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
+        for batch in itertools.chain.from_iterable(slices(b, most=SCORED) for b in batches):
             seqs = [words(body) for body in batch.column("body").to_pylist()]
             units = [np.fromiter(map(units_of.__getitem__, s), np.int32, len(s)) for s in seqs]
             others = [Counter(itertools.compress(s, (u >= UNITS - BUCKETS).tolist()))

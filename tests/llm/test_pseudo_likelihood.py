@@ -86,3 +86,18 @@ def test_every_word_has_a_probability_of_its_own(docs, by_id):
     # A word counted three times is half as likely again as one of its bucket counted twice.
     often, seldom = (next(n for n in rare if n % 2 == odd) for odd in (1, 0))
     assert np.exp(logs[often] - logs[seldom]) == pytest.approx(1.5)
+
+
+@pytest.mark.parametrize("rounds", [1, lm.ROUNDS])
+def test_every_place_is_learned_from_once(docs, monkeypatch, rounds):
+    """Those of texts of one and two words too."""
+    seen, average = [], lm.average
+
+    def counted(copies, model):
+        seen.extend(r.places for r in copies.where("slice = 0").collect())
+        return average(copies, model)
+
+    monkeypatch.setattr(lm, "average", counted)
+    sizes = [1, 1, 1, 2, 3, 7, 8, 9, 40]
+    lm.fit(docs([(n, "a " * size) for n, size in enumerate(sizes)]), rounds=rounds)
+    assert sum(seen) == sum(sizes)
