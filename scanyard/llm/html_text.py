@@ -6,7 +6,10 @@ and the subtree of the largest sum holds the main text. The least density on the
 the body is the threshold: where a sibling of the subtree, or of an element above it, is as dense,
 or is a heading, the common parent takes its place. A subtree inside an ``article`` or ``main``
 element grows to that element. Elements that are boilerplate by their tag, role or class (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) are taken out beforehand.
+headers, footers, sidebars, notices, adverts, forms, comments) are taken out beforehand. A class
+or a form only hints at that: an element of more than ``LITTLE`` characters that has the larger part
+of the page's text outside links stays, unless it is of comments and more than ``LITTLE`` are in
+an ``article`` or ``main``; and where hints would leave no text, they are not followed.
 
 Blocks are text between the bounds of block elements. Their character references are decoded,
 their white space becomes one space, and blocks are joined by an empty line.
@@ -48,15 +51,21 @@ ENDS_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr "
     "main nav ol p pre section table ul".split())
 DROPPED = frozenset(
-    "head script style noscript template svg math iframe object form button select textarea "
+    "head script style noscript template svg math iframe object button select textarea "
     "input nav footer aside dialog menu title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert "
                   "alertdialog dialog".split())
-HINT = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|side-?bar\w*|"
+_HINTS = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|side-?bar\w*|"
     r"footer|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|share|sharing|"
     r"social|related|recommend\w*|comments?|disqus|repl(?:y|ies)|breadcrumbs?|pagination|pager|"
-    r"toolbar|widget|masthead|copyright)(?:$|[-_\s])")
+    r"toolbar|masthead|copyright)")
+# One class: a hint is the first or the last part of its name, or the class is a widget's own.
+HINT = re.compile(rf"{_HINTS}(?:[-_].*)?|.*[-_]{_HINTS}|widgets?(?:[-_]area)?", re.S)
+# Parts of names that say how a page is laid out around or without such an element.
+LAYOUT = re.compile(r"(?:^|[-_])(?:has|with|without|no|not|layout|wrap|wrapper)(?:$|[-_])")
+COMMENTS = re.compile(r"(?:^|[-_])(?:comments?|disqus|repl(?:y|ies))(?:$|[-_])")
+LITTLE = 100
 HEADINGS = frozenset(("h1", "h2"))
 
 _TAG = re.compile(
@@ -72,6 +81,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.tag, self.parent, self.drop = ["#root"], [-1], [False]
+        self.hints: list[list[str]] = [[]]  # the names that hint at boilerplate
         # What a page holds, in order: (element, text), or (element, None) where a block is bound.
         self.flow: list[tuple[int, str | None]] = []
         open_: list[int] = [0]
@@ -106,7 +116,9 @@ class Tree:
         me, parent = len(self.tag), open_[-1]
         self.tag.append(tag)
         self.parent.append(parent)
-        self.drop.append(self._boilerplate(tag, rest))
+        drop, hints = self._boilerplate(tag, rest)
+        self.drop.append(drop)
+        self.hints.append(hints)
         if tag not in INLINE:
             self._bound(me)
         elif tag == "br":
@@ -145,17 +157,20 @@ class Tree:
         del open_[place:]
 
     @staticmethod
-    def _boilerplate(tag: str, rest: str) -> bool:
+    def _boilerplate(tag: str, rest: str) -> tuple[bool, list[str]]:
+        """Whether an element is boilerplate for certain, and what hints at it."""
         if tag in DROPPED:
-            return True
+            return True, []
+        hints = ["form"] if tag == "form" else []
         if not rest.strip(" /\n") or tag in ("html", "body", "article", "main"):
-            return False
+            return False, hints
         names = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(rest)}
         if "hidden" in names or names.get("aria-hidden", "").lower() == "true":
-            return True
+            return True, []
         if names.get("role", "").lower() in ROLES:
-            return True
-        return any(HINT.search(names.get(k, "").lower()) for k in ("class", "id"))
+            return True, []
+        given = f"{names.get('class', '')} {names.get('id', '')}".lower().split()
+        return False, hints + [n for n in given if HINT.fullmatch(n) and not LAYOUT.search(n)]
 
 
 def _sizes(tree: Tree, gone: list[bool]) -> tuple[list[int], ...]:
@@ -222,19 +237,45 @@ def main_element(tree: Tree, gone: list[bool]) -> int:
     return best
 
 
-def main_text(page: str) -> str:
-    tree = Tree(page)
+def _gone(tree: Tree) -> list[bool]:
+    """Elements taken out as boilerplate."""
     count = len(tree.tag)
-    holds = [tag in ("article", "main") for tag in tree.tag]
+    named = [tag in ("article", "main") for tag in tree.tag]
+    holds = list(named)
     for e in range(count - 1, 0, -1):
         holds[tree.parent[e]] |= holds[e]
-    gone, inside = [False] * count, [False] * count
-    for e in range(1, count):
-        up = tree.parent[e]
-        inside[e] = inside[up] or tree.tag[e] in ("article", "main")
-        # What wraps the article is not boilerplate; a header inside it has its title.
-        header = tree.tag[e] == "header" and not inside[e]
-        gone[e] = gone[up] or (tree.drop[e] or header) and not holds[e]
+
+    def taken(chosen: list[bool]) -> list[bool]:
+        gone, inside = [False] * count, [False] * count
+        for e in range(1, count):
+            up = tree.parent[e]
+            inside[e] = inside[up] or named[e]
+            # What wraps the article is not boilerplate; a header inside it has its title.
+            header = tree.tag[e] == "header" and not inside[e]
+            gone[e] = gone[up] or (chosen[e] or header) and not holds[e]
+        return gone
+
+    sure = taken(tree.drop)
+    if not any(tree.hints):
+        return sure
+    chars, _, links, _ = _sizes(tree, sure)
+    own = [c - n for c, n in zip(chars, links)]
+    article = max((own[e] for e in range(count) if named[e]), default=0)
+
+    def stays(e: int) -> bool:
+        comments = article > LITTLE and any(map(COMMENTS.search, tree.hints[e]))
+        return 2 * own[e] > own[0] and own[e] > LITTLE and not comments
+
+    gone = taken([tree.drop[e] or bool(tree.hints[e]) and not stays(e) for e in range(count)])
+    if own[0] and not any(text and text.strip() and not gone[e] for e, text in tree.flow):
+        return sure
+    return gone
+
+
+def main_text(page: str) -> str:
+    tree = Tree(page)
+    count = len(tree.tag)
+    gone = _gone(tree)
     root = main_element(tree, gone)
     within = [False] * count
     within[root] = True

@@ -82,3 +82,33 @@ def test_edges(spark):
     got = sorted((tuple(r) for r in html_text.extract(pages).collect()), key=repr)
     assert got == sorted([(1, None, ""), (2, "u", ""), (2, "u", ""), (None, "v", "x")], key=repr)
     assert html_text.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("outer", [
+    "div class='page-with-sidebar'", "div class='layout has-sidebar'", "div id='no-comments'",
+    "div class='content-sidebar-wrap'", "div class='post social'", "div class='elementor-widget'",
+    "form action='/'", "section class='main related'"])
+@pytest.mark.parametrize("wrap", ["article", "main", "div", "section"])
+def test_what_wraps_the_text_is_not_boilerplate(outer, wrap):
+    junk = "<div class='ad'>Buy this</div><form>Name <input></form>"
+    body = f"<{wrap}><h1>Title</h1>{PARAGRAPH}<p>short</p>{PARAGRAPH}</{wrap}>"
+    page = f"<body><{outer}>{junk}{body}</{outer.split()[0]}><div class='footer'>Legal</div></body>"
+    assert main_text(page) == f"Title\n\n{TEXT}\n\nshort\n\n{TEXT}"
+
+
+def test_hints_do_not_empty_a_page():
+    widget = f"<div class='elementor-widget'>{PARAGRAPH}</div>"
+    assert main_text(f"<body><div>{widget * 3}</div></body>") == "\n\n".join([TEXT] * 3)
+    assert main_text("<body><div class='social'>few words</div></body>") == "few words"
+    page = "<body>" + f"<div class='related'>{PARAGRAPH}</div>" * 3 + "</body>"
+    assert main_text(page) == "\n\n".join([TEXT] * 3)
+
+
+def test_long_comments_beside_an_article_go():
+    comments = f"<div id='comments' class='comments-area'>{PARAGRAPH * 9}</div>"
+    assert main_text(f"<body><article>{PARAGRAPH}</article>{comments}</body>") == TEXT
+
+
+def test_a_short_article_does_not_displace_the_text():
+    page = f"<div class='post social'>{PARAGRAPH * 5}</div><article>{PARAGRAPH}</article>"
+    assert main_text(f"<body>{page}</body>").count(TEXT) >= 5
