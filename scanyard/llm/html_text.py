@@ -68,12 +68,15 @@ COMMENTS = re.compile(r"(?:^|[-_])(?:comments?|disqus|repl(?:y|ies))(?:$|[-_])")
 LITTLE = 100
 HEADINGS = frozenset(("h1", "h2"))
 
+# A quote opens a value only right after "=" and white space; elsewhere it is like any character.
+_NAME, _VALUE = r"[^\s/>][^\s/>=]*+", r"\s*+=\s*+(?:\"{}(?:\"|$)|'{}(?:'|$)|{}|(?=>|$))"
+_REST = rf"(?:[\s/]++|{_NAME}(?:{_VALUE.format(r'[^\"]*+', r"[^']*+", r"[^\s>\"'][^\s>]*+")})?+)*+"
 _TAG = re.compile(
     r"<(?:!--(?P<comment>.*?)(?:-->|$)|(?P<other>[!?])[^>]*(?:>|$)|"
     r"/(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|$)|"
-    r"(?P<start>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?P<shut>>?))",
-    re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+    rf"(?P<start>[a-zA-Z][^\s/>]*)(?P<rest>{_REST})(?P<shut>>?))", re.S)
+_ATTRIBUTE = re.compile(
+    rf"({_NAME})(?:{_VALUE.format(r'([^\"]*+)', r"([^']*+)", r"([^\s>\"'][^\s>]*+)")})?+")
 
 
 class Tree:

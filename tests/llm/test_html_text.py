@@ -112,3 +112,24 @@ def test_long_comments_beside_an_article_go():
 def test_a_short_article_does_not_displace_the_text():
     page = f"<div class='post social'>{PARAGRAPH * 5}</div><article>{PARAGRAPH}</article>"
     assert main_text(f"<body>{page}</body>").count(TEXT) >= 5
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p title=don't>one</p><p>two</p>", "one\n\ntwo"),
+    ("<a href=\"x\"\">one</a><p class=\"y\">two</p>", "one\n\ntwo"),
+    ("<p x'y>one</p><p>it's two</p>", "one\n\nit's two"),
+    ("<p \">one</p><p class='y'>two</p>", "one\n\ntwo"),
+    ("<p title=a\"b>c\">one</p>", "c\">one"),
+    ("<p a = 'x>y' b=\"z>\"c>one</p>", "one"),
+    ("<p a= >one</p><p b=>two</p><br/>x", "one\n\ntwo\n\nx"),
+    ("<p a=/x/y/>one</p><p =\"b>two\"</p>", "one\n\ntwo\""),
+    ("<div class='ad'\"x>no</div><p>one", "one"),
+    ("<div x=it's class=ad>no</div><p>one", "one"),
+    ("x<p title=\"y>z", "x"),
+])
+def test_quotes_open_a_value_only_after_an_equals_sign(page, text):
+    assert main_text(page) == text
+
+
+def test_a_tag_without_end_is_read_once():
+    assert main_text("x<p " + "a='\" = " * 100_000) == "x"
