@@ -4,8 +4,8 @@ A page becomes a tree. Every block element has a density: its characters per tag
 much of it is links, here and in the body. An element's sum is that of its children's densities,
 and the subtree of the largest sum holds the main text. The least density on the way from it up to
 the body is the threshold: where a sibling of the subtree, or of an element above it, is as dense,
-or is a heading, the common parent takes its place. A subtree inside an ``article`` or ``main``
-element grows to that element. Elements that are boilerplate by their tag, role or class (menus,
+or is a heading, the common parent takes its place. What that gives inside an ``article`` or ``main``
+element grows to that element; where siblings of the element are as dense, it holds them too. Elements that are boilerplate by their tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) are taken out beforehand. A class
 or a form only hints at that: an element of more than ``LITTLE`` characters that has the larger part
 of the page's text outside links stays, unless it is of comments and more than ``LITTLE`` are in
@@ -228,16 +228,14 @@ def main_element(tree: Tree, gone: list[bool]) -> int:
     path = [best]
     while path[-1]:
         path.append(tree.parent[path[-1]])
-    named = [e for e in path if tree.tag[e] in ("article", "main")]
-    if named:
-        return named[0]
     top = [e for e in path if block[e] and tree.tag[e] not in ("html", "#root")] or [best]
     least = min(dense[e] for e in top)
     for below, above in zip(path, path[1:]):
         if any(e != below and (dense[e] >= least > 0 or tree.tag[e] in HEADINGS and chars[e])
                for e in children[above]):
             best = above
-    return best
+    named = [e for e in path[path.index(best):] if tree.tag[e] in ("article", "main")]
+    return named[0] if named else best
 
 
 def _gone(tree: Tree) -> list[bool]:

@@ -133,3 +133,10 @@ def test_quotes_open_a_value_only_after_an_equals_sign(page, text):
 
 def test_a_tag_without_end_is_read_once():
     assert main_text("x<p " + "a='\" = " * 100_000) == "x"
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>", "<main>{}</main>"])
+def test_sibling_articles_all_stay(wrap):
+    article = f"<article><h2>Title</h2>{PARAGRAPH * 6}</article>"
+    got = main_text(f"<body><div class='ad'>Buy this</div>{wrap.format(article * 3)}</body>")
+    assert got == "\n\n".join(["Title", *[TEXT] * 6] * 3)
