@@ -8,7 +8,9 @@ ten have tables of their own.
 
 The benchmark is a set of queries against all rows. It is split into parts of ``PART_BYTES`` of
 text; each part is broadcast and every document read against it, so no broadcast outgrows that.
-Finds of earlier parts travel with the document through the shared folder.
+Spark deals the items out by hash, and the driver fetches a part when those before it are done with
+and their broadcasts dropped. Finds of earlier parts travel with the document through the shared
+folder, as do the rows that are still clean.
 
 Defined cases: null or empty texts have no words and are never hit; items without words match
 nothing; items of equal text all count; an item
@@ -20,10 +22,11 @@ from __future__ import annotations
 
 import itertools
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -115,10 +118,8 @@ _FOUND = "n_words long, starts array<int>, ends array<int>, items array<string>"
 _DIGEST = "id {id}, n_words long, n_hit long, items array<string>"
 
 
-def _search(docs: DataFrame, part: list[tuple[object, bytes]], window: int,
-            last: bool) -> DataFrame:
+def _search(docs: DataFrame, shared: Broadcast, window: int, last: bool) -> DataFrame:
     """Add one part's finds to those a row has; after the last part, count the words hit."""
-    shared = docs.sparkSession.sparkContext.broadcast(part)
     kind = docs.schema["id"].dataType.simpleString()
     schema = _DIGEST.format(id=kind) if last else f"id {kind}, body binary, {_FOUND}"
     first = "items" not in docs.columns
@@ -150,9 +151,12 @@ def _search(docs: DataFrame, part: list[tuple[object, bytes]], window: int,
 
 def parts(benchmark: DataFrame, id_col: str, text_col: str,
           most: int = PART_BYTES) -> Iterator[list[tuple[object, bytes]]]:
-    """The benchmark in lists of about ``most`` bytes of text."""
+    """The benchmark in lists of about ``most`` bytes of text, fetched as they are asked for."""
+    items = pairs(benchmark, id_col, text_col).distinct()
+    total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     rows, size = [], 0
-    for row in pairs(benchmark, id_col, text_col).toLocalIterator():
+    # One partition is on the driver at a time; it holds about as much as a list.
+    for row in items.repartition(total // most + 1, "id", "body").toLocalIterator():
         body = bytes(row["body"])
         if rows and size + len(body) > most:
             yield rows
@@ -162,16 +166,29 @@ def parts(benchmark: DataFrame, id_col: str, text_col: str,
     yield rows
 
 
+def _each(docs: DataFrame, lists: Iterator[list], apply: Callable, tag: str) -> DataFrame:
+    """``apply`` rows, a part's broadcast and whether it is the last, for one part after another.
+
+    What all parts but the last give is written, and their broadcasts are dropped.
+    """
+    context = docs.sparkSession.sparkContext
+    part = next(lists)
+    for following in lists:
+        shared = context.broadcast(part)
+        docs = keep(apply(docs, shared, False), tag)
+        shared.destroy()
+        part = following
+    return apply(docs, context.broadcast(part), True)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = WINDOW,
                   part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per document: id, n_words, n_hit, items (sorted texts of item ids)."""
-    found = pairs(docs, id_col, text_col)
-    lists = list(parts(benchmark, item_col, item_text_col, part_bytes))
-    for part in lists[:-1]:
-        found = keep(_search(found, part, window, last=False), "found")
-    return _search(found, lists[-1], window, last=True)
+    return _each(pairs(docs, id_col, text_col),
+                 parts(benchmark, item_col, item_text_col, part_bytes),
+                 lambda found, part, last: _search(found, part, window, last), "found")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
@@ -180,14 +197,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The rows of ``docs`` without a word inside an occurrence, with all their columns."""
     findable(docs.sparkSession)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    for part in parts(benchmark, item_col, item_text_col, part_bytes):
-        docs = docs.where(~_hit(docs, part, window)(body))
-    return docs
-
+    return _each(docs, parts(benchmark, item_col, item_text_col, part_bytes),
+                 lambda rows, part, last: rows.where(~_hit(part, window)(body)), "clean")
 
-def _hit(docs: DataFrame, part: list[tuple[object, bytes]], window: int):
-    shared = docs.sparkSession.sparkContext.broadcast(part)
 
+def _hit(shared: Broadcast, window: int):
     @F.pandas_udf("boolean")
     def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         search = Benchmark(shared.value, window)

@@ -62,3 +62,25 @@ def test_empty_tables(spark, docs, nothing):
     assert decontaminate.contamination(nothing, none).count() == 0
     assert {r.n_hit for r in decontaminate.contamination(docs(TEXTS), none).collect()} == {0}
     assert decontaminate.clean(docs(TEXTS), none).count() == len(TEXTS)
+
+
+@pytest.mark.parametrize("operator", [decontaminate.contamination, decontaminate.clean])
+def test_one_part_of_the_benchmark_at_a_time(spark, docs, monkeypatch, operator):
+    """Each is searched, and the result written, before the one after the next is fetched."""
+    events, parts, keep = [], decontaminate.parts, decontaminate.keep
+
+    def fetched(*args):
+        for part in parts(*args):
+            events.append("fetch")
+            yield part
+
+    def kept(*args):
+        events.append("write")
+        return keep(*args)
+
+    monkeypatch.setattr(decontaminate, "parts", fetched)
+    monkeypatch.setattr(decontaminate, "keep", kept)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert operator(docs(TEXTS), bench, part_bytes=40).count()
+    n = events.count("fetch")
+    assert n > 2 and events == ["fetch"] + ["fetch", "write"] * (n - 1)
