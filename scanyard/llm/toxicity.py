@@ -7,7 +7,7 @@ one, which gives the window's score. A logistic layer over a text's window score
 share above zero) gives the text's score.
 
 It learns from a bounded sample of labelled texts (``MOST_TOXIC`` and ``MOST_CLEAN`` texts of the
-smallest hash of id, ``MOST_WINDOWS`` windows of each, evenly spaced), in one task. Weights undo
+smallest hash of id, all windows of each, which weigh as much as one), in one task. Weights undo
 the sampling by class. Tables start from the log-odds of what the sample shows. The score depends
 on the text alone.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from scanyard.llm.common import findable, pairs, remembered
 from scanyard.llm.decontaminate import words
 
-MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 1500, 3000, 8
+MOST_TOXIC, MOST_CLEAN = 1500, 3000
 WINDOW, STRIDE = 48, 24
 WORD_BITS, GRAM_BITS = 14, 16
 WORD_SIZE, GRAM_SIZE, STATE = 6, 10, 8
@@ -292,8 +292,6 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
     picks = []
     for at, text in enumerate(texts):
         starts = windows(len(text))
-        if len(starts) > MOST_WINDOWS:
-            starts = starts[np.linspace(0, len(starts) - 1, MOST_WINDOWS).astype(int)]
         picks += [(at, int(s), 1 / len(starts)) for s in starts]
     balance = np.where(labels > 0, 0.5 / max(1, (labels > 0).sum()),
                        0.5 / max(1, (labels == 0).sum()))

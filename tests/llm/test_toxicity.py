@@ -92,3 +92,18 @@ def test_held_out_rows_are_not_learned_from(spark):
     ids = spark.range(50).withColumn("held", toxicity.held_out(F.col("id")))
     assert {r.id: r.held for r in ids.collect()} == {
         i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)}
+
+
+def test_learns_from_all_windows_of_a_long_text(monkeypatch):
+    """What makes it toxic may stand in any of them."""
+    seen, gradients = [], toxicity.gradients
+
+    def counted(model, given, rows, *more):
+        seen.extend(given.texts)
+        return gradients(model, given, rows, *more)
+
+    monkeypatch.setattr(toxicity, "gradients", counted)
+    bodies = [b"word " * 2000 for _ in range(10)]
+    toxicity.train(bodies, [0, 1] * 5, epochs=1)
+    # One text of each class is set aside for the last layer.
+    assert len(seen) == 8 * len(toxicity.windows(2000)) > 8 * 8
