@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanyard.llm import (
-    decontaminate, exact_dedup, html_text, ngram_join, packing, pseudo_likelihood,
-    token_files, toxicity, url_rules, warc)
+    decontaminate, divergence, exact_dedup, html_text, line_dedup, ngram_join, packing,
+    periodic_runs, pseudo_likelihood, token_files, toxicity, url_rules, warc)
 from scanyard.llm.common import table
 from scanyard.session import tune
 
@@ -199,3 +199,105 @@ def op9_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs)).withColumnRenamed(
         "id", "doc_id")
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten by its id repeats some of its words up to its end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    given = docs.select("doc_id", "text", F.floor(h / 10).alias("g"),
+                        F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    placed = given.select("doc_id", "text", "g", "words", F.when(n > 0, F.col("g") % n).alias("a"))
+    period = 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))
+    placed = placed.withColumn("p", period)
+    source = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", F.when(
+        i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(source, " "))
+                         .otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of periodic words of every document, the strongest one, and digests."""
+    found = periodic_runs.find(planted(table(spark, sf_dir, "documents")))
+    # Exact: lengths over periods are compared by products.
+    stronger = F.array_sort("runs", lambda a, b: F.when(
+        a["length"] * b["period"] != b["length"] * a["period"],
+        F.signum(b["length"] * a["period"] - a["length"] * b["period"]))
+        .when(a["start"] != b["start"], F.signum(a["start"] - b["start"]))
+        .otherwise(F.signum(a["period"] - b["period"])).cast("int"))
+    best = found.withColumn("best", F.get(stronger, F.lit(0)))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *(r[k].cast("string") for k in ("start", "length", "period"))), F.lit("\n")))
+    return best.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query(f"""
+    with d as (select row_number() over () as i, coalesce(lang, '') as lang,
+                      coalesce(source, '') as source, regexp_extract_all(
+                          {_AZ.format("coalesce(text, '')")},
+                          '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+    t as (select i, lang, source, unnest(w) as term from d),
+    kept as (select lang, term, count(*) as n from t group by lang, term
+             having count(distinct i) >= 30),
+    v as (select lang, count(*) as v, sum(n) as n from kept group by lang),
+    groups as (select distinct lang, source from d),
+    own as (select lang, source, term, count(*) as c from t semi join kept using (lang, term)
+            group by all),
+    total as (select lang, source, sum(c) as n from own group by all),
+    p as (select groups.lang, groups.source, kept.term, coalesce(own.c, 0) as c,
+                 1 + (1000000000::hugeint * (coalesce(own.c, 0) + 5))
+                     // (coalesce(total.n, 0) + 5 * v.v) as p,
+                 1 + (1000000000::hugeint * (kept.n + 5)) // (v.n + 5 * v.v) as q
+          from groups join kept on kept.lang = groups.lang join v on v.lang = groups.lang
+          left join own on own.lang = groups.lang and own.source = groups.source
+                       and own.term = kept.term
+          left join total on total.lang = groups.lang and total.source = groups.source),
+    sums as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+             from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+             group by all),
+    pair as (select a.lang, a.source, 'pair' as part, b.source as item,
+                    coalesce(sums.value, 0)::bigint as value
+             from groups a join groups b on a.lang = b.lang and a.source <> b.source
+             left join sums on sums.lang = a.lang and sums.source = a.source
+                           and sums.item = b.source),
+    term as (select lang, source, 'term' as part, term as item, (p - q)::bigint as value
+             from p where c > 0 and p > q),
+    every as (select * from pair union all select * from term)
+    select *, (row_number() over (partition by lang, source, part
+                                  order by value desc, item))::int as rank
+    from every qualify part = 'pair' or rank <= 50""")
+def op12_source_divergence(spark, sf_dir):
+    """Distances of the sources of each language, and the terms that set a source apart."""
+    audit = divergence.Audit(table(spark, sf_dir, "documents"))
+    columns = ["lang", "source", "part", "item", "value", "rank"]
+    pair = audit.pairs().withColumn("part", F.lit("pair")).withColumnRenamed("other", "item")
+    term = audit.terms(most=50).withColumn("part", F.lit("term")).withColumnRenamed("term", "item")
+    return pair.select(columns).unionByName(term.select(columns))
+
+
+@query(f"""
+    with d as (select doc_id, coalesce(text, '') as text from documents),
+    l as (select doc_id, pos, line, {_AZ.format("trim(line, ' ' || chr(9) || chr(10) || chr(11)"
+                                                " || chr(12) || chr(13))")} as key
+          from (select doc_id, unnest(string_split(text, chr(10))) as line,
+                       generate_subscripts(string_split(text, chr(10)), 1) as pos from d)),
+    first as (select key, min(doc_id) as first from l where length(key) >= 10 group by key),
+    m as (select l.*, coalesce(first.first <> doc_id, false) as lost
+          from l left join first on first.key = l.key)
+    select doc_id, count(*) as n_lines, count(*) filter (lost) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not lost), ''))
+               as kept_sha256
+    from m group by doc_id""")
+def op13_line_dedup(spark, sf_dir):
+    """Documents without the lines that an earlier document holds."""
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.apply(docs, line_dedup.bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))

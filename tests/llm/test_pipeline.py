@@ -83,5 +83,5 @@ def test_contract():
     assert corpus_pipeline.ORACLE_SQL is None and callable(corpus_pipeline.run)
     for _, stage in corpus_pipeline.STAGES:
         assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {
         n.split("_")[0] for n in entry.LLM}
