@@ -19,7 +19,9 @@ def tune(spark: SparkSession) -> SparkSession:
             ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
             ("spark.sql.adaptive.skewJoin.enabled", "true"),
             ("spark.sql.adaptive.forceOptimizeSkewedJoin", "true"),
-            ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", size)):
+            ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", size),
+            # What a Python worker is handed at once, however long the rows are.
+            ("spark.sql.execution.arrow.maxBytesPerBatch", "8MB")):
         if not _is_set(spark, key):
             spark.conf.set(key, value)
     return spark
