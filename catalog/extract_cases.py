@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
 from catalog import report_sql as sql
-from catalog.registry import START, case
-from scanyard.functions.dates import us_date
-from scanyard.plans import extracts
+from catalog.registry import AS_OF, START, case
+from scanyard.functions.dates import ts, us_date
+from scanyard.plans import extracts, kept, outstanding
 from scanyard.plans.config import FCS, OMPF, OMPF_FIRST, VAULT
+from scanyard.session import shared_dir
 
 FCS_T, VAULT_T = FCS.starting(START), VAULT.starting(START)
 OMPF_T, FIRST_T = OMPF.starting(START), OMPF_FIRST.starting(START)
@@ -60,6 +65,41 @@ def _(roles):
     return _uploads(roles, OMPF_T)
 
 
+# A first run knew the documents up to here; later uploads were not done.
+CUT = datetime(1997, 3, 10, 12)
+
+
+def kept_tables(roles):
+    """Upload records kept by a run at ``CUT`` and brought up to date by one at ``AS_OF``."""
+    documents, cut = roles["document"], ts(CUT)
+    uploaded = F.when(F.col("ftpstime") < cut, F.col("ftpstime"))
+    base = shared_dir(documents.sparkSession)
+    kept.refresh(documents.where(F.col("ImageDateTime") < cut).withColumn("ftpstime", uploaded),
+                 base, CUT)
+    kept.refresh(documents, base, AS_OF)
+    return kept.with_kept(roles, base)
+
+
+@case("e02_kept_records_fcs", _uploads_sql(sql.FCS_RECORDS))
+def _(roles):
+    return _uploads(kept_tables(roles), FCS_T)
+
+
+@case("e02_kept_records_ompf", _uploads_sql(sql.OMPF_RECORDS))
+def _(roles):
+    return _uploads(kept_tables(roles), OMPF_T)
+
+
+@case("r02_outstanding_batches_kept", sql.aged(sql.FCS_MASTER, sql.FCS_RECORDS, folders=False))
+def _(roles):
+    return outstanding.r02_outstanding_batches(kept_tables(roles), FCS_T, AS_OF)
+
+
+@case("r06_open_batches_kept", sql.OPEN_BATCHES)
+def _(roles):
+    return outstanding.r06_open_batches(kept_tables(roles), OMPF_T)
+
+
 @case("e03_active_folders", f"""
     select distinct f.RMN, f.PBatch, f.dcsid, p.BatchClassName
     from folder_map f left join physical_batch p on p.PBatch = f.PBatch

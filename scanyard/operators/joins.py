@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from scanyard.functions.dates import day_start, last_day_before
 from scanyard.functions.predicates import is_nonworking
+from scanyard.operators.keymap import free_name, with_may_be_listed
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -98,18 +99,32 @@ def flag_any(fact: DataFrame, key: str, condition: Column, name: str) -> DataFra
     return one_per_key(fact, key, F.max(F.coalesce(condition, F.lit(False))).alias(name))
 
 
+def split_anti_join(left: DataFrame, listed: DataFrame, col: str) -> DataFrame:
+    """Left rows whose ``col`` is not in the one column of ``listed``; NULLs are never in it.
+
+    Only rows that a map of the list's keys cannot rule out are joined, so the others don't move
+    however long the list is. The left side is read once for either kind.
+    """
+    flag = free_name(left, "_near")
+    marked = with_may_be_listed(left, F.col(col), listed, flag)
+    near = marked.where(F.col(flag)).join(listed.toDF(col), col, "left_anti")
+    far = marked.where(~F.col(flag))
+    return far.select(*left.columns).unionByName(near.select(*left.columns))
+
+
 def not_in(left: DataFrame, right: DataFrame, col: str, right_col: str | None = None) -> DataFrame:
     """``col NOT IN (right)`` with its NULL rules, without broadcasting the list.
 
     An empty list keeps every row, a NULL in the list keeps none, and a NULL key is kept only
-    by an empty list.
+    by an empty list. Rows that cannot be listed are not shuffled.
     """
     listed = one_per_key(right.select(F.col(right_col or col).alias(col)), col)
     # From the distinct values, in one go: 2 for an empty list, 0 for one with a NULL, else 1.
     let_pass = listed.agg(F.when(F.count("*") == 0, 2).when(
         F.count_if(F.col(col).isNull()) > 0, 0).otherwise(1)).scalar()
-    rest = left.join(listed, col, "left_anti")
-    return rest.where(let_pass + F.col(col).isNotNull().cast("int") >= 2).select(*left.columns)
+    # Before the rows are marked, so that those that cannot pass are not.
+    asked = left.where(let_pass + F.col(col).isNotNull().cast("int") >= 2)
+    return split_anti_join(asked, listed, col).select(*left.columns)
 
 
 def outstanding(left: DataFrame, right: DataFrame, on: str | Sequence[str],

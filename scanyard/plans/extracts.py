@@ -15,6 +15,7 @@ from scanyard.functions.predicates import has_prefix, not_test_batch, valid_trac
 from scanyard.operators.joins import left_join_children, nonworking_rows, one_per_key
 from scanyard.operators.sets import union_shards
 from scanyard.plans.config import Line
+from scanyard.plans.kept import kept_records
 
 Tables = Mapping[str, DataFrame]
 
@@ -109,6 +110,9 @@ def line_documents(tables: Tables, line: Line) -> DataFrame:
     if line.imaged_since:
         documents = documents.where(
             since(F.col("ImageDateTime"), line.imaged_since, line.imaged_since_inclusive))
+        if "image_month" in documents.columns:
+            documents = documents.where(
+                F.col("image_month") >= F.lit(month_start(line.imaged_since).date()))
     if line.upload_prefix:
         documents = documents.where(has_prefix(F.col("PBatch"), line.upload_prefix))
     return documents
@@ -119,9 +123,21 @@ def _record_keys(line: Line) -> list[str]:
     return keys + (["ImageID"] if line.image_grain else [])
 
 
+def _line_uploads(tables: Tables, line: Line, image_grain: bool) -> DataFrame:
+    """(box, batch, folder, perhaps image, UploadTime) of the line, several rows a record.
+
+    From the kept partials where the tables have them, else from the documents.
+    """
+    kept = kept_records(tables, line, "image_uploads" if image_grain else "folder_uploads")
+    if kept is None:
+        return line_documents(tables, line).withColumn("UploadTime", F.col("ftpstime"))
+    return kept.where(has_prefix(F.col("PBatch"), line.upload_prefix)) if line.upload_prefix \
+        else kept
+
+
 def _records(tables: Tables, line: Line) -> DataFrame:
-    return line_documents(tables, line).groupBy(*_record_keys(line)).agg(
-        F.max("ftpstime").alias("UploadTime"))
+    return _line_uploads(tables, line, line.image_grain).groupBy(*_record_keys(line)).agg(
+        F.max("UploadTime").alias("UploadTime"))
 
 
 def upload_records(tables: Tables, line: Line) -> DataFrame:
@@ -138,7 +154,7 @@ def upload_records(tables: Tables, line: Line) -> DataFrame:
 def recorded_folders(tables: Tables, line: Line) -> DataFrame:
     """(Batch, folder) of the upload records, once per box they were recorded for."""
     keys = ["RMN", "PBatch", "dcsid"] if line.uploads_need_box else ["PBatch", "dcsid"]
-    folders = line_documents(tables, line).select(*keys).distinct()
+    folders = _line_uploads(tables, line, False).select(*keys).distinct()
     if line.uploads_need_box:
         folders = folders.join(box_keys(tables, line), "RMN", "left_semi")
     return folders.select("PBatch", "dcsid")
@@ -159,7 +175,10 @@ def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
 
 def uploaded_batches(tables: Tables, name: str = "PBatch") -> DataFrame:
     """Batches with at least one uploaded document; others are dropped by the scan."""
-    uploaded = tables["document"].where(F.col("ftpstime").isNotNull())
+    if "folder_uploads" in tables:
+        uploaded = tables["folder_uploads"].where(F.col("UploadTime").isNotNull())
+    else:
+        uploaded = tables["document"].where(F.col("ftpstime").isNotNull())
     return one_per_key(uploaded.withColumnRenamed("PBatch", name), name)
 
 

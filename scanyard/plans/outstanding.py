@@ -203,9 +203,12 @@ def r08_turnaround_pivot(tables: Tables, line: Line = OMPF, as_of=None) -> DataF
 def r10_direct_outstanding(tables: Tables, line: Line = OMPF_DIRECT, as_of=None) -> DataFrame:
     """Open batches straight from the documents, with the number still to be uploaded."""
     batches = box_batches(tables, line).select("RMN", "TrackingNo", "BatchName").distinct()
-    not_uploaded = F.col("ftpstime").isNull()
+    if "image_uploads" in tables:
+        images, not_uploaded = tables["image_uploads"], F.col("Waits")
+    else:
+        images, not_uploaded = tables["document"], F.col("ftpstime").isNull()
     documents = one_per_key(
-        tables["document"].withColumnRenamed("PBatch", "BatchName"), "BatchName",
+        images.withColumnRenamed("PBatch", "BatchName"), "BatchName",
         F.count_distinct(F.when(not_uploaded, F.col("ImageID"))).alias("_docs"),
         F.max(not_uploaded).alias("_open"),
     )

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanyard.functions.text import clean_code, clean_key
-from scanyard.sources.schemas import CODE_COLUMNS, KEY_COLUMNS, ROLE_SCHEMAS
+from scanyard.sources.schemas import (CODE_COLUMNS, DOCUMENT_MONTHS, KEY_COLUMNS, ROLE_SCHEMAS,
+                                      image_month)
 from scanyard.sources.tables import scan
 
 
@@ -47,10 +48,11 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
-    """Write normalised role tables; documents are kept apart by upload month.
+    """Write normalised role tables; documents are kept apart by upload and image month.
 
     Rows of a month are brought together first, so a month is not a small file per task; the
-    rebalance splits a month that is much larger than the others. Rows lie in the order of their
+    rebalance splits a month that is much larger than the others. Documents are uploaded soon after
+    they are imaged, so each upload month has few image months. Rows lie in the order of their
     batch, in files of disjoint ranges where there are no months, so the batch prefixes of the
     lines skip most row groups.
     """
@@ -59,10 +61,11 @@ def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
         path = f"{base}/{role}.parquet"
         batch = next((c for c in _BATCH_COLUMNS if c in df.columns), None)
         if role == "document":
-            monthly = clean.withColumn("upload_month", F.trunc(F.to_date("ftpstime"), "MM"))
-            monthly.hint("rebalance", "upload_month").sortWithinPartitions(
-                "upload_month", "PBatch", "ImageDateTime").write.mode("overwrite").partitionBy(
-                "upload_month").parquet(path)
+            months = {"upload_month": F.trunc(F.to_date("ftpstime"), "MM"),
+                      "image_month": image_month()}
+            clean.withColumns(months).hint("rebalance", *months).sortWithinPartitions(
+                *months, "PBatch", "ImageDateTime").write.mode("overwrite").partitionBy(
+                *months).parquet(path)
             continue
         if batch:
             clean = clean.repartitionByRange(batch).sortWithinPartitions(batch)
@@ -80,7 +83,7 @@ def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
         if not clean:
             return normalise(scan(spark, base, role, schema))
         if role == "document":
-            schema += ", upload_month date"
+            schema += f", {DOCUMENT_MONTHS}"
         return scan(spark, base, role, schema)
 
     return Roles({role: (lambda role=role: read(role)) for role in ROLE_SCHEMAS})
@@ -127,6 +130,16 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
     def folder_id() -> Column:
         return F.expr("concat(l_orderkey, '-', l_linenumber % 3)")
 
+    def repeated(df: DataFrame, changes: dict[str, list[tuple[Column, Column]]]) -> DataFrame:
+        """The rows, and a copy with another value in a column wherever a condition holds."""
+        names = df.columns
+        copies = [F.struct(*names)]
+        for name, cases in changes.items():
+            for condition, value in cases:
+                changed = [value.alias(n) if n == name else c(n) for n in names]
+                copies.append(F.when(condition, F.struct(*changed)))
+        return df.select(F.inline(F.filter(F.array(*copies), lambda r: r.isNotNull())))
+
     def check_in() -> DataFrame:
         k = c("c_custkey")
         boxes = scan(spark, base, "customer").select(
@@ -143,8 +156,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             .cast("timestamp_ntz").alias("insertdate"),
         )
         other = F.when(c("claimtype") == "OMPF", "AUTOMOBILE").otherwise("OMPF")
-        return boxes.unionByName(boxes.where(k % 43 == 0).withColumn("claimtype", other)).drop(
-            "c_custkey")
+        return repeated(boxes, {"claimtype": [(k % 43 == 0, other)]}).drop("c_custkey")
 
     def physical_batch() -> DataFrame:
         o = c("o_orderkey")
@@ -156,13 +168,11 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             .when(c("o_orderpriority") == "5-LOW", None).otherwise("P").alias("BatchClassName"),
             _inv_time().alias("InvTime"),
         )
-        in_two_boxes = batches.where(o % 41 == 0).withColumn("RMN", _box("(o_custkey + 1)"))
-        twice = batches.where(o % 47 == 0).withColumn(
-            "InvTime", c("InvTime") + F.make_dt_interval(F.lit(3)))
-        without_documents = batches.where(o % 59 == 0).withColumn(
-            "PBatch", F.concat("PBatch", F.lit("N")))
-        return batches.unionByName(in_two_boxes).unionByName(twice).unionByName(
-            without_documents).drop("o_orderkey", "o_custkey")
+        return repeated(batches, {
+            "RMN": [(o % 41 == 0, _box("(o_custkey + 1)"))],
+            "InvTime": [(o % 47 == 0, c("InvTime") + F.make_dt_interval(F.lit(3)))],
+            "PBatch": [(o % 59 == 0, F.concat("PBatch", F.lit("N")))],
+        }).drop("o_orderkey", "o_custkey")
 
     def _inv_time() -> Column:
         return c("o_orderdate") + F.make_dt_interval(
@@ -184,24 +194,29 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.when(c("l_linestatus") == "F", c("l_shipdate")).alias("ftpstime"),
             (c("l_shipdate") - F.make_dt_interval(F.lit(1))).alias("ImageDateTime"),
         )
-        again = documents.where(o % 37 == 0).withColumns({
-            "PBatch": _batch("(o_orderkey - 8)"), "SysKey": c("SysKey") + _AGAIN})
-        in_two_boxes = documents.where(o % 39 == 0).withColumns({
-            "RMN": _box("(o_custkey + 1)"), "SysKey": c("SysKey") + 2 * _AGAIN})
-        return documents.unionByName(again).unionByName(in_two_boxes).drop(
-            "o_orderkey", "o_custkey")
+        copies = F.array(
+            F.struct("PBatch", "RMN", "SysKey"),
+            F.when(o % 37 == 0, F.struct(_batch("(o_orderkey - 8)").alias("PBatch"), "RMN",
+                                         (c("SysKey") + _AGAIN).alias("SysKey"))),
+            F.when(o % 39 == 0, F.struct("PBatch", _box("(o_custkey + 1)").alias("RMN"),
+                                         (c("SysKey") + 2 * _AGAIN).alias("SysKey"))))
+        once = documents.withColumn("_copies", F.filter(copies, lambda r: r.isNotNull())).drop(
+            "PBatch", "RMN", "SysKey", "o_orderkey", "o_custkey")
+        names = [column.split()[0] for column in ROLE_SCHEMAS["document"].split(", ")]
+        return once.select("*", F.inline("_copies")).select(*names)
 
     def folder_map() -> DataFrame:
         o = c("o_orderkey")
         entry = [_box("o_custkey").alias("RMN"), _inv_time().alias("InvTime")]
         joined = lines().join(orders(), c("l_orderkey") == o)
-        folders = joined.select(*entry, _batch().alias("PBatch"), folder_id().alias("dcsid"))
-        again = joined.where(o % 37 == 0).select(
-            *entry, _batch("(o_orderkey - 8)").alias("PBatch"), folder_id().alias("dcsid"))
+        again = F.when(o % 37 == 0, _batch("(o_orderkey - 8)"))
+        batches = F.array_compact(F.array(_batch(), again))
+        folders = joined.select(*entry, F.explode(batches).alias("PBatch"),
+                                folder_id().alias("dcsid"))
         waiting = orders().where(o % 59 == 0).select(
             *entry, F.concat(_batch(), F.lit("N")).alias("PBatch"),
             F.concat(o.cast("string"), F.lit("-9")).alias("dcsid"))
-        both = folders.unionByName(again).unionByName(waiting)
+        both = folders.unionByName(waiting)
         return both.select("RMN", "PBatch", "dcsid", "InvTime").distinct()
 
     def customer_data() -> DataFrame:
@@ -231,9 +246,8 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.floor(c("o_totalprice") / 1000).cast("int").alias("TotalImages"),
             F.when(c("o_custkey") % 3 == 0, 9).otherwise(8).cast("int").alias("jobid"),
         )
-        elsewhere = steps.where((o % 53 == 0) & (c("WFStep") <= 11)).withColumn(
-            "BatchLocation", c("BatchLocation") + 512)
-        return steps.unionByName(elsewhere).drop("o_orderkey")
+        elsewhere = (o % 53 == 0) & (c("WFStep") <= 11), c("BatchLocation") + 512
+        return repeated(steps, {"BatchLocation": [elsewhere]}).drop("o_orderkey")
 
     def ocr(shard: int) -> DataFrame:
         o = c("o_orderkey")

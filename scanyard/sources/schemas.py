@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Role tables of the intake hierarchy:
 # document -> folder (dcsid) -> batch (PBatch) -> box (RMN) -> shipment (trackingno).
 ROLE_SCHEMAS = {
@@ -37,6 +42,16 @@ ROLE_SCHEMAS = {
 KEY_COLUMNS = ("RMN", "PBatch", "dcsid", "BatchName", "batchname", "kbatch", "dcs")
 CODE_COLUMNS = ("claimtype",)
 
+# Columns by which stored documents are kept apart.
+DOCUMENT_MONTHS = "upload_month date, image_month date"
+# The image month of documents without an image time.
+NO_MONTH = date(1900, 1, 1)
+
+
+def image_month() -> Column:
+    return F.coalesce(F.trunc(F.to_date("ImageDateTime"), "MM"), F.lit(NO_MONTH))
+
+
 # Star-schema tables the role tables can be derived from.
 STAR_SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "

@@ -187,3 +187,38 @@ def test_where_agg(frame, values):
     rows = frame("k string, n int", [("a", 1), ("a", 5), ("b", 2)])
     got = aggregates.where_agg(rows, ["k"], {"top": F.max("n")}, c("top") > 2)
     assert values(got) == [("a", 5)]
+
+
+def test_rows_that_cannot_be_listed_are_not_moved(spark):
+    """NOT IN a list too large to broadcast: only likely rows enter the exchange by the key."""
+    from tests.plan_metrics import rows_moved
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # The map of the keys is broadcast by hand, the list itself may not be.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("key"))
+        listed = spark.range(0, 200_000, 40, 4).select(F.col("id").alias("key"))
+        kept = joins.not_in(left, listed, "key")
+        moved = rows_moved(spark, lambda: kept.write.format("noop").mode("overwrite").save(),
+                           "hashpartitioning(key")
+        assert kept.count() == 195_000
+        # The list itself once, its rows and about one in sixteen of the others.
+        assert 10_000 <= moved < 10_000 + 200_000 / 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_map_of_keys_never_misses(spark, frame, values):
+    from scanyard.operators.keymap import with_may_be_listed
+    listed = spark.range(0, 50_000).select(F.concat(F.lit("k"), F.col("id")).alias("name"))
+    left = spark.range(0, 100_000).select(F.concat(F.lit("k"), F.col("id")).alias("_chunk"), "id")
+    marked = with_may_be_listed(left, F.col("_chunk"), listed, "near")
+    assert marked.columns == ["_chunk", "id", "near"]
+    found = marked.groupBy((F.col("id") < 50_000).alias("in"), "near").count().collect()
+    counts = {(r["in"], r["near"]): r["count"] for r in found}
+    assert counts[True, True] == 50_000 and (True, False) not in counts
+    assert counts[False, True] < 50_000 / 10
+    keys = frame("k string", [("a",), (None,)])
+    for rows, expected in (([], [False, False]), ([("a",), (None,)], [True, False])):
+        got = with_may_be_listed(keys, F.col("k"), frame("k string", rows), "near")
+        assert [r["near"] for r in got.orderBy(F.desc("k")).collect()] == expected
