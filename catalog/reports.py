@@ -99,6 +99,11 @@ def _(roles):
     return outstanding.r06_open_batches(roles, OMPF_T, placeholder=True)
 
 
+@case("r07_placeholder", sql.or_blank(sql.OPEN_FOLDERS, list(fixed.OPEN_FOLDER_HEADER)))
+def _(roles):
+    return outstanding.r07_open_folders(roles, OMPF_T, placeholder=True)
+
+
 @case("r08_turnaround_pivot", sql.TURNAROUND_PIVOT)
 def _(roles):
     return outstanding.r08_turnaround_pivot(roles, OMPF_T)
@@ -124,6 +129,13 @@ def _(roles):
     return monthly.r11_monthly_totals(roles, as_of=AS_OF, previous_month=True, always_total=True)
 
 
+@case("r11_guaranteed_total_first_of_month", sql.monthly("2001-06-01", "2001-06-01").replace(
+    " having count(*) > 0", ""))
+def _(roles):
+    """No day has passed yet; the total is there all the same."""
+    return monthly.r11_monthly_totals(roles, as_of=AS_OF.replace(day=1), always_total=True)
+
+
 @case("r11_previous_month", sql.monthly("2001-05-01", "2001-06-01"))
 def _(roles):
     return monthly.r11_monthly_totals(roles, as_of=AS_OF, previous_month=True)
@@ -149,6 +161,37 @@ def _(roles):
     return inventory.r13_image_inventory(roles, IMAGE_INVENTORY.starting(START), dedupe=False)
 
 
+_IMAGES = ["CheckInDate", "ImageCount", *inventory.STAGES]
+_BOXES = ["CheckInDate", "BoxCount", "ACTIVE", "COMPLETED"]
+
+
+@case("r13_placeholder", f"""
+    with found as ({sql.or_blank(sql.image_inventory(), _IMAGES)}),
+    nothing as ({sql.or_blank("with r as (" + sql.image_inventory() + ") from r where false",
+                              _IMAGES)})
+    select 'found' as part, * from found union all select 'nothing', * from nothing""")
+def _(roles):
+    """The image inventory as text, and that of a line without batches."""
+    line = IMAGE_INVENTORY.starting(START)
+    parts = {"found": line, "nothing": replace(line, batch_prefix="no such prefix")}
+    first, second = (inventory.r13_image_inventory(roles, chosen, placeholder=True).select(
+        F.lit(name).alias("part"), "*") for name, chosen in parts.items())
+    return first.unionByName(second)
+
+
+@case("r14_placeholder", f"""
+    with found as ({sql.or_blank(sql.BOX_INVENTORY, _BOXES)}),
+    nothing as ({sql.or_blank("with r as (" + sql.BOX_INVENTORY + ") from r where false", _BOXES)})
+    select 'found' as part, * from found union all select 'nothing', * from nothing""")
+def _(roles):
+    """The box inventory as text, and that of a line without batches."""
+    line = BOX_INVENTORY.starting(START)
+    parts = {"found": line, "nothing": replace(line, batch_prefix="no such prefix")}
+    first, second = (inventory.r14_box_inventory(roles, chosen, placeholder=True).select(
+        F.lit(name).alias("part"), "*") for name, chosen in parts.items())
+    return first.unionByName(second)
+
+
 @case("r14_box_inventory", sql.BOX_INVENTORY)
 def _(roles):
     return inventory.r14_box_inventory(roles, BOX_INVENTORY.starting(START))

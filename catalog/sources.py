@@ -15,7 +15,7 @@ from scanyard.operators.projection import or_blank_row
 from scanyard.plans.config import FCS, OMPF, VAULT
 from scanyard.plans.report_set import report_set
 from scanyard.session import shared_dir
-from scanyard.sources import files
+from scanyard.sources import files, publish
 from scanyard.sources.roles import load_roles, store_roles
 from scanyard.sources.schemas import ROLE_SCHEMAS
 from scanyard.sources.tables import lookup, materialize, own_name, scan, stage
@@ -26,22 +26,31 @@ def _(spark, sf_dir):
     return scan(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
-_FIRST_KEY = {role: schema.split()[0] for role, schema in ROLE_SCHEMAS.items()}
+_COLUMNS = {role: [column.split()[0] for column in schema.split(", ")]
+            for role, schema in ROLE_SCHEMAS.items()}
 
 
-@case("s01_stored_roles", " union all ".join(
-    f"select '{role}' as role, count(*) as n, count({key}) as keys, "
-    f"count(distinct {key}) as different from {role}" for role, key in _FIRST_KEY.items()))
+def _digest_sql(role: str) -> str:
+    row = " || '|' || ".join(f"coalesce(cast({c} as varchar), '<null>')" for c in _COLUMNS[role])
+    return (f"select '{role}' as role, count(*) as n, "
+            f"cast(sum(('0x' || substr(md5({row}), 1, 8))::bigint) as bigint) as digest from {role}")
+
+
+@case("s01_stored_roles", " union all ".join(map(_digest_sql, ROLE_SCHEMAS)))
 def _(roles):
-    """Every role table written in its stored form and read back."""
+    """Every role table written in its stored form and read back: a hash of all its columns."""
     spark = roles["document"].sparkSession
     base = shared_dir(spark)
     store_roles(roles, base)
     stored = load_roles(spark, base, clean=True)
-    counts = [stored[role].agg(
-        F.lit(role).alias("role"), F.count("*").alias("n"), F.count(key).alias("keys"),
-        F.count_distinct(key).alias("different")) for role, key in _FIRST_KEY.items()]
-    return reduce(DataFrame.unionByName, counts)
+
+    def digest(role: str) -> DataFrame:
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>"))
+                                 for c in _COLUMNS[role]])
+        number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("bigint")
+        return stored[role].agg(F.lit(role).alias("role"), F.count("*").alias("n"),
+                                F.sum(number).alias("digest"))
+    return reduce(DataFrame.unionByName, map(digest, ROLE_SCHEMAS))
 
 
 @case("s02_federated_scan", """
@@ -110,6 +119,29 @@ def _(roles):
     return files.read_csv(df.sparkSession, files.write_csv(df, shared_dir(df.sparkSession)))
 
 
+@case("s08_damaged_rows", """
+    select 'good' as part, BatchName, WFStep, TotalImages, null as line from workflow
+    where TotalImages % 7 not in (0, 1, 2)
+    union all
+    select 'damaged', null, null, null, case TotalImages % 7
+        when 0 then BatchName || ',' || WFStep || ',many'
+        when 1 then BatchName || ',' || WFStep
+        else BatchName || ',' || WFStep || ',' || TotalImages || ',over' end
+    from workflow where TotalImages % 7 in (0, 1, 2)""")
+def _(roles):
+    """Rows with a value of the wrong type, one too few or one too many go into quarantine."""
+    work = roles["workflow"].where("TotalImages is not null")
+    kind, start = F.col("TotalImages") % 7, F.concat_ws(",", "BatchName", "WFStep")
+    text = F.when(kind == 0, F.concat(start, F.lit(",many"))).when(kind == 1, start).when(
+        kind == 2, F.concat_ws(",", "BatchName", "WFStep", "TotalImages", F.lit("over"))
+    ).otherwise(F.concat_ws(",", "BatchName", "WFStep", "TotalImages"))
+    spark, path = work.sparkSession, shared_dir(work.sparkSession)
+    work.select(text.alias("value")).write.text(path)
+    good, damaged = files.read_checked(spark, path, _CSV_SCHEMA, header=False)
+    return good.select(F.lit("good").alias("part"), "*").unionByName(
+        damaged.select(F.lit("damaged").alias("part"), "line"), allowMissingColumns=True)
+
+
 @case("s09_report_sheets", """
     select 'Batches' as sheet, count(*) as n from physical_batch
     union all select 'Boxes', count(*) from check_in""")
@@ -135,23 +167,60 @@ _SETS = {
 }
 
 
+_SUMMARY = list(fixed.BOX_SUMMARY_HEADER)
+_CLAIMS = [*_SUMMARY[:2], "ClaimType", *_SUMMARY[2:], "Status"]
+_AGED = (_CLAIMS, fixed.AGED_BATCH_HEADER, fixed.AGED_FOLDER_HEADER)
+_HEADERS = {"FCS": _AGED, "Vault": _AGED,
+            "OMPF": (_SUMMARY, fixed.OPEN_BATCH_HEADER, fixed.OPEN_FOLDER_HEADER)}
+_WIDEST = max(len(h) for headers in _HEADERS.values() for h in headers)
+
+
+def _sheet_sql(line: str, sheet: str, text: str, header) -> str:
+    cells = [f"coalesce(cast(\"{c}\" as varchar), '')" for c in header]
+    cells += ["''"] * (_WIDEST - len(cells))
+    named = ", ".join(f"{cell} as c{n}" for n, cell in enumerate(cells))
+    return f"select '{line}' as line, '{sheet}' as sheet, {named} from ({text})"
+
+
+def _sheet_rows(line: str, sheet: str, df: DataFrame) -> DataFrame:
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns]
+    cells += [F.lit("")] * (_WIDEST - len(cells))
+    return df.select(F.lit(line).alias("line"), F.lit(sheet).alias("sheet"),
+                     *[cell.alias(f"c{n}") for n, cell in enumerate(cells)])
+
+
 @case("s09_report_sets", " union all ".join(
-    f"select '{line}' as line, '{sheet}' as sheet, count(*) as n, count(distinct RMN) as boxes "
-    f"from ({text})"
+    _sheet_sql(line, sheet, text, header)
     for line, texts in _SETS.items()
-    for sheet, text in zip((f"{line} Summary", *fixed.OUTSTANDING_SHEETS), texts)))
+    for sheet, text, header in zip((f"{line} Summary", *fixed.OUTSTANDING_SHEETS), texts,
+                                   _HEADERS[line])))
 def _(roles):
-    """The three sheets of a line, written under a run-stamped name and read back."""
+    """The three sheets of each line under run-stamped names, published as a whole, read back."""
     spark = roles["check_in"].sparkSession
-    counts = []
+    found = []
     for line in (FCS, VAULT, OMPF):
-        sheets = report_set(roles, line.starting(START), AS_OF)
-        base = files.run_path(f"{shared_dir(spark)}/{line.name}", AS_OF)
-        for sheet, path in files.write_report(sheets, base).items():
-            counts.append(files.read_csv(spark, path).agg(
-                F.lit(line.name).alias("line"), F.lit(sheet).alias("sheet"),
-                F.count("*").alias("n"), F.count_distinct("RMN").alias("boxes")))
-    return reduce(DataFrame.unionByName, counts)
+        base = f"{shared_dir(spark)}/{line.name}"
+        publish.publish(report_set(roles, line.starting(START), AS_OF), base,
+                        named=lambda sheet: files.run_path(sheet, AS_OF))
+        found += [_sheet_rows(line.name, sheet, df)
+                  for sheet, df in publish.read_sheets(spark, base).items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+@case("s13_published_run", """
+    select 'boxes' as sheet, count(*) as n, 2 as run from check_in
+    union all select 'none', 1, 2""")
+def _(roles):
+    """The second run's set is current; a sheet without rows has one row of blanks."""
+    boxes = roles["check_in"].select("RMN", "claimtype")
+    spark, base = boxes.sparkSession, shared_dir(boxes.sparkSession)
+    none = boxes.where("claimtype = 'no such claim'")
+    publish.publish({"boxes": none, "none": boxes}, base, or_blank=True)
+    publish.publish({"boxes": boxes, "none": none}, base, compression="gzip", or_blank=True)
+    sheets = publish.read_sheets(spark, base)
+    counts = [df.agg(F.lit(sheet).alias("sheet"), F.count("*").alias("n"), F.lit(2).alias("run"))
+              for sheet, df in sheets.items()]
+    return counts[0].unionByName(counts[1])
 
 
 @case("s10_compressed_csv", _CSV_SQL)

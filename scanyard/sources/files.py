@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scanyard.functions.text import replace_char
+from scanyard.operators.projection import blank_row
 
 # Stamp formats in use for run-stamped names.
 STAMP_MINUTE = "%m%d%Y_%H%M"
@@ -33,6 +34,22 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None) -> str:
     return path
 
 
+def write_counted(df: DataFrame, path: str, compression: str | None = None,
+                  or_blank: bool = False) -> int:
+    """``write_csv``, and the number of rows it wrote, counted on the way.
+
+    With ``or_blank``, a frame without rows gives one row of blanks under its header, written when
+    the count is known: the frame itself is computed once.
+    """
+    seen = Observation()
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("n")), path, compression)
+    rows = seen.get["n"]
+    if or_blank and not rows:
+        write_csv(blank_row(df).coalesce(1), path, compression)
+        return 1
+    return rows
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None,
              multi_line: bool = False) -> DataFrame:
     """CSV with a header line. ``multi_line`` allows line breaks inside values, but then a file
@@ -43,6 +60,28 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None,
     return reader.csv(path)
 
 
+def read_checked(spark: SparkSession, path: str, schema: str, line: str = "line",
+                 header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """CSV rows that parse under the schema, and a quarantine of those that don't.
+
+    A row is damaged if a value is not of its column's type or it has too few or too many values.
+    The quarantine has the whole text of such a row in ``line`` and its file in ``file``, beside
+    what could be read of it.
+    """
+    columns = spark.createDataFrame([], schema).columns
+    if clash := {line, "file"} & set(columns):
+        raise ValueError(f"columns {sorted(clash)} are there already")
+    rows = (spark.read.option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", line).options(**_PLAIN)
+            .schema(f"{schema}, `{line}` string").csv(path))
+    # Spark parses only columns that are asked for, and would miss damage in the others. This is
+    # true of every row and asks for all.
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in columns]) >= F.lit(-(1 << 63))
+    good = rows.where(F.col(line).isNull() & whole).drop(line)
+    return good, rows.where(F.col(line).isNotNull() & whole).select(
+        "*", F.col("_metadata.file_path").alias("file"))
+
+
 def write_report(sheets: Mapping[str, DataFrame], path: str,
                  compression: str | None = None) -> dict[str, str]:
     """One CSV directory per sheet under ``path``."""

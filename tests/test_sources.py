@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import threading
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from scanyard import session
+from scanyard.operators.projection import or_blank_row
 from scanyard.plans.queue import r20_redelimit
-from scanyard.sources import files, tables as source
+from scanyard.sources import files, publish, tables as source
 from scanyard.sources.roles import derive_roles, load_roles
 from scanyard.sources.schemas import ROLE_SCHEMAS
 from tests.conftest import AS_OF
@@ -111,3 +114,72 @@ def test_unstaged_names_are_gone_and_free(spark):
     unstage(spark, "kept_rows")
     assert not spark.catalog.tableExists("kept_rows")
     unstage(spark, "kept_rows")
+
+
+def test_damaged_rows_go_to_quarantine(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(
+        'k,n,t\nx,1,"a, b"\ny,many,c\nz,3\n,,\nv,4,d,over\n"w ",5,\n')
+    good, damaged = files.read_checked(spark, str(tmp_path / "in"), "k string, n int, t string")
+    assert sorted(map(tuple, good.collect()), key=repr) == [
+        ("w ", 5, None), ("x", 1, "a, b"), (None, None, None)]
+    assert sorted(r.line for r in damaged.collect()) == ["v,4,d,over", "y,many,c", "z,3"]
+    assert {r.file.endswith("/a.csv") for r in damaged.collect()} == {True}
+    # Whatever is selected, the same rows are damaged.
+    for names in (["k"], ["t"], ["n", "k"]):
+        assert good.select(*names).count() == 3 and len(good.select(*names).collect()) == 3
+    assert len(damaged.select("line").collect()) == len(damaged.select("t", "line").collect()) == 3
+    assert good.count() == damaged.count() == 3
+    with pytest.raises(ValueError):
+        files.read_checked(spark, str(tmp_path), "line string")
+
+
+def test_a_run_that_stops_between_sheets_leaves_the_former_set(spark, frame, values, tmp_path):
+    base = str(tmp_path / "fcs")
+    assert publish.published(spark, base) == {}
+    first = {"Summary": frame("a int", [(1,)]), "Open": frame("b int", [(2,), (3,)])}
+    run = publish.publish(first, base)
+    stops = frame("b int", [(4,)]).select(F.raise_error(F.lit("stop")).cast("int").alias("b"))
+    with pytest.raises(Exception, match="stop"):
+        publish.publish({"Summary": frame("a int", [(9,)]), "Open": stops}, base)
+    sheets = publish.read_sheets(spark, base)
+    assert values(sheets["Summary"]) == [("1",)] and values(sheets["Open"]) == [("2",), ("3",)]
+    assert {s: n for s, (_, n) in publish.published(spark, base).items()} == {
+        "Summary": 1, "Open": 2}
+    publish.publish({"Summary": frame("a int", [])}, base, or_blank=True,
+                    named=lambda sheet: files.run_path(sheet, AS_OF))
+    (path, n), = publish.published(spark, base).values()
+    assert path.endswith("/Summary_06152001_1000") and n == 1
+    assert values(files.read_csv(spark, path)) == [(None,)]
+    # An earlier run can still be read.
+    assert set(publish.published(spark, base, run)) == {"Summary", "Open"}
+
+
+def test_sheets_are_written_at_the_same_time(spark, frame, tmp_path, monkeypatch):
+    """Every sheet waits until all have begun."""
+    begun, write = threading.Barrier(3, timeout=60), files.write_counted
+
+    def together(*args):
+        begun.wait()
+        return write(*args)
+    monkeypatch.setattr(files, "write_counted", together)
+    publish.publish({str(n): frame("a int", [(n,)]) for n in range(3)}, str(tmp_path))
+    assert set(publish.published(spark, str(tmp_path))) == {"0", "1", "2"}
+
+
+def test_counted_write_computes_the_frame_once(spark, frame, tmp_path):
+    from tests.plan_metrics import counters
+    empty = spark.range(10).where("id > 10").selectExpr("id", "cast(id as string) as `b(c)`")
+    run = counters(spark, lambda: files.write_counted(empty, str(tmp_path / "t"), or_blank=True))
+    assert sum("Range (0, 10" in desc for _, desc, _ in run) == 1
+    assert [r[0] for r in spark.read.text(str(tmp_path / "t")).collect()] == ["id,b(c)", '"",""']
+    assert files.write_counted(spark.range(5).toDF("a"), str(tmp_path / "u"), or_blank=True) == 5
+    assert files.write_counted(empty, str(tmp_path / "v")) == 0
+
+
+def test_a_placeholder_report_starts_no_job(spark):
+    from tests.plan_metrics import counters
+    rows = spark.range(10).groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n"))
+    built = []
+    assert counters(spark, lambda: built.append(or_blank_row(rows, ["k"]))) == []
+    assert [tuple(r) for r in built[0].collect()] == [("0", "4"), ("1", "3"), ("2", "3")]
