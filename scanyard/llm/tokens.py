@@ -58,7 +58,8 @@ class Encoder:
 
     The vocabulary's pattern never matches across a space that a non-space follows, so texts are
     cut there and the parts looked up. A part not yet known is cut by the pattern, and the
-    library's model encodes its pieces. Strings of special tokens are text.
+    library's model encodes its pieces. A text that holds the string of an added token, such as a
+    special one, goes to the library as it is.
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS):
@@ -66,7 +67,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.pattern = regex.compile(public_tokenizers.PATTERN)
@@ -114,13 +116,18 @@ class Encoder:
             self._forget()
         collecting = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and each pass would walk the whole cache
-        places = [self._places(text) for text in texts]
+        whole = {n: np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                 for n, text in enumerate(texts) if self.added and self.added.search(text)}
+        places = [self._places("" if n in whole else text) for n, text in enumerate(texts)]
         if collecting:
             gc.enable()
         ids = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32)
         starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
         out = []
-        for at in places:
+        for number, at in enumerate(places):
+            if number in whole:
+                out.append(whole[number])
+                continue
             n = sizes[at]
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(at) else 0

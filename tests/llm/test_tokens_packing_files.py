@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 import zstandard
+from tokenizers import Tokenizer
 
 from scanyard.llm import packing, token_files
 from scanyard.llm.common import open_folder
@@ -17,8 +18,12 @@ def encode():
     return Encoder(vocabulary_path(), most_words=50)
 
 
-def whole(encode, text):
-    return encode.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+PLAIN = Tokenizer.from_file(vocabulary_path())
+
+
+def whole(_, text):
+    """By the library alone, on a tokenizer nobody has altered."""
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def test_cached_ids_equal_the_library(encode):
@@ -31,6 +36,17 @@ def test_cached_ids_equal_the_library(encode):
         assert [list(x) + [0] for x in encode.encode(some)] == [whole(encode, t) for t in some]
 
 
+def test_whole_documents_equal_the_library(spark, encode):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    texts = [r.text or "" for r in docs]
+    texts += [f"{t[:50]}<|endoftext|>{t[50:90]} <|endoftext|>" for t in texts[:50]]
+    texts += ["<|endoftext|>", "<|endoftext|", " <|endoftext|> x", "<|endoftext|><|endoftext|>"]
+    assert any(50256 in whole(None, t) for t in texts)
+    for at in range(0, len(texts), 200):
+        some = texts[at:at + 200]
+        assert [list(x) + [0] for x in encode.encode(some)] == [whole(None, t) for t in some]
+
+
 def test_differencing_deals_every_piece_once():
     rng = random.Random(1)
     for n in (0, 1, 2, 50, 600):
