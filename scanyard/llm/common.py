@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -13,6 +15,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanyard.operators.keymap import free_name, with_may_be_listed
 from scanyard.session import shared_dir
 
 
@@ -40,10 +43,20 @@ def remembered(owner: object, make):
     """
     if owner not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[owner] = make()
     return _HELD[owner]
 
 
+def give_back() -> None:
+    """Return what this worker process has freed to the machine, where its library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def findable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
@@ -52,15 +65,18 @@ def findable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def body_of(text_col: str) -> Column:
+    """The text's UTF-8 bytes, null texts empty."""
+    return F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+
+
 def pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and the text's UTF-8 bytes under fixed names, null texts empty.
 
     Only these two columns go on, so other columns of the input may bear any name.
     """
     findable(docs.sparkSession)
-    return docs.select(
-        F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("body"))
+    return docs.select(F.col(id_col).alias("id"), body_of(text_col).alias("body"))
 
 
 def lower_az(text):
@@ -91,38 +107,29 @@ def open_folder(url: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(url)
 
 
-# Bits of the filter below: at most 2^17 rows of 64 bits are broadcast, however many keys there are.
-FILTER_BITS = 23
-
-
-def _marked(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
-    def slot(column):
-        return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
-
-    bit = F.expr("shiftleft(1L, cast(__slot % 64 as int))")
-    words = keys.select(slot(F.col(keys.columns[0])).alias("__slot")).groupBy(
-        F.expr("__slot div 64").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
-    marked = df.withColumn("__slot", slot(key)).withColumn("__word", F.expr("__slot div 64"))
-    near = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
-    return marked.join(F.broadcast(words), "__word", "left").withColumn("__near", near).drop(
-        "__slot", "__word", "__bits")
-
-
-def near_keys(df: DataFrame, key: Column, keys: DataFrame, flag: bool = False) -> DataFrame:
+def near_keys(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     """Rows whose key is, or by a clash of hashes seems to be, among ``keys`` (one column).
 
-    The keys' hashes set bits in a map of fixed size, which is small enough to broadcast at any
-    size of ``keys``. It spares most other rows the shuffle of the join that must follow. With
-    ``flag``, all rows with the answer in ``__near``.
+    This spares most other rows the shuffle of the join that must follow. The map of the keys
+    that is broadcast grows with them up to a ceiling (``scanyard.operators.keymap``).
     """
-    if flag:
-        return _marked(df, key, keys)
-    return _marked(df, key, keys).where("__near").drop("__near")
+    near = free_name(df, "near")
+    return with_may_be_listed(df, key, keys, near).where(F.col(near)).drop(near)
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """The rows whose id is not among ``gone`` (one column). Rows far from its keys don't move."""
-    marked = _marked(docs, F.col(id_col), gone)
-    lost = gone.select(F.col(gone.columns[0]).alias("__gone")).hint("merge")
-    near = marked.where("__near").join(lost, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    return marked.where("not __near").unionByName(near).drop("__near")
+def without(docs: DataFrame, id_col: str, key: Column, marks: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those that ``marks`` (id, key, stays) takes out.
+
+    A row is named by its id and ``key``, a hash of its text. Marked rows go, or, where they stay,
+    one of those that repeat the name does. Rows whose key is surely not marked don't move. Each
+    row travels as one column, so columns may bear any name.
+    """
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), key.alias("key"))
+    near = with_may_be_listed(whole, F.col("key"), marks.select("key"), "near")
+    known = marks.select(F.col("id").alias("marked"), F.col("key").alias("mark"), "stays")
+    asked = near.where("near").join(
+        known.hint("merge"), F.col("id").eqNullSafe(F.col("marked"))
+        & (F.col("key") == F.col("mark")), "left")
+    once, again = asked.where("stays is null"), asked.where("stays").dropDuplicates(["id", "key"])
+    return near.where("not near").select("row").unionByName(once.select("row")).unionByName(
+        again.select("row")).select("row.*")

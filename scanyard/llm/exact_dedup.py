@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, lower_az, near_keys
+from scanyard.llm.common import keep, lower_az, near_keys, without
 
 
 def content_hash(text: Column) -> Column:
@@ -91,19 +91,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows that repeat both the id and the text that stay, one row is kept.
     """
     marks = groups(docs, id_col, text_col, largest)
-    found = keep(marks.groupBy("id", "text_sha256").agg(
-        F.max("kept").alias("any"), F.count("*").alias("n")).where("not any or n > 1").select(
-        F.col("id").alias("__id"), F.col("text_sha256").alias("__sha"),
-        F.col("any").alias("__any")), "found")
-    # Only rows whose id may be in question are joined.
-    marked = near_keys(docs, F.col(id_col), found.select("__id"), flag=True)
-    key = F.sha2(lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).cast("binary"),
-                 256)
-    asked = marked.where("__near").withColumn("__key", key).join(
-        found.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id"))
-        & (F.col("__key") == F.col("__sha")), "left")
-    once = asked.where("__any is null")
-    again = asked.where("__any").dropDuplicates([id_col, "__key"])
-    extra = ["__near", "__key", "__id", "__sha", "__any"]
-    return marked.where("not __near").drop("__near").unionByName(
-        once.drop(*extra)).unionByName(again.drop(*extra))
+    found = keep(marks.groupBy("id", F.col("text_sha256").alias("key")).agg(
+        F.max("kept").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1").drop(
+        "n"), "found")
+    text = lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return without(docs, id_col, F.sha2(text.cast("binary"), 256), found)

@@ -10,7 +10,8 @@ members as the smaller l of both are verified on whole sets.
 How it runs:
 
 1. One pass hashes every text and keeps, per row, the set's size and a 128-bit digest. Rows of
-   equal sets become one node, named by its smallest id, so copies are never paired.
+   equal sets become one numbered node, so copies are never paired, and two texts under one id
+   are two nodes.
 2. The order comes from counts of all n-grams that repeat within a part of the input, summed by
    ``2^CELL_BITS`` cells of the hash, a table of fixed size. An n-gram's cell only decides where it
    stands in the order, so clashes of cells cost time, never a link.
@@ -20,12 +21,13 @@ How it runs:
    sets. A task joins a block with itself and with some pivots all blocks share, and gives no more
    links than it has nodes. Where there are several blocks, the nodes outside the n-gram's largest
    component are then joined with all blocks; pairs inside that component need no link.
-5. Links become components by the smallest id.
+5. Links become components, named by the smallest id of their rows.
 
 Defined cases: null and empty texts, and texts without words, are empty sets and link with
-nothing; rows that repeat an id are documents of their own, and rows of one set share a component;
-a null id is the largest, and a set known by null ids only has a null component; an empty table
-gives an empty result; columns other than id and text are not read.
+nothing; rows that repeat an id are documents of their own, whose texts each have their links, and
+rows of one set share a component; a null id is the largest, and a set known by null ids only links
+with nothing and has a null component; an empty table gives an empty result; columns other than id
+and text are not read, and may bear any name.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import keep, near_keys, pairs, remembered, slices, without
+from scanyard.llm.common import (body_of, give_back, keep, near_keys, pairs, remembered, slices,
+                                 without)
 
 SHINGLE, THRESHOLD = 5, 80
 CELL_BITS = 20
@@ -106,7 +109,7 @@ def prefix(members: np.ndarray, counts: np.ndarray, threshold: int = THRESHOLD):
     return members[order[:size - least + best]], best
 
 
-_STATS = "id {id}, n long, lo long, hi long, cell int, copies long"
+_STATS = "id {id}, key long, n long, lo long, hi long, cell int, copies long"
 
 
 def _digests(sets: list[np.ndarray]) -> np.ndarray:
@@ -116,8 +119,12 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def statistics(texts: DataFrame, n: int) -> DataFrame:
-    """Rows of two kinds: size and digest of each text; counts of cells of repeated n-grams."""
+    """Rows of two kinds: size and digest of each text; counts of cells of repeated n-grams.
+
+    ``key`` is handed on from ``texts``.
+    """
     schema = _STATS.format(id=texts.schema["id"].dataType.simpleString())
+    names = ["id", "key", "n", "lo", "hi", "cell", "copies"]
 
     def run(batches):
         seen: list[np.ndarray] = []
@@ -142,8 +149,8 @@ def statistics(texts: DataFrame, n: int) -> DataFrame:
             rows = len(first)
             none = pa.nulls(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(rows, kind), none, none, none, pa.array(cells[first], pa.int32()),
-                 pa.array(top, pa.int64())], ["id", "n", "lo", "hi", "cell", "copies"])
+                [pa.nulls(rows, kind), none, none, none, none,
+                 pa.array(cells[first], pa.int32()), pa.array(top, pa.int64())], names)
 
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             kind = batch.column("id").type
@@ -151,9 +158,9 @@ def statistics(texts: DataFrame, n: int) -> DataFrame:
             halves = _digests(sets)
             rows = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(map(len, sets), pa.int64()),
+                [batch.column("id"), batch.column("key"), pa.array(map(len, sets), pa.int64()),
                  pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.nulls(rows, pa.int32()),
-                 pa.nulls(rows, pa.int64())], ["id", "n", "lo", "hi", "cell", "copies"])
+                 pa.nulls(rows, pa.int64())], names)
             seen += sets
             held += sum(map(len, sets))
             if held > 4_000_000:
@@ -283,6 +290,8 @@ def _joined(rows: DataFrame, keys: list[str], threshold: int) -> DataFrame:
         groups = [None if g is None or g != g else g for g in frame["group"].tolist()]
         sets = [np.asarray(s).view(np.uint64) for s in frame["members"]]
         found = join_sets(sets, frame["asking"].to_numpy(bool), groups, threshold)
+        del sets
+        give_back()
         return pd.DataFrame({"a": pd.Series([ids[i] for i, _ in found], dtype=frame["id"].dtype),
                              "b": pd.Series([ids[j] for _, j in found], dtype=frame["id"].dtype)})
 
@@ -318,25 +327,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
-          threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """The rows with their node (id, n, node), and links between nodes (a, b).
+          threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their node (id, key, n, node, first), the nodes (node, first), and links
+    between nodes (a, b).
 
-    The links join all nodes of a component; within it, not every link is listed.
+    A row is named by its id and ``row_key``; ``first`` is the smallest id of a node's rows. The
+    links join all nodes of a component; within it, not every link is listed.
     """
     texts = pairs(docs, id_col, text_col)
-    stats = keep(statistics(texts, n), "stats")
+    stats = keep(statistics(texts.withColumn("key", F.xxhash64("body")), n), "stats")
     counts = cell_counts(stats)
     rows = stats.where("n is not null")
-    nodes = keep(rows.where("n > 0").groupBy("lo", "hi", "n").agg(F.min("id").alias("node")),
-                 "nodes")
-    named = rows.join(nodes.hint("merge"), ["lo", "hi", "n"], "left").select("id", "n", "node")
-
-    heads = nodes.where("node is not null").select(
-        F.col("node").alias("id"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    # Numbers stay as they are written.
+    nodes = keep(rows.where("n > 0").groupBy("lo", "hi", "n").agg(F.min("id").alias("first"))
+                 .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    named = rows.join(nodes.hint("merge"), ["lo", "hi", "n"], "left").select(
+        "id", "key", "n", "node", "first")
+
+    # Each node's set is read from the text of one of its rows.
+    heads = nodes.where("first is not null").select(
+        F.col("first").alias("id"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), "node")
     same = (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi"))
     cut = keep(prefixes(texts, counts, n, threshold).where("n > 0").join(
-        heads.hint("merge"), "id").where(same).drop("_lo", "_hi").dropDuplicates(
-        ["id", "lo", "hi"]), "prefixes")
+        heads.hint("merge"), "id").where(same).dropDuplicates(["node"]).select(
+        F.col("node").alias("id"), "n", "l", "prefix"), "prefixes")
     grams = cut.select("id", "n", "l", F.explode("prefix").alias("gram"))
     shared = keep(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"), "shared")
     posted = keep(near_keys(grams, F.col("gram"), shared.select("gram")).join(
@@ -356,10 +370,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     many = posted.where(F.col("df") > FEW).select("gram", "df", "id")
     wanted = candidates.select(F.col("a").alias("id")).unionByName(
         candidates.select(F.col("b").alias("id"))).unionByName(many.select("id")).distinct()
-    wanted = keep(wanted, "wanted")
-    sets = keep(whole_sets(near_keys(texts, F.col("id"), wanted), n)
-                .join(wanted.hint("merge"), "id").join(heads.hint("merge"), "id").where(same)
-                .select("id", "members").dropDuplicates(["id"]), "sets")
+    wanted = keep(wanted.withColumnRenamed("id", "node").join(heads.hint("merge"), "node"),
+                  "wanted")
+    sets = keep(whole_sets(near_keys(texts, F.col("id"), wanted.select("id")), n)
+                .join(wanted.hint("merge"), "id").where(same).dropDuplicates(["node"])
+                .select(F.col("node").alias("id"), "members"), "sets")
 
     first = candidates.join(sets.select(F.col("id").alias("a"), F.col("members").alias("m_a"))
                             .hint("merge"), "a")
@@ -376,7 +391,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     own = blocked.select("gram", "block", "id", F.lit(True).alias("asking"))
     spread = pivots.select("gram", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(
         "block"), "id", F.lit(False).alias("asking"))
-    none = F.lit(None).cast(texts.schema["id"].dataType)
+    none = F.lit(None).cast("long")
     inside = own.unionByName(spread).join(sets.hint("merge"), "id").withColumn("group", none)
     found = keep(found.unionByName(_joined(inside, ["gram", "block"], threshold)), "found")
 
@@ -402,7 +417,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         across = asking.unionByName(asked).join(sets.hint("merge"), "id")
         found = keep(found.unionByName(
             _joined(across, ["gram", "slot", "block"], threshold)), "found")
-    return named, found
+    return named, nodes.select("node", "first"), found
 
 
 def _pivots(blocked: DataFrame) -> DataFrame:
@@ -417,20 +432,46 @@ def _pivots(blocked: DataFrame) -> DataFrame:
         F.col("nth") <= PIVOTS).select("gram", "blocks", "id")
 
 
+def row_key(text_col: str):
+    """64 bits of a text, which tell apart texts under one id."""
+    return F.xxhash64(body_of(text_col))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, n: int,
+             threshold: int) -> DataFrame:
+    """(id, key, n, node, part, component_id): the rows with their component, by its smallest
+    node and by its smallest id."""
+    named, nodes, found = links(docs, id_col, text_col, n, threshold)
+    parts = keep(components(found), "parts")
+    leaders = parts.join(nodes.hint("merge"), "node").groupBy("component").agg(
+        F.min("first").alias("leader"))
+    parts = parts.join(leaders.hint("merge"), "component")
+    joined = named.join(parts.hint("merge"), "node", "left")
+    alone = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("first"))
+    return joined.select("id", "key", "n", "node", F.coalesce("component", "node").alias("part"),
+                         F.coalesce("leader", alone).alias("component_id"))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable)."""
-    named, found = links(docs, id_col, text_col, n, threshold)
-    parts = keep(components(found), "parts")
-    joined = named.join(parts.hint("merge"), "node", "left")
-    return joined.select("id", F.col("n").alias("n_shingles"), F.coalesce(
-        "component", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("node"))).alias(
-        "component_id"))
+    return _grouped(docs, id_col, text_col, n, threshold).select(
+        "id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   n: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that bear the smallest id of their component, with all columns."""
-    found = near_groups(docs, id_col, text_col, n, threshold)
-    gone = keep(found.where("id <> component_id").select("id").distinct(), "gone")
-    return without(docs, id_col, gone)
+    """One row of each component, with all columns: one that bears its smallest id.
+
+    Rows with empty sets all stay. Of several texts under that id, or rows that repeat one, one
+    stays.
+    """
+    rows = keep(_grouped(docs, id_col, text_col, n, threshold).where("n > 0"), "grouped")
+    leads = F.col("id").eqNullSafe(F.col("component_id"))
+    several = rows.where(leads).groupBy("part").agg(
+        F.min("key").alias("top"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    among = rows.where(leads).join(several.hint("merge"), "part").select(
+        "id", "key", (F.col("key") == F.col("top")).alias("stays"))
+    marks = rows.where(~leads).select("id", "key", F.lit(False).alias("stays")).unionByName(among)
+    marks = keep(marks.groupBy("id", "key").agg(F.max("stays").alias("stays")), "marks")
+    return without(docs, id_col, row_key(text_col), marks)

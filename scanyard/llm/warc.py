@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import findable, keep, near_keys, open_folder, slices
+from scanyard.llm.common import findable, keep, open_folder, slices
+from scanyard.operators.keymap import with_may_be_listed
 from scanyard.session import shared_dir
 
 LEAST_REVISIT = 1000
@@ -260,12 +261,12 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     several = keep(large.select("id", "sha").groupBy("sha").agg(
         F.max("id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n"), "several")
     # Payloads that may have a copy are joined with their response; the others stay where they are.
-    likely = near_keys(large, F.col("sha"), several.select("sha"), flag=True)
-    joined = likely.where("__near").join(several.hint("merge"), "sha", "left")
+    likely = with_may_be_listed(large, F.col("sha"), several.select("sha"), "near")
+    joined = likely.where("near").join(several.hint("merge"), "sha", "left")
     alone = given.where(F.octet_length("body") < LEAST_REVISIT).unionByName(
-        likely.where("not __near").drop("__near")).withColumn(
+        likely.where("not near").drop("near")).withColumn(
         "head", F.lit(None).cast(given.schema["id"].dataType))
-    rows = joined.drop("__near").unionByName(alone)
+    rows = joined.drop("near").unionByName(alone)
     refers = F.when(~F.col("id").eqNullSafe(F.col("head")), F.col("head"))
     rows = rows.select("url", "body", F.col("id").cast("string").alias("id"),
                        refers.cast("string").alias("refers"))

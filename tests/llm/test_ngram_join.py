@@ -86,6 +86,26 @@ def test_one_per_group(edges, nothing):
     assert ngram_join.one_per_group(nothing).count() == 0
 
 
+def test_texts_under_one_id_each_keep_their_links(docs):
+    a, b = (" ".join(f"{letter}{i}" for i in range(40)) for letter in "ab")
+    rows = [(1, a), (1, b), (2, b + " z"), (3, a + " z"), (4, "far away from all of them"),
+            (1, a), (None, b), (None, "known by null ids only, twice"),
+            (None, "known by null ids only, twice")]
+    got = sorted((r.id or 0, r.component_id or 0) for r in
+                 ngram_join.near_groups(docs(rows)).collect())
+    assert got == [(0, 0), (0, 0), (0, 1), (1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    kept = sorted((r.doc_id or 0, r.text) for r in ngram_join.one_per_group(docs(rows)).collect())
+    assert kept == [(0, "known by null ids only, twice"), (1, a), (1, b),
+                    (4, "far away from all of them")]
+
+
+def test_near_texts_under_one_id_leave_one(docs):
+    a = " ".join(f"a{i}" for i in range(40))
+    rows = [(1, a), (1, a + " y"), (1, a + " z"), (2, a + " x"), (1, a)]
+    kept = ngram_join.one_per_group(docs(rows)).collect()
+    assert len(kept) == 1 and kept[0].doc_id == 1
+
+
 def test_prefixes_share_as_many_members_as_promised():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, 1 << ngram_join.CELL_BITS).astype(np.uint16)

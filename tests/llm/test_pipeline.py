@@ -4,6 +4,7 @@ import inspect
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -85,3 +86,45 @@ def test_contract():
         assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
     assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {
         n.split("_")[0] for n in entry.LLM}
+
+
+NAMES = ("row key near near_ marked mark stays id sha text_sha256 _chunk _words node first part "
+         "component body item hits score word __id __sha __gone __word __near __bits __slot").split()
+
+
+def test_stages_take_columns_of_any_name(spark):
+    """Every name the stages use inside, and all columns come back as they were."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.unionByName(docs.limit(5))
+    wide = docs.select("*", *[F.lit(f"own {name}").alias(name) for name in NAMES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, out = stage(spark, docs, SF), stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in plain.collect())
+        assert all(r[n] == f"own {n}" for r in out.limit(3).collect() for n in NAMES)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, wide, SF)
+    assert pieces.count() == corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
+
+
+def test_stages_take_nulls_ties_and_repeats(spark):
+    """Null ids and texts, empty texts, equal rows and equal ids with other texts."""
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(None, None), (None, text), (1, None), (2, ""), (3, text), (3, text), (3, text + " x"),
+            (4, text.upper()), (5, "other " * 40_000), (6, "short")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    found = {}
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        found[name] = sorted(((r.doc_id or 0, len(r.text or "")) for r in
+                              stage(spark, docs, SF).collect()))
+    size = len(text)
+    # Equal texts leave the smallest id, of which null is the smallest: 3 and 4 go with their copies.
+    assert found["exact_dedup"] == [(0, 0), (0, size), (3, size + 2), (5, 240_000), (6, 5)]
+    # Near copies leave the smallest id, of which null is the largest; empty sets all stay.
+    assert [f for f in found["ngram_join"] if f[1] == 0] == [(0, 0), (1, 0), (2, 0)]
+    assert [f[0] for f in found["ngram_join"] if f[1]] == [3, 5, 6]
+    assert len(found["decontamination"]) == len(rows)
+    scored = corpus_pipeline.STAGES[0][1](spark, docs, SF)
+    assert scored.columns == docs.columns and scored.count() <= len(rows)
+    pieces = corpus_pipeline.STAGES[4][1](spark, docs, SF)
+    assert pieces.where("start = 0").count() == len(rows)
