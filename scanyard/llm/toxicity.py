@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.llm.common import findable, pairs, remembered
+from scanyard.llm.common import findable, give_back, pairs, remembered
 from scanyard.llm.decontaminate import words
 
 MOST_TOXIC, MOST_CLEAN = 1500, 3000
@@ -37,6 +37,8 @@ WORD_BITS, GRAM_BITS = 14, 16
 WORD_SIZE, GRAM_SIZE, STATE = 6, 10, 8
 GRAMS = (3, 4, 5, 6, 7)
 EPOCHS, BATCH, RATE = 3, 384, 0.01
+# Text scored at once.
+SCORED_BYTES = 512 << 10
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,6 +50,17 @@ class Words:
         self.texts = [np.fromiter(map(number.__getitem__, t), np.int32, len(t)) for t in texts]
         self._hash(list(number))
 
+    @classmethod
+    def numbered(cls, texts: list[np.ndarray], vocabulary: list[bytes]) -> Words:
+        """From texts that are places in a vocabulary already."""
+        own = cls.__new__(cls)
+        every = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+        known, place = np.unique(every, return_inverse=True)
+        cuts = np.cumsum([len(t) for t in texts])[:-1]
+        own.texts = np.split(place.astype(np.int32), cuts) if texts else []
+        own._hash([vocabulary[n] for n in known.tolist()])
+        return own
+
     def _hash(self, distinct: list[bytes]) -> None:
         self.count = len(distinct)
         marked = b"".join(b"<" + w + b">" for w in distinct)
@@ -217,7 +230,7 @@ def gradients(model, given: Words, rows, target, weight):
     return float(loss), g
 
 
-def _start(rng, texts: list[list[bytes]], labels: np.ndarray) -> dict:
+def _start(rng, texts: list[np.ndarray], vocabulary: list[bytes], labels: np.ndarray) -> dict:
     """Random weights; the first entry of each word and n-gram vector is its log-odds."""
     def random(*shape, scale):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
@@ -233,7 +246,7 @@ def _start(rng, texts: list[list[bytes]], labels: np.ndarray) -> dict:
         "out_bias": np.zeros(1, np.float32)}
     seen = {"word": np.zeros((2, 1 << WORD_BITS)), "gram": np.zeros((2, 1 << GRAM_BITS))}
     for at in range(0, len(texts), 50):
-        some = Words(texts[at:at + 50])
+        some = Words.numbered(texts[at:at + 50], vocabulary)
         bounds = some.first + some.per
         for text, label in zip(some.texts, labels[at:at + 50]):
             mine = np.unique(text)
@@ -274,7 +287,10 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
           epochs: int = EPOCHS) -> dict:
     """Fit on texts and their labels; ``shares`` weighs the classes as they are in all rows."""
     labels = np.array(labels, np.int64)
-    texts = [words(body) for body in bodies]
+    # The words of all texts once, and the texts as places among them.
+    number = _Numbers()
+    texts = [np.fromiter(map(number.__getitem__, words(body)), np.int32) for body in bodies]
+    vocabulary = list(number)
     weight = np.array([(shares or {}).get(int(c), 1.0) for c in labels], np.float32)
     base = float(np.average(labels, weights=weight)) if len(labels) else 0.5
     if len(set(labels.tolist())) < 2:
@@ -287,26 +303,27 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
         later[some[:len(some) // 5]] = True
     for_layer = [t for t, x in zip(texts, later) if x], labels[later], weight[later]
     texts, labels = [t for t, x in zip(texts, later) if not x], labels[~later]
-    model = _start(rng, texts, labels)
+    model = _start(rng, texts, vocabulary, labels)
     adam = Adam(model, RATE)
-    picks = []
-    for at, text in enumerate(texts):
-        starts = windows(len(text))
-        picks += [(at, int(s), 1 / len(starts)) for s in starts]
+    # Every window of every text: its text, its first word, its weight.
+    first = [windows(len(text)) for text in texts]
+    owner = np.repeat(np.arange(len(texts)), [len(f) for f in first])
+    first = np.concatenate(first)
     balance = np.where(labels > 0, 0.5 / max(1, (labels > 0).sum()),
                        0.5 / max(1, (labels == 0).sum()))
-    each = np.array([balance[p[0]] * p[2] for p in picks], np.float32)
+    each = (balance[owner] / np.bincount(owner)[owner]).astype(np.float32)
     each *= len(each) / each.sum()
     for epoch in range(epochs):
         adam.rate = RATE * (1 - epoch / epochs)
-        shuffled = rng.permutation(len(picks))
+        shuffled = rng.permutation(len(owner))
         for at in range(0, len(shuffled), BATCH):
             some = shuffled[at:at + BATCH]
-            cut = [texts[picks[i][0]][picks[i][1]:picks[i][1] + WINDOW] for i in some]
-            given = Words(cut)
+            cut = [texts[o][f:f + WINDOW] for o, f in zip(owner[some].tolist(),
+                                                          first[some].tolist())]
+            given = Words.numbered(cut, vocabulary)
             rows = np.concatenate([window_rows(t, np.zeros(1, np.int64), given.count)
                                    for t in given.texts])
-            target = labels[[picks[i][0] for i in some]].astype(np.float32)
+            target = labels[owner[some]].astype(np.float32)
             _, g = gradients(model, given, rows, target, np.minimum(each[some], 8))
             adam.step(model, g)
     model["base"] = base
@@ -314,7 +331,8 @@ def train(bodies: list[bytes], labels: list[int], shares: dict[int, float] | Non
         texts, labels, np.ones(len(labels)))
     full = np.array([len(t) > 0 for t in texts], bool)
     features = np.array([_features(s) for at in range(0, len(texts), 50)
-                         for s in window_scores(model, texts[at:at + 50]) if len(s)])
+                         for s in window_scores(model, Words.numbered(
+                             texts[at:at + 50], vocabulary)) if len(s)])
     model["text"] = _logistic(features, labels[full], weight[full])
     return model
 
@@ -331,9 +349,8 @@ def _logistic(x, y, weight, decay=1e-3, rounds=60):
     return w
 
 
-def window_scores(model: dict, texts: list[list[bytes]], batch: int = 4096) -> list[np.ndarray]:
+def window_scores(model: dict, given: Words, batch: int = 1024) -> list[np.ndarray]:
     """The scores of all windows of each text."""
-    given = Words(texts)
     vectors = given.vectors(model)
     starts = [windows(len(t)) for t in given.texts]
     out = np.empty(sum(map(len, starts)), np.float32)
@@ -364,7 +381,7 @@ def scores(model: dict, bodies: list[bytes]) -> np.ndarray:
     out = np.full(len(bodies), model["base"])
     if "text" not in model:
         return out
-    for at, found in enumerate(window_scores(model, list(map(words, bodies)))):
+    for at, found in enumerate(window_scores(model, Words(map(words, bodies)))):
         if len(found):
             out[at] = sigmoid(np.dot(_features(found), model["text"]))
     return out
@@ -402,7 +419,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             given += batch.column("label").to_pylist()
         # Rows come in any order; sorted, the same sample gives the same model.
         both = sorted(zip(bodies, given))
+        bodies.clear()
         model = train([b for b, _ in both], [c for _, c in both], shares)
+        del both
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     found = texts.repartition(1).mapInArrow(run, "model binary").collect()
@@ -419,9 +439,10 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> Column:
         remembered("toxicity", dict)
         for batch in batches:
             bodies = batch.tolist()
-            sizes = np.cumsum(list(map(len, bodies))) // (2 << 20)
+            sizes = np.cumsum(list(map(len, bodies))) // SCORED_BYTES
             out = [scores(shared.value, bodies[lo:hi]) for lo, hi in _runs(sizes)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        give_back()
 
     return of(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
 

@@ -36,13 +36,83 @@ def test_windows_cover_every_word():
         assert covered == set(range(n)) and (n == 0) == (len(starts) == 0)
 
 
+def started(rng, texts):
+    vocabulary = sorted({w for t in texts for w in t})
+    placed = [np.array([vocabulary.index(w) for w in t], np.int32) for t in texts]
+    return {k: v.astype(np.float64) for k, v in toxicity._start(
+        rng, placed, vocabulary, np.array([0, 1])).items()}
+
+
+def plain_score(model, window):
+    """One window's score, word by word and number by number."""
+    def vector(word):
+        given = Words([[word]])
+        word_part = model["word"][given.word[0]]
+        grams = [model["gram"][g] for g in given.grams]
+        return np.concatenate([word_part, sum(grams) / len(grams)])
+
+    def step(x, state, units):
+        size = len(state)
+        h = [sum(state[i] * units[i][j] for i in range(size)) for j in range(3 * size)]
+        out = []
+        for j in range(size):
+            z = 1 / (1 + np.exp(-(x[j] + h[j])))
+            r = 1 / (1 + np.exp(-(x[size + j] + h[size + j])))
+            n = np.tanh(x[2 * size + j] + r * h[2 * size + j])
+            out.append(n + z * (state[j] - n))
+        return out
+
+    inputs = [vector(w) @ model["in"] + model["in_bias"] for w in window]
+    # Short windows are filled with words of zeros, which attention leaves out.
+    inputs += [model["in_bias"]] * (toxicity.WINDOW - len(window))
+    half, size = len(model["in_bias"]) // 2, toxicity.STATE
+    ahead, back, state = [], [], [0.0] * size
+    for x in inputs:
+        ahead.append(state := step(x[:half], state, model["ahead"]))
+    state = [0.0] * size
+    for x in reversed(inputs):
+        back.insert(0, state := step(x[half:], state, model["back"]))
+    both = [np.array(a + b) for a, b in zip(ahead, back)][:len(window)]
+    worth = np.array([np.tanh(s @ model["attend"] + model["attend_bias"]) @ model["worth"]
+                      for s in both])
+    share = np.exp(worth) / np.exp(worth).sum()
+    return sum(p * s for p, s in zip(share, both)) @ model["out"] + model["out_bias"][0]
+
+
+def test_window_scores_equal_plain_loops():
+    rng = np.random.default_rng(4)
+    texts = [[b"abc", b"de", b"f"], [b"w%d" % (i % 17) for i in range(130)], [], [b"abc"] * 48]
+    model = started(rng, texts)
+    found = toxicity.window_scores(model, Words(texts), batch=2)
+    for text, got in zip(texts, found):
+        cuts = [text[s:s + toxicity.WINDOW] for s in windows(len(text))]
+        assert len(got) == len(cuts)
+        assert got == pytest.approx([plain_score(model, c) for c in cuts], rel=1e-4, abs=1e-4)
+    model |= {"base": 0.25, "text": np.array([0.5, 1.0, -0.5, 0.1])}
+    got = toxicity.scores(model, [b" ".join(t) for t in texts])
+    for text, value in zip(texts, got):
+        s = np.array([plain_score(model, text[a:a + toxicity.WINDOW]) for a in windows(len(text))])
+        if len(s):
+            x = 0.5 * s.mean() + s.max() - 0.5 * (s > 0).mean() + 0.1
+        assert value == pytest.approx(1 / (1 + np.exp(-x)) if len(s) else 0.25, abs=1e-4)
+
+
+def test_numbered_words_equal_words():
+    texts = [[b"abc", b"de", b"abc"], [], [b"zz", b"de"]]
+    vocabulary = [b"not used", b"zz", b"abc", b"de"]
+    a = Words.numbered([np.array([vocabulary.index(w) for w in t], np.int32) for t in texts],
+                       vocabulary)
+    b = Words(texts)
+    for own, other in zip(a.texts, b.texts):
+        assert [a.word[w] for w in own] == [b.word[w] for w in other]
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(1)
     texts = [[b"abc", b"de", b"f"], [b"abc", b"xyz", b"abc", b"q", b"de"]]
     given = Words(texts)
     rows = np.concatenate([window_rows(t, windows(len(t)), given.count) for t in given.texts])
-    model = {k: v.astype(np.float64) for k, v in toxicity._start(
-        rng, texts, np.array([0, 1])).items()}
+    model = started(rng, texts)
     target, weight = np.array([0.0, 1.0]), np.array([1.0, 2.0])
     _, g = gradients(model, given, rows, target, weight)
     for name in ("out", "worth", "attend", "ahead", "back", "in_bias", "in"):
