@@ -12,6 +12,7 @@ from scanyard.functions.dates import ts, us_date
 from scanyard.plans import extracts, kept, outstanding
 from scanyard.plans.config import FCS, OMPF, OMPF_FIRST, VAULT
 from scanyard.session import shared_dir
+from scanyard.sources.buckets import load_bucketed, store_bucketed
 
 FCS_T, VAULT_T = FCS.starting(START), VAULT.starting(START)
 OMPF_T, FIRST_T = OMPF.starting(START), OMPF_FIRST.starting(START)
@@ -100,6 +101,24 @@ def _(roles):
     return outstanding.r06_open_batches(kept_tables(roles), OMPF_T)
 
 
+def bucketed_tables(roles, rows=25):
+    """Documents and folders bucketed by batch; batches of more than a few rows are cut."""
+    spark = roles["document"].sparkSession
+    base, number = shared_dir(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store_bucketed(roles, base, number, rows)
+    return load_bucketed(spark, base, number, roles)
+
+
+@case("e01_intake_master_bucketed", f"with {sql.FCS_MASTER} select * from master")
+def _(roles):
+    return extracts.intake_master(bucketed_tables(roles, rows=3), FCS_T)
+
+
+@case("e02_upload_records_bucketed", _uploads_sql(sql.OMPF_RECORDS))
+def _(roles):
+    return _uploads(bucketed_tables(roles), OMPF_T)
+
+
 @case("e03_active_folders", f"""
     select distinct f.RMN, f.PBatch, f.dcsid, p.BatchClassName
     from folder_map f left join physical_batch p on p.PBatch = f.PBatch

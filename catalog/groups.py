@@ -10,12 +10,13 @@ from catalog import report_sql as sql
 from catalog.registry import START, case
 from scanyard.functions import dates
 from scanyard.functions.decode import media_counts
-from scanyard.operators import aggregates
+from scanyard.operators import aggregates, distinct
 from scanyard.operators.joins import flag_any
 from scanyard.operators.projection import key_when
 from scanyard.operators.sets import union_distinct
 from scanyard.plans import inventory, monthly
 from scanyard.plans.config import IMAGE_INVENTORY
+from scanyard.session import shared_dir
 
 c = F.col
 
@@ -47,6 +48,22 @@ def _(roles):
         "upload_times": "ftpstime"})
 
 
+@case("a04_mergeable_distinct_counts", """
+    select docidDoctype, count(distinct PBatch) as "PBatch", count(distinct dcsid) as dcsid,
+           count(distinct ImageID) as "ImageID"
+    from document group by docidDoctype""")
+def _(roles):
+    """From bitmaps of uploaded and waiting documents, which share batches and folders."""
+    documents = roles["document"].select("docidDoctype", "PBatch", "dcsid", "ImageID", "ftpstime")
+    spark = documents.sparkSession
+    numbers = {name: distinct.Numbers(spark, f"{shared_dir(spark)}/{name}", "string").extend(
+        documents.select(name)) for name in ("PBatch", "dcsid", "ImageID")}
+    parts = [distinct.bitmaps(documents.where(state), ["docidDoctype"], numbers)
+             for state in ("ftpstime is null", "ftpstime is not null")]
+    return distinct.counts(distinct.merged(parts, ["docidDoctype"]), ["docidDoctype"],
+                           list(numbers))
+
+
 @case("a05_two_level_sum", """
     select RMN, cast(sum(pages) as bigint) as pages, cast(max(pages) as bigint) as largest
     from (select RMN, PBatch, sum(NumPages) as pages from document group by RMN, PBatch)

@@ -20,6 +20,8 @@ AS_OF = datetime(2001, 6, 15, 10, 0, 0)
 START = datetime(1995, 1, 1)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# Those on role tables, as they are given them.
+ON_ROLES: dict[str, Callable[[Roles], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
@@ -28,6 +30,7 @@ def case(name: str, sql: str | None = None):
     def register(build: Callable[[Roles], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return build(derive_roles(tune(spark), sf_dir))
+        ON_ROLES[name] = build
         return _add(name, run, sql, build)
     return register
 

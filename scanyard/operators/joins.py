@@ -77,6 +77,22 @@ def left_join_children(parents: DataFrame, children: DataFrame, on: str,
     return left.join(right, same).drop("_child", "_spread", "_spread_child")
 
 
+def left_join_sliced(parents: DataFrame, children: DataFrame, on: str, slices: DataFrame,
+                     part: str = "slice") -> DataFrame:
+    """Left join with children that lie by ``on`` and ``part``, without moving them.
+
+    ``slices`` (``on``, slices) lists the keys whose children are cut into several parts; each of
+    them has children. Parents bring one row per part, so a hot key is joined in as many tasks.
+    """
+    counted = parents.join(slices.toDF(on, "_parts"), on, "left")
+    spread = counted.withColumn(part, F.explode(F.sequence(
+        F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    joined = spread.join(children.withColumn("_child", F.lit(True)), [on, part], "left")
+    # A part that holds no children of a hot key says nothing.
+    return joined.where(F.col("_child") | F.col("_parts").isNull()).drop(
+        "_child", "_parts", part)
+
+
 def where_exists(left: DataFrame, right: DataFrame, on: str | Sequence[str],
                  condition: Column | None = None) -> DataFrame:
     """Left rows with at least one partner; each left row stays once."""

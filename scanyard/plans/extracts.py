@@ -10,9 +10,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanyard.functions.dates import between, month_start, since
+from scanyard.functions.dates import between, day_start, month_start, since
 from scanyard.functions.predicates import has_prefix, not_test_batch, valid_tracking
-from scanyard.operators.joins import left_join_children, nonworking_rows, one_per_key
+from scanyard.operators.joins import (left_join_children, left_join_sliced, nonworking_rows,
+                                      one_per_key)
 from scanyard.operators.sets import union_shards
 from scanyard.plans.config import Line
 from scanyard.plans.kept import kept_records
@@ -58,6 +59,16 @@ def batch_condition(line: Line) -> Column:
     return since(F.col("InvTime"), line.received_since) & named if line.received_since else named
 
 
+def received_from(df: DataFrame, start: datetime | None) -> DataFrame:
+    """Rows received since then; where the day is stored too, it prunes the scan."""
+    if start is None:
+        return df
+    if "received_day" in df.columns:
+        df = df.where(F.col("received_day") >= F.lit(day_start(start).date())).drop(
+            "received_day")
+    return df.where(since(F.col("InvTime"), start))
+
+
 def box_keys(tables: Tables, line: Line) -> DataFrame:
     """Distinct boxes of the line."""
     return one_per_key(tables["check_in"].where(box_condition(line)), "RMN")
@@ -71,8 +82,8 @@ def shipped_boxes(tables: Tables, line: Line) -> DataFrame:
 
 def received(tables: Tables, line: Line) -> DataFrame:
     """Received batches of the line, whatever their box."""
-    return tables["physical_batch"].where(batch_condition(line)).withColumnRenamed(
-        "PBatch", "BatchName")
+    return received_from(tables["physical_batch"], line.received_since).where(
+        name_condition(line, "PBatch")).withColumnRenamed("PBatch", "BatchName")
 
 
 def box_batches(tables: Tables, line: Line) -> DataFrame:
@@ -88,7 +99,6 @@ def known(tables: Tables, role: str, key: str, name: str) -> DataFrame:
 
 def intake_master(tables: Tables, line: Line) -> DataFrame:
     """Box, shipment, batch, folder, and whether the batch was scanned and exported."""
-    folders = tables["folder_map"].select(F.col("PBatch").alias("BatchName"), "dcsid").distinct()
     scanned_key = "batchname" if line.scanned_role == "audit" else "kbatch"
     batches = (
         box_batches(tables, line)
@@ -100,8 +110,22 @@ def intake_master(tables: Tables, line: Line) -> DataFrame:
                "ScannedBatchName", "InvTime", "ExportedBatchName"]
     if line.claim:
         columns.remove("claimtype")
+    return with_folders(tables, batches).select(*columns).distinct()
+
+
+def with_folders(tables: Tables, batches: DataFrame, name: str = "dcsid") -> DataFrame:
+    """Rows of batches, one per folder; a batch without folders stays with NULL.
+
+    Folders bucketed by batch are joined where they lie.
+    """
+    folders = tables["folder_map"].withColumnRenamed("PBatch", "BatchName")
+    folder = F.col("dcsid").alias(name)
+    if "folder_map_slices" in tables:
+        return left_join_sliced(batches, folders.select("BatchName", "slice", folder).distinct(),
+                                "BatchName", tables["folder_map_slices"])
     names = tables["physical_batch"].select("PBatch")
-    return left_join_children(batches, folders, "BatchName", names).select(*columns).distinct()
+    return left_join_children(batches, folders.select("BatchName", folder).distinct(),
+                              "BatchName", names)
 
 
 def line_documents(tables: Tables, line: Line) -> DataFrame:
@@ -136,8 +160,11 @@ def _line_uploads(tables: Tables, line: Line, image_grain: bool) -> DataFrame:
 
 
 def _records(tables: Tables, line: Line) -> DataFrame:
-    return _line_uploads(tables, line, line.image_grain).groupBy(*_record_keys(line)).agg(
-        F.max("UploadTime").alias("UploadTime"))
+    uploads = _line_uploads(tables, line, line.image_grain)
+    # A record lies in one slice of its batch, so grouping by it too changes no group.
+    part = ["slice"] if "slice" in uploads.columns else []
+    return uploads.groupBy(*_record_keys(line), *part).agg(
+        F.max("UploadTime").alias("UploadTime")).drop("slice")
 
 
 def upload_records(tables: Tables, line: Line) -> DataFrame:
@@ -154,7 +181,9 @@ def upload_records(tables: Tables, line: Line) -> DataFrame:
 def recorded_folders(tables: Tables, line: Line) -> DataFrame:
     """(Batch, folder) of the upload records, once per box they were recorded for."""
     keys = ["RMN", "PBatch", "dcsid"] if line.uploads_need_box else ["PBatch", "dcsid"]
-    folders = _line_uploads(tables, line, False).select(*keys).distinct()
+    uploads = _line_uploads(tables, line, False)
+    part = ["slice"] if "slice" in uploads.columns else []
+    folders = uploads.select(*keys, *part).distinct().drop("slice")
     if line.uploads_need_box:
         folders = folders.join(box_keys(tables, line), "RMN", "left_semi")
     return folders.select("PBatch", "dcsid")
@@ -190,13 +219,13 @@ def active_folders(tables: Tables, line: Line, prefix: str, folder_since: dateti
     """
     folders = tables["folder_map"].where(has_prefix(F.col("PBatch"), prefix))
     if folder_since:
-        folders = folders.where(since(F.col("InvTime"), folder_since))
+        folders = received_from(folders, folder_since)
     folders = folders.select("RMN", "PBatch", "dcsid").distinct().join(
         box_keys(tables, line), "RMN", "left_semi")
     batches = tables["physical_batch"]
     how = "left"
     if batch_since:
-        batches, how = batches.where(since(F.col("InvTime"), batch_since)), "inner"
+        batches, how = received_from(batches, batch_since), "inner"
     classes = batches.select("PBatch", "BatchClassName").distinct()
     return folders.join(classes, "PBatch", how).select(
         "RMN", "PBatch", "dcsid", "BatchClassName").distinct()

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanyard import fixed
-from scanyard.functions.dates import since, ts, us_date
+from scanyard.functions.dates import ts, us_date
 from scanyard.functions.decode import job_name
 from scanyard.functions.predicates import has_any_prefix
 from scanyard.operators.joins import not_in, where_exists
 from scanyard.operators.projection import with_constants
 from scanyard.plans.config import Feed
-from scanyard.plans.extracts import Tables, uploaded_between
+from scanyard.plans.extracts import Tables, received_from, uploaded_between
 
 
 def excluded_keys(tables: Tables, feed: Feed) -> DataFrame:
@@ -35,9 +35,8 @@ def completed_batches(tables: Tables, feed: Feed) -> DataFrame:
 
 def received_batches(tables: Tables, feed: Feed) -> DataFrame:
     """Received batches with the claim types of their box."""
-    batches = tables["physical_batch"].where(
-        has_any_prefix(F.col("PBatch"), fixed.FEED_PREFIXES)
-        & since(F.col("InvTime"), feed.received_since))
+    batches = received_from(tables["physical_batch"], feed.received_since).where(
+        has_any_prefix(F.col("PBatch"), fixed.FEED_PREFIXES))
     claims = tables["check_in"].select("RMN", "claimtype").distinct()
     days = batches.select("PBatch", "RMN", F.to_date("InvTime").alias("Received")).distinct()
     return days.join(claims, "RMN", "left").select(

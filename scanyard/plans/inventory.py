@@ -12,7 +12,8 @@ from scanyard.functions.predicates import has_prefix, in_tracked_stage, not_test
 from scanyard.operators.aggregates import sum_case
 from scanyard.operators.projection import key_when, or_blank_row
 from scanyard.plans.config import BOX_INVENTORY, IMAGE_INVENTORY, INVENTORY_JOB, Line
-from scanyard.plans.extracts import Tables, batch_condition, box_keys, uploaded_batches
+from scanyard.plans.extracts import (Tables, batch_condition, box_keys, received,
+                                     uploaded_batches)
 
 STAGES = [name for name, _, _ in fixed.INVENTORY_STAGES]
 
@@ -24,9 +25,8 @@ def stage_pivot(tables: Tables, line: Line, dedupe: bool = True) -> DataFrame:
     with ``dedupe`` (the report's way) two locations of one stage with equal sums become one;
     without it every location counts.
     """
-    received = tables["physical_batch"].where(batch_condition(line))
-    days = received.join(box_keys(tables, line), "RMN", "left_semi").select(
-        F.to_date("InvTime").alias("Day"), F.col("PBatch").alias("BatchName")).distinct()
+    days = received(tables, line).join(box_keys(tables, line), "RMN", "left_semi").select(
+        F.to_date("InvTime").alias("Day"), "BatchName").distinct()
     step, at = F.col("WFStep"), F.col("BatchLocation")
     work = tables["workflow"].where(
         F.col("TotalImages").isNotNull() & in_tracked_stage(step, at)

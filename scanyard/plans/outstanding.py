@@ -12,13 +12,12 @@ from scanyard.functions.dates import elapsed_days, iso_date, ts, whole_days
 from scanyard.functions.decode import (batch_status, either, media_counts, media_flag, or_dash,
                                        or_zero, outstanding_status, pending_text, stage_name)
 from scanyard.operators.aggregates import mean_pivot
-from scanyard.operators.joins import (left_join_children, nonworking_days, one_per_key,
-                                      outstanding, rejoin)
+from scanyard.operators.joins import nonworking_days, one_per_key, outstanding, rejoin
 from scanyard.operators.projection import or_blank_row
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
 from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, known,
                                      recorded_folders, scanned_batches, second_ocr,
-                                     workflow_rows)
+                                     with_folders, workflow_rows)
 
 # Reports go by batch; the further columns let the sort spread the rows of one large batch.
 _BATCH_ORDER = ["BatchName", "RMN", "TrackingNo"]
@@ -74,10 +73,7 @@ def _per_folder(tables: Tables, batches: DataFrame) -> DataFrame:
 
     All lookups by batch come before, so none meets the many folders of a batch.
     """
-    folders = tables["folder_map"].select(
-        F.col("PBatch").alias("BatchName"), F.col("dcsid").alias("DCSID")).distinct()
-    names = tables["physical_batch"].select("PBatch")
-    return left_join_children(batches, folders, "BatchName", names)
+    return with_folders(tables, batches, "DCSID")
 
 
 def _at_scanner(tables: Tables, df: DataFrame) -> DataFrame:

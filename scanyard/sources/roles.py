@@ -11,9 +11,10 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanyard.functions.curve import along_curve
 from scanyard.functions.text import clean_code, clean_key
-from scanyard.sources.schemas import (CODE_COLUMNS, DOCUMENT_MONTHS, KEY_COLUMNS, ROLE_SCHEMAS,
-                                      image_month)
+from scanyard.sources.schemas import (CODE_COLUMNS, DOCUMENT_MONTHS, KEY_COLUMNS, RECEIVED_DAY,
+                                      ROLE_SCHEMAS, image_month)
 from scanyard.sources.tables import scan
 
 
@@ -52,9 +53,9 @@ def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
 
     Rows of a month are brought together first, so a month is not a small file per task; the
     rebalance splits a month that is much larger than the others. Documents are uploaded soon after
-    they are imaged, so each upload month has few image months. Rows lie in the order of their
-    batch, in files of disjoint ranges where there are no months, so the batch prefixes of the
-    lines skip most row groups.
+    they are imaged, so each upload month has few image months. Tables with a receipt time lie
+    along a curve through batch and day, so that a batch prefix skips row groups and a window of
+    days does too; other rows lie in the order of their batch.
     """
     for role, df in roles.items():
         clean = normalise(df)
@@ -67,7 +68,10 @@ def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
                 *months, "PBatch", "ImageDateTime").write.mode("overwrite").partitionBy(
                 *months).parquet(path)
             continue
-        if batch:
+        if batch and "InvTime" in clean.columns:
+            clean = along_curve(clean.withColumn("received_day", F.to_date("InvTime")), batch,
+                                "received_day")
+        elif batch:
             clean = clean.repartitionByRange(batch).sortWithinPartitions(batch)
         clean.write.mode("overwrite").parquet(path)
 
@@ -84,6 +88,8 @@ def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
             return normalise(scan(spark, base, role, schema))
         if role == "document":
             schema += f", {DOCUMENT_MONTHS}"
+        if "InvTime" in schema:
+            schema += f", {RECEIVED_DAY}"
         return scan(spark, base, role, schema)
 
     return Roles({role: (lambda role=role: read(role)) for role in ROLE_SCHEMAS})

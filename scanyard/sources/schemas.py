@@ -44,6 +44,8 @@ CODE_COLUMNS = ("claimtype",)
 
 # Columns by which stored documents are kept apart.
 DOCUMENT_MONTHS = "upload_month date, image_month date"
+# Day of receipt beside the time in stored tables: Parquet skips rows by days, not by zone-free times.
+RECEIVED_DAY = "received_day date"
 # The image month of documents without an image time.
 NO_MONTH = date(1900, 1, 1)
 

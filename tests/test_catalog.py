@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -46,3 +49,16 @@ def test_look_alike_rows_are_in_the_tables(spark, name, twin):
 
 def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["CheckInDate", "ImageCount"]
+
+
+@pytest.mark.parametrize("missing, left", [
+    ("xxhash", 0), ("corpus_pipeline", 0), (None, len(entry.LLM))])
+def test_library_stays_without_packages_of_the_operators(missing, left):
+    """In a process of its own, with a package that cannot be imported."""
+    block = f"import sys; sys.modules[{missing!r}] = None; " if missing else ""
+    code = block + ("import __spark_entry__ as e; print(len(e.LIBRARY) == len(e.queries()), "
+                    "len(e.LLM))")
+    found = subprocess.run([sys.executable, "-W", "ignore", "-c", code], capture_output=True,
+                           text=True, cwd=Path(entry.__file__).parent)
+    alone, operators = found.stdout.split()
+    assert int(operators) >= left and (alone == "True") == (operators == "0")

@@ -1,0 +1,59 @@
+"""Exact distinct counts from bitmaps: equal to plain ones, also of merged parts."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from scanyard.operators import aggregates, distinct
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_numbers_are_dense_and_stay(spark, frame, tmp_path):
+    numbers = distinct.Numbers(spark, str(tmp_path / "n"), "string")
+    assert numbers.table().count() == 0
+    first = numbers.extend(spark.range(500).select(F.concat(F.lit("v"), F.col("id") % 100)))
+    before = {r.value: r.number for r in first.collect()}
+    assert sorted(before.values()) == list(range(1, 101))
+    # Numbers follow the order of the values.
+    assert [before[v] for v in sorted(before)] == list(range(1, 101))
+    more = frame("v string", [("v7",), (None,), ("w1",), ("a",), ("w1",)])
+    after = {r.value: r.number for r in numbers.extend(more).collect()}
+    assert {v: n for v, n in after.items() if v in before} == before
+    assert {after["a"], after["w1"]} == {101, 102} and len(after) == 102
+    assert numbers.extend(more).count() == 102
+
+
+def test_counts_of_merged_parts_equal_plain_counts(spark, frame, tmp_path):
+    rng = random.Random(4)
+    some = [(rng.choice(["x", "y", None]), rng.choice([None, *map(str, range(60))]),
+             rng.randint(1, 9)) for _ in range(400)] + [("only nulls", None, None)]
+    facts = frame("k string, folder string, image int", some)
+    tables = {"folder": distinct.Numbers(spark, str(tmp_path / "f"), "string").extend(
+        facts.select("folder")), "image": distinct.Numbers(
+            spark, str(tmp_path / "i"), "int").extend(facts.select("image"))}
+    expected = rows(aggregates.distinct_counts(facts, ["k"], {
+        "folder": "folder", "image": "image"}))
+    whole = distinct.bitmaps(facts, ["k"], tables)
+    assert rows(distinct.counts(whole, ["k"], list(tables))) == expected
+    assert "Expand" not in whole._jdf.queryExecution().executedPlan().toString()
+    parts = [distinct.bitmaps(facts.where(cond), ["k"], tables)
+             for cond in ("image <= 4 or image is null", "image > 2")]
+    both = distinct.merged(parts, ["k"])
+    assert rows(distinct.counts(both, ["k"], list(tables))) == expected
+    # The parts share values, so their counts don't add up.
+    apart = [distinct.counts(p, ["k"], list(tables)) for p in parts]
+    assert sum(r["folder"] for p in apart for r in p.collect()) > sum(r[1] for r in expected)
+
+
+def test_values_beyond_one_bitmap(spark, tmp_path):
+    facts = spark.range(0, 100_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    table = distinct.Numbers(spark, str(tmp_path / "v"), "bigint").extend(facts.select("v"))
+    maps = distinct.bitmaps(facts.unionByName(facts), ["k"], {"v": table})
+    assert {r.k: r.v for r in distinct.counts(maps, ["k"], ["v"]).collect()} == {
+        0: 33_334, 1: 33_333, 2: 33_333}
+    assert maps.count() == 3 * 4

@@ -183,3 +183,74 @@ def test_a_placeholder_report_starts_no_job(spark):
     built = []
     assert counters(spark, lambda: built.append(or_blank_row(rows, ["k"]))) == []
     assert [tuple(r) for r in built[0].collect()] == [("0", "4"), ("1", "3"), ("2", "3")]
+
+
+def test_the_curve_is_the_morton_order(spark):
+    from scanyard.functions.curve import interleave
+    cells = spark.range(64).select((F.col("id") % 8).cast("int").alias("x"),
+                                   F.floor(F.col("id") / 8).cast("int").alias("y"))
+    got = {(r.x, r.y): r.z for r in cells.select(
+        "x", "y", interleave(F.col("x"), F.col("y"), 3).alias("z")).collect()}
+    for (x, y), z in got.items():
+        assert z == sum((x >> i & 1) << (2 * i + 1) | (y >> i & 1) << (2 * i) for i in range(3))
+
+
+def test_windows_of_either_column_skip_rows(spark, tmp_path):
+    """Rows that scans give for three windows: in the order of batches, and along the curve."""
+    from scanyard.functions.curve import along_curve
+    from tests.plan_metrics import counters
+    ids = spark.range(0, 64_000, 1, 4)
+    day = F.pmod(F.xxhash64("id"), F.lit(640)).cast("int")
+    table = ids.select(
+        F.concat(F.lpad((F.col("id") % 8).cast("string"), 2, "0"), F.lpad(
+            F.col("id").cast("string"), 9, "0")).alias("PBatch"),
+        F.expr("timestamp_ntz'2001-01-01'") .alias("InvTime"), "id")
+    table = table.withColumn("InvTime", F.col("InvTime") + F.make_dt_interval(day)).withColumn(
+        "received_day", F.to_date("InvTime"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.repartitionByRange("PBatch").sortWithinPartitions("PBatch").write.parquet(
+            str(tmp_path / "lines"))
+        along_curve(table, "PBatch", "received_day").write.parquet(str(tmp_path / "curve"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    windows = ["PBatch like '02%'",
+               "received_day >= '2001-03-01' and received_day < '2001-04-01'",
+               "PBatch like '02%' and received_day >= '2001-03-01' "
+               "and received_day < '2001-04-01'"]
+    scanned = {}
+    for kind in ("lines", "curve"):
+        stored = spark.read.schema(table.schema).parquet(str(tmp_path / kind))
+        assert stored.count() == 64_000
+        for window in windows:
+            expected = table.where(window).count()
+            run = counters(spark, lambda: stored.where(window).write.format("noop").mode(
+                "overwrite").save())
+            scanned[kind, window] = sum(m.get("number of output rows", 0) for n, _, m in run
+                                        if n.startswith("Scan"))
+            assert stored.where(window).count() == expected <= scanned[kind, window]
+    batch, time, both = ((scanned["lines", w], scanned["curve", w]) for w in windows)
+    # A window of time alone read all rows; along the curve it reads a small part.
+    assert time[0] == 64_000 and time[1] < 64_000 / 3
+    assert both[1] < both[0]
+    # For that a prefix of batches alone reads more than it did, though not all.
+    assert batch[1] < 64_000 / 2
+
+
+def test_receipt_windows_reach_the_scan_of_stored_roles(spark, tables, tmp_path):
+    from scanyard.plans.config import FCS
+    from scanyard.plans.extracts import received
+    from scanyard.sources.roles import store_roles
+    store_roles({"physical_batch": tables()["physical_batch"]}, str(tmp_path))
+    stored = load_roles(spark, str(tmp_path), clean=True)
+    found = received(stored, FCS)
+    assert found.columns == ["BatchName", "RMN", "BatchClassName", "InvTime"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = found._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(received_day,2020-06-01)" in plan
+    assert "StringStartsWith(PBatch,02)" in plan
