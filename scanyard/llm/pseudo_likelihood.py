@@ -43,7 +43,7 @@ ROUNDS, STRIDE, BATCH, RATE = 2, 2, 4096, 0.015
 FAN = 64
 SLICES = 16
 UNSEEN = 0.5
-SCORED = 3 << 20  # bytes of text whose words are held at once in scoring
+SCORED = 3 << 20  # bytes of text whose words are held at once
 
 
 class Words(list):
@@ -216,18 +216,54 @@ def _shaped(flat: np.ndarray, like) -> dict[str, np.ndarray]:
     return out
 
 
+_ENCODED = "row long, id {id}, units binary, others array<struct<word: binary, n: long>>"
+
+
+def encode(texts: DataFrame, frequent: list[bytes]) -> DataFrame:
+    """The units of each text as 16-bit numbers, and how often it has which word of a bucket.
+
+    Texts are split into words here, once for all rounds of learning and for scoring.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches):
+        from pyspark import TaskContext
+        units_of = Vocabulary(shared.value)
+        row = TaskContext.get().partitionId() << 33
+        for batch in itertools.chain.from_iterable(slices(b, most=SCORED) for b in batches):
+            seqs = [words(body) for body in batch.column("body").to_pylist()]
+            units = [np.fromiter(map(units_of.__getitem__, s), np.uint16, len(s)) for s in seqs]
+            others = [Counter(itertools.compress(s, (u >= UNITS - BUCKETS).tolist()))
+                      for s, u in zip(seqs, units)]
+            pieces = pa.StructArray.from_arrays(
+                [pa.array(itertools.chain.from_iterable(others), pa.binary()),
+                 pa.array(itertools.chain.from_iterable(o.values() for o in others), pa.int64())],
+                ["word", "n"])
+            bounds = np.cumsum([0, *map(len, others)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(row, row + len(seqs))), batch.column("id"),
+                 pa.array([u.astype("<u2").tobytes() for u in units], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
+                ["row", "id", "units", "others"])
+            row += len(seqs)
+
+    return texts.mapInArrow(run, _ENCODED.format(id=texts.schema["id"].dataType.simpleString()))
+
+
+def _units(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(u, "<u2") for u in batch.column("units").to_pylist()]
+
+
 _COPIES = "slice int, part long, places double, weights binary"
 
 
-def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int,
-            stride: int) -> DataFrame:
+def _copies(encoded: DataFrame, model, phase: int, stride: int) -> DataFrame:
     """Each part's copy after learning at every place of one phase, in slices."""
-    shared = texts.sparkSession.sparkContext.broadcast((model, vocabulary))
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         from pyspark import TaskContext
-        given, known = shared.value
-        learner, units_of = Learner(given), Vocabulary(known)
+        learner = Learner(shared.value)
         around, units = [], []
 
         def step():
@@ -237,22 +273,20 @@ def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int,
             around.clear()
             units.clear()
 
-        for batch in itertools.chain.from_iterable(map(slices, batches)):
-            held = 0
-            for body in batch.column("body").to_pylist():
-                seq = words(body)
-                text = np.fromiter(map(units_of.__getitem__, seq), np.int32, len(seq))
+        held = 0
+        for batch in itertools.chain.from_iterable(slices(b, "units") for b in batches):
+            for text in _units(batch):
                 # Texts begin at other places of the stride, so short ones count alike.
-                places = np.arange((len(seq) + phase) % stride, len(seq), stride)
+                places = np.arange((len(text) + phase) % stride, len(text), stride)
                 if len(places):
                     around.append(context(text)[places])
-                    units.append(text[places])
+                    units.append(text[places].astype(np.int32))
                     held += len(places)
                 if held >= 8 * BATCH:
                     step()
                     held = 0
-            if units:
-                step()
+        if units:
+            step()
         if learner.places:
             rows = np.array_split(_flat(learner.model).astype(np.float64) * learner.places, SLICES)
             part = TaskContext.get().partitionId()
@@ -262,7 +296,7 @@ def _copies(texts: DataFrame, model, vocabulary: list[bytes], phase: int,
                  pa.array([r.tobytes() for r in rows], pa.binary())],
                 ["slice", "part", "places", "weights"])
 
-    return texts.mapInArrow(run, _COPIES)
+    return encoded.select("units").mapInArrow(run, _COPIES)
 
 
 def _add(frame):
@@ -287,75 +321,75 @@ def average(copies: DataFrame, model) -> dict[str, np.ndarray]:
     return _shaped(flat, model)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        rounds: int = ROUNDS) -> tuple[dict[str, np.ndarray], Words]:
-    """Weights and words learned from all documents."""
-    texts = pairs(docs, id_col, text_col)
+def _learned(texts: DataFrame, rounds: int) -> tuple[dict[str, np.ndarray], Words, DataFrame]:
+    """Weights, words, and the encoded texts they come from."""
     counts = keep(count_words(texts), "words")
     rows = counts.orderBy(F.desc("count"), "word").limit(UNITS - BUCKETS).collect()
     frequent = [bytes(r["word"]) for r in rows]
     vocabulary = Words(frequent, counts, bucket_totals(counts, frequent))
     model = start([r["count"] for r in rows], int(vocabulary.totals.sum()))
+    encoded = keep(encode(texts, frequent), "units")
     stride = min(STRIDE, rounds)
     for phase in range(rounds):
-        model = average(_copies(texts, model, frequent, phase % stride, stride), model)
-    return model, vocabulary
+        model = average(_copies(encoded, model, phase % stride, stride), model)
+    return model, vocabulary, encoded
 
 
-_SCORED = ("row long, id {id}, n_tokens long, log_likelihood double, "
-           "others array<struct<word: binary, n: long>>")
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        rounds: int = ROUNDS) -> tuple[dict[str, np.ndarray], Words]:
+    """Weights and words learned from all documents."""
+    return _learned(pairs(docs, id_col, text_col), rounds)[:2]
 
 
-def _by_unit(texts: DataFrame, model, vocabulary: Words) -> DataFrame:
-    """Scores with one count for each word of a bucket, and how often a text has which of them."""
-    shared = texts.sparkSession.sparkContext.broadcast((model, list(vocabulary), vocabulary.totals))
-    kind = texts.schema["id"].dataType.simpleString()
+def _by_unit(encoded: DataFrame, model, vocabulary: Words) -> DataFrame:
+    """(row, id, n_tokens, log_likelihood) with one count for each word of a bucket."""
+    shared = encoded.sparkSession.sparkContext.broadcast((model, vocabulary.totals))
+    kind = encoded.schema["id"].dataType.simpleString()
 
     def run(batches):
-        from pyspark import TaskContext
-        given, known, totals = shared.value
-        units_of = Vocabulary(known)
+        given, totals = shared.value
         # What a single count is worth in a bucket; units of one word have no such share.
         single = np.concatenate([np.zeros(UNITS - BUCKETS), -np.log(totals + UNSEEN)])
-        row = TaskContext.get().partitionId() << 33
-        for batch in itertools.chain.from_iterable(slices(b, most=SCORED) for b in batches):
-            seqs = [words(body) for body in batch.column("body").to_pylist()]
-            units = [np.fromiter(map(units_of.__getitem__, s), np.int32, len(s)) for s in seqs]
-            others = [Counter(itertools.compress(s, (u >= UNITS - BUCKETS).tolist()))
-                      for s, u in zip(seqs, units)]
+        for batch in itertools.chain.from_iterable(
+                slices(b, "units", SCORED // 2) for b in batches):
+            units = _units(batch)
             sizes = np.array(list(map(len, units)), np.int64)
             around = np.concatenate([context(u) for u in units])
-            flat = np.concatenate(units)
-            step = 1 << 14
-            logs = [log_probabilities(given, around[at:at + step], flat[at:at + step])[0]
-                    + single[flat[at:at + step]] for at in range(0, len(flat), step)]
+            flat = np.concatenate(units).astype(np.int32)
+            logs = [log_probabilities(given, around[at:at + BATCH], flat[at:at + BATCH])[0]
+                    + single[flat[at:at + BATCH]] for at in range(0, len(flat), BATCH)]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs, dtype=np.float64))]
                                   ) if logs else np.zeros(1)
             ends = np.cumsum(sizes)
-            total = sums[ends] - sums[ends - sizes]
-            pieces = pa.StructArray.from_arrays(
-                [pa.array(itertools.chain.from_iterable(others), pa.binary()),
-                 pa.array(itertools.chain.from_iterable(o.values() for o in others), pa.int64())],
-                ["word", "n"])
-            bounds = np.cumsum([0, *map(len, others)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + len(seqs))), batch.column("id"), pa.array(sizes),
-                 pa.array(total), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
-                ["row", "id", "n_tokens", "log_likelihood", "others"])
-            row += len(seqs)
+                [batch.column("row"), batch.column("id"), pa.array(sizes),
+                 pa.array(sums[ends] - sums[ends - sizes])],
+                ["row", "id", "n_tokens", "log_likelihood"])
 
-    return texts.mapInArrow(run, _SCORED.format(id=kind))
+    return encoded.select("row", "id", "units").mapInArrow(
+        run, f"row long, id {kind}, n_tokens long, log_likelihood double")
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: Words,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, log_likelihood, per_token."""
-    rows = keep(_by_unit(pairs(docs, id_col, text_col), model, vocabulary), "by_unit")
-    found = rows.select("row", F.explode("others").alias("other")).select(
+def _scored(encoded: DataFrame, model: dict[str, np.ndarray], vocabulary: Words) -> DataFrame:
+    found = encoded.select("row", F.explode("others").alias("other")).select(
         "row", "other.word", "other.n").join(vocabulary.counts, "word", "left")
     share = F.col("n") * F.log(F.coalesce(F.col("count").cast("double"), F.lit(UNSEEN)))
     shares = found.groupBy("row").agg(F.sum(share).alias("shares"))
     total = F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0))
-    return rows.drop("others").join(shares, "row", "left").select(
+    return _by_unit(encoded, model, vocabulary).join(shares, "row", "left").select(
         "id", "n_tokens", total.alias("log_likelihood"),
         F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("per_token"))
+
+
+def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: Words,
+          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, n_tokens, log_likelihood, per_token."""
+    texts = pairs(docs, id_col, text_col)
+    return _scored(keep(encode(texts, list(vocabulary)), "units"), model, vocabulary)
+
+
+def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  rounds: int = ROUNDS) -> DataFrame:
+    """The documents' scores under what is learned from them; they are split and numbered once."""
+    model, vocabulary, encoded = _learned(pairs(docs, id_col, text_col), rounds)
+    return _scored(encoded, model, vocabulary)

@@ -197,8 +197,7 @@ def op3_html_text(spark, sf_dir):
 def op9_lm_scoring(spark, sf_dir):
     """Log-likelihood of every document's words, each given those on both sides."""
     docs = table(spark, sf_dir, "documents")
-    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs)).withColumnRenamed(
-        "id", "doc_id")
+    return pseudo_likelihood.fit_and_score(docs).withColumnRenamed("id", "doc_id")
 
 
 def planted(docs: DataFrame) -> DataFrame:

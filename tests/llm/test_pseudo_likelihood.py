@@ -101,3 +101,46 @@ def test_every_place_is_learned_from_once(docs, monkeypatch, rounds):
     sizes = [1, 1, 1, 2, 3, 7, 8, 9, 40]
     lm.fit(docs([(n, "a " * size) for n, size in enumerate(sizes)]), rounds=rounds)
     assert sum(seen) == sum(sizes)
+
+
+def test_scores_equal_plain_loops(docs, by_id):
+    """Token by token: the class, the word in it, and a bucket word's share of its bucket."""
+    names = [f"w{n}" for n in range(4000)]
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(rng.choice(names[:40], 30)) + " " + " ".join(names[i * 40:i * 40 + 40]))
+            for i in range(100)] + [(100, None), (101, "w3"), (102, "NEVER w5 seen")]
+    known = docs(rows[:102])
+    model, vocabulary = lm.fit(known)
+    counts = {bytes(r.word): r["count"] for r in vocabulary.counts.collect()}
+    units_of = lm.Vocabulary(list(vocabulary))
+    got = by_id(lm.score(docs(rows), model, vocabulary))
+
+    def plain(text):
+        words, total = lm.words((text or "").encode()), 0.0
+        units = [units_of[w] for w in words]
+        for at, unit in enumerate(units):
+            inputs = []
+            for place in (at - 2, at - 1, at + 1, at + 2):
+                own = units[place] if 0 <= place < len(units) else lm.UNITS
+                inputs += model["vector"][own].tolist()
+            hidden = [np.tanh(sum(x * model["hidden"][i][j] for i, x in enumerate(inputs))
+                              + model["hidden_bias"][j]) for j in range(lm.HIDDEN)]
+            group, word = divmod(unit, lm.PER_CLASS)
+            for weights, bias, chosen in ((model["class"], model["class_bias"], group), (
+                    model["word"][group], model["word_bias"][group], word)):
+                scores = np.array([sum(h * weights[j][k] for j, h in enumerate(hidden)) + bias[k]
+                                   for k in range(len(bias))], np.float64)
+                total += scores[chosen] - np.log(np.exp(scores).sum())
+            if unit >= lm.UNITS - lm.BUCKETS:
+                total += np.log(counts.get(words[at], lm.UNSEEN)
+                                / (vocabulary.totals[unit - lm.UNITS + lm.BUCKETS]
+                                   + lm.UNSEEN))
+        return len(words), total
+
+    for i, text in (rows[0], rows[57], *rows[100:]):
+        n, total = plain(text)
+        assert got[i][0].n_tokens == n
+        assert got[i][0].log_likelihood == pytest.approx(total, rel=1e-4, abs=1e-3)
+    both = by_id(lm.fit_and_score(known))
+    assert all(both[i][0].log_likelihood == pytest.approx(got[i][0].log_likelihood, rel=1e-4)
+               for i in range(100))
