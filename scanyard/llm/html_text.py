@@ -25,6 +25,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -87,22 +88,25 @@ class Tree:
         self.hints: list[list[str]] = [[]]  # the names that hint at boilerplate
         # What a page holds, in order: (element, text), or (element, None) where a block is bound.
         self.flow: list[tuple[int, str | None]] = []
-        open_: list[int] = [0]
+        # Open elements, outermost first; the places there of each tag and of those that are blocks.
+        self.open: list[int] = [0]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
         at = 0
         while at < len(page):
             found = _TAG.search(page, at)
             if not found:
-                self._text(open_[-1], page[at:])
+                self._text(self.open[-1], page[at:])
                 break
             if found.start() > at:
-                self._text(open_[-1], page[at:found.start()])
+                self._text(self.open[-1], page[at:found.start()])
             at = found.end()
             if found["end"]:
-                self._close(open_, found["end"].lower())
+                self._close(found["end"].lower())
             elif found["start"]:
                 if not found["shut"]:
                     break
-                at = self._start(open_, found["start"].lower(), found["rest"], page, at)
+                at = self._start(found["start"].lower(), found["rest"], page, at)
         self._bound(0)
 
     def _text(self, element: int, text: str) -> None:
@@ -111,12 +115,12 @@ class Tree:
     def _bound(self, element: int) -> None:
         self.flow.append((element, None))
 
-    def _start(self, open_, tag, rest, page, at) -> int:
+    def _start(self, tag, rest, page, at) -> int:
         if tag in ENDS_P:
-            self._shut(open_, {"p"}, {"table", "td", "th", "button"})
+            self._shut({"p"}, {"table", "td", "th", "button"})
         if tag in CLOSES:
-            self._shut(open_, *CLOSES[tag])
-        me, parent = len(self.tag), open_[-1]
+            self._shut(*CLOSES[tag])
+        me, parent = len(self.tag), self.open[-1]
         self.tag.append(tag)
         self.parent.append(parent)
         drop, hints = self._boilerplate(tag, rest)
@@ -133,31 +137,37 @@ class Tree:
             self._bound(me)
             return end.end() if end else len(page)
         if tag not in VOID:
-            open_.append(me)
+            self.places[tag].append(len(self.open))
+            if tag not in INLINE:
+                self.blocks.append(len(self.open))
+            self.open.append(me)
         return at
 
-    def _shut(self, open_, tags, scope) -> None:
+    def _nearest(self, tags) -> int:
+        """The innermost place of an open element of some tags, or 0."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def _shut(self, tags, scope) -> None:
         """Close the nearest open element of some tags, looking no further than a scope."""
-        for place in range(len(open_) - 1, 0, -1):
-            tag = self.tag[open_[place]]
-            if tag in tags:
-                self._pop(open_, place)
-                return
-            if tag in scope:
-                return
-
-    def _close(self, open_, tag) -> None:
-        for place in range(len(open_) - 1, 0, -1):
-            if self.tag[open_[place]] == tag:
-                self._pop(open_, place)
-                return
-            if tag in INLINE and self.tag[open_[place]] not in INLINE:
-                return
-
-    def _pop(self, open_, place) -> None:
-        if any(self.tag[e] not in INLINE for e in open_[place:]):
-            self._bound(open_[place])
-        del open_[place:]
+        place = self._nearest(tags)
+        if place and place >= self._nearest(scope):
+            self._pop(place)
+
+    def _close(self, tag) -> None:
+        place = self._nearest((tag,))
+        # An end tag within a line does not reach beyond the block it stands in.
+        if place and not (tag in INLINE and self.blocks and self.blocks[-1] > place):
+            self._pop(place)
+
+    def _pop(self, place) -> None:
+        """Close an element and all inside it: each is looked at once, when it ends."""
+        if self.blocks and self.blocks[-1] >= place:
+            self._bound(self.open[place])
+        for element in reversed(self.open[place:]):
+            self.places[self.tag[element]].pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+        del self.open[place:]
 
     @staticmethod
     def _boilerplate(tag: str, rest: str) -> tuple[bool, list[str]]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -140,3 +141,11 @@ def test_sibling_articles_all_stay(wrap):
     article = f"<article><h2>Title</h2>{PARAGRAPH * 6}</article>"
     got = main_text(f"<body><div class='ad'>Buy this</div>{wrap.format(article * 3)}</body>")
     assert got == "\n\n".join(["Title", *[TEXT] * 6] * 3)
+
+
+def test_stray_end_tags_cost_nothing():
+    """Many open elements and many end tags of none of them."""
+    start = time.monotonic()
+    tree = html_text.Tree("<div>" * 50_000 + "</section>" * 200_000 + "<p>" * 50_000
+                          + "</b>" * 100_000 + "<td>" * 20_000)
+    assert len(tree.tag) > 100_000 and time.monotonic() - start < 20
