@@ -36,7 +36,9 @@ from scanyard.session import shared_dir
 
 LEAST_REVISIT = 1000
 FILE_BYTES = 64 << 20
-MOST_BYTES = 1 << 30
+# A record at most, and its headers. Larger payloads than this a column cannot hold.
+MOST_HEADERS = 8 << 20
+MOST_BYTES = (1 << 31) - 1 + MOST_HEADERS
 CHUNK = 1 << 18
 RESPONSE, REVISIT = "response", "revisit"
 DATE = "2000-01-01T00:00:00Z"
@@ -45,6 +47,7 @@ _ID = "urn:page:"
 VERSION = b"WARC/1.0"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 GZIP = b"\x1f\x8b\x08"
+_EMPTY = re.compile(rb"\r?\n\r?\n")
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/[01]\.\d")
 _VERSION = re.compile(rb"WARC/[01]\.\d+\r?\n")
 
@@ -113,7 +116,7 @@ def parse(data: bytes, at: int = 0) -> tuple[Record, int]:
     version = _VERSION.match(data, at)
     if not version:
         raise Damaged("no version line")
-    close = re.compile(rb"\r?\n\r?\n").search(data, version.end() - 2)
+    close = _EMPTY.search(data, version.end() - 2)
     if not close:
         raise Damaged("headers without an end")
     headers = _fields([x for x in data[version.end():close.start()].splitlines() if x])
@@ -158,6 +161,7 @@ class Salvage:
 
     file: object
     most: int = MOST_BYTES
+    headers: int = MOST_HEADERS
     size: int = field(init=False)
 
     def __post_init__(self):
@@ -205,9 +209,15 @@ class Salvage:
         return self._plain(at)
 
     def _plain(self, at: int) -> tuple[list[Record], int, bool]:
-        head = self._bytes(at, 1 << 16)
+        count = 1 << 16
+        head = self._bytes(at, count)
         if not _VERSION.match(head):
             raise Damaged("no version line")
+        # Headers end at an empty line, however far on.
+        while not (close := _EMPTY.search(head)) and count < min(self.headers, self.size - at):
+            count = min(4 * count, self.headers)
+            head = self._bytes(at, count)
+        head = head[:close.end()] if close else head
         length = re.compile(rb"(?i)\ncontent-length:\s*(\d{1,18})\s*\r?\n").search(head)
         if not length or int(length[1]) > self.most:
             raise Damaged("no length")
@@ -307,10 +317,11 @@ _READ = ("file string, `offset` long, length long, gap string, record_id string,
          "url string, payload binary, payload_sha1 string, payload_bytes long, refers_to string")
 
 
-def read(manifest: DataFrame, folder: str) -> DataFrame:
+def read(manifest: DataFrame, folder: str, most: int = MOST_BYTES,
+         headers: int = MOST_HEADERS) -> DataFrame:
     """One row per record of the manifest's files, and one per gap, with ``gap`` its reason.
 
-    Size and digest are those of the full payload, for revisits as their headers tell.
+    ``most`` and ``headers`` bound what is read as one record and its headers. Size and digest are those of the full payload, for revisits as their headers tell.
     """
     findable(manifest.sparkSession)
     files = max(1, manifest.count())
@@ -321,7 +332,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
             for name in batch.column("file").to_pylist():
                 rows, size = [], 0
                 with store.open_input_file(f"{base}/{name}") as file:
-                    for got in Salvage(file):
+                    for got in Salvage(file, most, headers):
                         rows.append(_row(name, got))
                         size += rows[-1]["length"] + len(rows[-1].get("payload") or b"")
                         if size > 16 << 20:

@@ -128,3 +128,25 @@ def test_damage_in_written_files_is_logged(spark, tmp_path):
     (tmp_path / name).write_bytes(data)
     got = warc.read(manifest, folder)
     assert got.where("gap is null").count() == 19 and got.where("gap is not null").count() == 1
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_headers_may_be_long(packed):
+    data = one(1, packed=False).replace(b"\r\n", b"\r\nX-Long: " + b"y" * 200_000 + b"\r\n", 1)
+    assert data.index(b"\r\n\r\n") > 200_000
+    found = salvage((member(data) if packed else data) + one(2, packed))
+    assert names(found) == ["<urn:page:1>", "<urn:page:2>"]
+    assert found[0].payload == random.Random(1).randbytes(300)
+    if not packed:
+        cut = salvage(data + one(2, packed), headers=1 << 16)
+        assert isinstance(cut[0], Gap) and names(cut)[-1] == "<urn:page:2>"
+
+
+def test_the_bound_of_a_record_is_the_readers(docs):
+    pages = docs([(1, "x" * 5000), (2, "y" * 100)]).withColumnRenamed("doc_id", "page_id")
+    pages = pages.selectExpr("page_id", "'http://a/' as url", "text as html")
+    folder = warc.new_folder(pages)
+    manifest = warc.write(pages, folder)
+    assert sorted(r.payload_bytes for r in warc.read(manifest, folder).collect()) == [100, 5000]
+    some = warc.read(manifest, folder, most=2000).collect()
+    assert sorted(r.gap is None for r in some) == [False, True]
