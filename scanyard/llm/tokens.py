@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 from scanyard.llm.common import remembered, slices
@@ -15,7 +17,7 @@ from scanyard.llm.common import remembered, slices
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 # Words whose ids a worker remembers, so its memory has a bound. Forgetting costs time only.
-MOST_WORDS = 300_000
+MOST_WORDS = 400_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -50,7 +52,7 @@ class _Parts(dict):
         return place
 
 
-ODD = -1
+NONE, ODD = 0, -1
 
 
 class Encoder:
@@ -78,7 +80,8 @@ class Encoder:
     def _forget(self) -> None:
         self.parts = _Parts(self._learn)
         self.ids = array("I")
-        self.starts, self.sizes = array("q"), array("q")
+        # The first place has no ids: what a text begins with when that is a space.
+        self.starts, self.sizes = array("q", [0]), array("q", [0])
 
     def _learn(self, part: str) -> int:
         """Add a part's ids to the tables."""
@@ -100,39 +103,59 @@ class Encoder:
         self.sizes.append(len(ids) - start)
         return len(self.starts) - 1
 
-    def _places(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int64)
-        first, *rest = text.split(" ")
-        at = np.fromiter(map(self.parts.__getitem__, rest), np.int64, len(rest))
-        if len(at) and at.min() == ODD:
-            first, *rest = (p for p in _AT_SPACE.split(text) if p)
-            at = np.array([self._learn(p) for p in rest], np.int64)
-        return np.append(np.int64(self._learn(first)), at) if first else at
+    def _odd(self, text: str) -> list[int]:
+        """Places of a text whose spaces don't all stand before a part."""
+        first, *rest = (p for p in _AT_SPACE.split(text) if p)
+        return [self._learn(first), *map(self._learn, rest)]
+
+    def _parted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the parts of all texts, one text after another, and where each text begins.
+
+        Texts are parted and equal parts found in Arrow, so a part is looked up once a block.
+        """
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        leads = np.zeros(len(codes), bool)
+        leads[bounds[:-1]] = True
+        asked = np.zeros(len(coded.dictionary), bool)
+        asked[codes[~leads]] = True
+        asked = np.flatnonzero(asked)
+        table = np.full(len(coded.dictionary), ODD, np.int64)
+        table[asked] = [*map(self.parts.__getitem__, coded.dictionary.take(asked).to_pylist())]
+        places = table[codes]
+        # What a text begins with has no space before it.
+        first = coded.dictionary.take(codes[leads]).to_pylist()
+        places[leads] = [self._learn(p) if p else NONE for p in first]
+        odd = np.unique(np.searchsorted(bounds, np.flatnonzero(places == ODD), "right") - 1)
+        if not len(odd):
+            return places, bounds
+        each = np.split(places, bounds[1:-1])
+        for n in odd.tolist():
+            each[n] = np.array(self._odd(texts[n]), np.int64)
+        return np.concatenate(each), np.cumsum([0, *map(len, each)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One uint32 array per text."""
+        if not texts:
+            return []
         if len(self.starts) > self.most_words:
             self._forget()
-        collecting = gc.isenabled()
-        gc.disable()  # nothing here is cyclic, and each pass would walk the whole cache
         whole = {n: np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
                  for n, text in enumerate(texts) if self.added and self.added.search(text)}
-        places = [self._places("" if n in whole else text) for n, text in enumerate(texts)]
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and each pass would walk the whole cache
+        places, bounds = self._parted(["" if n in whole else t for n, t in enumerate(texts)])
         if collecting:
             gc.enable()
         ids = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32)
         starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
-        out = []
-        for number, at in enumerate(places):
-            if number in whole:
-                out.append(whole[number])
-                continue
-            n = sizes[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(at) else 0
-            out.append(ids[np.arange(total) + np.repeat(starts[at] - ends + n, n)])
-        return out
+        n = sizes[places]
+        ends = np.cumsum(n)
+        every = ids[np.arange(int(ends[-1])) + np.repeat(starts[places] - ends + n, n)]
+        out = np.split(every, ends[bounds[1:-1] - 1])
+        return [whole.get(n, own) for n, own in enumerate(out)]
 
 
 # Where a space stands before a non-space; the space stays with what follows.
