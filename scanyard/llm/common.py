@@ -57,6 +57,17 @@ def give_back() -> None:
         trim(0)
 
 
+def rest(spark: SparkSession) -> None:
+    """Let the executors collect their garbage once, a small task for each core.
+
+    Heap, classes and buffers that one stage of a long job leaves behind are then not held through
+    the next, beside what its Python workers take.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.expr("java_method('java.lang.System', 'gc')")) \
+        .write.format("noop").mode("overwrite").save()
+
+
 def findable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
