@@ -222,3 +222,15 @@ def test_map_of_keys_never_misses(spark, frame, values):
     for rows, expected in (([], [False, False]), ([("a",), (None,)], [True, False])):
         got = with_may_be_listed(keys, F.col("k"), frame("k string", rows), "near")
         assert [r["near"] for r in got.orderBy(F.desc("k")).collect()] == expected
+
+
+def test_left_join_children_knows_the_parents_it_is_told(frame, values):
+    """A parent without children whose key is not among ``every`` is lost; all others stay."""
+    parents = frame("k string, n int", [("a", 1), ("b", 2), ("told", 3), (None, 4)])
+    children = frame("k string, x int", [("a", 7), ("gone", 8)])
+    every = frame("k string", [("a",), ("told",), (None,)])
+    got = joins.left_join_children(parents, children, "k", every)
+    assert values(got, "k", "n", "x") == sorted(
+        [("a", 1, 7), ("told", 3, None), (None, 4, None)], key=repr)
+    every = frame("k string", [("a",), ("b",), ("told",), (None,)])
+    assert joins.left_join_children(parents, children, "k", every).count() == 4
