@@ -17,8 +17,8 @@ How it runs:
    stands in the order, so clashes of cells cost time, never a link.
 3. A second pass cuts the prefixes. N-grams found in one node only go away in a grouping by n-gram.
 4. N-grams of few nodes (``FEW``) give pairs, which are counted, and verified when they share
-   enough. N-grams of more nodes are dealt out in blocks of about ``BLOCK`` nodes with their whole
-   sets. A task joins a block with itself and with some pivots all blocks share, and gives no more
+   enough. N-grams of more nodes are dealt out in blocks of about ``BLOCK`` nodes, or ``MEMBERS``
+   members where sets are large, with their whole sets. A task joins a block with itself and with some pivots all blocks share, and gives no more
    links than it has nodes. Where there are several blocks, the nodes outside the n-gram's largest
    component are then joined with all blocks; pairs inside that component need no link.
 5. Links become components, named by the smallest id of their rows.
@@ -45,7 +45,7 @@ from scanyard.llm.common import (body_of, give_back, keep, near_keys, pairs, rem
 
 SHINGLE, THRESHOLD = 5, 80
 CELL_BITS = 20
-FEW, BLOCK, PIVOTS = 24, 768, 16
+FEW, BLOCK, MEMBERS, PIVOTS = 24, 768, 1 << 20, 16
 # The l to choose from; what verifying a pair costs in posting rows for each 64 members; and how
 # many others are expected to share, by chance, an n-gram that no part of the input repeats.
 LENGTHS = (1, 2, 3, 4, 6, 8)
@@ -352,7 +352,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         heads.hint("merge"), "id").where(same).dropDuplicates(["node"]).select(
         F.col("node").alias("id"), "n", "l", "prefix"), "prefixes")
     grams = cut.select("id", "n", "l", F.explode("prefix").alias("gram"))
-    shared = keep(grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"), "shared")
+    shared = keep(grams.groupBy("gram").agg(
+        F.count("*").alias("df"), F.sum("n").alias("weight")).where("df > 1"), "shared")
     posted = keep(near_keys(grams, F.col("gram"), shared.select("gram")).join(
         shared.hint("merge"), "gram"), "posted")
 
@@ -367,7 +368,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         F.count("*").alias("common"), F.min(F.least("l_a", "l_b")).alias("l"))
         .where("common >= l").select("a", "b"), "candidates")
 
-    many = posted.where(F.col("df") > FEW).select("gram", "df", "id")
+    many = posted.where(F.col("df") > FEW).select("gram", "df", "weight", "id", "n")
     wanted = candidates.select(F.col("a").alias("id")).unionByName(
         candidates.select(F.col("b").alias("id"))).unionByName(many.select("id")).distinct()
     wanted = keep(wanted.withColumnRenamed("id", "node").join(heads.hint("merge"), "node"),
@@ -385,7 +386,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     found = keep(verified.select("a", "b"), "found")
 
     # Blocks of frequent n-grams. A node's block is the same for n-grams of as many blocks.
-    blocked = many.withColumn("blocks", F.ceil(F.col("df") / BLOCK).cast("int")).withColumn(
+    blocked = many.withColumn("blocks", _pieces(F.col("df"), F.col("weight"))).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     pivots = _pivots(blocked)
     own = blocked.select("gram", "block", "id", F.lit(True).alias("asking"))
@@ -401,12 +402,16 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
         known = keep(components(found), "known").withColumnRenamed("node", "id")
         placed = keep(wide.join(known.hint("merge"), "id", "left").withColumn(
             "group", F.coalesce("component", "id")).drop("component"), "placed")
-        sums = placed.groupBy("gram", "group").agg(F.count("*").alias("size"))
+        sums = placed.groupBy("gram", "group").agg(
+            F.count("*").alias("size"), F.sum("n").alias("weight"))
+        order = F.struct("size", "group")
         largest = sums.groupBy("gram").agg(
-            F.max_by("group", F.struct("size", "group")).alias("top"),
-            (F.sum("size") - F.max("size")).alias("outside"))
-        placed = placed.join(keep(largest.where("outside > 0"), "largest").hint("merge"), "gram")
-        slots = F.ceil(F.col("outside") / BLOCK).cast("int")
+            F.max_by("group", order).alias("top"),
+            (F.sum("size") - F.max("size")).alias("outside"),
+            (F.sum("weight") - F.max_by("weight", order)).alias("outside_weight"))
+        placed = placed.drop("weight").join(
+            keep(largest.where("outside > 0"), "largest").hint("merge"), "gram")
+        slots = _pieces(F.col("outside"), F.col("outside_weight"))
         asking = placed.where("group <> top").select(
             "gram", "id", "group", F.lit(True).alias("asking"),
             F.pmod(F.xxhash64("id"), slots).cast("int").alias("slot"),
@@ -420,6 +425,11 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     return named, nodes.select("node", "first"), found
 
 
+def _pieces(nodes, members):
+    """Blocks for so many nodes whose sets have so many members in all."""
+    return F.greatest(F.ceil(nodes / BLOCK), F.ceil(members / MEMBERS)).cast("int")
+
+
 def _pivots(blocked: DataFrame) -> DataFrame:
     """The nodes of the smallest hashes of each n-gram of several blocks."""
     order = F.xxhash64(F.col("id"), F.lit(1))

@@ -55,10 +55,12 @@ def copies(seed, families, most, words=60):
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("few,block,pivots,n,threshold", [
-    (24, 768, 16, 4, 85), (2, 4, 2, 4, 85), (1, 3, 1, 5, 80), (3, 1000, 4, 2, 60)])
-def test_equals_brute_force(docs, by_id, monkeypatch, few, block, pivots, n, threshold):
+@pytest.mark.parametrize("few,block,members,pivots,n,threshold", [
+    (24, 768, 1 << 20, 16, 4, 85), (2, 4, 1 << 20, 2, 4, 85), (1, 3, 1 << 20, 1, 5, 80),
+    (3, 1000, 90, 4, 2, 60)])
+def test_equals_brute_force(docs, by_id, monkeypatch, few, block, members, pivots, n, threshold):
     """Also with so small limits that every n-gram is frequent and has several blocks."""
+    monkeypatch.setattr(ngram_join, "MEMBERS", members)
     monkeypatch.setattr(ngram_join, "FEW", few)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
