@@ -5,7 +5,7 @@ row of its 128-bit hash, document and position. The rows are partitioned by rang
 sorted there by document and position, so the first occurrence of a hash is streamed first and
 names the document that keeps the line; the others lose theirs. What returns to the documents
 are bitmaps, 64 lines a word, and only words in which a line is lost: all others are ones. Texts
-move once, to meet their bitmap.
+that lose lines move once, to meet their bitmap; most others stay where they are.
 
 A hash too frequent for one range is cut into pieces by document, as a sample of bounded size
 says; what is first where a piece begins comes from one row per such hash. The sample only bears
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scanyard.llm.common import keep, lower_az
+from scanyard.operators.keymap import with_may_be_listed
 
 LEAST = 10
 # Rows of the sample per range, and the rows of one hash in it that make a piece.
@@ -95,10 +96,10 @@ def bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bit = F.expr(f"shiftleft(1L, pos % {_WORD})")
     words = lost.groupBy("id", "sig", F.expr(f"pos div {_WORD}").cast("int").alias("word")).agg(
         F.bit_or(bit).alias("bits"))
-    return words.groupBy("id", "sig").agg(
+    return keep(words.groupBy("id", "sig").agg(
         F.sum(F.bit_count("bits")).alias("n_dropped"),
         F.sort_array(F.collect_list(F.struct("word", F.bitwise_not("bits").alias("bits"))))
-        .alias("bitmap"))
+        .alias("bitmap")), "bitmaps")
 
 
 def lost_lines(bitmap: Column) -> Column:
@@ -117,14 +118,20 @@ def apply(docs: DataFrame, maps: DataFrame, id_col: str = "doc_id",
     whole = docs.select(F.struct("*").alias("row"))
     text = F.coalesce(whole["row"][text_col].cast("string"), F.lit(""))
     whole = whole.select("row", text.alias("text"), text_hash(text).alias("key"))
+    marked = with_may_be_listed(whole, F.col("key"), maps.select("sig"), "near")
     # The columns of each step are used more than once by the next, so Spark works them out once.
-    found = whole.join(maps.hint("merge"), whole["row"][id_col].eqNullSafe(maps["id"])
-                       & (whole["key"] == maps["sig"]), "left").select(
+    found = marked.where("near").join(maps.hint("merge"), F.col("row")[id_col].eqNullSafe(
+        maps["id"]) & (F.col("key") == maps["sig"]), "left").select(
         "row", "text", "n_dropped", lines(F.col("text")).alias("every"),
         lost_lines(F.col("bitmap")).alias("lost"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("every") - 1), F.col("lost"))
     kept = F.array_join(F.transform(stay, lambda i: F.get("every", i)), "\n")
-    return found.select(
-        "row.*", F.size("every").cast("long").alias("n_lines"),
+    near = found.select(
+        "row", F.size("every").cast("long").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("lost").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
+    # Texts that surely lose nothing stay where they are.
+    far = marked.where("not near").select(
+        "row", F.size(lines(F.col("text"))).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_dropped"), F.col("text").alias("kept_text"))
+    return near.unionByName(far).select("row.*", *added)
