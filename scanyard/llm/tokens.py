@@ -53,6 +53,8 @@ class _Parts(dict):
 
 
 NONE, ODD = 0, -1
+# Characters of a piece whose ids are remembered by themselves.
+SHORT = 2
 
 
 class Encoder:
@@ -79,6 +81,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.parts = _Parts(self._learn)
+        self.short: dict[str, array] = {}
         self.ids = array("I")
         # The first place has no ids: what a text begins with when that is a space.
         self.starts, self.sizes = array("q", [0]), array("q", [0])
@@ -94,6 +97,11 @@ class Encoder:
             pieces = self.pattern.findall(part)
         start, ids = len(self.ids), self.ids
         for piece in pieces:
+            if len(pieces) > 1:
+                known = self._known(piece)
+                if known is not None:
+                    ids.extend(known)
+                    continue
             if piece[0] == " " and piece[1:2] != " " and piece.isascii() and piece.isprintable():
                 spelt = _GAP + piece[1:]
             else:
@@ -103,6 +111,19 @@ class Encoder:
         self.sizes.append(len(ids) - start)
         return len(self.starts) - 1
 
+    def _known(self, piece: str) -> array | None:
+        """Ids of a piece that is short, or stands by itself elsewhere."""
+        if len(piece) <= SHORT:
+            if piece not in self.short:
+                self.short[piece] = array("I", map(_id, self.tokenize(
+                    piece.encode().decode("latin-1").translate(self.letters))))
+            return self.short[piece]
+        place = self.parts.get(piece[1:], ODD) if piece[0] == " " else ODD
+        if place == ODD:
+            return None
+        start = self.starts[place]
+        return self.ids[start:start + self.sizes[place]]
+
     def _odd(self, text: str) -> list[int]:
         """Places of a text whose spaces don't all stand before a part."""
         first, *rest = (p for p in _AT_SPACE.split(text) if p)
