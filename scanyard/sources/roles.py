@@ -136,15 +136,27 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
     def folder_id() -> Column:
         return F.expr("concat(l_orderkey, '-', l_linenumber % 3)")
 
-    def repeated(df: DataFrame, changes: dict[str, list[tuple[Column, Column]]]) -> DataFrame:
-        """The rows, and a copy with another value in a column wherever a condition holds."""
-        names = df.columns
-        copies = [F.struct(*names)]
-        for name, cases in changes.items():
-            for condition, value in cases:
-                changed = [value.alias(n) if n == name else c(n) for n in names]
-                copies.append(F.when(condition, F.struct(*changed)))
-        return df.select(F.inline(F.filter(F.array(*copies), lambda r: r.isNotNull())))
+    def repeated(df: DataFrame, changes: dict[str, list[tuple[Column, Column]]],
+                 number: str = "_copy") -> DataFrame:
+        """The rows, and a copy with another value in a column wherever a condition holds.
+
+        ``number`` is 0 in the rows themselves, and the place of its condition in a copy. There is
+        always a row, so no test for one is added to the joins below.
+        """
+        cases = [(name, *one) for name, listed in changes.items() for one in listed]
+        none = F.array().cast("array<int>")
+        copies = [F.when(condition, F.array(F.lit(n))).otherwise(none)
+                  for n, (_, condition, _) in enumerate(cases, 1)]
+
+        def value(name: str) -> Column:
+            shown = c(name)
+            for n, (changed, _, other) in enumerate(cases, 1):
+                if changed == name:
+                    shown = F.when(c(number) == n, other).otherwise(shown)
+            return shown.alias(name)
+
+        numbered = df.withColumn(number, F.explode_outer(F.concat(F.array(F.lit(0)), *copies)))
+        return numbered.select(*map(value, df.columns), number)
 
     def check_in() -> DataFrame:
         k = c("c_custkey")
@@ -162,7 +174,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             .cast("timestamp_ntz").alias("insertdate"),
         )
         other = F.when(c("claimtype") == "OMPF", "AUTOMOBILE").otherwise("OMPF")
-        return repeated(boxes, {"claimtype": [(k % 43 == 0, other)]}).drop("c_custkey")
+        return repeated(boxes, {"claimtype": [(k % 43 == 0, other)]}).drop("c_custkey", "_copy")
 
     def physical_batch() -> DataFrame:
         o = c("o_orderkey")
@@ -178,7 +190,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             "RMN": [(o % 41 == 0, _box("(o_custkey + 1)"))],
             "InvTime": [(o % 47 == 0, c("InvTime") + F.make_dt_interval(F.lit(3)))],
             "PBatch": [(o % 59 == 0, F.concat("PBatch", F.lit("N")))],
-        }).drop("o_orderkey", "o_custkey")
+        }).drop("o_orderkey", "o_custkey", "_copy")
 
     def _inv_time() -> Column:
         return c("o_orderdate") + F.make_dt_interval(
@@ -186,51 +198,57 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
 
     def document() -> DataFrame:
         o = c("o_orderkey")
-        joined = lines().join(orders(), c("l_orderkey") == o)
-        documents = joined.select(
-            o, c("o_custkey"),
-            _box("o_custkey").alias("RMN"),
-            _batch().alias("PBatch"),
+        # Batch and box are made, and repeated, once per order rather than per line.
+        entries = orders().select(o, c("o_custkey"), _batch().alias("PBatch"),
+                                  _box("o_custkey").alias("RMN"))
+        placed = repeated(entries, {"PBatch": [(o % 37 == 0, _batch("(o_orderkey - 8)"))],
+                                    "RMN": [(o % 39 == 0, _box("(o_custkey + 1)"))]})
+        names = [column.split()[0] for column in ROLE_SCHEMAS["document"].split(", ")]
+        return lines().join(placed.drop("o_custkey"), c("l_orderkey") == o).select(
+            "RMN", "PBatch",
             folder_id().alias("dcsid"),
             F.expr("concat(l_orderkey, '-', l_linenumber)").alias("ImageID"),
             c("l_returnflag").alias("docidDoctype"),
             F.concat(F.lit(" "), c("l_partkey").cast("string"), F.lit("  ")).alias("FileNumber"),
-            (c("l_orderkey") * 10 + c("l_linenumber")).alias("SysKey"),
+            (c("l_orderkey") * 10 + c("l_linenumber") + c("_copy") * _AGAIN).alias("SysKey"),
             c("l_quantity").cast("int").alias("NumPages"),
             F.when(c("l_linestatus") == "F", c("l_shipdate")).alias("ftpstime"),
             (c("l_shipdate") - F.make_dt_interval(F.lit(1))).alias("ImageDateTime"),
-        )
-        copies = F.array(
-            F.struct("PBatch", "RMN", "SysKey"),
-            F.when(o % 37 == 0, F.struct(_batch("(o_orderkey - 8)").alias("PBatch"), "RMN",
-                                         (c("SysKey") + _AGAIN).alias("SysKey"))),
-            F.when(o % 39 == 0, F.struct("PBatch", _box("(o_custkey + 1)").alias("RMN"),
-                                         (c("SysKey") + 2 * _AGAIN).alias("SysKey"))))
-        once = documents.withColumn("_copies", F.filter(copies, lambda r: r.isNotNull())).drop(
-            "PBatch", "RMN", "SysKey", "o_orderkey", "o_custkey")
-        names = [column.split()[0] for column in ROLE_SCHEMAS["document"].split(", ")]
-        return once.select("*", F.inline("_copies")).select(*names)
+        ).select(*names)
 
     def folder_map() -> DataFrame:
-        o = c("o_orderkey")
-        entry = [_box("o_custkey").alias("RMN"), _inv_time().alias("InvTime")]
-        joined = lines().join(orders(), c("l_orderkey") == o)
-        again = F.when(o % 37 == 0, _batch("(o_orderkey - 8)"))
-        batches = F.array_compact(F.array(_batch(), again))
-        folders = joined.select(*entry, F.explode(batches).alias("PBatch"),
-                                folder_id().alias("dcsid"))
+        o, names = c("o_orderkey"), ["RMN", "PBatch", "dcsid", "InvTime"]
+        entry = [o, _batch().alias("PBatch"), _box("o_custkey").alias("RMN"),
+                 _inv_time().alias("InvTime")]
+        placed = repeated(orders().select(*entry), {
+            "PBatch": [(o % 37 == 0, _batch("(o_orderkey - 8)"))]})
+        parts = lines().select("l_orderkey", "l_linenumber", (
+            c("l_linenumber") % 3).alias("_part"))
+
+        def folders(some: Column) -> DataFrame:
+            return parts.where(some).join(placed, c("l_orderkey") == o)
+
+        # The number of a folder names its order, so rows of different orders differ, and those
+        # of one lie together after the join. Only folders without a number must be compared.
+        numbered = folders(c("l_linenumber").isNotNull()).select(
+            "l_orderkey", "_part", "RMN", "PBatch", "InvTime").distinct().withColumn(
+            "dcsid", F.concat(c("l_orderkey").cast("string"), F.lit("-"),
+                              c("_part").cast("string")))
+        unnumbered = folders(c("l_linenumber").isNull()).withColumn(
+            "dcsid", F.lit(None).cast("string")).select(*names).distinct()
         waiting = orders().where(o % 59 == 0).select(
-            *entry, F.concat(_batch(), F.lit("N")).alias("PBatch"),
-            F.concat(o.cast("string"), F.lit("-9")).alias("dcsid"))
-        both = folders.unionByName(waiting)
-        return both.select("RMN", "PBatch", "dcsid", "InvTime").distinct()
+            "*", *entry[1:]).withColumns({
+                "PBatch": F.concat("PBatch", F.lit("N")),
+                "dcsid": F.concat(o.cast("string"), F.lit("-9"))}).select(*names).distinct()
+        return numbered.select(*names).unionByName(unnumbered).unionByName(waiting)
 
     def customer_data() -> DataFrame:
         other = F.when(c("o_orderkey") % 7 == 0, "x").otherwise("")
+        received = orders().select("o_orderkey", "o_orderdate", _batch().alias("PBatch"))
         return (
-            lines().join(orders(), c("l_orderkey") == c("o_orderkey"))
+            lines().join(received, c("l_orderkey") == c("o_orderkey"))
             .join(scan(spark, base, "part"), c("l_partkey") == c("p_partkey"))
-            .select(F.concat(folder_id(), other).alias("dcsid"), _batch().alias("PBatch"),
+            .select(F.concat(folder_id(), other).alias("dcsid"), "PBatch",
                     c("p_name").alias("Firstname"), c("p_brand").alias("Lastname"),
                     c("o_orderdate").alias("Recvdate"))
             .distinct()
@@ -253,7 +271,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.when(c("o_custkey") % 3 == 0, 9).otherwise(8).cast("int").alias("jobid"),
         )
         elsewhere = (o % 53 == 0) & (c("WFStep") <= 11), c("BatchLocation") + 512
-        return repeated(steps, {"BatchLocation": [elsewhere]}).drop("o_orderkey")
+        return repeated(steps, {"BatchLocation": [elsewhere]}).drop("o_orderkey", "_copy")
 
     def ocr(shard: int) -> DataFrame:
         o = c("o_orderkey")
