@@ -115,6 +115,16 @@ def flag_any(fact: DataFrame, key: str, condition: Column, name: str) -> DataFra
     return one_per_key(fact, key, F.max(F.coalesce(condition, F.lit(False))).alias(name))
 
 
+def near_listed(df: DataFrame, col: str, listed: DataFrame) -> DataFrame:
+    """Rows whose ``col`` may be in the one column of ``listed``; rows that surely aren't are left out.
+
+    For rows that meet the list itself later: those left out never move. NULLs are never in it.
+    """
+    flag = free_name(df, "_near")
+    marked = with_may_be_listed(df, F.col(col), listed, flag)
+    return marked.where(F.col(flag)).select(*df.columns)
+
+
 def split_anti_join(left: DataFrame, listed: DataFrame, col: str) -> DataFrame:
     """Left rows whose ``col`` is not in the one column of ``listed``; NULLs are never in it.
 

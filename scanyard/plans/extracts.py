@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from scanyard.functions.dates import between, day_start, month_start, since
 from scanyard.functions.predicates import has_prefix, not_test_batch, valid_tracking
-from scanyard.operators.joins import (left_join_children, left_join_sliced, nonworking_rows,
-                                      one_per_key)
+from scanyard.operators.joins import (left_join_children, left_join_sliced, near_listed,
+                                      nonworking_rows, one_per_key)
 from scanyard.operators.sets import union_shards
 from scanyard.plans.config import Line
 from scanyard.plans.kept import kept_records
@@ -91,6 +91,14 @@ def box_batches(tables: Tables, line: Line) -> DataFrame:
     return shipped_boxes(tables, line).join(received(tables, line), "RMN")
 
 
+def near_batches(tables: Tables, line: Line, df: DataFrame, name: str = "BatchName") -> DataFrame:
+    """Rows that may be of received batches of the shipped boxes; few others are among them.
+
+    For rows that are joined with such batches later, so that the rest is not moved.
+    """
+    return near_listed(df, name, box_batches(tables, line).select("BatchName"))
+
+
 def known(tables: Tables, role: str, key: str, name: str) -> DataFrame:
     """Distinct batch names of a lookup table, with the name repeated as a column to test."""
     names = tables[role].select(F.col(key).alias("BatchName"))
@@ -110,22 +118,26 @@ def intake_master(tables: Tables, line: Line) -> DataFrame:
                "ScannedBatchName", "InvTime", "ExportedBatchName"]
     if line.claim:
         columns.remove("claimtype")
-    return with_folders(tables, batches).select(*columns).distinct()
+    return with_folders(tables, batches, line=line).select(*columns).distinct()
 
 
-def with_folders(tables: Tables, batches: DataFrame, name: str = "dcsid") -> DataFrame:
+def with_folders(tables: Tables, batches: DataFrame, name: str = "dcsid",
+                 line: Line | None = None) -> DataFrame:
     """Rows of batches, one per folder; a batch without folders stays with NULL.
 
-    Folders bucketed by batch are joined where they lie.
+    Folders bucketed by batch are joined where they lie. With ``line``, the batches are received
+    ones of its shipped boxes, and few other folders move.
     """
     folders = tables["folder_map"].withColumnRenamed("PBatch", "BatchName")
     folder = F.col("dcsid").alias(name)
     if "folder_map_slices" in tables:
         return left_join_sliced(batches, folders.select("BatchName", "slice", folder).distinct(),
                                 "BatchName", tables["folder_map_slices"])
-    names = tables["physical_batch"].select("PBatch")
-    return left_join_children(batches, folders.select("BatchName", folder).distinct(),
-                              "BatchName", names)
+    folders, names = folders.select("BatchName", folder), tables["physical_batch"].select("PBatch")
+    if line is not None:
+        folders = near_batches(tables, line, folders)
+        names = box_batches(tables, line).select("BatchName")
+    return left_join_children(batches, folders.distinct(), "BatchName", names)
 
 
 def line_documents(tables: Tables, line: Line) -> DataFrame:
@@ -150,13 +162,18 @@ def _record_keys(line: Line) -> list[str]:
 def _line_uploads(tables: Tables, line: Line, image_grain: bool) -> DataFrame:
     """(box, batch, folder, perhaps image, UploadTime) of the line, several rows a record.
 
-    From the kept partials where the tables have them, else from the documents.
+    From the kept partials where the tables have them, else from the documents. Where the line
+    tests their box, rows whose box surely fails are left out before anything moves.
     """
-    kept = kept_records(tables, line, "image_uploads" if image_grain else "folder_uploads")
-    if kept is None:
-        return line_documents(tables, line).withColumn("UploadTime", F.col("ftpstime"))
-    return kept.where(has_prefix(F.col("PBatch"), line.upload_prefix)) if line.upload_prefix \
-        else kept
+    uploads = kept_records(tables, line, "image_uploads" if image_grain else "folder_uploads")
+    if uploads is None:
+        uploads = line_documents(tables, line).withColumn("UploadTime", F.col("ftpstime"))
+    elif line.upload_prefix:
+        uploads = uploads.where(has_prefix(F.col("PBatch"), line.upload_prefix))
+    if line.uploads_need_box:
+        boxes = tables["check_in"].where(box_condition(line)).select("RMN")
+        uploads = near_listed(uploads, "RMN", boxes)
+    return uploads
 
 
 def _records(tables: Tables, line: Line) -> DataFrame:
@@ -170,7 +187,8 @@ def _records(tables: Tables, line: Line) -> DataFrame:
 def upload_records(tables: Tables, line: Line) -> DataFrame:
     """Last upload time per folder, or per image, of each batch; NULL when never uploaded.
 
-    Documents are grouped before their box is tested, so the test sees one row per group.
+    Documents are grouped before their box is tested, so the test sees one row per group, and few
+    groups of other boxes.
     """
     records = _records(tables, line)
     if line.uploads_need_box:

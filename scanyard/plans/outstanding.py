@@ -16,7 +16,7 @@ from scanyard.operators.joins import nonworking_days, one_per_key, outstanding,
 from scanyard.operators.projection import or_blank_row
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
 from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, known,
-                                     recorded_folders, scanned_batches, second_ocr,
+                                     near_batches, recorded_folders, scanned_batches, second_ocr,
                                      with_folders, workflow_rows)
 
 # Reports go by batch; the further columns let the sort spread the rows of one large batch.
@@ -40,6 +40,14 @@ def _with_workflow(tables: Tables, batches: DataFrame) -> DataFrame:
     )
 
 
+def waiting_batches(tables: Tables, line: Line) -> DataFrame:
+    """Received batches without a complete upload, per box, shipment and class."""
+    batches = box_batches(tables, line).groupBy(
+        "RMN", "TrackingNo", "BatchName", "BatchClassName").agg(F.min("InvTime").alias("InvTime"))
+    state = batch_upload_state(tables, line).withColumnRenamed("PBatch", "BatchName")
+    return outstanding(batches, state, "BatchName", F.col("Open"))
+
+
 def open_batches(tables: Tables, line: Line) -> DataFrame:
     """Batches without a complete upload, with stage, status, media and folder counts.
 
@@ -47,12 +55,10 @@ def open_batches(tables: Tables, line: Line) -> DataFrame:
     documents as "any record still open". Where a group holds several receipt times the
     earliest is shown.
     """
-    batches = box_batches(tables, line).groupBy(
-        "RMN", "TrackingNo", "BatchName", "BatchClassName").agg(F.min("InvTime").alias("InvTime"))
-    state = batch_upload_state(tables, line).withColumnRenamed("PBatch", "BatchName")
-    waiting = outstanding(batches, state, "BatchName", F.col("Open"))
-    folders = one_per_key(tables["folder_map"].withColumnRenamed("PBatch", "BatchName"),
-                          "BatchName", F.count_distinct("dcsid").alias("_folders"))
+    waiting = waiting_batches(tables, line)
+    folders = near_batches(tables, line, tables["folder_map"].select(
+        F.col("PBatch").alias("BatchName"), "dcsid"))
+    folders = one_per_key(folders, "BatchName", F.count_distinct("dcsid").alias("_folders"))
     paper, special = media_counts(F.col("BatchClassName"), or_zero(F.col("_folders")))
     return (
         _with_workflow(tables, waiting).join(folders, "BatchName", "left")
@@ -68,12 +74,12 @@ def _without_counts(batches: DataFrame) -> DataFrame:
     return batches.groupBy(*_STATE).agg(F.min("InvTime").alias("InvTime"))
 
 
-def _per_folder(tables: Tables, batches: DataFrame) -> DataFrame:
+def _per_folder(tables: Tables, line: Line, batches: DataFrame) -> DataFrame:
     """Rows of batches, one per folder; a batch without folders stays with NULL.
 
     All lookups by batch come before, so none meets the many folders of a batch.
     """
-    return with_folders(tables, batches, "DCSID")
+    return with_folders(tables, batches, "DCSID", line)
 
 
 def _at_scanner(tables: Tables, df: DataFrame) -> DataFrame:
@@ -113,7 +119,7 @@ def r03_outstanding_folders(tables: Tables, line: Line = FCS, as_of=None,
                             batches: DataFrame | None = None) -> DataFrame:
     """Open folders with their age in working days; ``batches`` are the open ones, if at hand."""
     aged = _aged(tables, line, _without_counts(batches or open_batches(tables, line)), as_of)
-    return _per_folder(tables, aged).select(
+    return _per_folder(tables, line, aged).select(
         "RMN", "TrackingNo", "BatchName", "Day", "Age", "DCSID", "Location", "Status",
         "TotalImages", "Media",
     ).distinct().toDF(*fixed.AGED_FOLDER_HEADER).orderBy(*_FOLDER_ORDER)
@@ -170,14 +176,16 @@ def r06_open_batches(tables: Tables, line: Line = OMPF, as_of=None,
     hand.
     """
     rows = _open_batch_rows(tables, line, batches)
-    return or_blank_row(rows, _BATCH_ORDER) if placeholder else rows.orderBy(*_BATCH_ORDER)
+    if not placeholder:
+        return rows.orderBy(*_BATCH_ORDER)
+    return or_blank_row(rows, _BATCH_ORDER, batches or waiting_batches(tables, line))
 
 
 def r07_open_folders(tables: Tables, line: Line = OMPF, as_of=None,
                      placeholder: bool = False, batches: DataFrame | None = None) -> DataFrame:
     """Open folders; where the line says so, the number is that of the upload records, or NULL."""
     states = _without_counts(batches or open_batches(tables, line))
-    folders = _per_folder(tables, _second_job(tables, line, states))
+    folders = _per_folder(tables, line, _second_job(tables, line, states))
     if line.recorded_folder:
         recorded = recorded_folders(tables, line).withColumnRenamed("dcsid", "DCSID")
         folders = rejoin(folders, recorded, "DCSID")
@@ -185,7 +193,10 @@ def r07_open_folders(tables: Tables, line: Line = OMPF, as_of=None,
         "RMN", "TrackingNo", "BatchName", "Day", "DCSID", "Location", "Status", "Images", "Media"),
         fixed.OPEN_FOLDER_HEADER)
     rows = folders.select(*columns).distinct().toDF(*header)
-    return or_blank_row(rows, _FOLDER_ORDER) if placeholder else rows.orderBy(*_FOLDER_ORDER)
+    if not placeholder:
+        return rows.orderBy(*_FOLDER_ORDER)
+    # Left joins keep every waiting batch, so there are rows where there are any of those.
+    return or_blank_row(rows, _FOLDER_ORDER, batches or waiting_batches(tables, line))
 
 
 def r08_turnaround_pivot(tables: Tables, line: Line = OMPF, as_of=None) -> DataFrame:

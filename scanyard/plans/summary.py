@@ -10,8 +10,9 @@ from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
 from scanyard.operators.joins import one_per_key
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
-from scanyard.plans.extracts import (Tables, box_batches, known, name_condition, received,
-                                     recorded_folders, shipped_boxes, uploaded_batches)
+from scanyard.plans.extracts import (Tables, box_batches, known, name_condition, near_batches,
+                                     received, recorded_folders, shipped_boxes,
+                                     uploaded_batches)
 
 _BOX = ["RMN", "TrackingNo"]
 
@@ -38,7 +39,8 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
             F.count("_recorded").alias("Uploaded"),
         )
     )
-    folders = tables["folder_map"].select(F.col("PBatch").alias("BatchName"), "dcsid")
+    folders = near_batches(tables, line, tables["folder_map"].select(
+        F.col("PBatch").alias("BatchName"), "dcsid").where(name_condition(line)))
     # Only names the line's batches can have; said here, every use below reads the same rows.
     both = folders.withColumn("_kind", F.lit("all")).unionByName(
         records.withColumn("_kind", F.lit("recorded"))).where(name_condition(line))
