@@ -53,6 +53,13 @@ def partials(documents: DataFrame, grain: str) -> DataFrame:
         F.count("*").alias("Documents"))
 
 
+def to_folders(images: DataFrame) -> DataFrame:
+    """The partials of folders out of those of their images, as ``partials`` makes them."""
+    return images.groupBy("image_month", "ImageDay", "OnMidnight", *GRAINS["folder_uploads"]).agg(
+        F.max("UploadTime").alias("UploadTime"), F.max("Waits").alias("Waits"),
+        F.sum("Documents").alias("Documents"))
+
+
 def imaged_since(start: datetime, inclusive: bool = True) -> Column:
     """Partials of documents imaged since a midnight; no other bound can be told from days."""
     if moment(start) != moment(moment(start).date()):
@@ -78,13 +85,21 @@ def changed_months(documents: DataFrame, after: datetime) -> list[date]:
 
 
 def _write(documents: DataFrame, base: str, months: list[date] | None) -> None:
-    """Replace the partitions of the months, or all of them."""
-    month = _month_of(documents)
-    for grain in GRAINS:
-        rows, mode = documents, "static"
-        if months is not None:
-            rows, mode = documents.where(_in_months(month, months)), "dynamic"
-        found = partials(rows, grain)
+    """Replace the partitions of the months, or all of them.
+
+    Documents are read for the images; folders come from what was written of those.
+    """
+    rows, mode = documents, "static"
+    if months is not None:
+        rows, mode = documents.where(_in_months(_month_of(documents), months)), "dynamic"
+    found = partials(rows, "image_uploads")
+    written = documents.sparkSession.read.schema(found.schema)
+    for grain in ("image_uploads", "folder_uploads"):
+        if grain == "folder_uploads":
+            images = written.parquet(f"{base}/image_uploads").where("Documents > 0")
+            if months is not None:
+                images = images.where(_in_months(F.col("image_month"), months))
+            found = to_folders(images)
         if months:
             # A month without documents any more is replaced too, by a row that counts none.
             blank = documents.sparkSession.createDataFrame([(m,) for m in months], "m date")
