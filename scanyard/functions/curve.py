@@ -14,18 +14,18 @@ BITS, SAMPLE = 6, 64
 def edges(df: DataFrame, column: str, bits: int = BITS) -> Column:
     """Values that cut the column into ``2^bits`` parts of about as many rows, as an array.
 
-    They are read from a sample of bounded size inside the plan that uses them.
+    They are read from a sample of bounded size inside the plan that uses them, in one pass: the
+    rows of the smallest random numbers, of which each task keeps no more than the sample.
     """
     parts = 1 << bits
     value = F.col(f"`{column}`")
     known = df.where(value.isNotNull()).select(value.alias("v"))
-    drawn = F.rand(seed=11) * known.agg(F.count("*")).scalar() < 2 * parts * SAMPLE
     ordered = F.array_sort(F.collect_list("v"))
     size = F.size("ordered")
     places = F.transform(F.sequence(F.lit(1), F.lit(parts - 1)),
                          lambda i: F.get("ordered", F.floor(i * size / parts).cast("int")))
-    return known.where(drawn).limit(4 * parts * SAMPLE).agg(ordered.alias("ordered")).select(
-        F.array_compact(places).alias("edges")).scalar()
+    return known.orderBy(F.rand(seed=11)).limit(2 * parts * SAMPLE).agg(
+        ordered.alias("ordered")).select(F.array_compact(places).alias("edges")).scalar()
 
 
 def step(column: Column, cuts: Column) -> Column:
