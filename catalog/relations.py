@@ -70,13 +70,14 @@ def _(roles):
                                           where claimtype = 'OMPF') as is_ompf from document)
     group by PBatch""")
 def _(roles):
-    per_box = roles["document"].groupBy("PBatch", "RMN", "ImageID").agg(F.count("*").alias("n"))
-    flagged = joins.flag_exists(per_box, roles["check_in"], "RMN", "is_ompf",
-                                c("claimtype") == "OMPF")
-    image = c("ImageID")
-    return flagged.groupBy("PBatch").agg(
-        F.count_distinct(F.when(c("is_ompf"), image)).alias("ompf_docs"),
-        F.count_distinct(F.when(~c("is_ompf"), image)).alias("other_docs"))
+    flagged = joins.flag_exists(roles["document"].select("PBatch", "RMN", "ImageID"),
+                                roles["check_in"], "RMN", "is_ompf", c("claimtype") == "OMPF")
+    # One row per image says whether it is under boxes of either kind; nothing is counted twice.
+    known = c("ImageID").isNotNull()
+    per_image = flagged.groupBy("PBatch", "ImageID").agg(
+        F.max(c("is_ompf") & known).alias("ompf"), F.max(~c("is_ompf") & known).alias("other"))
+    return per_image.groupBy("PBatch").agg(
+        F.count_if("ompf").alias("ompf_docs"), F.count_if("other").alias("other_docs"))
 
 
 @case("j06_not_in", """
