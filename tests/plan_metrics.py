@@ -9,13 +9,17 @@ def counters(spark, run) -> list[tuple[str, str, dict[str, int]]]:
     """(operator, description, counters) of every operator of the queries ``run`` executes."""
     spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def known() -> set[int]:
+        executions = store.executionsList()
+        return {executions.apply(at).executionId() for at in range(executions.size())}
+
+    # By number: of very many executions the store forgets the first, so their count stands still.
+    before = known()
     run()
     spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     out = []
-    executions = store.executionsList()
-    for at in range(before, executions.size()):
-        number = executions.apply(at).executionId()
+    for number in sorted(known() - before):
         values, nodes = store.executionMetrics(number), store.planGraph(number).allNodes()
         for i in range(nodes.size()):
             node, found = nodes.apply(i), {}
