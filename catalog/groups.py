@@ -54,14 +54,16 @@ def _(roles):
     from document group by docidDoctype""")
 def _(roles):
     """From bitmaps of uploaded and waiting documents, which share batches and folders."""
-    documents = roles["document"].select("docidDoctype", "PBatch", "dcsid", "ImageID", "ftpstime")
-    spark = documents.sparkSession
+    names, waiting = ["PBatch", "dcsid", "ImageID"], c("ftpstime").isNull().alias("waiting")
+    spark = roles["document"].sparkSession
+    # Stored once, so that each column is read by itself.
+    documents, path = roles["document"].select("docidDoctype", *names, waiting), shared_dir(spark)
+    documents.write.parquet(path)
+    documents = spark.read.schema(documents.schema).parquet(path)
     numbers = {name: distinct.Numbers(spark, f"{shared_dir(spark)}/{name}", "string").extend(
-        documents.select(name)) for name in ("PBatch", "dcsid", "ImageID")}
-    parts = [distinct.bitmaps(documents.where(state), ["docidDoctype"], numbers)
-             for state in ("ftpstime is null", "ftpstime is not null")]
-    return distinct.counts(distinct.merged(parts, ["docidDoctype"]), ["docidDoctype"],
-                           list(numbers))
+        documents.select(name)) for name in names}
+    parts = distinct.bitmaps(documents, ["docidDoctype", "waiting"], numbers)
+    return distinct.counts(distinct.merged([parts], ["docidDoctype"]), ["docidDoctype"], names)
 
 
 @case("a05_two_level_sum", """

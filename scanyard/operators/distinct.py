@@ -13,6 +13,7 @@ very many. For many small groups plain distinct counts stay the better way.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,9 +42,11 @@ class Numbers:
         New values are sorted in ranges, and a range begins where the one before it ends: only the
         size of each range is known to all. NULL gets no number.
         """
-        known = self.table()
-        given = values.toDF("value").where("value is not null").distinct()
-        new = given.join(known.select("value"), "value", "left_anti")
+        new, top = values.toDF("value").where("value is not null").distinct(), 0
+        if self._exists():
+            known = self.table()
+            new = new.join(known.select("value"), "value", "left_anti")
+            top = known.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
         # Written first, so that ranges and places stay as they are.
         ranges = f"{shared_dir(self.spark)}/ranges"
         new.repartitionByRange("value").sortWithinPartitions("value").select(
@@ -55,7 +58,6 @@ class Numbers:
         starts = written.groupBy("part").agg(
             F.count("*").alias("n"), F.min("place").alias("first")).select(
             "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-        top = known.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
         numbered = written.join(F.broadcast(starts), "part").select("value", (
             F.col("place") - F.col("first") + F.col("start") + 1 + top).alias("number"))
         numbered.write.mode("append").parquet(self.path)
@@ -65,21 +67,22 @@ class Numbers:
 def bitmaps(df: DataFrame, keys: Sequence[str], numbers: Mapping[str, DataFrame]) -> DataFrame:
     """(keys, counted, bucket, bits): the different values of each column of ``numbers``.
 
-    A row brings one number per column, and all that meet in a task become bits there, so what is
-    shuffled doesn't grow with the rows of a group.
+    Each column is joined with its numbers by itself, and what is known of a group and a value is
+    one row from there on. Those rows move to their bitmap, so each bitmap is made once, of at most
+    32768 rows, whatever the number of tasks.
     """
-    numbered = df.select(*keys, *numbers)
+    each = []
     for name, table in numbers.items():
-        own = table.toDF(name, f"_number_{name}")
-        numbered = numbered.join(own, name, "left").drop(name)
-    each = F.explode(F.array(*[F.struct(F.lit(name).alias("counted"), F.col(
-        f"_number_{name}").alias("number")) for name in numbers]))
-    rows = numbered.select(*keys, each.alias("_one")).select(
-        *keys, "_one.counted", "_one.number")
-    # NULL values have no number, but their group is there.
-    held = rows.groupBy(*keys, "counted", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
-    return held
+        own = table.toDF(name, "_number")
+        # Rows of a value lie together after the join, so they become one without moving. NULL
+        # values have no number, but their group is there.
+        found = df.select(*keys, name).join(own, name, "left").select(
+            *keys, name, "_number").distinct()
+        each.append(found.select(*keys, F.lit(name).alias("counted"), F.bitmap_bucket_number(
+            "_number").alias("bucket"), F.bitmap_bit_position("_number").alias("_bit")))
+    rows = reduce(DataFrame.unionByName, each).repartition(*keys, "counted", "bucket")
+    return rows.groupBy(*keys, "counted", "bucket").agg(
+        F.bitmap_construct_agg("_bit").alias("bits"))
 
 
 def merged(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

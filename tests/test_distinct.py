@@ -50,6 +50,19 @@ def test_counts_of_merged_parts_equal_plain_counts(spark, frame, tmp_path):
     assert sum(r["folder"] for p in apart for r in p.collect()) > sum(r[1] for r in expected)
 
 
+def test_each_bitmap_is_made_once(spark, tmp_path):
+    """Rows move to their bitmap; no partial bitmap of a task moves."""
+    facts = spark.range(0, 1000, 1, 8).select(
+        F.lit("k").alias("k"), (F.col("id") % 50).alias("v"), (F.col("id") % 7).alias("w"))
+    tables = {name: distinct.Numbers(spark, str(tmp_path / name), "bigint").extend(
+        facts.select(name)) for name in ("v", "w")}
+    maps = distinct.bitmaps(facts, ["k"], tables)
+    lines = maps._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = next(i for i, line in enumerate(lines) if "partial_bitmap_construct_agg" in line)
+    assert not [line for line in lines[:partial] if "Exchange" in line]
+    assert [tuple(r) for r in distinct.counts(maps, ["k"], ["v", "w"]).collect()] == [("k", 50, 7)]
+
+
 def test_values_beyond_one_bitmap(spark, tmp_path):
     facts = spark.range(0, 100_000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     table = distinct.Numbers(spark, str(tmp_path / "v"), "bigint").extend(facts.select("v"))
