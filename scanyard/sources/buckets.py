@@ -24,6 +24,8 @@ BUCKETED = ("document", "folder_map")
 SLICE = "slice"
 # Rows of one slice of a large batch, about.
 SLICE_ROWS = 1_000_000
+# Longest list of large batches that is broadcast: some 20 MB.
+MOST_BROADCAST = 200_000
 
 
 def slice_of(slices: Column, folder: Column) -> Column:
@@ -38,6 +40,16 @@ def large_batches(df: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
     return counted.select("PBatch", F.ceil(F.col("n") / rows).cast("int").alias("slices"))
 
 
+def with_slices(df: DataFrame, slices: DataFrame) -> DataFrame:
+    """Rows with the slices of their batch, NULL for one; ``slices`` is read from storage.
+
+    A short list goes to the rows, which then move to their bucket only. A longer one has one row
+    per batch, so a task keeps its share of it in memory, and rows need no order for the join.
+    """
+    short = slices.count() <= MOST_BROADCAST
+    return df.join(slices.hint("broadcast" if short else "shuffle_hash"), "PBatch", "left")
+
+
 def store_bucketed(roles: Mapping[str, DataFrame], base: str, buckets: int,
                    rows: int = SLICE_ROWS) -> None:
     """Write the bucketed tables and their lists of large batches under ``base``."""
@@ -46,7 +58,7 @@ def store_bucketed(roles: Mapping[str, DataFrame], base: str, buckets: int,
         path = f"{base}/{role}_slices"
         large_batches(clean, rows).write.mode("overwrite").parquet(path)
         slices = clean.sparkSession.read.schema("PBatch string, slices int").parquet(path)
-        sliced = clean.join(slices, "PBatch", "left").withColumn(
+        sliced = with_slices(clean, slices).withColumn(
             SLICE, slice_of(F.col("slices"), F.col("dcsid"))).select(*clean.columns, SLICE)
         # Rows of a bucket come together first, so a bucket is one file.
         name = f"stored_{uuid.uuid4().hex}"

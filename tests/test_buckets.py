@@ -107,6 +107,20 @@ def test_a_hot_batch_is_joined_in_several_tasks(shuffled, frame, tmp_path):
     assert sum(sorted_rows) < 5_000  # parents and slice list only
 
 
+@pytest.mark.parametrize("most, join", [(2, "BroadcastHashJoin"), (1, "ShuffledHashJoin")])
+def test_the_slice_list_is_joined_without_sorting_the_rows(shuffled, frame, values, tmp_path,
+                                                           monkeypatch, most, join):
+    monkeypatch.setattr(buckets, "MOST_BROADCAST", most)
+    frame("PBatch string, slices int", [("hot", 3), ("warm", 2)]).write.parquet(str(tmp_path / "s"))
+    slices = shuffled.read.parquet(str(tmp_path / "s"))
+    rows_of = frame("PBatch string, n int", [("hot", 1), ("hot", 1), ("b", 2), (None, 3)])
+    got = buckets.with_slices(rows_of, slices)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert join in plan and "SortMergeJoin" not in plan
+    assert values(got, "PBatch", "n", "slices") == sorted(
+        [("hot", 1, 3), ("hot", 1, 3), ("b", 2, None), (None, 3, None)], key=repr)
+
+
 def test_sliced_join_keeps_parents_without_children(frame, values):
     parents = frame("k string, n int", [("a", 1), ("b", 2), (None, 3), ("hot", 4), ("hot", 5)])
     children = frame("k string, slice int, x int",
