@@ -45,8 +45,11 @@ def received_batches(tables: Tables, feed: Feed) -> DataFrame:
 
 def r16_completed_feed(tables: Tables, line=None, as_of=None, feed: Feed = Feed()) -> DataFrame:
     """Batch rows carry images and documents, box rows carry one box."""
-    both = completed_batches(tables, feed).join(received_batches(tables, feed), "PBatch").where(
-        F.col("Received").isNotNull())
+    # Days become text before the join, once per group or batch.
+    completed = completed_batches(tables, feed).withColumn("CompleteDate", us_date(F.col("Day")))
+    received = received_batches(tables, feed).where(F.col("Received").isNotNull()).withColumn(
+        "Received", us_date(F.col("Received")))
+    both = completed.join(received, "PBatch")
     # Both rows of a group in one pass over the groups.
     zero = F.lit(0).cast("bigint")
     batch_row = F.struct(
@@ -57,9 +60,8 @@ def r16_completed_feed(tables: Tables, line=None, as_of=None, feed: Feed = Feed(
         job_name(F.col("PBatch"), F.col("RMN"), F.col("claimtype")).alias("JobName"),
         F.col("RMN").alias("BatchName"), zero.alias("ImageCount"), zero.alias("DocCount"),
         F.lit(1).alias("Boxes"))
-    rows = both.select("Received", "Day", F.inline(F.array(batch_row, box_row))).distinct()
-    dated = rows.withColumns({"Received": us_date(F.col("Received")),
-                              "CompleteDate": us_date(F.col("Day"))})
-    full = with_constants(dated, fixed.FEED_ATTRIBUTES)
-    return full.select(*[F.col(f"`{c}`") for c in fixed.FEED_HEADER]).orderBy(
-        "JobName", "BatchName", "CompleteDate", "Received")
+    rows = both.select("Received", "CompleteDate", F.inline(F.array(batch_row, box_row)))
+    # Equal rows are equal in the order too, so they meet in its ranges, and rows move once.
+    order = ["JobName", "BatchName", "CompleteDate", "Received"]
+    full = with_constants(rows.repartitionByRange(*order).distinct(), fixed.FEED_ATTRIBUTES)
+    return full.select(*[F.col(f"`{c}`") for c in fixed.FEED_HEADER]).orderBy(*order)

@@ -346,6 +346,31 @@ def test_feed_rows(tables, values):
         (None, "02c", "06/05/2001", 5, 1, 0), (None, "C", "06/05/2001", 0, 0, 1)]
 
 
+def test_feed_rows_move_once_to_their_order(spark, tables):
+    """Equal rows of several batches and claims become one in the ranges of the order."""
+    roles = tables(
+        check_in=[("A", "1Z", "OMPF", "x", "y", T), ("A", "2Z", "OMPF", "x", "y", T),
+                  ("A", "1Z", "OTHER", "x", "y", T)],
+        physical_batch=[("02a", "A", "P", T), ("02b", "A", "P", T), ("02a", "A", "SM", T)],
+        document=[doc("A", "02b", image="i", pages=3, up=MONTH, key=1),
+                  doc("A", "02a", image="j", pages=4, up=MONTH, key=2)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = feed.r16_completed_feed(roles, feed=Feed(START, START, None, None))
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        found = [tuple(r) for r in got.select("JobName", "BatchName", "ImageCount",
+                                              "Boxes").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    moved = [line for line in plan[:join] if "Exchange" in line]
+    assert len(moved) == 1 and "rangepartitioning" in moved[0]
+    assert len(found) == len(set(found)) and found == sorted(
+        found, key=lambda r: (r[0] is not None, r))
+    assert sum(boxes for *_, boxes in found) == len({job for job, _, _, boxes in found if boxes})
+
+
 REVIEW = dict(
     check_in=[("A", "1Z", "OMPF", "x", "y", T)],
     document=[doc(up="2001-06-14 10:00:00"), doc(box="B", folder="f9", up="2001-06-14 00:00:00"),
