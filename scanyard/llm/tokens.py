@@ -17,7 +17,7 @@ from scanyard.llm.common import remembered, slices
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 # Words whose ids a worker remembers, so its memory has a bound. Forgetting costs time only.
-MOST_WORDS = 400_000
+MOST_WORDS = 800_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -191,4 +191,4 @@ def encoder(path: str) -> Encoder:
 def small(batches):
     """Batches of so little text that lists of its words take little memory."""
     for batch in batches:
-        yield from slices(batch, most=2 << 20)
+        yield from slices(batch, most=4 << 20)

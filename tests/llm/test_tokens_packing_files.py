@@ -4,11 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from scanyard.llm import packing, token_files
+from scanyard.llm import packing, token_files, tokens
 from scanyard.llm.common import open_folder
 from scanyard.llm.tokens import Encoder, vocabulary_path
 
@@ -118,3 +119,13 @@ def test_seek_table_round_trip(tmp_path):
     store, base = open_folder(f"file:{tmp_path}")
     entries, places = token_files.read_seek_table(store.open_input_file(f"{base}/x"))
     assert [tuple(map(int, e)) for e in entries] == frames and list(places) == [0, 10]
+
+
+def test_a_block_holds_four_megabytes_of_text():
+    """Equal parts are looked up once a block, so blocks are as large as a worker's share allows."""
+    body = [b"x" * 700_000] * 9
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(9), pa.int64()), pa.array(body, pa.binary())], ["id", "body"])
+    blocks = list(tokens.small([batch]))
+    assert [b.num_rows for b in blocks] == [5, 4]
+    assert pa.Table.from_batches(blocks).equals(pa.Table.from_batches([batch]))
