@@ -37,13 +37,13 @@ WINDOW = 10
 PART_BYTES = 2 << 20
 
 # A-Z become a-z; letters, digits and bytes of other scripts stay; the rest parts words.
-_WORD_BYTES = bytes(
+WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256))
 
 
 def words(body: bytes) -> list[bytes]:
-    return body.translate(_WORD_BYTES).split()
+    return body.translate(WORD_BYTES).split()
 
 
 class WuManber:

@@ -23,7 +23,6 @@ other than id and text are not read.
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanyard.llm.common import keep, pairs, slices
-from scanyard.llm.decontaminate import words
+from scanyard.llm.decontaminate import WORD_BYTES, words  # noqa: F401
 
 CLASSES, PER_CLASS = 48, 48
 UNITS = CLASSES * PER_CLASS
@@ -44,14 +43,37 @@ FAN = 64
 SLICES = 16
 UNSEEN = 0.5
 SCORED = 3 << 20  # bytes of text whose words are held at once
+COMMON = 1 << 17  # words at most whose counts are broadcast; those of all others are joined
 
 
 class Words(list):
-    """The frequent words, the table of all words' counts and the sum of counts in each bucket."""
+    """The frequent words, the table of all words' counts and the sum of counts in each bucket.
 
-    def __init__(self, frequent: list[bytes], counts: DataFrame, totals: np.ndarray):
+    ``common`` has the logarithm of the count of each word that is not frequent but counted
+    ``least`` times or more.
+    """
+
+    def __init__(self, frequent: list[bytes], counts: DataFrame, totals: np.ndarray, least: int,
+                 common: dict[bytes, float]):
         super().__init__(frequent)
-        self.counts, self.totals = counts, totals
+        self.counts, self.totals, self.least, self.common = counts, totals, least, common
+
+
+def common_words(counts: DataFrame, frequent: list[bytes]) -> tuple[int, dict[bytes, float]]:
+    """The least count that no more than ``COMMON`` words reach, and these words' logarithms."""
+    steps = counts.groupBy(F.floor(F.log2("count") * 16).alias("step")).agg(
+        F.count("*").alias("words"), F.min("count").alias("least")).collect()
+    least, total = np.iinfo(np.int64).max, 0
+    for row in sorted(steps, key=lambda r: -r["least"]):
+        total += row["words"]
+        if total > COMMON:
+            break
+        least = row["least"]
+    rows = counts.where(F.col("count") >= int(least)).collect()
+    logs = {bytes(r["word"]): float(np.log(r["count"])) for r in rows}
+    for word in frequent:
+        logs.pop(word, None)
+    return int(least), logs
 
 
 class Vocabulary(dict):
@@ -69,16 +91,33 @@ class Vocabulary(dict):
         return unit
 
 
+def split(bodies: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of texts that lie one behind another, and how many each text has.
+
+    The words are those of ``decontaminate.words``; equal ones are found by Arrow.
+    """
+    texts = bodies.to_pylist()
+    line = b"".join([b" ", b" ".join(texts), b" "]).translate(WORD_BYTES)
+    line = np.frombuffer(line, np.uint8)
+    inside = line != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins, ends = edges[0::2], edges[1::2]
+    offsets = np.zeros(len(begins) + 1, np.int32)
+    np.cumsum(ends - begins, out=offsets[1:])
+    found = pa.Array.from_buffers(pa.binary(), len(begins), [
+        None, pa.py_buffer(offsets), pa.py_buffer(line[inside])])
+    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return found.dictionary_encode(), np.diff(np.searchsorted(begins, bounds))
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, count) over all documents."""
     def run(batches):
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            seen = Counter()
-            for body in batch.column("body").to_pylist():
-                seen.update(words(body))
+            found, _ = split(batch.column("body"))
+            counts = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())],
-                ["word", "count"])
+                [found.dictionary, pa.array(counts, pa.int64())], ["word", "count"])
 
     return texts.mapInArrow(run, "word binary, count long").groupBy("word").agg(
         F.sum("count").alias("count"))
@@ -137,49 +176,73 @@ def _softmax(x, at, train):
     return found - np.log(total), np.divide(x, total[:, None], out=x) if train else None
 
 
+def contexts(flat: np.ndarray, sizes: np.ndarray, chosen=slice(None)) -> np.ndarray:
+    """The units around the chosen places of texts that lie one behind another."""
+    place = np.arange(len(flat)) + SIDE * np.repeat(np.arange(1, len(sizes) + 1), sizes)
+    padded = np.full(len(flat) + SIDE * (len(sizes) + 1), UNITS, np.int32)
+    padded[place] = flat
+    place = place[chosen]
+    out = np.empty((len(place), 2 * SIDE), np.int32)
+    for column, off in enumerate(i for i in range(-SIDE, SIDE + 1) if i):
+        out[:, column] = padded.take(place + off)
+    return out
+
+
 def context(units: np.ndarray) -> np.ndarray:
     """The units around each place of a text."""
-    padded = np.concatenate([np.full(SIDE, UNITS), units, np.full(SIDE, UNITS)]).astype(np.int32)
-    return np.stack([padded[i:i + len(units)] for i in range(2 * SIDE + 1) if i != SIDE], axis=1)
+    return contexts(units, np.array([len(units)]))
 
 
 def log_probabilities(model, around: np.ndarray, units: np.ndarray, train: bool = False):
     """Log-probability of each unit given those around it; with ``train`` also gradients."""
-    inputs = model["vector"][around].reshape(len(around), -1)
-    hidden = np.tanh(inputs @ model["hidden"] + model["hidden_bias"])
+    inputs = model["vector"].take(around, axis=0).reshape(len(around), -1)
+    pre = inputs @ model["hidden"]
+    pre += model["hidden_bias"]
+    hidden = np.tanh(pre, out=pre)
     # In the order of the classes, so that each class's rows lie together.
     order = np.argsort(units.astype(KEY), kind="stable")
-    group, word = np.divmod(units[order], PER_CLASS)
-    bounds = np.searchsorted(group, np.arange(CLASSES + 1))
-    hidden, every = hidden[order], np.arange(len(units))
-    found, d_class = _softmax(hidden @ model["class"] + model["class_bias"], group, train)
-    g = {k: np.zeros_like(v) for k, v in model.items()} if train else {}
-    if train:
-        d_class[every, group] -= 1
-        g["class"], g["class_bias"] = hidden.T @ d_class, d_class.sum(0)
-        d_hidden = d_class @ model["class"].T
-    for c in range(CLASSES):
-        mine = slice(bounds[c], bounds[c + 1])
-        given = hidden[mine]
-        if not len(given):
-            continue
-        logs, d = _softmax(given @ model["word"][c] + model["word_bias"][c], word[mine], train)
-        found[mine] += logs
-        if train:
-            d[every[:len(given)], word[mine]] -= 1
-            g["word"][c], g["word_bias"][c] = given.T @ d, d.sum(0)
-            d_hidden[mine] += d @ model["word"][c].T
+    group, word = np.divmod(units.take(order), PER_CLASS)
+    bounds = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+    given, every = hidden.take(order, axis=0), np.arange(len(units))
+    rows = [(c, slice(*at)) for c, at in enumerate(itertools.pairwise(bounds)) if at[0] < at[1]]
+    x = given @ model["class"]
+    x += model["class_bias"]
+    found, d_class = _softmax(x, group, train)
+    # Only products are made class by class, all else for all rows at once.
+    x = np.empty((len(units), PER_CLASS), given.dtype)
+    for c, mine in rows:
+        logits = np.matmul(given[mine], model["word"][c], out=x[mine])
+        logits += model["word_bias"][c]
+    logs, d_word = _softmax(x, word, train)
+    found += logs
     out = np.empty_like(found)
     out[order] = found
+    g = {}
     if train:
+        g = {k: np.zeros_like(v) for k, v in model.items()}
+        d_class[every, group] -= 1
+        g["class"], g["class_bias"] = given.T @ d_class, d_class.sum(0)
+        d_hidden = d_class @ model["class"].T
+        d_word[every, word] -= 1
+        d_given = np.empty_like(d_hidden)
+        for c, mine in rows:
+            d = d_word[mine]
+            np.matmul(given[mine].T, d, out=g["word"][c])
+            np.add.reduce(d, axis=0, out=g["word_bias"][c])
+            np.matmul(d, model["word"][c].T, out=d_given[mine])
+        d_hidden += d_given
+        np.multiply(given, given, out=given)
+        np.subtract(1, given, out=given)
+        d_hidden *= given
         d_pre = np.empty_like(d_hidden)
-        d_pre[order] = d_hidden * (1 - hidden * hidden)
+        d_pre[order] = d_hidden
         g["hidden"], g["hidden_bias"] = inputs.T @ d_pre, d_pre.sum(0)
         d_inputs = (d_pre @ model["hidden"].T).reshape(-1, SIZE)
-        keys = around.ravel()
-        rank = np.argsort(keys.astype(KEY), kind="stable")
-        first = np.flatnonzero(np.diff(keys[rank], prepend=-1))
-        g["vector"][keys[rank][first]] = np.add.reduceat(d_inputs[rank], first)
+        keys = around.ravel().astype(KEY)
+        rank = np.argsort(keys, kind="stable")
+        keys = keys.take(rank)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        g["vector"][keys.take(first)] = np.add.reduceat(d_inputs.take(rank, axis=0), first)
     return out, g
 
 
@@ -198,10 +261,20 @@ class Learner:
         self.places += len(units)
         scale = RATE * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
         for k, d in g.items():
-            d = d / np.float32(len(units))
-            self.m[k] += np.float32(0.1) * (d - self.m[k])
-            self.v[k] += np.float32(0.01) * (d * d - self.v[k])
-            self.model[k] -= np.float32(scale) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
+            m, v = self.m[k], self.v[k]
+            d /= np.float32(len(units))
+            square = d * d
+            d -= m
+            d *= np.float32(0.1)
+            m += d
+            square -= v
+            square *= np.float32(0.01)
+            v += square
+            np.sqrt(v, out=square)
+            square += np.float32(1e-6)
+            np.multiply(np.float32(scale), m, out=d)
+            d /= square
+            self.model[k] -= d
 
 
 def _flat(model) -> np.ndarray:
@@ -216,42 +289,57 @@ def _shaped(flat: np.ndarray, like) -> dict[str, np.ndarray]:
     return out
 
 
-_ENCODED = "row long, id {id}, units binary, others array<struct<word: binary, n: long>>"
+_ENCODED = ("row long, id {id}, units binary, common double, "
+            "others array<struct<word: binary, n: long>>")
 
 
-def encode(texts: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """The units of each text as 16-bit numbers, and how often it has which word of a bucket.
+def encode(texts: DataFrame, vocabulary: Words) -> DataFrame:
+    """The units of each text as 16-bit numbers, and what its words have of their buckets.
 
-    Texts are split into words here, once for all rounds of learning and for scoring.
+    Texts are split into words here, once for all rounds of learning and for scoring. ``common``
+    sums up the logarithms of the common words' counts, ``others`` has how often the text has
+    which other word of a bucket.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    shared = texts.sparkSession.sparkContext.broadcast((list(vocabulary), vocabulary.common))
 
     def run(batches):
         from pyspark import TaskContext
-        units_of = Vocabulary(shared.value)
+        frequent, common = shared.value
+        units_of = Vocabulary(frequent)
         row = TaskContext.get().partitionId() << 33
         for batch in itertools.chain.from_iterable(slices(b, most=SCORED) for b in batches):
-            seqs = [words(body) for body in batch.column("body").to_pylist()]
-            units = [np.fromiter(map(units_of.__getitem__, s), np.uint16, len(s)) for s in seqs]
-            others = [Counter(itertools.compress(s, (u >= UNITS - BUCKETS).tolist()))
-                      for s, u in zip(seqs, units)]
+            found, sizes = split(batch.column("body"))
+            terms, at = found.dictionary.to_pylist(), found.indices.to_numpy()
+            units = np.fromiter(map(units_of.__getitem__, terms), np.uint16, len(terms))
+            logs = np.fromiter((common.get(t, np.nan) for t in terms), np.float64, len(terms))
+            other = (units >= UNITS - BUCKETS) & np.isnan(logs)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            sums = np.bincount(text, np.nan_to_num(logs).take(at), len(sizes)).astype(np.float64)
+            asked = np.flatnonzero(other.take(at))
+            # One number for a text and a word.
+            named, n = np.unique(text.take(asked) * len(terms) + at.take(asked),
+                                 return_counts=True)
+            text, word = np.divmod(named, max(len(terms), 1))
             pieces = pa.StructArray.from_arrays(
-                [pa.array(itertools.chain.from_iterable(others), pa.binary()),
-                 pa.array(itertools.chain.from_iterable(o.values() for o in others), pa.int64())],
-                ["word", "n"])
-            bounds = np.cumsum([0, *map(len, others)])
+                [found.dictionary.take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"])
+            bounds = np.searchsorted(text, np.arange(len(sizes) + 1))
+            flat = units.take(at).astype("<u2").tobytes()
+            ends = np.cumsum([0, *(2 * sizes)]).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + len(seqs))), batch.column("id"),
-                 pa.array([u.astype("<u2").tobytes() for u in units], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
-                ["row", "id", "units", "others"])
-            row += len(seqs)
+                [pa.array(np.arange(row, row + len(sizes))), batch.column("id"),
+                 pa.array([flat[a:b] for a, b in itertools.pairwise(ends)], pa.binary()),
+                 pa.array(sums), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)],
+                ["row", "id", "units", "common", "others"])
+            row += len(sizes)
 
     return texts.mapInArrow(run, _ENCODED.format(id=texts.schema["id"].dataType.simpleString()))
 
 
-def _units(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(u, "<u2") for u in batch.column("units").to_pylist()]
+def _units(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The units of a batch's texts one behind another, and how many each text has."""
+    texts = batch.column("units").to_pylist()
+    return (np.frombuffer(b"".join(texts), "<u2").astype(np.int32),
+            np.array([len(t) // 2 for t in texts], np.int64))
 
 
 _COPIES = "slice int, part long, places double, weights binary"
@@ -274,17 +362,26 @@ def _copies(encoded: DataFrame, model, phase: int, stride: int) -> DataFrame:
             units.clear()
 
         held = 0
-        for batch in itertools.chain.from_iterable(slices(b, "units") for b in batches):
-            for text in _units(batch):
-                # Texts begin at other places of the stride, so short ones count alike.
-                places = np.arange((len(text) + phase) % stride, len(text), stride)
-                if len(places):
-                    around.append(context(text)[places])
-                    units.append(text[places].astype(np.int32))
-                    held += len(places)
-                if held >= 8 * BATCH:
+        for batch in itertools.chain.from_iterable(
+                slices(b, "units", SCORED // 2) for b in batches):
+            flat, sizes = _units(batch)
+            ends = np.cumsum(sizes)
+            # Texts begin at other places of the stride, so short ones count alike.
+            left = np.repeat(ends, sizes) - np.arange(len(flat))
+            chosen = np.flatnonzero((left + phase) % stride == 0)
+            every, flat = contexts(flat, sizes, chosen), flat.take(chosen)
+            at = 0
+            # A step takes whole texts.
+            for end in np.searchsorted(chosen, ends).tolist():
+                if held + end - at >= 8 * BATCH:
+                    around.append(every[at:end])
+                    units.append(flat[at:end])
                     step()
-                    held = 0
+                    at, held = end, 0
+            if at < len(flat):
+                around.append(every[at:])
+                units.append(flat[at:])
+                held += len(flat) - at
         if units:
             step()
         if learner.places:
@@ -326,9 +423,10 @@ def _learned(texts: DataFrame, rounds: int) -> tuple[dict[str, np.ndarray], Word
     counts = keep(count_words(texts), "words")
     rows = counts.orderBy(F.desc("count"), "word").limit(UNITS - BUCKETS).collect()
     frequent = [bytes(r["word"]) for r in rows]
-    vocabulary = Words(frequent, counts, bucket_totals(counts, frequent))
+    vocabulary = Words(frequent, counts, bucket_totals(counts, frequent),
+                       *common_words(counts, frequent))
     model = start([r["count"] for r in rows], int(vocabulary.totals.sum()))
-    encoded = keep(encode(texts, frequent), "units")
+    encoded = keep(encode(texts, vocabulary), "units")
     stride = min(STRIDE, rounds)
     for phase in range(rounds):
         model = average(_copies(encoded, model, phase % stride, stride), model)
@@ -342,7 +440,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _by_unit(encoded: DataFrame, model, vocabulary: Words) -> DataFrame:
-    """(row, id, n_tokens, log_likelihood) with one count for each word of a bucket."""
+    """(row, id, n_tokens, log_likelihood) with one count for each rarer word of a bucket."""
     shared = encoded.sparkSession.sparkContext.broadcast((model, vocabulary.totals))
     kind = encoded.schema["id"].dataType.simpleString()
 
@@ -352,27 +450,26 @@ def _by_unit(encoded: DataFrame, model, vocabulary: Words) -> DataFrame:
         single = np.concatenate([np.zeros(UNITS - BUCKETS), -np.log(totals + UNSEEN)])
         for batch in itertools.chain.from_iterable(
                 slices(b, "units", SCORED // 2) for b in batches):
-            units = _units(batch)
-            sizes = np.array(list(map(len, units)), np.int64)
-            around = np.concatenate([context(u) for u in units])
-            flat = np.concatenate(units).astype(np.int32)
+            flat, sizes = _units(batch)
+            around = contexts(flat, sizes)
             logs = [log_probabilities(given, around[at:at + BATCH], flat[at:at + BATCH])[0]
                     + single[flat[at:at + BATCH]] for at in range(0, len(flat), BATCH)]
             sums = np.concatenate([[0.0], np.cumsum(np.concatenate(logs, dtype=np.float64))]
                                   ) if logs else np.zeros(1)
-            ends = np.cumsum(sizes)
+            ends, common = np.cumsum(sizes), batch.column("common").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(sizes),
-                 pa.array(sums[ends] - sums[ends - sizes])],
+                 pa.array(sums[ends] - sums[ends - sizes] + common)],
                 ["row", "id", "n_tokens", "log_likelihood"])
 
-    return encoded.select("row", "id", "units").mapInArrow(
+    return encoded.select("row", "id", "units", "common").mapInArrow(
         run, f"row long, id {kind}, n_tokens long, log_likelihood double")
 
 
 def _scored(encoded: DataFrame, model: dict[str, np.ndarray], vocabulary: Words) -> DataFrame:
     found = encoded.select("row", F.explode("others").alias("other")).select(
-        "row", "other.word", "other.n").join(vocabulary.counts, "word", "left")
+        "row", "other.word", "other.n").join(
+            vocabulary.counts.where(F.col("count") < vocabulary.least), "word", "left")
     share = F.col("n") * F.log(F.coalesce(F.col("count").cast("double"), F.lit(UNSEEN)))
     shares = found.groupBy("row").agg(F.sum(share).alias("shares"))
     total = F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0))
@@ -385,7 +482,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], vocabulary: Words,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, log_likelihood, per_token."""
     texts = pairs(docs, id_col, text_col)
-    return _scored(keep(encode(texts, list(vocabulary)), "units"), model, vocabulary)
+    return _scored(keep(encode(texts, vocabulary), "units"), model, vocabulary)
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

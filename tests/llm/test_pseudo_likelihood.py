@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scanyard.llm import pseudo_likelihood as lm
@@ -144,3 +145,43 @@ def test_scores_equal_plain_loops(docs, by_id):
     both = by_id(lm.fit_and_score(known))
     assert all(both[i][0].log_likelihood == pytest.approx(got[i][0].log_likelihood, rel=1e-4)
                for i in range(100))
+
+
+def test_split_finds_the_words_of_each_text():
+    bodies = [b"", b"One two,two ", "Zwölf\tone".encode(), b" \n", b"x", b"two"]
+    found, sizes = lm.split(pa.array(bodies, pa.binary()))
+    every = iter(found.to_pylist())
+    assert [[next(every) for _ in range(n)] for n in sizes] == [lm.words(b) for b in bodies]
+    found, sizes = lm.split(pa.array([], pa.binary()))
+    assert len(found) == 0 and sizes.tolist() == []
+
+
+@pytest.mark.parametrize("most", [0, 40, 10_000])
+def test_only_rare_words_are_joined(docs, by_id, monkeypatch, most):
+    """The counts of common words travel with the vocabulary; scores are the same either way."""
+    names = [f"w{n}" for n in range(4000)]
+    rows = [(i, " ".join(names[i * 40:i * 40 + 40] * (1 + (i == 99)))) for i in range(100)]
+    frame = docs([*rows, (100, None), (101, "never seen w3 w3900")])
+    want = by_id(lm.fit_and_score(frame))
+    monkeypatch.setattr(lm, "COMMON", most)
+    model, vocabulary = lm.fit(frame)
+    encoded = lm.encode(lm.pairs(frame, "doc_id", "text"), vocabulary)
+    joined = {bytes(o.word) for r in encoded.select("others").collect() for o in r.others}
+    # Words counted twice or three times are the 40 of text 99, w3 and w3900.
+    unit, times = lm.Vocabulary(list(vocabulary)).__getitem__, {
+        bytes(r.word): r["count"] for r in vocabulary.counts.collect()}
+    outside = {w for w in times if unit(w) >= lm.UNITS - lm.BUCKETS}
+    assert joined == {w for w in outside if times[w] < vocabulary.least}
+    assert set(vocabulary.common) == outside - joined and len(vocabulary.common) <= most
+    assert (joined == set()) == (most == 10_000)
+    got = by_id(lm.fit_and_score(frame))
+    assert all(got[i][0].log_likelihood == pytest.approx(want[i][0].log_likelihood, rel=1e-9)
+               for i in range(102))
+
+
+def test_contexts_stop_at_the_ends_of_texts():
+    texts = [np.array(t, np.int64) for t in ([1, 2, 3], [], [4], [5, 6])]
+    flat, sizes = np.concatenate(texts), np.array(list(map(len, texts)))
+    want = np.concatenate([lm.context(t) for t in texts])
+    assert lm.contexts(flat, sizes).tolist() == want.tolist()
+    assert lm.contexts(flat, sizes, np.array([0, 3, 5])).tolist() == want[[0, 3, 5]].tolist()
