@@ -26,6 +26,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ ROUNDS, STRIDE, BATCH, RATE = 2, 2, 4096, 0.015
 FAN = 64
 SLICES = 16
 UNSEEN = 0.5
-SCORED = 3 << 20  # bytes of text whose words are held at once
+SCORED = 3 << 20  # twice the bytes of units worked on at once
 COMMON = 1 << 17  # words at most whose counts are broadcast; those of all others are joined
 
 
@@ -76,6 +77,12 @@ def common_words(counts: DataFrame, frequent: list[bytes]) -> tuple[int, dict[by
     return int(least), logs
 
 
+def hashed(words: list[bytes]) -> np.ndarray:
+    """The units of words that are not frequent."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return (UNITS - BUCKETS + hashes % BUCKETS).astype(np.uint16)
+
+
 class Vocabulary(dict):
     """Unit of a word; words outside are hashed to the last units."""
 
@@ -85,12 +92,23 @@ class Vocabulary(dict):
         self.most = 200_000
 
     def __missing__(self, word: bytes) -> int:
-        unit = UNITS - BUCKETS + xxhash.xxh64_intdigest(word) % BUCKETS
+        unit = int(hashed([word])[0])
         if len(self) < self.most:  # remembers so many, the others are hashed each time
             self[word] = unit
         return unit
 
 
+def values(column: pa.Array) -> list[bytes]:
+    """The values of a column without nulls; much faster than ``to_pylist`` for short ones."""
+    if not len(column):
+        return []
+    column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:][:len(column) + 1].tolist()
+    data = data.to_pybytes() if data else b""
+    return [data[a:b] for a, b in itertools.pairwise(ends)]
+
+
 def split(bodies: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The words of texts that lie one behind another, and how many each text has.
 
@@ -130,7 +148,7 @@ def bucket_totals(counts: DataFrame, frequent: list[bytes]) -> np.ndarray:
     def run(batches):
         units_of, totals = Vocabulary(shared.value), np.zeros(UNITS, np.int64)
         for batch in batches:
-            units = np.fromiter(map(units_of.__getitem__, batch.column("word").to_pylist()),
+            units = np.fromiter(map(units_of.__getitem__, values(batch.column("word"))),
                                 np.int64, batch.num_rows)
             np.add.at(totals, units, batch.column("count").to_numpy())
         found = np.flatnonzero(totals[UNITS - BUCKETS:])
@@ -305,23 +323,29 @@ def encode(texts: DataFrame, vocabulary: Words) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
         frequent, common = shared.value
-        units_of = Vocabulary(frequent)
+        listed = pa.array([*frequent, *common], pa.binary())
+        listed_units = np.concatenate(
+            [np.arange(len(frequent), dtype=np.uint16), hashed(list(common))])
+        listed_logs = np.array([*[0.0] * len(frequent), *common.values()])
         row = TaskContext.get().partitionId() << 33
-        for batch in itertools.chain.from_iterable(slices(b, most=SCORED) for b in batches):
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             found, sizes = split(batch.column("body"))
-            terms, at = found.dictionary.to_pylist(), found.indices.to_numpy()
-            units = np.fromiter(map(units_of.__getitem__, terms), np.uint16, len(terms))
-            logs = np.fromiter((common.get(t, np.nan) for t in terms), np.float64, len(terms))
-            other = (units >= UNITS - BUCKETS) & np.isnan(logs)
+            terms, at = found.dictionary, found.indices.to_numpy()
+            place = pa.compute.index_in(terms, listed).fill_null(-1).to_numpy()
+            known, other = np.flatnonzero(place >= 0), place < 0
+            units, logs = np.empty(len(terms), np.uint16), np.zeros(len(terms))
+            units[known] = listed_units.take(place.take(known))
+            logs[known] = listed_logs.take(place.take(known))
+            units[other] = hashed(values(terms.filter(pa.array(other))))
             text = np.repeat(np.arange(len(sizes)), sizes)
-            sums = np.bincount(text, np.nan_to_num(logs).take(at), len(sizes)).astype(np.float64)
+            sums = np.bincount(text, logs.take(at), len(sizes)).astype(np.float64)
             asked = np.flatnonzero(other.take(at))
             # One number for a text and a word.
             named, n = np.unique(text.take(asked) * len(terms) + at.take(asked),
                                  return_counts=True)
             text, word = np.divmod(named, max(len(terms), 1))
             pieces = pa.StructArray.from_arrays(
-                [found.dictionary.take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"])
+                [terms.take(pa.array(word)), pa.array(n, pa.int64())], ["word", "n"])
             bounds = np.searchsorted(text, np.arange(len(sizes) + 1))
             flat = units.take(at).astype("<u2").tobytes()
             ends = np.cumsum([0, *(2 * sizes)]).tolist()
