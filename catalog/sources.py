@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from catalog.registry import AS_OF, START, case, table_case
 from scanyard import fixed
 from scanyard.functions.dates import iso_date, us_date
 from scanyard.operators.projection import or_blank_row
-from scanyard.plans.config import FCS, OMPF, VAULT
-from scanyard.plans.report_set import report_set
+from scanyard.plans.config import FCS, OMPF, VAULT, Line
+from scanyard.plans.report_set import report_set, with_folder_names
 from scanyard.session import shared_dir
 from scanyard.sources import files, publish
 from scanyard.sources.roles import load_roles, store_roles
@@ -195,16 +197,23 @@ def _sheet_rows(line: str, sheet: str, df: DataFrame) -> DataFrame:
     for sheet, text, header in zip((f"{line} Summary", *fixed.OUTSTANDING_SHEETS), texts,
                                    _HEADERS[line])))
 def _(roles):
-    """The three sheets of each line under run-stamped names, published as a whole, read back."""
+    """The three sheets of each line under run-stamped names, published as a whole, read back.
+
+    The lines share the list of folders, and are built at the same time."""
     spark = roles["check_in"].sparkSession
-    found = []
-    for line in (FCS, VAULT, OMPF):
+    tables = with_folder_names(roles)
+
+    def sheets(line: Line) -> list[DataFrame]:
         base = f"{shared_dir(spark)}/{line.name}"
-        publish.publish(report_set(roles, line.starting(START), AS_OF), base,
+        publish.publish(report_set(tables, line.starting(START), AS_OF), base,
                         named=lambda sheet: files.run_path(sheet, AS_OF))
-        found += [_sheet_rows(line.name, sheet, df)
-                  for sheet, df in publish.read_sheets(spark, base).items()]
-    return reduce(DataFrame.unionByName, found)
+        return [_sheet_rows(line.name, sheet, df)
+                for sheet, df in publish.read_sheets(spark, base).items()]
+
+    lines = (FCS, VAULT, OMPF)
+    with ThreadPoolExecutor(len(lines)) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(sheets), line) for line in lines]
+    return reduce(DataFrame.unionByName, [df for one in found for df in one.result()])
 
 
 @case("s13_published_run", """

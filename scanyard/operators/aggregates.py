@@ -29,21 +29,23 @@ def distinct_counts(df: DataFrame, keys: Sequence[str], counted: Mapping[str, st
 
 def count_distinct_through(parents: DataFrame, children: DataFrame, keys: Sequence[str],
                            via: str, child: str, name: str,
-                           kind: str | None = None) -> DataFrame:
+                           kind: str | None = None, unique: bool = False) -> DataFrame:
     """Distinct children per parent, where ``via`` links the two many-to-many.
 
     A child that occurs under one link only is counted per link first, so the join carries one
     row per link however many children or parents it has. Children found under several links
     may reach a parent twice. Those with the same set of links reach the same parents, so one of
     them stands for all; sets are told apart by 128 bits of their links' hashes.
-    With ``kind``, children of several kinds are counted apart in one go.
+    With ``kind``, children of several kinds are counted apart in one go. ``unique`` says that no
+    two rows of ``children`` are alike, so they need not be compared.
     Parents without children are not listed.
     """
     kinds = [kind] if kind else []
     links = parents.select(*keys, via).where(F.col(via).isNotNull()).distinct()
     pairs = children.select(*kinds, via, child).where(
-        F.col(via).isNotNull() & F.col(child).isNotNull()
-    ).distinct()
+        F.col(via).isNotNull() & F.col(child).isNotNull())
+    if not unique:
+        pairs = pairs.distinct()
     hashes = [F.bit_xor(F.xxhash64(via, F.lit(seed))).alias(f"_set{seed}") for seed in (1, 2)]
     each = pairs.groupBy(*kinds, child).agg(
         F.count("*").alias("_links"), F.min(via).alias(via), *hashes)

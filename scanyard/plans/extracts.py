@@ -88,6 +88,8 @@ def received(tables: Tables, line: Line) -> DataFrame:
 
 def box_batches(tables: Tables, line: Line) -> DataFrame:
     """Received batches of the shipped boxes."""
+    if "line_batches" in tables:
+        return tables["line_batches"]
     return shipped_boxes(tables, line).join(received(tables, line), "RMN")
 
 
@@ -99,9 +101,56 @@ def near_batches(tables: Tables, line: Line, df: DataFrame, name: str = "BatchNa
     return near_listed(df, name, box_batches(tables, line).select("BatchName"))
 
 
-def known(tables: Tables, role: str, key: str, name: str) -> DataFrame:
-    """Distinct batch names of a lookup table, with the name repeated as a column to test."""
+def claimed_batches(tables: Tables, line: Line) -> DataFrame:
+    """(RMN, TrackingNo, ClaimType, BatchName) of the received batches, the smallest type of a
+    shipment."""
+    box, claim = ["RMN", "TrackingNo"], F.min("claimtype").alias("ClaimType")
+    if "line_batches" in tables:
+        # All batches of a box have all types of its shipments.
+        return tables["line_batches"].groupBy(*box, "BatchName").agg(claim).select(
+            *box, "ClaimType", "BatchName")
+    boxes = shipped_boxes(tables, line).groupBy(*box).agg(claim)
+    return boxes.join(received(tables, line), "RMN").select(
+        *box, "ClaimType", "BatchName").distinct()
+
+
+def line_folders(tables: Tables, line: Line) -> DataFrame:
+    """(BatchName, dcsid) of folders that may be of the line's batches; few others are there.
+
+    Each once, where they were stored for the line.
+    """
+    if "line_folders" in tables:
+        return tables["line_folders"]
+    return near_batches(tables, line, folder_names(tables).where(name_condition(line)))
+
+
+def folder_names(tables: Tables) -> DataFrame:
+    """(BatchName, dcsid) of the folders; from storage, where several lines share them."""
+    if "folder_names" in tables:
+        return tables["folder_names"]
+    return tables["folder_map"].select(F.col("PBatch").alias("BatchName"), "dcsid")
+
+
+def folder_counts(tables: Tables, line: Line) -> DataFrame:
+    """Number of different folders per batch."""
+    folders = line_folders(tables, line)
+    counted = F.count if "line_folders" in tables else F.count_distinct
+    return one_per_key(folders, "BatchName", counted("dcsid").alias("_folders"))
+
+
+def near_stored(tables: Tables, line: Line, df: DataFrame) -> DataFrame:
+    """``near_batches`` where the line's batches are at hand, else all rows."""
+    return near_batches(tables, line, df) if "line_batches" in tables else df
+
+
+def known(tables: Tables, role: str, key: str, name: str, line: Line | None = None) -> DataFrame:
+    """Distinct batch names of a lookup table, with the name repeated as a column to test.
+
+    For batches of the ``line``, where it is given.
+    """
     names = tables[role].select(F.col(key).alias("BatchName"))
+    if line is not None:
+        names = near_stored(tables, line, names)
     return one_per_key(names, "BatchName").withColumn(name, F.col("BatchName"))
 
 
@@ -128,8 +177,12 @@ def with_folders(tables: Tables, batches: DataFrame, name: str = "dcsid",
     Folders bucketed by batch are joined where they lie. With ``line``, the batches are received
     ones of its shipped boxes, and few other folders move.
     """
-    folders = tables["folder_map"].withColumnRenamed("PBatch", "BatchName")
     folder = F.col("dcsid").alias(name)
+    if line is not None and "line_folders" in tables:
+        return left_join_children(
+            batches, tables["line_folders"].select("BatchName", folder), "BatchName",
+            box_batches(tables, line).select("BatchName"))
+    folders = tables["folder_map"].withColumnRenamed("PBatch", "BatchName")
     if "folder_map_slices" in tables:
         return left_join_sliced(batches, folders.select("BatchName", "slice", folder).distinct(),
                                 "BatchName", tables["folder_map_slices"])
@@ -198,6 +251,8 @@ def upload_records(tables: Tables, line: Line) -> DataFrame:
 
 def recorded_folders(tables: Tables, line: Line) -> DataFrame:
     """(Batch, folder) of the upload records, once per box they were recorded for."""
+    if "line_records" in tables:
+        return tables["line_records"].select("PBatch", "dcsid")
     keys = ["RMN", "PBatch", "dcsid"] if line.uploads_need_box else ["PBatch", "dcsid"]
     uploads = _line_uploads(tables, line, False)
     part = ["slice"] if "slice" in uploads.columns else []
@@ -210,8 +265,11 @@ def recorded_folders(tables: Tables, line: Line) -> DataFrame:
 def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
     """Whether any upload record was never uploaded, per batch and, where it counts, per box.
 
-    Records shrink to box and batch before their box is tested.
+    Records shrink to box and batch before their box is tested. Those stored for the line come as
+    they are, one by folder.
     """
+    if "line_records" in tables:
+        return tables["line_records"].select("PBatch", "Open")
     records = _records(tables, line)
     any_open = F.max(F.col("UploadTime").isNull()).alias("Open")
     if not line.uploads_need_box:
@@ -220,6 +278,23 @@ def batch_upload_state(tables: Tables, line: Line) -> DataFrame:
         box_keys(tables, line), "RMN", "left_semi")
 
 
+def folder_records(tables: Tables, line: Line) -> DataFrame:
+    """The upload records by box, where it counts, batch and folder: whether any was never uploaded.
+
+    Documents are grouped before their box is tested, as in ``upload_records``.
+    """
+    keys = ["RMN", "PBatch", "dcsid"] if line.uploads_need_box else ["PBatch", "dcsid"]
+    waits = F.col("UploadTime").isNull()
+    records = _records(tables, line)
+    if line.image_grain:
+        records = records.groupBy(*keys).agg(F.max(waits).alias("Open"))
+    else:
+        records = records.select(*keys, waits.alias("Open"))
+    if line.uploads_need_box:
+        records = records.join(box_keys(tables, line), "RMN", "left_semi")
+    return records
+
+
 def uploaded_batches(tables: Tables, name: str = "PBatch") -> DataFrame:
     """Batches with at least one uploaded document; others are dropped by the scan."""
     if "folder_uploads" in tables:
@@ -252,8 +327,10 @@ def active_folders(tables: Tables, line: Line, prefix: str, folder_since: dateti
 WORKFLOW_COLUMNS = ["BatchName", "WFStep", "BatchLocation", "BatchStatus", "TotalImages"]
 
 
-def workflow_rows(tables: Tables) -> DataFrame:
-    return tables["workflow"].select(*WORKFLOW_COLUMNS).distinct()
+def workflow_rows(tables: Tables, line: Line | None = None) -> DataFrame:
+    """Different rows of the workflow; for batches of the ``line``, where it is given."""
+    rows = tables["workflow"].select(*WORKFLOW_COLUMNS)
+    return (rows if line is None else near_stored(tables, line, rows)).distinct()
 
 
 def workflow_state(tables: Tables, line: Line) -> DataFrame:

@@ -15,9 +15,9 @@ from scanyard.operators.aggregates import mean_pivot
 from scanyard.operators.joins import nonworking_days, one_per_key, outstanding, rejoin
 from scanyard.operators.projection import or_blank_row
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
-from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, known,
-                                     near_batches, recorded_folders, scanned_batches, second_ocr,
-                                     with_folders, workflow_rows)
+from scanyard.plans.extracts import (Tables, batch_upload_state, box_batches, folder_counts, known,
+                                     recorded_folders, scanned_batches, second_ocr, with_folders,
+                                     workflow_rows)
 
 # Reports go by batch; the further columns let the sort spread the rows of one large batch.
 _BATCH_ORDER = ["BatchName", "RMN", "TrackingNo"]
@@ -25,15 +25,17 @@ _FOLDER_ORDER = ["BatchName", "DCSID", "RMN", "TrackingNo"]
 _STATE = ["RMN", "TrackingNo", "BatchName", "Location", "BatchStatus", "TotalImages", "Media"]
 
 
-def _with_workflow(tables: Tables, batches: DataFrame) -> DataFrame:
+def _with_workflow(tables: Tables, line: Line, batches: DataFrame) -> DataFrame:
     """Stage and status from the workflow and the export list.
 
-    The workflow is not cut down to the line's boxes first: the batches already are.
+    The workflow is not cut down to the line's boxes first: the batches already are. Where those
+    are at hand, rows of other batches don't move.
     """
-    rows = workflow_rows(tables).withColumn("_known", F.col("BatchName"))
+    rows = workflow_rows(tables, line).withColumn("_known", F.col("BatchName"))
     status = batch_status(F.col("_exported"), F.col("BatchStatus"), F.col("_known"))
     return (
-        batches.join(known(tables, "exported", "kbatch", "_exported"), "BatchName", "left")
+        batches.join(known(tables, "exported", "kbatch", "_exported", line), "BatchName",
+                     "left")
         .join(rows, "BatchName", "left")
         .withColumn("Location", stage_name(F.col("WFStep"), F.col("BatchLocation")))
         .withColumn("BatchStatus", status)
@@ -56,12 +58,10 @@ def open_batches(tables: Tables, line: Line) -> DataFrame:
     earliest is shown.
     """
     waiting = waiting_batches(tables, line)
-    folders = near_batches(tables, line, tables["folder_map"].select(
-        F.col("PBatch").alias("BatchName"), "dcsid"))
-    folders = one_per_key(folders, "BatchName", F.count_distinct("dcsid").alias("_folders"))
+    folders = folder_counts(tables, line)
     paper, special = media_counts(F.col("BatchClassName"), or_zero(F.col("_folders")))
     return (
-        _with_workflow(tables, waiting).join(folders, "BatchName", "left")
+        _with_workflow(tables, line, waiting).join(folders, "BatchName", "left")
         .select("RMN", "TrackingNo", "BatchName", "Location", "BatchStatus", "TotalImages",
                 media_flag(F.col("BatchClassName")).alias("Media"),
                 paper.alias("Paper"), special.alias("Special"), "InvTime")
@@ -229,7 +229,7 @@ def r10_direct_outstanding(tables: Tables, line: Line = OMPF_DIRECT, as_of=None)
         .otherwise(F.col("BatchStatus"))
     )
     return (
-        _at_scanner(tables, _with_workflow(tables, waiting))
+        _at_scanner(tables, _with_workflow(tables, line, waiting))
         .select("RMN", "TrackingNo", "BatchName",
                 F.col("Location").alias("OpenBoxBatchLocation"),
                 status.alias("BatchStatus"), "TotalImages")

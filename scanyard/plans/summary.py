@@ -10,9 +10,8 @@ from scanyard.functions.decode import completion, or_zero
 from scanyard.operators.aggregates import count_distinct_through
 from scanyard.operators.joins import one_per_key
 from scanyard.plans.config import FCS, OMPF, OMPF_DIRECT, VAULT, Line
-from scanyard.plans.extracts import (Tables, box_batches, known, name_condition, near_batches,
-                                     received, recorded_folders, shipped_boxes,
-                                     uploaded_batches)
+from scanyard.plans.extracts import (Tables, box_batches, claimed_batches, known, line_folders,
+                                     name_condition, recorded_folders, uploaded_batches)
 
 _BOX = ["RMN", "TrackingNo"]
 
@@ -24,13 +23,11 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
     recorded for the box's batches. Where a shipment carries several claim types the smallest
     is shown.
     """
-    boxes = shipped_boxes(tables, line).groupBy(*_BOX).agg(F.min("claimtype").alias("ClaimType"))
-    batches = boxes.join(received(tables, line), "RMN").select(
-        *_BOX, "ClaimType", "BatchName").distinct()
+    batches = claimed_batches(tables, line)
     records = recorded_folders(tables, line).withColumnRenamed("PBatch", "BatchName")
     recorded = one_per_key(records, "BatchName").withColumn("_recorded", F.col("BatchName"))
     totals = (
-        batches.join(known(tables, "exported", "kbatch", "_exported"), "BatchName", "left")
+        batches.join(known(tables, "exported", "kbatch", "_exported", line), "BatchName", "left")
         .join(recorded, "BatchName", "left")
         .groupBy(*_BOX, "ClaimType")
         .agg(
@@ -39,12 +36,15 @@ def box_summary(tables: Tables, line: Line) -> DataFrame:
             F.count("_recorded").alias("Uploaded"),
         )
     )
-    folders = near_batches(tables, line, tables["folder_map"].select(
-        F.col("PBatch").alias("BatchName"), "dcsid").where(name_condition(line)))
+    folders, stored = line_folders(tables, line), "line_folders" in tables
+    if stored:
+        # Stored folders are different; the records are so but for their box.
+        records = records.distinct()
     # Only names the line's batches can have; said here, every use below reads the same rows.
     both = folders.withColumn("_kind", F.lit("all")).unionByName(
         records.withColumn("_kind", F.lit("recorded"))).where(name_condition(line))
-    counts = count_distinct_through(batches, both, _BOX, "BatchName", "dcsid", "_n", "_kind")
+    counts = count_distinct_through(batches, both, _BOX, "BatchName", "dcsid", "_n", "_kind",
+                                    unique=stored)
 
     def folders_of(kind: str) -> Column:
         return or_zero(F.sum(F.when(F.col("_kind") == kind, F.col("_n"))))

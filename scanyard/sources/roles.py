@@ -112,6 +112,8 @@ _LOCATION_OF_STEP = {1: 1, 2: 2, 3: 16, 4: 2, 5: 4, 6: 128, 7: 8, 8: 128, 9: 128
 _STATUS_CODES = (0, 1, 2, 4, 8)
 # Added to the system keys of repeated documents.
 _AGAIN = 10_000_000_000
+# Remainders of line numbers, which make folders, and the bit of lines without one.
+_PARTS, _UNNUMBERED = range(-2, 3), 5
 _WEEK = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 _NAMED_DAYS = {"01-01": "New Year", "07-04": "Independence Day", "12-25": "Christmas Day"}
 
@@ -222,19 +224,25 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
                  _inv_time().alias("InvTime")]
         placed = repeated(orders().select(*entry), {
             "PBatch": [(o % 37 == 0, _batch("(o_orderkey - 8)"))]})
-        parts = lines().select("l_orderkey", "l_linenumber", (
-            c("l_linenumber") % 3).alias("_part"))
-
-        def folders(some: Column) -> DataFrame:
-            return parts.where(some).join(placed, c("l_orderkey") == o)
-
+        # What parts an order has is a bit each, so that its lines become one row before they meet
+        # the order: -2 to 2, and one for lines without a number.
+        parts = lines().where(c("l_orderkey").isNotNull()).groupBy("l_orderkey").agg(F.expr(
+            f"bit_or(shiftleft(1, coalesce(l_linenumber % 3 + 2, {_UNNUMBERED})))").alias("_parts"))
         # The number of a folder names its order, so rows of different orders differ, and those
         # of one lie together after the join. Only folders without a number must be compared.
-        numbered = folders(c("l_linenumber").isNotNull()).select(
-            "l_orderkey", "_part", "RMN", "PBatch", "InvTime").distinct().withColumn(
+        placed = parts.join(placed, c("l_orderkey") == o).select(
+            "l_orderkey", "_parts", "RMN", "PBatch", "InvTime").distinct()
+
+        def having(number: int) -> Column:
+            return F.getbit("_parts", F.lit(number)) == 1
+
+        none = F.array().cast("array<int>")
+        numbers = F.concat(*[F.when(having(n + 2), F.array(F.lit(n))).otherwise(none)
+                             for n in _PARTS])
+        numbered = placed.withColumn("_part", F.explode(numbers)).withColumn(
             "dcsid", F.concat(c("l_orderkey").cast("string"), F.lit("-"),
                               c("_part").cast("string")))
-        unnumbered = folders(c("l_linenumber").isNull()).withColumn(
+        unnumbered = placed.where(having(_UNNUMBERED)).withColumn(
             "dcsid", F.lit(None).cast("string")).select(*names).distinct()
         waiting = orders().where(o % 59 == 0).select(
             "*", *entry[1:]).withColumns({

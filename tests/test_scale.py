@@ -13,9 +13,13 @@ from scanyard.functions import curve
 from scanyard.operators import joins
 from scanyard.operators.projection import or_blank_row
 from scanyard.plans import extracts, kept, outstanding
-from scanyard.plans.config import OMPF
-from scanyard.sources.roles import derive_roles
-from tests.plan_metrics import counters, rows_moved
+from scanyard.plans.config import FCS, OMPF, VAULT
+from scanyard.plans.report_set import report_set, with_folder_names
+from scanyard.sources.roles import Roles, derive_roles
+from scanyard.sources.tables import scan
+from scanyard.sources.schemas import ROLE_SCHEMAS
+from tests.conftest import AS_OF
+from tests.plan_metrics import counters, files_read, rows_moved
 
 SF, T = "/root/testdata/sf0.001", "2001-06-04 09:00:00"
 LINE = OMPF.starting(datetime(1995, 1, 1))
@@ -140,3 +144,32 @@ def test_images_are_flagged_without_expanding_rows(tables, values):
         check_in=[("A", "1Z", "OMPF", "x", "y", T)], document=rows))
     assert values(counted) == [("b", 2, 1)]
     assert "Expand" not in planned(counted)
+
+
+@pytest.mark.parametrize("role", ["document", "folder_map"])
+def test_a_report_set_reads_its_sources_once(spark, tmp_path, role):
+    derived, base = derive_roles(spark, SF), str(tmp_path)
+    derived[role].coalesce(1).write.parquet(f"{base}/{role}.parquet")
+    tables = Roles({name: lambda name=name: derived[name] for name in derived} | {
+        role: lambda: scan(spark, base, role, ROLE_SCHEMAS[role])})
+
+    def run(given, line):
+        for sheet in report_set(given, line.starting(datetime(1995, 1, 1)), AS_OF).values():
+            written(sheet)
+
+    def lines():
+        shared = with_folder_names(tables)
+        for line in (FCS, VAULT):
+            run(shared, line)
+
+    assert files_read(spark, lambda: run(tables, OMPF), tmp_path.name) == 1
+    if role == "folder_map":
+        assert files_read(spark, lines, tmp_path.name) == 1
+
+
+def test_lines_of_an_order_are_one_row_before_they_meet_it(spark):
+    derived = derive_roles(spark, SF)
+    moved = sum(m.get("number of output rows", 0) for name, _, m in counters(
+        spark, lambda: written(derived["folder_map"])) if "Join" in name)
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert orders / 2 < moved < 2 * orders
