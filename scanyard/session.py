@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,24 @@ def _is_set(spark: SparkSession, key: str) -> bool:
     return spark._jsparkSession.sessionState().conf().contains(key)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside remove their shuffle files at once, not when the driver next collects
+    its garbage. For frames that are not computed again.
+
+    What the session has set itself stays.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if _is_set(spark, key):
+        yield
+        return
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder path under the cluster's shared folder.
 

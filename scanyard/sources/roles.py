@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scanyard.functions.curve import along_curve
 from scanyard.functions.text import clean_code, clean_key
+from scanyard.session import shared_dir, shuffles_freed
 from scanyard.sources.schemas import (CODE_COLUMNS, DOCUMENT_MONTHS, KEY_COLUMNS, RECEIVED_DAY,
                                       ROLE_SCHEMAS, image_month)
 from scanyard.sources.tables import scan
@@ -55,25 +56,34 @@ def store_roles(roles: Mapping[str, DataFrame], base: str) -> None:
     rebalance splits a month that is much larger than the others. Documents are uploaded soon after
     they are imaged, so each upload month has few image months. Tables with a receipt time lie
     along a curve through batch and day, so that a batch prefix skips row groups and a window of
-    days does too; other rows lie in the order of their batch.
+    days does too; other rows lie in the order of their batch. Files are compressed closely, and
+    what a table moved is off the disks before the next one is written.
     """
     for role, df in roles.items():
         clean = normalise(df)
-        path = f"{base}/{role}.parquet"
+        spark = clean.sparkSession
         batch = next((c for c in _BATCH_COLUMNS if c in df.columns), None)
-        if role == "document":
-            months = {"upload_month": F.trunc(F.to_date("ftpstime"), "MM"),
-                      "image_month": image_month()}
-            clean.withColumns(months).hint("rebalance", *months).sortWithinPartitions(
-                *months, "PBatch", "ImageDateTime").write.mode("overwrite").partitionBy(
-                *months).parquet(path)
-            continue
-        if batch and "InvTime" in clean.columns:
-            clean = along_curve(clean.withColumn("received_day", F.to_date("InvTime")), batch,
-                                "received_day")
-        elif batch:
-            clean = clean.repartitionByRange(batch).sortWithinPartitions(batch)
-        clean.write.mode("overwrite").parquet(path)
+        with shuffles_freed(spark):
+            if role == "document":
+                months = {"upload_month": F.trunc(F.to_date("ftpstime"), "MM"),
+                          "image_month": image_month()}
+                clean = clean.withColumns(months).hint("rebalance", *months).sortWithinPartitions(
+                    *months, "PBatch", "ImageDateTime")
+            elif batch and "InvTime" in clean.columns:
+                # Written first, so that the sample of the curve does not compute the rows again.
+                path = f"{shared_dir(spark)}/{role}"
+                _write(clean, path)
+                rows = spark.read.schema(clean.schema).parquet(path)
+                clean = along_curve(rows.withColumn("received_day", F.to_date("InvTime")), batch,
+                                    "received_day")
+            elif batch:
+                clean = clean.repartitionByRange(batch).sortWithinPartitions(batch)
+            _write(clean, f"{base}/{role}.parquet", *(months if role == "document" else ()))
+
+
+def _write(df: DataFrame, path: str, *parts: str) -> None:
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
 
 
 def load_roles(spark: SparkSession, base: str, clean: bool = False) -> Roles:
@@ -198,15 +208,21 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         return c("o_orderdate") + F.make_dt_interval(
             F.lit(0), (c("o_orderkey") % 24).cast("int"))
 
-    def document() -> DataFrame:
+    def placed_orders() -> DataFrame:
+        """Batch and box of documents are made, and repeated, once per order rather than per line."""
         o = c("o_orderkey")
-        # Batch and box are made, and repeated, once per order rather than per line.
         entries = orders().select(o, c("o_custkey"), _batch().alias("PBatch"),
                                   _box("o_custkey").alias("RMN"))
-        placed = repeated(entries, {"PBatch": [(o % 37 == 0, _batch("(o_orderkey - 8)"))],
-                                    "RMN": [(o % 39 == 0, _box("(o_custkey + 1)"))]})
+        return repeated(entries, {"PBatch": [(o % 37 == 0, _batch("(o_orderkey - 8)"))],
+                                  "RMN": [(o % 39 == 0, _box("(o_custkey + 1)"))]})
+
+    def uploaded() -> Column:
+        return F.when(c("l_linestatus") == "F", c("l_shipdate")).alias("ftpstime")
+
+    def document() -> DataFrame:
+        placed = placed_orders()
         names = [column.split()[0] for column in ROLE_SCHEMAS["document"].split(", ")]
-        return lines().join(placed.drop("o_custkey"), c("l_orderkey") == o).select(
+        return lines().join(placed.drop("o_custkey"), c("l_orderkey") == c("o_orderkey")).select(
             "RMN", "PBatch",
             folder_id().alias("dcsid"),
             F.expr("concat(l_orderkey, '-', l_linenumber)").alias("ImageID"),
@@ -214,7 +230,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             F.concat(F.lit(" "), c("l_partkey").cast("string"), F.lit("  ")).alias("FileNumber"),
             (c("l_orderkey") * 10 + c("l_linenumber") + c("_copy") * _AGAIN).alias("SysKey"),
             c("l_quantity").cast("int").alias("NumPages"),
-            F.when(c("l_linestatus") == "F", c("l_shipdate")).alias("ftpstime"),
+            uploaded(),
             (c("l_shipdate") - F.make_dt_interval(F.lit(1))).alias("ImageDateTime"),
         ).select(*names)
 
@@ -251,16 +267,26 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         return numbered.select(*names).unionByName(unnumbered).unionByName(waiting)
 
     def customer_data() -> DataFrame:
-        other = F.when(c("o_orderkey") % 7 == 0, "x").otherwise("")
+        names = ["dcsid", "PBatch", "Firstname", "Lastname", "Recvdate"]
         received = orders().select("o_orderkey", "o_orderdate", _batch().alias("PBatch"))
-        return (
-            lines().join(received, c("l_orderkey") == c("o_orderkey"))
-            .join(scan(spark, base, "part"), c("l_partkey") == c("p_partkey"))
-            .select(F.concat(folder_id(), other).alias("dcsid"), "PBatch",
-                    c("p_name").alias("Firstname"), c("p_brand").alias("Lastname"),
-                    c("o_orderdate").alias("Recvdate"))
-            .distinct()
-        )
+
+        def customers(some: Column) -> DataFrame:
+            # Orders come last, so rows of one lie together and are compared where they are.
+            return (
+                lines().where(some).join(scan(spark, base, "part"), c("l_partkey") == c("p_partkey"))
+                .select("l_orderkey", (c("l_linenumber") % 3).alias("_part"), "p_name", "p_brand")
+                .join(received, c("l_orderkey") == c("o_orderkey"))
+                .select("l_orderkey", "_part", "PBatch", c("p_name").alias("Firstname"),
+                        c("p_brand").alias("Lastname"), c("o_orderdate").alias("Recvdate"))
+                .distinct())
+
+        # The number of a folder names its order, as in the folder map.
+        numbered = customers(c("l_linenumber").isNotNull()).withColumn("dcsid", F.concat(
+            c("l_orderkey").cast("string"), F.lit("-"), c("_part").cast("string"),
+            F.when(c("l_orderkey") % 7 == 0, "x").otherwise("")))
+        unnumbered = customers(c("l_linenumber").isNull()).withColumn(
+            "dcsid", F.lit(None).cast("string")).select(*names).distinct()
+        return numbered.select(*names).unionByName(unnumbered)
 
     def workflow() -> DataFrame:
         o, step = c("o_orderkey"), c("o_orderkey") % 13 + 1
@@ -309,8 +335,29 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
             .agg(F.count("*").alias("docs"), F.sum("l_quantity").cast("bigint").alias("images"))
         )
 
-    def done(key: str) -> DataFrame:
-        return document().groupBy(key).agg(F.max("ftpstime").alias("CompleteDate"))
+    last = F.max("ftpstime").alias("CompleteDate")
+
+    def boxes_done() -> DataFrame:
+        """The last upload of the documents of a box, which are those of its orders."""
+        orders_done = lines().where(c("l_orderkey").isNotNull()).select(
+            "l_orderkey", uploaded()).groupBy("l_orderkey").agg(F.max("ftpstime").alias("ftpstime"))
+        return orders_done.join(placed_orders(), c("l_orderkey") == c("o_orderkey")).groupBy(
+            "RMN").agg(last)
+
+    def folders_done() -> DataFrame:
+        """The last upload of the documents of a folder, whose number names their order."""
+        def folders(some: Column) -> DataFrame:
+            return lines().where(some).select(
+                "l_orderkey", (c("l_linenumber") % 3).alias("_part"), uploaded()).join(
+                orders().select("o_orderkey"), c("l_orderkey") == c("o_orderkey"), "left_semi")
+
+        # Rows of an order lie together after the join, and so do those of its folders.
+        numbered = folders(c("l_linenumber").isNotNull()).groupBy("l_orderkey", "_part").agg(
+            last).select(F.concat(c("l_orderkey").cast("string"), F.lit("-"),
+                                  c("_part").cast("string")).alias("dcsid"), "CompleteDate")
+        unnumbered = folders(c("l_linenumber").isNull()).groupBy(
+            c("_part").cast("string").alias("dcsid")).agg(last)
+        return numbered.unionByName(unnumbered)
 
     in_f, in_fp = c("o_orderstatus") == "F", c("o_orderstatus").isin("F", "P")
     builders = {
@@ -330,7 +377,7 @@ def derive_roles(spark: SparkSession, base: str) -> Roles:
         "qa_exceptions": lambda: batches_where(c("o_orderkey") % 101 == 0, "batchname"),
         "excluded_folders": lambda: document().select("dcsid").distinct()
         .where(c("dcsid").startswith("5")).withColumnRenamed("dcsid", "dcs"),
-        "boxes_done": lambda: done("RMN"),
-        "folders_done": lambda: done("dcsid"),
+        "boxes_done": boxes_done,
+        "folders_done": folders_done,
     }
     return Roles({role: (lambda b=b: normalise(b())) for role, b in builders.items()})

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import threading
+import time
 from datetime import datetime
 
 import pytest
@@ -13,6 +14,7 @@ from scanyard.sources import files, publish, tables as source
 from scanyard.sources.roles import derive_roles, load_roles
 from scanyard.sources.schemas import ROLE_SCHEMAS
 from tests.conftest import AS_OF
+from tests.plan_metrics import counters
 
 SF = "/root/testdata/sf0.001"
 
@@ -254,3 +256,61 @@ def test_receipt_windows_reach_the_scan_of_stored_roles(spark, tables, tmp_path)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(received_day,2020-06-01)" in plan
     assert "StringStartsWith(PBatch,02)" in plan
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(at).getName() for at in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_stored_roles_leave_nothing_they_moved(spark, tmp_path):
+    from scanyard.sources.roles import store_roles
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    roles, before, setting = derive_roles(spark, SF), shuffle_files(spark), spark.conf.get(key, None)
+    store_roles({name: roles[name] for name in ("folder_map", "document", "exported")},
+                str(tmp_path))
+    until = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(key, None) == setting
+    assert list(tmp_path.glob("document.parquet/*/*/*.zstd.parquet"))
+
+
+@pytest.mark.parametrize("role, most", [
+    # Lines move to their part and their order, to their order, as one row per order.
+    ("customer_data", 2.5), ("folders_done", 1.4), ("boxes_done", 0.8)])
+def test_derived_rows_of_an_order_move_to_it_and_no_further(spark, role, most):
+    roles, lines = derive_roles(spark, SF), spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        found = counters(spark, lambda: roles[role].write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set(key, before)
+    moved = sum(m.get("shuffle records written", 0) for name, _, m in found if name == "Exchange")
+    assert lines / 4 < moved < most * lines
+
+
+def test_derived_folders_without_a_number_are_one(spark, tmp_path, values):
+    """Lines that have no number, of an order that is there twice; no order, no folder."""
+    at = "timestamp_ntz '2001-06-04 00:00:00'"
+    spark.sql(f"select o_orderkey, 7L as o_custkey, 'F' as o_orderstatus, 1.0d as o_totalprice, {at} "
+              "as o_orderdate, '5-LOW' as o_orderpriority from values (28L), (28L), (29L) "
+              "t(o_orderkey)").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql(f"select l_orderkey, 1L as l_partkey, 1L as l_suppkey, l_linenumber, 1.0d as "
+              f"l_quantity, 1.0d as l_extendedprice, 0.0d as l_discount, 0.0d as l_tax, 'N' as "
+              f"l_returnflag, l_linestatus, {at} as l_shipdate from values (28L, null, 'F'), "
+              "(29L, cast(null as int), 'O'), (29L, 1, 'F'), (29L, 4, 'O'), (28L, 2, 'O'), "
+              "(null, 1, 'F'), (30L, 1, 'F') t(l_orderkey, l_linenumber, l_linestatus)").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.sql("select 1L as p_partkey, 'a' as p_name, 'b' as p_brand, 't' as p_type, 1 as p_size, "
+              "1.0d as p_retailprice").write.parquet(str(tmp_path / "part.parquet"))
+    roles, done = derive_roles(spark, str(tmp_path)), datetime(2001, 6, 4)
+    assert values(roles["folders_done"]) == sorted(
+        [(None, done), ("29-1", done), ("28-2", None)], key=repr)
+    assert values(roles["boxes_done"], "CompleteDate") == [(done,)]
+    assert values(roles["customer_data"], "dcsid", "Firstname") == sorted(
+        [(None, "a"), (None, "a"), ("28-2x", "a"), ("29-1", "a")], key=repr)
