@@ -45,10 +45,17 @@ def with_may_be_listed(df: DataFrame, key: Column, listed: DataFrame, name: str)
     needed = F.ceil(F.count("*") / KEYS_PER_CHUNK)
     many = free_name(df, "_chunks")
     # One row, joined rather than asked for as a value: what holds a value is not shared by the
-    # uses of one frame, and would be computed for each.
-    chunks = F.broadcast(keys.agg(F.greatest(F.lit(1), F.least(F.lit(MOST_CHUNKS), needed))
-                                  .cast("bigint").alias(many)))
-    bits = keys.crossJoin(chunks).groupBy(_chunk(F.col("h"), F.col(many)).alias("chunk")).agg(
+    # uses of one frame, and would be computed for each. All numbers leave nothing when divided by
+    # one, so every row meets it by an equality.
+    nothing = free_name(df, "_nothing")
+    chunks = F.broadcast(keys.agg(
+        F.greatest(F.lit(1), F.least(F.lit(MOST_CHUNKS), needed)).cast("bigint").alias(many),
+        F.pmod(F.count("*"), F.lit(1)).alias(nothing)))
+
+    def with_chunks(rows: DataFrame, hashed: Column) -> DataFrame:
+        return rows.join(chunks, F.pmod(hashed, F.lit(1)) == F.col(nothing)).drop(nothing)
+
+    bits = with_chunks(keys, F.col("h")).groupBy(_chunk(F.col("h"), F.col(many)).alias("chunk")).agg(
         F.bitmap_construct_agg(_slot(F.col("h"))).alias("bits"))
     # Eight bytes a word, so that a row is answered by one look into an array.
     words = F.transform(F.sequence(F.lit(0), F.lit(CHUNK_BITS // 64 - 1)), lambda w: F.conv(
@@ -61,5 +68,5 @@ def with_may_be_listed(df: DataFrame, key: Column, listed: DataFrame, name: str)
     place = (7 - F.shiftright(slot, 3) % 8) * 8 + slot % 8
     bit = F.getbit(F.get(F.col(where), F.shiftright(slot, 6).cast("int")), place.cast("int"))
     near = F.coalesce(key.isNotNull() & (bit == 1), F.lit(False))
-    return df.crossJoin(chunks).withColumn(at, _chunk(hashed, F.col(many))).join(
+    return with_chunks(df, hashed).withColumn(at, _chunk(hashed, F.col(many))).join(
         known, at, "left").withColumn(name, near).drop(at, where, many)
